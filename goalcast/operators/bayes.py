@@ -50,7 +50,13 @@ class BayesCounts:
     n_keys: int = 0
 
 
+# extra fit scopes by name -> row predicate (e.g. a "recent" window of train days)
+SCOPE_PREDICATES: dict[str, Column] = {}
+
+
 def _scope_pred(scope: str) -> Column:
+    if scope in SCOPE_PREDICATES:
+        return SCOPE_PREDICATES[scope]
     if scope == "unified":
         return F.lit(True)
     return F.col("set") == F.lit(scope)
@@ -74,7 +80,8 @@ def fit_counts(encoded: DataFrame, goals: list[str], scopes=("train",), combinat
         for g in goals:
             aggs.append(F.sum(F.when(pred, F.col(g)).otherwise(0)).cast("long").alias(f"pos_{s}_{g}"))
             tot.append(F.sum(F.when(pred, F.col(g)).otherwise(0)).cast("long").alias(f"pos_{s}_{g}"))
-    rows = encoded.select("set", "features", *goals)
+    carry = ["set", "day_ts"] if "day_ts" in encoded.columns else ["set"]
+    rows = encoded.select(*carry, "features", *goals)
     totals_row = rows.agg(*tot).collect()[0].asDict()  # one row of label totals
 
     ns = [F.col(f"n_{s}") for s in scopes]
@@ -82,15 +89,15 @@ def fit_counts(encoded: DataFrame, goals: list[str], scopes=("train",), combinat
     if combinations and prune_singles and min_count > 1:
         singles = fit_counts(encoded, goals, scopes, False, min_count, False)
         ok = singles.keys.select(F.col("i").alias("_ok"))
-        ex = rows.select(F.explode(key_array(F.col("features"), True)).alias("k"), "set", *goals) \
-                 .select("k.i", "k.j", "set", *goals)
+        ex = rows.select(F.explode(key_array(F.col("features"), True)).alias("k"), *carry, *goals) \
+                 .select("k.i", "k.j", *carry, *goals)
         okb = maybe_broadcast(ok, singles.n_keys)
         ex = ex.join(okb, ex.i == okb._ok, "left_semi")
         okb2 = maybe_broadcast(ok.select(F.col("_ok").alias("_ok2")), singles.n_keys)
         ex = ex.join(okb2, ex.j == okb2._ok2, "left_semi")
     else:
-        ex = rows.select(F.explode(key_array(F.col("features"), combinations)).alias("k"), "set", *goals) \
-                 .select("k.i", "k.j", "set", *goals)
+        ex = rows.select(F.explode(key_array(F.col("features"), combinations)).alias("k"), *carry, *goals) \
+                 .select("k.i", "k.j", *carry, *goals)
     keys = cut_lineage(ex.groupBy("i", "j").agg(*aggs).where(keep))
     return BayesCounts(keys=keys, totals=totals_row, goals=list(goals), scopes=scopes,
                        combinations=combinations, n_keys=keys.count())

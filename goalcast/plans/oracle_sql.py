@@ -104,10 +104,11 @@ def base_ctes(threshold: int = FIXTURE_RARITY, families=("zip",), attribute_cols
     return "WITH " + ",\n".join(b.strip() for b in blocks)
 
 
-def bayes_ctes(goals, thresholds, scope_set: str | None = "train") -> str:
+def bayes_ctes(goals, thresholds, scope_set: str | None = "train", p: str = "", where: str | None = None) -> str:
     """Single-key counts on ``scope_set`` (None = all rows), per-key params per goal,
     per (row, goal, threshold) log-likelihood sums."""
-    where = f"WHERE \"set\" = '{scope_set}'" if scope_set else ""
+    if where is None:
+        where = f"WHERE \"set\" = '{scope_set}'" if scope_set else ""
     pos = ", ".join(f"sum({g}) AS pos_{g}" for g in goals)
     tot = ", ".join(f"sum({g}) AS tpos_{g}" for g in goals)
     params = []
@@ -121,10 +122,10 @@ def bayes_ctes(goals, thresholds, scope_set: str | None = "train") -> str:
         for t in thresholds:
             consts.append(
                 f"SELECT '{g}' AS goal, {t} AS threshold, "
-                f"coalesce((SELECT sum(l1mp_{g}) FROM kparams WHERE n >= {t}), 0) AS zero_p, "
-                f"coalesce((SELECT sum(l1mn_{g}) FROM kparams WHERE n >= {t}), 0) AS zero_n, "
+                f"coalesce((SELECT sum(l1mp_{g}) FROM {p}kparams WHERE n >= {t}), 0) AS zero_p, "
+                f"coalesce((SELECT sum(l1mn_{g}) FROM {p}kparams WHERE n >= {t}), 0) AS zero_n, "
                 f"ln(CAST(tpos_{g} AS DOUBLE) + 1) - ln(CAST(tn AS DOUBLE) + 2) AS prior_p, "
-                f"ln(CAST(tn - tpos_{g} AS DOUBLE) + 1) - ln(CAST(tn AS DOUBLE) + 2) AS prior_n FROM totals")
+                f"ln(CAST(tn - tpos_{g} AS DOUBLE) + 1) - ln(CAST(tn AS DOUBLE) + 2) AS prior_n FROM {p}totals")
     sums = []
     for g in goals:
         for t in thresholds:
@@ -132,24 +133,24 @@ def bayes_ctes(goals, thresholds, scope_set: str | None = "train") -> str:
                 f"SELECT r.row_id, r.\"set\", '{g}' AS goal, {t} AS threshold, r.{g} AS y, "
                 f"sum(CASE WHEN p.n >= {t} THEN p.adjp_{g} ELSE 0 END) AS sp, "
                 f"sum(CASE WHEN p.n >= {t} THEN p.adjn_{g} ELSE 0 END) AS sn "
-                f"FROM rowkeys r LEFT JOIN kparams p ON r.i = p.i GROUP BY r.row_id, r.\"set\", r.{g}")
+                f"FROM {p}rowkeys r LEFT JOIN {p}kparams p ON r.i = p.i GROUP BY r.row_id, r.\"set\", r.{g}")
     return f""",
-kcounts AS (
+{p}kcounts AS (
   SELECT i, count(*) AS n, {pos} FROM (SELECT unnest(features) AS i, {GOAL_COLS} FROM encoded {where}) GROUP BY i
 ),
-totals AS (SELECT count(*) AS tn, {tot} FROM encoded {where}),
-kparams AS (SELECT k.i, k.n, {', '.join(params)} FROM kcounts k, totals t),
-mconsts AS ({' UNION ALL '.join(consts)}),
-rowkeys AS (SELECT row_id, "set", {GOAL_COLS}, unnest(CASE WHEN len(features) = 0 THEN [NULL::INTEGER] ELSE features END) AS i FROM encoded),
-rowsums AS ({' UNION ALL '.join(sums)}),
-scored AS (
+{p}totals AS (SELECT count(*) AS tn, {tot} FROM encoded {where}),
+{p}kparams AS (SELECT k.i, k.n, {', '.join(params)} FROM {p}kcounts k, {p}totals t),
+{p}mconsts AS ({' UNION ALL '.join(consts)}),
+{p}rowkeys AS (SELECT row_id, "set", {GOAL_COLS}, unnest(CASE WHEN len(features) = 0 THEN [NULL::INTEGER] ELSE features END) AS i FROM encoded),
+{p}rowsums AS ({' UNION ALL '.join(sums)}),
+{p}scored AS (
   SELECT s.row_id, s."set", s.goal, s.threshold, s.y,
     c.zero_p + c.prior_p + coalesce(s.sp, 0) AS l1, c.zero_n + c.prior_n + coalesce(s.sn, 0) AS l0
-  FROM rowsums s JOIN mconsts c ON s.goal = c.goal AND s.threshold = c.threshold
+  FROM {p}rowsums s JOIN {p}mconsts c ON s.goal = c.goal AND s.threshold = c.threshold
 ),
-scored2 AS (
+{p}scored2 AS (
   SELECT *, exp(l1 - (greatest(l1, l0) + ln(exp(l1 - greatest(l1, l0)) + exp(l0 - greatest(l1, l0))))) AS prob,
-    CAST(l1 > l0 AS INTEGER) AS pred FROM scored
+    CAST(l1 > l0 AS INTEGER) AS pred FROM {p}scored
 )"""
 
 
