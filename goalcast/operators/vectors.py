@@ -1,0 +1,18 @@
+"""array<int> feature indices -> Spark ML sparse vectors, JVM-side.
+
+A ``CountVectorizerModel`` built from the fixed vocabulary ``"0" .. "n-1"`` maps the
+index tokens of a row to a binary ``SparseVector`` of width ``n`` whose positions are
+the dictionary indices themselves (no Python UDF, no dense vector).
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def to_vectors(df: DataFrame, n_features: int, features: str = "features", out: str = "fv") -> DataFrame:
+    vocab = [str(i) for i in range(n_features)]
+    cv = CountVectorizerModel.from_vocabulary(vocab, inputCol="_tok", outputCol=out, binary=True)
+    return cv.transform(df.withColumn("_tok", F.col(features).cast("array<string>"))).drop("_tok")

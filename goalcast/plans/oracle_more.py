@@ -201,3 +201,23 @@ SELECT row_id, rnd(exp(l1 - (greatest(l1, l0) + ln(exp(l1 - greatest(l1, l0)) +
 }
 ORACLE_MORE["gzip_scan"] = ORACLE_MORE["sparse_scan"]
 ORACLE_MORE = {k: expand_rounding(v) for k, v in ORACLE_MORE.items()}
+
+ORACLE_ML = {
+    "matrix_export": expand_rounding(base_ctes() + """,
+dsize AS (SELECT CAST(count(*) AS INTEGER) AS n FROM indexed),
+cw AS (
+  SELECT "set", round(CAST(count(*) AS DOUBLE) / (2.0 * (count(*) - sum(click))), 5) AS w0,
+         round(CAST(count(*) AS DOUBLE) / (2.0 * sum(click)), 5) AS w1
+  FROM encoded GROUP BY "set"
+),
+tr AS (SELECT e.features, e.click AS y, CASE WHEN e.click = 1 THEN cw.w1 ELSE cw.w0 END AS weight
+       FROM encoded e JOIN cw ON e."set" = cw."set" WHERE e."set" = 'train')
+SELECT (SELECT string_agg(final_name, chr(9) ORDER BY idx) FROM indexed) || chr(9) || '__label__' AS value
+UNION ALL
+SELECT array_to_string(list_transform(range(0, (SELECT n FROM dsize)),
+         lambda i: CASE WHEN list_contains(features, CAST(i AS INTEGER)) THEN '1' ELSE '0' END), chr(9))
+       || chr(9) || CAST(y AS VARCHAR) || chr(9) || printf('%.5f', weight) AS value
+FROM tr"""),
+    "score_export": expand_rounding(TEST_CLICK + """
+SELECT row_id, "set", rnd(prob) AS prob, pred, y FROM scored2"""),
+}
