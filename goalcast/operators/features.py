@@ -25,7 +25,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goalcast.constants import DUMMY_FEATURE, LOCATION_FAMILIES_OBSERVED, OTHER
-from goalcast.plans.indexing import dense_index, maybe_broadcast
+from goalcast.plans.indexing import BROADCAST_ROW_LIMIT, dense_index, maybe_broadcast
+
+# Dictionaries up to this many features are ranked by a single ordered window
+# (one sort of at most this many short strings); larger ones use the distributed
+# range-partition + offsets index.
+LOCAL_INDEX_LIMIT = 1_000_000
 from goalcast.session import cut_lineage
 
 
@@ -113,11 +118,19 @@ def build_dictionary(levels: DataFrame, threshold: int,
     slots = slots.withColumn("final_name", rename_families(F.col("name"), fams))
     dup = F.count(F.lit(1)).over(Window.partitionBy("final_name"))
     slots = slots.withColumn("_dup", dup).where(F.col("_dup") == 1).drop("_dup")
-    indexed = cut_lineage(dense_index(slots, [F.col("grp"), F.col("name")]))
-    size = indexed.count()
-    lookup = entries.join(indexed.select("grp", "name", "idx"), ["grp", "name"]) \
+    n_slots = slots.count()
+    order = [F.col("grp"), F.col("name")]
+    if n_slots <= LOCAL_INDEX_LIMIT:
+        # checked bound: a dictionary this small is ranked by one ordered window
+        indexed = slots.withColumn("idx", (F.row_number().over(Window.orderBy(*order)) - 1).cast("int"))
+    else:
+        indexed = dense_index(slots, order)
+    indexed = cut_lineage(indexed, "dictionary")
+    size = n_slots
+    lookup = entries.join(F.broadcast(indexed.select("grp", "name", "idx")) if size <= BROADCAST_ROW_LIMIT
+                          else indexed.select("grp", "name", "idx"), ["grp", "name"]) \
                     .select("grp", "col", "value", "idx")
-    lookup = cut_lineage(lookup)
+    lookup = cut_lineage(lookup, "lookup")
     names = indexed.select("idx", F.col("final_name").alias("name"))
     if constant_feature:
         spark = levels.sparkSession
@@ -148,6 +161,6 @@ def one_hot(df: DataFrame, attribute_cols: list[str], list_cols: list[str], carr
             constant_feature: bool = False) -> tuple[DataFrame, FeatureDictionary]:
     """Full feature build: dictionary from the level counts, then the encoded rows."""
     cells = feature_cells(df, attribute_cols, list_cols, carry)
-    levels = cut_lineage(level_counts(cells))
+    levels = cut_lineage(level_counts(cells), "levels")
     dictionary = build_dictionary(levels, threshold, families, constant_feature)
     return encode_rows(cells, dictionary, carry, constant_feature), dictionary

@@ -7,10 +7,10 @@ nothing is collected. AUC is exact with ties counted half:
     AUC = sum over distinct scores s of pos(s) * (neg(< s) + neg(s) / 2) / (P * N)
 
 ``neg(< s)`` is a prefix sum over the distinct scores of a group. To keep one group
-from landing in a single task, scores are cut into approximate-quantile buckets:
-prefix sums run per (group, bucket) and a per-bucket offset (a table of
-groups x buckets rows) is added. Any monotone bucketing is exact; the quantiles
-only balance the work.
+from landing in a single task, scores are cut into monotone buckets (equal-width
+cells of the log-odds): prefix sums run per (group, bucket) and a per-bucket offset
+(a table of groups x buckets rows) is added. Any monotone bucketing is exact; the
+buckets only spread the work.
 """
 
 from __future__ import annotations
@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goalcast.constants import LOG_LOSS_EPS
+from goalcast.session import cut_lineage
 
-AUC_BUCKETS = 64
+AUC_BUCKETS = 256
 
 
 def _div0(a: Column, b: Column) -> Column:
@@ -28,47 +29,78 @@ def _div0(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
-def roc_auc(scored: DataFrame, group: list[str], y: str = "y", score: str = "prob",
-            buckets: int = AUC_BUCKETS) -> DataFrame:
-    """(group..., roc_auc); null when a group lacks one of the classes or has no score."""
-    has = scored.where(F.col(score).isNotNull() & ~F.isnan(F.col(score)))
-    dist = has.groupBy(*group, F.col(score).alias("_s")).agg(
-        F.sum(F.col(y)).cast("long").alias("_pos"),
-        F.sum(1 - F.col(y)).cast("long").alias("_neg"))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = dist.groupBy(*group).agg(F.percentile_approx("_s", probs, 1000).alias("_b"))
-    # one row per group: bounded by the number of (goal, config, set) groups
-    d = dist.join(F.broadcast(bounds), group, "left") if group else dist.crossJoin(bounds)
-    d = d.withColumn("_bk", F.size(F.filter(F.col("_b"), lambda b: b < F.col("_s")))).drop("_b")
+def score_table(scored: DataFrame, group: list[str], y: str = "y", score: str = "prob",
+                pred: str = "pred") -> DataFrame:
+    """(group..., _s, _p, _pos, _neg): rows folded to distinct (score, predicted class)
+    with class counts. One map-side-combined aggregation over the scored rows; every
+    metric below is computed from this (much smaller) table."""
+    s = F.nanvl(F.col(score), F.lit(None).cast("double")) if score in scored.columns else F.lit(None).cast("double")
+    return scored.groupBy(*group, s.alias("_s"), F.col(pred).alias("_p")).agg(
+        F.sum(F.col(y)).cast("long").alias("_pos"), F.sum(1 - F.col(y)).cast("long").alias("_neg"))
+
+
+def score_bucket(s: Column, buckets: int = AUC_BUCKETS) -> Column:
+    """Monotone bucket of a probability: equal-width cells of its log-odds (clipped to
+    +-40), so scores crowded near 0 or 1 are still spread; plain arithmetic, codegen."""
+    p = F.least(F.greatest(s, F.lit(1e-300)), F.lit(1.0 - 1e-16))
+    logit = F.least(F.greatest(F.ln(p) - F.ln(1.0 - p), F.lit(-40.0)), F.lit(40.0))
+    return F.width_bucket(logit, F.lit(-40.0), F.lit(40.0001), F.lit(buckets))
+
+
+def roc_auc_from_table(t: DataFrame, group: list[str], buckets: int = AUC_BUCKETS) -> DataFrame:
+    """Exact AUC in one shuffle of the folded table: rows are clustered by
+    (group, bucket); distinct scores, the in-bucket prefix sums and the per-bucket
+    totals all run on that clustering; the cross-bucket part
+    sum_b P_b * N(buckets before b) is computed on the groups x buckets table."""
+    b = score_bucket(F.col("_s"), buckets)
+    clustered = t.where(F.col("_s").isNotNull()).withColumn("_bk", b).repartition(*group, "_bk")
+    dist = clustered.groupBy(*group, "_bk", "_s").agg(
+        F.sum("_pos").cast("long").alias("_pos"), F.sum("_neg").cast("long").alias("_neg"))
     wb = Window.partitionBy(*group, "_bk").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("_below", F.coalesce(F.sum("_neg").over(wb), F.lit(0)))
-    per_bucket = d.groupBy(*group, "_bk").agg(F.sum("_neg").alias("_bn"))
+    d = dist.withColumn("_below", F.coalesce(F.sum("_neg").over(wb), F.lit(0)))
+    inner = F.col("_pos") * (F.col("_below") + F.col("_neg") * 0.5)
+    per_bucket = d.groupBy(*group, "_bk").agg(F.sum(inner).alias("_in"), F.sum("_pos").alias("_bp"),
+                                              F.sum("_neg").alias("_bn"))
     wo = Window.partitionBy(*group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(*group, "_bk", F.coalesce(F.sum("_bn").over(wo), F.lit(0)).alias("_off"))
-    d = d.join(F.broadcast(offsets), [*group, "_bk"])
-    contrib = F.col("_pos") * (F.col("_off") + F.col("_below") + F.col("_neg") * 0.5)
-    agg = d.groupBy(*group).agg(F.sum(contrib).alias("_c"), F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
+    per_bucket = per_bucket.withColumn("_off", F.coalesce(F.sum("_bn").over(wo), F.lit(0)))
+    agg = per_bucket.groupBy(*group).agg(F.sum(F.col("_in") + F.col("_bp") * F.col("_off")).alias("_c"),
+                                         F.sum("_bp").alias("_P"), F.sum("_bn").alias("_N"))
     auc = F.when((F.col("_P") > 0) & (F.col("_N") > 0),
                  F.col("_c") / (F.col("_P").cast("double") * F.col("_N").cast("double")))
     return agg.select(*group, auc.alias("roc_auc"))
 
 
+def log_loss_from_table(t: DataFrame, group: list[str]) -> DataFrame:
+    p = F.least(F.greatest(F.col("_s"), F.lit(LOG_LOSS_EPS)), F.lit(1.0 - LOG_LOSS_EPS))
+    total = F.col("_pos") * -F.ln(p) + F.col("_neg") * -F.ln(1.0 - p)
+    agg = t.groupBy(*group).agg(F.sum(total).alias("_l"), F.sum(F.col("_pos") + F.col("_neg")).alias("_n"),
+                                F.count_if(F.col("_s").isNull()).alias("_nulls"))
+    return agg.select(*group, F.when(F.col("_nulls") == 0, F.col("_l") / F.col("_n")).alias("log_loss"))
+
+
+def confusion_from_table(t: DataFrame, group: list[str]) -> DataFrame:
+    def c(v, cls):
+        return F.sum(F.when(F.col("_p") == cls, F.col(v)).otherwise(0)).cast("long")
+    return t.groupBy(*group).agg(c("_neg", 0).alias("tn"), c("_neg", 1).alias("fp"),
+                                 c("_pos", 0).alias("fn"), c("_pos", 1).alias("tp"))
+
+
+def roc_auc(scored: DataFrame, group: list[str], y: str = "y", score: str = "prob",
+            buckets: int = AUC_BUCKETS) -> DataFrame:
+    """(group..., roc_auc); null when a group lacks one of the classes or has no score."""
+    return roc_auc_from_table(score_table(scored, group, y, score, score), group, buckets)
+
+
 def log_loss(scored: DataFrame, group: list[str], y: str = "y", score: str = "prob") -> DataFrame:
     """(group..., log_loss): mean of -ln p(true class), p clipped to [1e-15, 1-1e-15]."""
-    p = F.least(F.greatest(F.col(score), F.lit(LOG_LOSS_EPS)), F.lit(1.0 - LOG_LOSS_EPS))
-    term = -F.when(F.col(y) == 1, F.ln(p)).otherwise(F.ln(1.0 - p))
-    return scored.groupBy(*group).agg(F.avg(term).alias("log_loss"))
+    return log_loss_from_table(score_table(scored, group, y, score, score), group)
 
 
 def confusion_counts(scored: DataFrame, group: list[str], y: str = "y", pred: str = "pred") -> DataFrame:
     """M4: (group..., tn, fp, fn, tp)."""
-    yy, pp = F.col(y), F.col(pred)
-
-    def c(cond):
-        return F.sum(F.when(cond, 1).otherwise(0)).cast("long")
-    return scored.groupBy(*group).agg(
-        c((yy == 0) & (pp == 0)).alias("tn"), c((yy == 0) & (pp == 1)).alias("fp"),
-        c((yy == 1) & (pp == 0)).alias("fn"), c((yy == 1) & (pp == 1)).alias("tp"))
+    t = scored.groupBy(*group, F.col(pred).alias("_p")).agg(
+        F.sum(F.col(y)).cast("long").alias("_pos"), F.sum(1 - F.col(y)).cast("long").alias("_neg"))
+    return confusion_from_table(t, group)
 
 
 def prf_columns() -> list[Column]:
@@ -94,10 +126,15 @@ METRICS = ["roc_auc", "log_loss", "f1", "recall", "precision", "true_positive",
 def evaluate(scored: DataFrame, group: list[str], has_prob: bool = True) -> DataFrame:
     """All metrics per group: (group..., roc_auc, log_loss, f1, recall, precision,
     true_positive, false_negative). Without probabilities AUC and log loss are null."""
-    cm = confusion_counts(scored, group)
+    t = score_table(scored, group) if has_prob else scored.groupBy(
+        *group, F.lit(None).cast("double").alias("_s"), F.col("pred").alias("_p")).agg(
+        F.sum("y").cast("long").alias("_pos"), F.sum(1 - F.col("y")).cast("long").alias("_neg"))
+    # the folded table feeds three metric branches: materialise it once (shared storage)
+    t = cut_lineage(t, "score-table")
+    cm = confusion_from_table(t, group)
     base = cm.select(*group, *prf_columns(), *rate_columns())
     if has_prob:
-        base = base.join(roc_auc(scored, group), group, "left").join(log_loss(scored, group), group, "left")
+        base = base.join(roc_auc_from_table(t, group), group, "left").join(log_loss_from_table(t, group), group, "left")
     else:
         base = base.withColumn("roc_auc", F.lit(None).cast("double")).withColumn("log_loss", F.lit(None).cast("double"))
     return base.select(*group, *METRICS)

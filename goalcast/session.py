@@ -69,10 +69,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/goalcast-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: survives executor loss and keeps the
-    output partitioning of ``df`` (so a table hash-partitioned by row_id stays so)."""
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Cut lineage by writing ``df`` as a parquet table in the shared checkpoint folder
+    and reading it back: one job (a reliable ``checkpoint()`` computes its input twice
+    unless cached), survives executor loss (the table is on shared storage), and the
+    read-back carries real size statistics for the planner's broadcast decisions."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/goalcast-tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:
