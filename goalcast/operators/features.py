@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goalcast.constants import DUMMY_FEATURE, LOCATION_FAMILIES_OBSERVED, OTHER
-from goalcast.plans.indexing import BROADCAST_ROW_LIMIT, dense_index, maybe_broadcast
+from goalcast.plans.indexing import dense_index, maybe_broadcast
 
 # Dictionaries up to this many features are ranked by a single ordered window
 # (one sort of at most this many short strings); larger ones use the distributed
@@ -84,7 +84,8 @@ def rename_families(name: Column, families: list[str]) -> Column:
 
 @dataclass
 class FeatureDictionary:
-    """``names``: (idx, name) final dictionary; ``entries``: (grp, col, value, idx) lookup."""
+    """``names``: (idx, name) final dictionary; ``entries``: (grp, col, value, idx) lookup;
+    ``n_entries`` is an upper bound of the lookup size (the level count)."""
     names: DataFrame
     entries: DataFrame
     size: int
@@ -118,24 +119,24 @@ def build_dictionary(levels: DataFrame, threshold: int,
     slots = slots.withColumn("final_name", rename_families(F.col("name"), fams))
     dup = F.count(F.lit(1)).over(Window.partitionBy("final_name"))
     slots = slots.withColumn("_dup", dup).where(F.col("_dup") == 1).drop("_dup")
-    n_slots = slots.count()
+    # the level table bounds both the feature count and the lookup size
+    n_levels = levels.count()
     order = [F.col("grp"), F.col("name")]
-    if n_slots <= LOCAL_INDEX_LIMIT:
+    if n_levels <= LOCAL_INDEX_LIMIT:
         # checked bound: a dictionary this small is ranked by one ordered window
         indexed = slots.withColumn("idx", (F.row_number().over(Window.orderBy(*order)) - 1).cast("int"))
     else:
         indexed = dense_index(slots, order)
     indexed = cut_lineage(indexed, "dictionary")
-    size = n_slots
-    lookup = entries.join(F.broadcast(indexed.select("grp", "name", "idx")) if size <= BROADCAST_ROW_LIMIT
-                          else indexed.select("grp", "name", "idx"), ["grp", "name"]) \
+    size = indexed.count()  # parquet footers
+    lookup = entries.join(maybe_broadcast(indexed.select("grp", "name", "idx"), n_levels), ["grp", "name"]) \
                     .select("grp", "col", "value", "idx")
     lookup = cut_lineage(lookup, "lookup")
     names = indexed.select("idx", F.col("final_name").alias("name"))
     if constant_feature:
         spark = levels.sparkSession
         names = names.unionByName(spark.createDataFrame([(size, DUMMY_FEATURE)], "idx int, name string"))
-    return FeatureDictionary(names=names, entries=lookup, size=size, n_entries=lookup.count())
+    return FeatureDictionary(names=names, entries=lookup, size=size, n_entries=n_levels)
 
 
 def encode_rows(cells: DataFrame, dictionary: FeatureDictionary, carry: list[str],

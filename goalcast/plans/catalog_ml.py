@@ -13,7 +13,7 @@ from goalcast.operators import linear as LN
 from goalcast.operators import metrics as M
 from goalcast.operators import serving as SV
 from goalcast.operators import trees as T
-from goalcast.operators.requests import REQUEST_SPEC, request_feature_array
+from goalcast.operators.requests import REQUEST_SPEC, parse_requests, request_feature_array
 from goalcast.operators.vectors import to_vectors
 from goalcast.plans import training as TR
 from goalcast.plans.catalog import SCORE_THRESHOLD, _scored, counts, prepared, r
@@ -70,7 +70,8 @@ def q_stream_score(spark, sf_dir):
     params = B.key_params(c)
 
     def score_batch(batch):
-        feats = batch.select("request_id", request_feature_array(REQUEST_SPEC, F.col("request"), F.col("ts")).alias("names"))
+        parsed = parse_requests(batch, "request", REQUEST_SPEC)
+        feats = parsed.select("request_id", request_feature_array(REQUEST_SPEC, F.col("_req"), F.col("ts")).alias("names"))
         idx = SV.names_to_indices(feats, "request_id", "names", names, p.dictionary.size)
         rows = idx.withColumn("set", F.lit("stream")).withColumn("click", F.lit(0))
         sc = B.score_models(rows, c, [spec], ["request_id"], params=params).scores

@@ -1,8 +1,9 @@
 """The ``impressions`` view over the driver's tables (see FIXTURES.md §3).
 
 events ⋈ customer ⋈ nation ⋈ region. nation and region are fixed-size dimension
-tables (25 and 5 rows), so their join is broadcast; the customer join is left to
-the planner (AQE + size-checked auto broadcast, sort-merge beyond it).
+tables (25 and 5 rows), so their join is broadcast; customer is broadcast only
+behind a checked row count and is a shuffle join beyond it. The events scan is
+spread by row key when it has fewer splits than the cluster has cores.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from goalcast.plans.indexing import maybe_broadcast
 from goalcast.session import read_table
 
 IMPRESSION_COLUMNS = [
@@ -35,13 +37,17 @@ def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
     cust = c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey)
+    # customer is broadcast only behind a checked row count (parquet footers);
+    # beyond it the join is a shuffle join chosen by the planner
+    cust = maybe_broadcast(cust, c.count())
+    e = spread_by_row(e, e.rdd.getNumPartitions(), "event_id")
     j = e.join(cust, e.user_id == cust.c_custkey)
     k = F.get_json_object("props", "$.k")
     ki = k.cast("int")
     uid = F.col("user_id")
     eid = F.col("event_id")
     et = F.col("event_type")
-    return j.select(
+    out = j.select(
         eid.alias("row_id"),
         F.col("ts").alias("timestamp"),
         F.date_format("ts", "yyyyMMdd").alias("day_ts"),
@@ -66,6 +72,19 @@ def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).alias("download"),
         F.col("value").alias("score"),
     )
+    return out
+
+
+def spread_by_row(df: DataFrame, scan_parts: int, key: str = "row_id") -> DataFrame:
+    """Hash-partition by the row key when the scan yields fewer splits than the
+    cluster has cores (a few large files with one row group each). On a cluster
+    reading many files the scan is already wide and this adds nothing. Clustering
+    by the row key also lets every later ``groupBy(row_id, ...)`` run without an
+    exchange."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if scan_parts < target:
+        return df.repartition(target, key)
+    return df
 
 
 # DuckDB text of the same view, for oracle queries (pre-registered tables).

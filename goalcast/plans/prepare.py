@@ -42,9 +42,11 @@ def prepare_encoded(raw: DataFrame, attribute_cols: list[str], list_cols: list[s
     derived = derive_raw_features(raw)
     carry = ["row_id", "day_ts", *goals]
     enc, dic = one_hot(derived, attribute_cols, list_cols, carry, threshold, families, constant_feature)
-    enc = with_split(enc, raw)
-    enc = enc.select("row_id", "day_ts", "set", "features", *goals)
-    return Prepared(encoded=cut_lineage(enc), dictionary=dic, goals=goals)
+    enc = cut_lineage(enc.select("row_id", "day_ts", "features", *goals), "encoded")
+    # the split is decided on the day column of the written table (no second pass
+    # over the raw rows) and attached on read by a broadcast join of one row per day
+    enc = with_split(enc, enc).select("row_id", "day_ts", "set", "features", *goals)
+    return Prepared(encoded=enc, dictionary=dic, goals=goals)
 
 
 def with_split(enc: DataFrame, raw: DataFrame) -> DataFrame:
