@@ -219,6 +219,14 @@ def mix_probabilities(hist: DataFrame, recent: DataFrame, keys: list[str], alpha
     return h.join(r, keys).select(*keys, (F.lit(alpha) * F.col("_ph") + F.lit(1.0 - alpha) * F.col("_pr")).alias("prob"))
 
 
+def incremental_mix(hist: DataFrame, recent: DataFrame, keys: list[str], recent_positives: int) -> DataFrame:
+    """L3, incremental variant: 0.5/0.5 mix, used only when the recent model saw at
+    least 20 positives; otherwise the historical probability alone."""
+    from goalcast.constants import RECENT_MIN_POSITIVES, RECENT_WEIGHT_INCREMENTAL
+    use = recent_positives >= RECENT_MIN_POSITIVES and RECENT_WEIGHT_INCREMENTAL > 0
+    return mix_probabilities(hist, recent, keys, 1.0 - RECENT_WEIGHT_INCREMENTAL, use_recent=use)
+
+
 def bernoulli_nb_params(counts: BayesCounts, scope: str, goal: str, alpha: float, fit_prior: bool,
                         n_features: int) -> tuple[DataFrame, dict]:
     """L4 Bernoulli NB on binary features: log P(x_i=1|c) = ln((c_i + a)/(n_c + 2a)).

@@ -131,7 +131,7 @@ def build_dictionary(levels: DataFrame, threshold: int,
     size = indexed.count()  # parquet footers
     lookup = entries.join(maybe_broadcast(indexed.select("grp", "name", "idx"), n_levels), ["grp", "name"]) \
                     .select("grp", "col", "value", "idx")
-    lookup = cut_lineage(lookup, "lookup")
+    # both inputs are written tables; the lookup is small and read once by the encoder
     names = indexed.select("idx", F.col("final_name").alias("name"))
     if constant_feature:
         spark = levels.sparkSession

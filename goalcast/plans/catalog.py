@@ -32,7 +32,9 @@ _memo: dict = {}
 
 
 def _key(spark: SparkSession, *parts):
-    return (id(spark), *parts)
+    """Memo key: the running application (a recreated context never sees tables bound
+    to a stopped one) and the session."""
+    return (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), *parts)
 
 
 def prepared(spark: SparkSession, sf_dir: str, threshold: int = FIXTURE_RARITY,

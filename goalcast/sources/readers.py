@@ -194,3 +194,54 @@ def read_grid(spark: SparkSession, path: str, order: list[str] | None = None) ->
     for c in names:
         cid = cid * F.col(f"_n_{c}") + F.col(f"_p_{c}")
     return df.select(cid.cast("int").alias("config_id"), *names)
+
+
+ZIP_MEMBERS_SCHEMA = "model string, part string, k1 string, k2 string, value string"
+
+
+def _zip_members(batches):
+    """Per zip file (one row of ``binaryFile``): the members ``index``,
+    ``<prefix>/positive_counts``, ``<prefix>/negative_counts``, ``<prefix>/label_counts``
+    and ``thresholds`` as (model, part, k1, k2, value) rows. A zip is not splittable,
+    so each file is read by one task; the rows it yields are distributed afterwards."""
+    import io
+    import zipfile
+
+    import pandas as pd
+    for pdf in batches:
+        out = []
+        for path, content in zip(pdf["path"], pdf["content"]):
+            with zipfile.ZipFile(io.BytesIO(bytes(content))) as z:
+                for member in z.namelist():
+                    if member.endswith("/"):
+                        continue
+                    text = z.read(member).decode("utf-8")
+                    lines = [x.strip() for x in text.split("\n") if x.strip()]
+                    for n, line in enumerate(lines):
+                        cols = line.split("\t")
+                        out.append((path, member, cols[0], str(n), "\t".join(cols[1:])))
+        yield pd.DataFrame(out, columns=["model", "part", "k1", "k2", "value"])
+
+
+def read_bayes_zip(spark: SparkSession, path: str, prefix: str = "historical") -> dict:
+    """S7 for existing model zips (``binaryFile`` + ``mapInPandas``): same tables as
+    ``read_bayes_model`` plus the CR step table, keyed by model file."""
+    rows = spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(_zip_members, ZIP_MEMBERS_SCHEMA)
+
+    def counts(name):
+        t = rows.where(F.col("part") == f"{prefix}/{name}")
+        k = F.split("k1", ",")
+        return t.select("model", k[0].cast("int").alias("i"), F.coalesce(k[1], k[0]).cast("int").alias("j"),
+                        F.col("value").cast("long").alias("c"))
+    pos = counts("positive_counts").withColumnRenamed("c", "pos")
+    neg = counts("negative_counts").withColumnRenamed("c", "neg")
+    keys = pos.join(neg, ["model", "i", "j"], "full_outer").select(
+        "model", "i", "j", F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce("neg", F.lit(0)).alias("neg"))
+    lc = rows.where(F.col("part") == f"{prefix}/label_counts")
+    totals = lc.groupBy("model").agg(
+        F.max(F.when(F.col("k2") == "0", F.col("value").cast("long"))).alias("pos"),
+        F.max(F.when(F.col("k2") == "1", F.col("value").cast("long"))).alias("neg"))
+    index = rows.where(F.col("part") == "index").select("model", F.col("k1").alias("name"), F.col("value").cast("int").alias("idx"))
+    th = rows.where(F.col("part") == "thresholds").select(
+        "model", F.col("k1").alias("row"), F.transform(F.split("value", "\t"), lambda x: x.cast("double")).alias("values"))
+    return {"keys": keys, "totals": totals, "index": index, "thresholds": th}
