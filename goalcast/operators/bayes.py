@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goalcast.plans.indexing import maybe_broadcast
+from goalcast.plans.indexing import lookup_join, maybe_broadcast
 from goalcast.session import cut_lineage
 
 
@@ -182,12 +182,16 @@ def score_models(rows: DataFrame, counts: BayesCounts, specs: list[ModelSpec], k
     needed = {"i", "j"}
     for m in specs:
         needed |= {f"n_{m.scope}", f"adjp_{m.scope}_{m.goal}", f"adjn_{m.scope}_{m.goal}"}
-    keys = maybe_broadcast(params.select(*sorted(needed)), counts.n_keys)
+    scopes = sorted({m.scope for m in specs})
+    keys = params.select(*sorted(needed))
+    freq = F.greatest(*[F.col(f"n_{s}") for s in scopes]) if len(scopes) > 1 else F.col(f"n_{scopes[0]}")
+    keys = keys.withColumn("_freq", freq)
     goals_needed = sorted({m.goal for m in specs})
     ex = rows.select(*keep, *[g for g in goals_needed if g not in keep],
                      F.explode_outer(key_array(F.col("features"), combos)).alias("k"))
     ex = ex.select("*", F.col("k.i").alias("i"), F.col("k.j").alias("j")).drop("k")
-    joined = ex.join(keys, ["i", "j"], "left")
+    total = max(int(counts.totals.get(f"n_{s}", 0) or 0) for s in counts.scopes)
+    joined = lookup_join(ex, keys, ["i", "j"], counts.n_keys, "_freq", total, "left")
     aggs = []
     for m in specs:
         member = F.col(f"n_{m.scope}") >= m.threshold

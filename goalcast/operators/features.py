@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goalcast.constants import DUMMY_FEATURE, LOCATION_FAMILIES_OBSERVED, OTHER
-from goalcast.plans.indexing import dense_index, maybe_broadcast
+from goalcast.plans.indexing import dense_index, lookup_join, maybe_broadcast
 
 # Dictionaries up to this many features are ranked by a single ordered window
 # (one sort of at most this many short strings); larger ones use the distributed
@@ -90,6 +90,7 @@ class FeatureDictionary:
     entries: DataFrame
     size: int
     n_entries: int
+    n_rows: int = 0
 
 
 def dictionary_slots(levels: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
@@ -102,9 +103,9 @@ def dictionary_slots(levels: DataFrame, threshold: int) -> tuple[DataFrame, Data
     a = rare_levels(levels, threshold)
     a_entries = (a.where(F.col("column_kept") & (F.col("n") >= threshold))
                  .select(F.lit(0).alias("grp"), "col", "value",
-                         F.concat("col", "value").alias("name")))
+                         F.concat("col", "value").alias("name"), "n"))
     l_entries = (levels.where((F.col("grp") > 0) & (F.col("n") >= threshold))
-                 .select("grp", "col", "value", F.concat("col", "value").alias("name")))
+                 .select("grp", "col", "value", F.concat("col", "value").alias("name"), "n"))
     entries = a_entries.unionByName(l_entries).where(~F.col("name").endswith(OTHER))
     slots = entries.select("grp", "name").distinct()
     return entries, slots
@@ -130,13 +131,15 @@ def build_dictionary(levels: DataFrame, threshold: int,
     indexed = cut_lineage(indexed, "dictionary")
     size = indexed.count()  # parquet footers
     lookup = entries.join(maybe_broadcast(indexed.select("grp", "name", "idx"), n_levels), ["grp", "name"]) \
-                    .select("grp", "col", "value", "idx")
+                    .select("grp", "col", "value", "idx", "n")
     # both inputs are written tables; the lookup is small and read once by the encoder
     names = indexed.select("idx", F.col("final_name").alias("name"))
     if constant_feature:
         spark = levels.sparkSession
         names = names.unionByName(spark.createDataFrame([(size, DUMMY_FEATURE)], "idx int, name string"))
-    return FeatureDictionary(names=names, entries=lookup, size=size, n_entries=n_levels)
+    n_rows = levels.where(F.col("grp") == 0).groupBy("col").agg(F.sum("n").alias("_r")) \
+        .agg(F.max("_r")).collect()[0][0] or 0  # rows of the input (one cell per row per attribute)
+    return FeatureDictionary(names=names, entries=lookup, size=size, n_entries=n_levels, n_rows=int(n_rows))
 
 
 def encode_rows(cells: DataFrame, dictionary: FeatureDictionary, carry: list[str],
@@ -147,8 +150,8 @@ def encode_rows(cells: DataFrame, dictionary: FeatureDictionary, carry: list[str
     Grouped by ``row_key`` alone (other carried columns are constant per row), so the
     output is hash-partitioned by the row key and later groupings that contain it
     need no further exchange."""
-    lookup = maybe_broadcast(dictionary.entries, dictionary.n_entries)
-    joined = cells.join(lookup, ["grp", "col", "value"], "left")
+    joined = lookup_join(cells, dictionary.entries, ["grp", "col", "value"], dictionary.n_entries,
+                         "n", dictionary.n_rows, "left")
     feats = F.array_sort(F.collect_set("idx"))
     others = [F.first(c).alias(c) for c in carry if c != row_key]
     out = joined.groupBy(row_key).agg(*others, feats.alias("features")).select(*carry, "features")

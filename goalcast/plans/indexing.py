@@ -19,6 +19,34 @@ def maybe_broadcast(df: DataFrame, n_rows: int | None, limit: int = BROADCAST_RO
     return df
 
 
+def lookup_join(big: DataFrame, small: DataFrame, keys: list[str], n_small: int | None,
+                freq_col: str | None = None, total_rows: int | None = None, how: str = "left",
+                limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Join a large row-level table to a keyed lookup without a hot task.
+
+    * lookup within the checked bound: broadcast hash join (no shuffle);
+    * otherwise, when the lookup knows how often each key occurs on the big side
+      (``freq_col``): keys seen at least ``H = total_rows / limit`` times are "heavy" -
+      at most ``limit`` of them, so they are broadcast - and only the remaining light
+      keys (each below H rows) go through a shuffle join. A key holding a third of all
+      rows therefore never lands in one reduce task;
+    * otherwise a plain shuffle join (AQE splits skewed partitions).
+    ``small`` columns other than the keys are carried; ``how`` is "left" or "inner".
+    """
+    if n_small is not None and n_small <= limit:
+        return big.join(F.broadcast(small), keys, how)
+    if freq_col is None or total_rows is None:
+        return big.join(small, keys, how)
+    hot = max(1, total_rows // limit + 1)
+    heavy = small.where(F.col(freq_col) >= hot)
+    light = small.where(F.col(freq_col) < hot)
+    heavy_keys = heavy.select(*keys).withColumn("_heavy", F.lit(True))
+    tagged = big.join(F.broadcast(heavy_keys), keys, "left")
+    hot_rows = tagged.where(F.col("_heavy")).drop("_heavy").join(F.broadcast(heavy), keys, how)
+    cold_rows = tagged.where(F.col("_heavy").isNull()).drop("_heavy").join(light, keys, how)
+    return hot_rows.unionByName(cold_rows)
+
+
 def dense_index(df: DataFrame, order: list[Column], idx_col: str = "idx",
                 n_partitions: int | None = None) -> DataFrame:
     """Add a 0-based dense index following ``order`` without a global single-task sort.

@@ -70,15 +70,20 @@ def train_bayes(prep: Prepared, requested: list[str], out_path: str | None, fami
     best = _best_rows(sel, ["rarity_threshold"])
     stats = W.run_stats(best, family)
     if out_path:
-        W.write_grid_table(sel, f"{out_path}/grid")
-        W.write_keymap(prep.dictionary.names, f"{out_path}/keymap")
-        W.write_run_stats(stats, f"{out_path}/Parameters")
+        # independent outputs: submitted as concurrent Spark jobs from a driver pool
+        tasks = [lambda: W.write_grid_table(sel, f"{out_path}/grid"),
+                 lambda: W.write_keymap(prep.dictionary.names, f"{out_path}/keymap"),
+                 lambda: W.write_run_stats(stats, f"{out_path}/Parameters")]
         for r in best.where("valid").select("goal", "rarity_threshold").collect():  # one row per goal
-            W.write_bayes_model(counts, "unified", r["goal"], r["rarity_threshold"], prep.dictionary.names,
-                                f"{out_path}/{r['goal']}/model")
+            tasks.append(lambda g=r["goal"], t=r["rarity_threshold"]: W.write_bayes_model(
+                counts, "unified", g, t, prep.dictionary.names, f"{out_path}/{g}/model"))
         if run_params and family.upper() == "NB":
             d = W.refresh_descriptor(best.where("valid"), run_params, family)
-            d.select("goal", "descriptor").write.mode("overwrite").partitionBy("goal").text(f"{out_path}/refresh")
+            tasks.append(lambda: d.select("goal", "descriptor").write.mode("overwrite")
+                         .partitionBy("goal").text(f"{out_path}/refresh"))
+        with ThreadPoolExecutor(min(8, len(tasks))) as pool:
+            for f in [pool.submit(t) for t in tasks]:
+                f.result()
     return RunResult(grid=sel, stats=stats, best=best)
 
 

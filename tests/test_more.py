@@ -50,3 +50,13 @@ def test_read_bayes_zip(spark, scratch):
     assert sorted((r.name, r.idx) for r in m["index"].collect()) == [("a", 0), ("b", 1), ("c", 2)]
     th = {r.row: r["values"] for r in m["thresholds"].collect()}
     assert th["thresholds"] == [3.0, 2.0, 1.0] and th["crs"] == [8.0, 7.0, 9.0, 13.0]
+
+
+def test_lookup_join_heavy_light_split(spark):
+    from goalcast.plans.indexing import lookup_join
+    big = spark.createDataFrame([(i, "hot" if i % 3 == 0 else f"k{i % 7}") for i in range(300)], "row int, key string")
+    small = big.groupBy("key").agg(F.count(F.lit(1)).alias("freq")).withColumn("val", F.length("key"))
+    small = small.where(F.col("key") != "k5")  # a key missing from the lookup stays (left join)
+    ref = sorted(tuple(r) for r in big.join(small, ["key"], "left").select("row", "key", "val").collect())
+    got = lookup_join(big, small, ["key"], n_small=small.count(), freq_col="freq", total_rows=300, limit=2)
+    assert sorted(tuple(r) for r in got.select("row", "key", "val").collect()) == ref
