@@ -158,6 +158,14 @@ def q_train_all_goals(spark, sf_dir):
     return spark.read.option("header", "true").csv(f"{out}/Parameters")
 
 
+def q_train_goal_lasso(spark, sf_dir):
+    """Run for the LASSO family on the goal list of a parameter file naming CLICK."""
+    p = prepared(spark, sf_dir)
+    out = scratch_path(spark, "run-LASSO")
+    TR.train_ml(p, "lasso", ["CLICK"], out)
+    return spark.read.option("header", "true").csv(f"{out}/Parameters")
+
+
 QUERIES_ML = {
     "matrix_export": q_matrix_export,
     "score_export": q_score_export,
@@ -170,4 +178,5 @@ QUERIES_ML = {
     "tree_importance": q_tree_importance,
     "grid_search_gbt": q_grid_search_gbt,
     "train_all_goals": q_train_all_goals,
+    "train_goal_lasso": q_train_goal_lasso,
 }

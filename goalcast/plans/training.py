@@ -152,3 +152,37 @@ def ml_grid(prep: Prepared, family: str, goal: str, configs: list[dict] | None =
         + [T_.StructField(f"{m}_{s}", T_.DoubleType()) for s in ("train", "test") for m in M.METRICS])
     rows = sorted(rows, key=lambda r: r["config_id"])
     return spark.createDataFrame([{f.name: r.get(f.name) for f in schema.fields} for r in rows], schema)
+
+
+def train_ml(prep: Prepared, family: str, requested: list[str], out_path: str | None, threads: int = 4,
+             algorithm_name: str | None = None) -> RunResult:
+    """M10 for an ML family: per valid goal, grid (M7) -> selection (M8) -> refit of the
+    best configuration on the unified set (L11) -> model + ``confusion`` rates of the
+    best test scores (K8) and keymap (K4); run statistics (K6) for all goals."""
+    spark = prep.encoded.sparkSession
+    goals = valid_goal_list(prep, requested)
+    if not goals:
+        raise ValueError("No valid goals found to train")
+    name = algorithm_name or family.upper()
+    grids = [ml_grid(prep, family, g, threads=threads) for g in goals]
+    grid = grids[0]
+    for g in grids[1:]:
+        grid = grid.unionByName(g)
+    sel = S.select_best(grid, ["goal"]).cache()
+    best = _best_rows(sel, ["params"])
+    stats = W.run_stats(best, name)
+    if out_path:
+        W.write_grid_table(sel, f"{out_path}/grid")
+        W.write_keymap(prep.dictionary.names, f"{out_path}/keymap")
+        W.write_run_stats(stats, f"{out_path}/Parameters")
+        for r in best.where("valid").collect():  # one row per goal
+            cfg = json.loads(r["params"])
+            data = prep.encoded.select("row_id", "set", "features", F.col(r["goal"]).cast("int").alias("y"))
+            vec = to_vectors(data, prep.dictionary.size)
+            fit_and_score(family, cfg, vec, vec.limit(0), prep.dictionary.size,
+                          model_path=f"{out_path}/{r['goal']}/model")
+            spark.createDataFrame([(r["goal"], json.dumps(cfg, sort_keys=True), r["true_positive_test"],
+                                    r["false_negative_test"])],
+                                  "goal string, params string, true_positive double, false_negative double") \
+                .write.mode("overwrite").json(f"{out_path}/{r['goal']}/confusion")
+    return RunResult(grid=sel, stats=stats, best=best)
