@@ -60,3 +60,52 @@ def test_lookup_join_heavy_light_split(spark):
     ref = sorted(tuple(r) for r in big.join(small, ["key"], "left").select("row", "key", "val").collect())
     got = lookup_join(big, small, ["key"], n_small=small.count(), freq_col="freq", total_rows=300, limit=2)
     assert sorted(tuple(r) for r in got.select("row", "key", "val").collect()) == ref
+
+
+def test_cr_step_table_range_join(spark):
+    from goalcast.operators import serving as SV
+    steps = spark.createDataFrame([(0, 3.0, float("inf"), 8.0), (1, 2.0, 3.0, 7.0), (2, 1.0, 2.0, 9.0),
+                                   (3, float("-inf"), 1.0, 13.0)], "ord int, lower double, upper double, cr double")
+    df = spark.createDataFrame([(4.0,), (2.0,), (0.0,)], "p double")
+    got = sorted((r.p, r.cr) for r in SV.cr_step_table(df, "p", steps).collect())
+    assert got == [(0.0, 13.0), (2.0, 7.0), (4.0, 8.0)]
+
+
+def test_bayes_with_pair_keys_matches_direct(spark):
+    import math
+    rows = [([0, 1], 1), ([0, 1], 0), ([0, 2], 1), ([1, 2], 0), ([0, 1, 2], 1), ([2], 0)]
+    data = [(i, "train", f, y) for i, (f, y) in enumerate(rows)] + [(99, "test", [0, 1], 0)]
+    enc = spark.createDataFrame(data, "row_id long, set string, features array<int>, click int")
+    c = B.fit_counts(enc, ["click"], ("train",), combinations=True, min_count=1)
+    got = [r for r in B.score_models(enc, c, [B.ModelSpec("m", "train", "click", 1)], ["row_id"]).scores.collect()
+           if r.row_id == 99][0]
+    keys = sorted({(a, b) for f, _ in rows for ia, a in enumerate(f) for b in f[ia:]})
+    n, npos = len(rows), sum(y for _, y in rows)
+    lp = math.log(npos + 1) - math.log(n + 2)
+    ln_ = math.log(n - npos + 1) - math.log(n + 2)
+    present = {(0, 0), (0, 1), (1, 1)}
+    for k in keys:
+        cp = sum(1 for f, y in rows if y == 1 and k[0] in f and k[1] in f)
+        cn = sum(1 for f, y in rows if y == 0 and k[0] in f and k[1] in f)
+        pp, pn = (cp + 1) / (npos + 2), (cn + 1) / (n - npos + 2)
+        lp += math.log(pp) if k in present else math.log(1 - pp)
+        ln_ += math.log(pn) if k in present else math.log(1 - pn)
+    assert got.l1 == pytest.approx(lp) and got.l0 == pytest.approx(ln_)
+
+
+def test_stream_scoring_equals_batch(spark, scratch):
+    from goalcast.streaming import scoring as ST
+    enc = spark.createDataFrame([(i, "train", [i % 3, 3 + i % 2], i % 2) for i in range(40)],
+                                "row_id long, set string, features array<int>, click int")
+    c = B.fit_counts(enc, ["click"], ("train",))
+    spec = [B.ModelSpec("m", "train", "click", 1)]
+    src = scratch("stream-src")
+    enc.repartition(4).write.parquet(src)
+
+    def score(batch):
+        return B.score_models(batch, c, spec, ["row_id"]).scores.select("row_id", "prob")
+    sink, ck = scratch("stream-sink"), scratch("stream-ck")
+    ST.run_to_completion(ST.start_scoring_stream(spark, src, enc.schema, score, sink, ck, max_files_per_trigger=1))
+    streamed = sorted((r.row_id, round(r.prob, 12)) for r in ST.read_sink(spark, sink).collect())
+    batch = sorted((r.row_id, round(r.prob, 12)) for r in score(enc).collect())
+    assert streamed == batch
