@@ -48,3 +48,43 @@ def assign_sets(df: DataFrame, day_col: str = "day_ts", row_col: str = "row_id",
 def unified(df: DataFrame) -> DataFrame:
     """Train + test as one set; per-set weights already computed are kept."""
     return df.withColumn("set", F.lit("unified"))
+
+
+SPLIT_BUCKETS = 4096
+
+
+def hash_order(row_id: Column, seed: int = SPLIT_SEED) -> Column:
+    """Per-row pseudo-random order key from md5 (first 15 hex digits, fits a long)."""
+    h = F.md5(F.concat(F.lit(f"{seed}:"), row_id.cast("string")))
+    return F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
+
+
+def stratified_exact(df: DataFrame, label: str, row_col: str = "row_id", seed: int = SPLIT_SEED,
+                     buckets: int = SPLIT_BUCKETS) -> DataFrame:
+    """U2 with exact per-class counts: in each class the first ``n_c - ceil(0.25 n_c)``
+    rows in (hash bucket, hash, row id) order are train, the rest test.
+
+    Distributed without a per-class sort: rows are counted per (class, bucket) - a table
+    of classes x buckets rows -; cumulative counts give each class its boundary bucket;
+    rows below it are train, above it test, and only the rows of the boundary bucket
+    (about 1/``buckets`` of a class) are ranked, by a window partitioned by
+    (class, bucket). A class holding a third of all rows is therefore never sorted in
+    one task."""
+    h = hash_order(F.col(row_col), seed)
+    d = df.withColumn("_h", h).withColumn("_b", (F.col("_h") % buckets).cast("int"))
+    per = d.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_nb"))
+    w_cls = Window.partitionBy(label)
+    w_cum = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per = (per.withColumn("_nc", F.sum("_nb").over(w_cls))
+              .withColumn("_before", F.coalesce(F.sum("_nb").over(w_cum), F.lit(0)))
+              .withColumn("_ntrain", F.col("_nc") - F.ceil(F.col("_nc") * (1 - TRAIN_FRACTION)).cast("long"))
+              .withColumn("_take", F.least(F.greatest(F.col("_ntrain") - F.col("_before"), F.lit(0)), F.col("_nb"))))
+    # classes x buckets rows: broadcast back
+    d = d.join(F.broadcast(per.select(label, "_b", "_nb", "_take")), [label, "_b"])
+    full = d.where((F.col("_take") == F.col("_nb")) | (F.col("_take") == 0)) \
+            .withColumn("set", F.when(F.col("_take") > 0, F.lit("train")).otherwise(F.lit("test")))
+    edge = d.where((F.col("_take") > 0) & (F.col("_take") < F.col("_nb")))
+    rk = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", row_col))
+    edge = edge.withColumn("set", F.when(rk <= F.col("_take"), F.lit("train")).otherwise(F.lit("test")))
+    cols = [c for c in df.columns] + ["set"]
+    return full.select(*cols).unionByName(edge.select(*cols))

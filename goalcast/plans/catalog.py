@@ -156,6 +156,11 @@ def q_stratified_split(spark, sf_dir):
                       U.stratified_set(F.col("row_id")).alias("set"))
 
 
+def q_stratified_exact(spark, sf_dir):
+    imp = impressions(spark, sf_dir).select("row_id", "click")
+    return U.stratified_exact(imp, "click").select("row_id", "click", "set")
+
+
 def q_unified_set(spark, sf_dir):
     enc = prepared(spark, sf_dir).encoded
     both = enc.unionByName(U.unified(enc))
@@ -280,6 +285,7 @@ QUERIES = {
     "valid_goals": q_valid_goals,
     "temporal_split": q_temporal_split,
     "stratified_split": q_stratified_split,
+    "stratified_exact": q_stratified_exact,
     "unified_set": q_unified_set,
     "single_counts": q_single_counts,
     "pair_counts": q_pair_counts,

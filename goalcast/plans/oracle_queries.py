@@ -108,6 +108,11 @@ SELECT r.goal, r.position, CAST(coalesce(ok.v, false) AS INTEGER) AS valid FROM
     "stratified_split": _w(IMPRESSIONS_SQL) + """,
 h AS (SELECT row_id, click, CAST(CAST(('0x' || substr(md5(concat('0:', CAST(row_id AS VARCHAR))), 1, 8)) AS BIGINT) % 100 AS INTEGER) AS bucket FROM impressions)
 SELECT row_id, click, bucket, CASE WHEN bucket < 75 THEN 'train' ELSE 'test' END AS "set" FROM h""",
+    "stratified_exact": _w(IMPRESSIONS_SQL) + """,
+h AS (SELECT row_id, click, CAST(('0x' || substr(md5(concat('0:', CAST(row_id AS VARCHAR))), 1, 15)) AS BIGINT) AS hv FROM impressions),
+r AS (SELECT *, row_number() OVER (PARTITION BY click ORDER BY hv % 4096, hv, row_id) AS rn,
+             count(*) OVER (PARTITION BY click) AS nc FROM h)
+SELECT row_id, click, CASE WHEN rn <= nc - CAST(ceil(nc * 0.25) AS BIGINT) THEN 'train' ELSE 'test' END AS "set" FROM r""",
     "unified_set": base_ctes() + """
 SELECT "set", count(*) AS n_rows, CAST(sum(click) AS BIGINT) AS n_click, CAST(sum(len(features)) AS BIGINT) AS n_features
 FROM encoded GROUP BY "set"

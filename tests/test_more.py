@@ -109,3 +109,15 @@ def test_stream_scoring_equals_batch(spark, scratch):
     streamed = sorted((r.row_id, round(r.prob, 12)) for r in ST.read_sink(spark, sink).collect())
     batch = sorted((r.row_id, round(r.prob, 12)) for r in score(enc).collect())
     assert streamed == batch
+
+
+def test_stratified_exact_counts(spark):
+    import math
+    from goalcast.operators import splits as U
+    df = spark.createDataFrame([(i, 1 if i % 7 == 0 else 0) for i in range(700)], "row_id long, y int")
+    out = U.stratified_exact(df, "y", buckets=16)
+    counts = {(r.y, r.set): r["count"] for r in out.groupBy("y", "set").count().collect()}
+    for cls, n in ((0, 600), (1, 100)):
+        assert counts[(cls, "train")] == n - math.ceil(0.25 * n)
+        assert counts[(cls, "train")] + counts[(cls, "test")] == n
+    assert out.select("row_id").distinct().count() == 700
