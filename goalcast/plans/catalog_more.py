@@ -145,6 +145,17 @@ def q_bayes_model_scan(spark, sf_dir):
                             F.lit(t["neg"]).cast("long").alias("total_neg"))
 
 
+def q_raw_log_features(spark, sf_dir):
+    """Feature build from a raw `$` log written from the tables (S4 -> P3 -> F1-F7 -> U1)."""
+    from goalcast.plans import raw_flow as RF
+    from goalcast.plans.fixtures import FIXTURE_ATTRIBUTE_COLUMNS, FIXTURE_LIST_COLUMNS, FIXTURE_RARITY
+    dpath, hpath = scratch_path(spark, "rawlog-full"), scratch_path(spark, "rawlog-head")
+    RF.write_raw_log(RF.raw_log_rows(impressions(spark, sf_dir)), dpath, hpath)
+    p = RF.build_from_raw_log(spark, dpath, hpath, FIXTURE_ATTRIBUTE_COLUMNS, FIXTURE_LIST_COLUMNS,
+                              FIXTURE_GOALS, FIXTURE_RARITY)
+    return p.encoded.select("row_id", "set", features_text().alias("features"), "click")
+
+
 GRID_FAMILIES = ["POLY2BAYES", "XGB", "RF"]
 
 
@@ -379,6 +390,7 @@ QUERIES_MORE = {
     "prediction_scan": q_prediction_scan,
     "bayes_model_scan": q_bayes_model_scan,
     "config_grid": q_config_grid,
+    "raw_log_features": q_raw_log_features,
     "keymap": q_keymap,
     "run_stats": q_run_stats,
     "refresh_descriptor": q_refresh_descriptor,

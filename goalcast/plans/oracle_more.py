@@ -58,7 +58,28 @@ req AS (SELECT row_id, exchange2, publisher, domain, device_os, category, loc_co
 
 TEST_CLICK = base_ctes() + bayes_ctes(["click"], [5])
 
+def _raw_log_ctes() -> str:
+    """base CTEs with the impressions as seen through the raw log: null tokens read as
+    null, missing labels as 0."""
+    text = base_ctes()
+    raw = """impressions_raw AS (
+  SELECT row_id, "timestamp", day_ts, CASE WHEN timezone_offset = '\\N' THEN NULL ELSE timezone_offset END AS timezone_offset,
+    exchange2, loc_country, loc_state, loc_city, publisher, domain,
+    CASE WHEN row_id % 19 = 0 THEN NULL ELSE device_os END AS device_os, app_site_ind,
+    CASE WHEN row_id % 13 = 0 THEN NULL ELSE category END AS category,
+    CASE WHEN row_id % 7 = 0 THEN 0 ELSE click END AS click, download, buy, register, video_ad_start, score
+  FROM impressions
+),
+derived AS ("""
+    text = text.replace("derived AS (", raw, 1)
+    text = text.replace("  FROM impressions\n),\nderived2", "  FROM impressions_raw\n),\nderived2", 1)
+    text = text.replace("FROM (SELECT DISTINCT day_ts FROM impressions WHERE", "FROM (SELECT DISTINCT day_ts FROM impressions_raw WHERE")
+    text = text.replace("FROM impressions i JOIN encoded0 e", "FROM impressions_raw i JOIN encoded0 e")
+    return text
+
+
 ORACLE_MORE = {
+    "raw_log_features": None,
     "header_scan": base_ctes(with_encoded=False) + f"""
 SELECT idx, final_name AS name, 0 AS is_label FROM indexed
 UNION ALL
@@ -200,6 +221,28 @@ SELECT row_id, rnd(exp(l1 - (greatest(l1, l0) + ln(exp(l1 - greatest(l1, l0)) +
   CAST(l1 > l0 AS INTEGER) AS pred FROM nb_s""",
 }
 ORACLE_MORE["gzip_scan"] = ORACLE_MORE["sparse_scan"]
+ORACLE_MORE["raw_log_features"] = _raw_log_ctes() + """
+SELECT row_id, "set", array_to_string(features, ' ') AS features, click FROM encoded"""
+def _raw_log_ctes() -> str:
+    """base CTEs with the impressions as seen through the raw log: null tokens read as
+    null, missing labels as 0."""
+    text = base_ctes()
+    raw = """impressions_raw AS (
+  SELECT row_id, "timestamp", day_ts, CASE WHEN timezone_offset = '\\N' THEN NULL ELSE timezone_offset END AS timezone_offset,
+    exchange2, loc_country, loc_state, loc_city, publisher, domain,
+    CASE WHEN row_id % 19 = 0 THEN NULL ELSE device_os END AS device_os, app_site_ind,
+    CASE WHEN row_id % 13 = 0 THEN NULL ELSE category END AS category,
+    CASE WHEN row_id % 7 = 0 THEN 0 ELSE click END AS click, download, buy, register, video_ad_start, score
+  FROM impressions
+),
+derived AS ("""
+    text = text.replace("derived AS (", raw, 1)
+    text = text.replace("  FROM impressions\n),\nderived2", "  FROM impressions_raw\n),\nderived2", 1)
+    text = text.replace("FROM (SELECT DISTINCT day_ts FROM impressions WHERE", "FROM (SELECT DISTINCT day_ts FROM impressions_raw WHERE")
+    text = text.replace("FROM impressions i JOIN encoded0 e", "FROM impressions_raw i JOIN encoded0 e")
+    return text
+
+
 ORACLE_MORE = {k: expand_rounding(v) for k, v in ORACLE_MORE.items()}
 
 ORACLE_ML = {
