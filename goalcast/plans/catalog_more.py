@@ -32,22 +32,28 @@ def q_header_scan(spark, sf_dir):
     return h.select("idx", "name", F.col("is_label").cast("int").alias("is_label"))
 
 
-def _sparse_edge_lines(p):
-    """Sparse lines with the edge rows of the format: a non-integer token (row
-    dropped), an empty line (dropped), an index above the last label (ignored)."""
+def _sparse_with_edge_lines(p, path, compression=None):
+    """Every encoded row as a sparse line (rows whose id % 89 == 0 also carry an index
+    above the last label, which the reader ignores), plus extra lines the reader must
+    drop: a copy with a non-integer token (row id % 97 == 0) and an empty line
+    (row id % 101 == 0)."""
     base = W.sparse_lines(p.encoded, p.dictionary.size)
     rid = F.col("row_id")
-    return (F.when(rid % 97 == 0, F.concat(base, F.lit("\tx")))
-             .when(rid % 101 == 0, F.lit(""))
-             .when(rid % 89 == 0, F.concat_ws("\t", base, F.lit(str(p.dictionary.size + 10))))
-             .otherwise(base))
+    main = p.encoded.select(F.when(rid % 89 == 0, F.concat_ws("\t", base, F.lit(str(p.dictionary.size + 10))))
+                            .otherwise(base).alias("value"))
+    bad_token = p.encoded.where(rid % 97 == 0).select(F.concat(base, F.lit("\tx")).alias("value"))
+    empty = p.encoded.where(rid % 101 == 0).select(F.lit("").alias("value"))
+    w = main.unionByName(bad_token).unionByName(empty).write.mode("overwrite")
+    if compression:
+        w = w.option("compression", compression)
+    w.text(path)
 
 
 def _sparse_roundtrip(spark, sf_dir, compression=None):
     p = prepared(spark, sf_dir)
     hpath, dpath = scratch_path(spark, "header"), scratch_path(spark, "sparse")
     W.write_header(p.dictionary.names, hpath)
-    W.write_sparse(p.encoded, dpath, p.dictionary.size, compression=compression, extra=_sparse_edge_lines(p))
+    _sparse_with_edge_lines(p, dpath, compression)
     rows = RD.read_sparse(spark, RD.read_header(spark, hpath), dpath)
     return rows.select(features_text().alias("features"), *KNOWN_LABELS)
 

@@ -86,7 +86,7 @@ UNION ALL
 SELECT CAST((SELECT count(*) FROM indexed) + k AS INTEGER), lbl, 1 FROM (VALUES {LABELS_VALUES}) t(k, lbl)""",
     "sparse_scan": base_ctes() + """
 SELECT array_to_string(features, ' ') AS features, click, download, buy, register, video_ad_start
-FROM encoded WHERE row_id % 97 <> 0 AND row_id % 101 <> 0""",
+FROM encoded""",
     "raw_log_scan": _w(IMPRESSIONS_SQL) + r"""
 SELECT CAST(row_id AS VARCHAR) AS row_id, exchange2, loc_state,
   CASE WHEN timezone_offset = '\N' THEN NULL ELSE timezone_offset END AS timezone_offset,

@@ -94,6 +94,33 @@ def family_configs(family: str) -> list[dict]:
     return S.expand_grid(HYPER_PARAMETERS[GRID_OF_FAMILY[family.lower()]])
 
 
+def fit_model(family: str, config: dict, train: DataFrame, n_features: int, model_path: str) -> None:
+    """Fit one configuration and save it (Spark ML model folder, or the weight table
+    of the proximal solver)."""
+    fam = family.lower()
+    if fam in ("lasso", "sgd"):
+        loss, pen, alpha = config["loss"], config["penalty"], config["alpha"]
+        if loss == "log":
+            m = LN.fit_logistic(train, alpha, pen)
+        elif loss == "hinge" and pen == "l2":
+            m = LN.fit_svm(train, alpha)
+        else:
+            import numpy as np
+            import pandas as pd
+            w = LN.fit_proximal(train, n_features, loss, pen, alpha)
+            spark = train.sparkSession
+            spark.createDataFrame(pd.DataFrame({"i": np.arange(len(w), dtype=np.int32), "w": w})) \
+                .write.mode("overwrite").parquet(model_path)
+            return
+    elif fam == "rf":
+        m = T.fit_forest(train, config["ntree"], config["fraction"], config["min_target_node_size"])
+    elif fam in ("xgb", "xgbf"):
+        m = T.fit_gbt(train, config["max_depth"], config["eta"])
+    else:
+        raise ValueError(f"unknown family {family}")
+    m.write().overwrite().save(model_path)
+
+
 def fit_and_score(family: str, config: dict, train: DataFrame, every: DataFrame, n_features: int,
                   model_path: str | None = None) -> DataFrame:
     """Fit one configuration on ``train`` and score ``every`` -> (row_id, set, y, prob, pred)."""
@@ -179,8 +206,7 @@ def train_ml(prep: Prepared, family: str, requested: list[str], out_path: str |
             cfg = json.loads(r["params"])
             data = prep.encoded.select("row_id", "set", "features", F.col(r["goal"]).cast("int").alias("y"))
             vec = to_vectors(data, prep.dictionary.size)
-            fit_and_score(family, cfg, vec, vec.limit(0), prep.dictionary.size,
-                          model_path=f"{out_path}/{r['goal']}/model")
+            fit_model(family, cfg, vec, prep.dictionary.size, f"{out_path}/{r['goal']}/model")
             spark.createDataFrame([(r["goal"], json.dumps(cfg, sort_keys=True), r["true_positive_test"],
                                     r["false_negative_test"])],
                                   "goal string, params string, true_positive double, false_negative double") \

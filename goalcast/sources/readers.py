@@ -98,9 +98,9 @@ def parse_parameters(lines: DataFrame, lower_values: bool = False) -> DataFrame:
     otherwise single quotes are stripped; empty -> null; last duplicate key wins.
     A line without ``=`` raises (its line number is reported)."""
     s = lines.select("file", "line_no", strip_ws(F.col("line")).alias("line")).where(F.col("line") != "")
-    bad = s.where(~F.col("line").contains("=")).select("line_no").limit(1).collect()
-    if bad:
-        raise ValueError(f"Failed parsing properties on line {bad[0][0] + 1}")
+    bad = s.where(~F.col("line").contains("=")).agg(F.min("line_no")).collect()[0][0]  # one row
+    if bad is not None:
+        raise ValueError(f"Failed parsing properties on line {bad + 1}")
     key = F.regexp_extract("line", r"^(.*?)=(.*)$", 1)
     val = F.regexp_extract("line", r"^(.*?)=(.*)$", 2)
     s = s.select("file", "line_no", key.alias("key"), val.alias("raw"))
