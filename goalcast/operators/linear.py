@@ -19,6 +19,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from goalcast.plans.indexing import maybe_broadcast
+
 ELASTIC_MIX = 0.15  # library default l1 ratio of the elastic-net penalty
 PENALTY_MIX = {"l1": 1.0, "l2": 0.0, "elasticnet": ELASTIC_MIX}
 PROBABILISTIC_LOSSES = {"log", "modified_huber"}
@@ -51,14 +53,15 @@ def score_svm(model, df: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def _dloss(loss: str, y: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """d loss / d margin with y in {-1, +1}."""
+    """d loss / d margin with y in {-1, +1}; hinge-type losses take the subgradient
+    at the threshold (z <= 1 for hinge, z <= 0 for perceptron)."""
     z = y * m
     if loss == "hinge":
-        return np.where(z < 1, -y, 0.0)
+        return np.where(z <= 1, -y, 0.0)
     if loss == "squared_hinge":
         return np.where(z < 1, -2.0 * y * (1 - z), 0.0)
     if loss == "perceptron":
-        return np.where(z < 0, -y, 0.0)
+        return np.where(z <= 0, -y, 0.0)
     if loss == "modified_huber":
         return np.where(z >= 1, 0.0, np.where(z >= -1, -2.0 * y * (1 - z), -4.0 * y))
     if loss == "log":
@@ -114,7 +117,7 @@ def score_weights(df: DataFrame, w: np.ndarray, loss: str, keep: list[str]) -> D
     spark = df.sparkSession
     wt = spark.createDataFrame(pd.DataFrame({"i": np.arange(len(w), dtype=np.int32), "w": w}))
     ex = df.select(*keep, F.explode_outer("features").alias("i"))
-    m = ex.join(F.broadcast(wt), "i", "left").groupBy(*keep).agg(F.coalesce(F.sum("w"), F.lit(0.0)).alias("m"))
+    m = ex.join(maybe_broadcast(wt, len(w)), "i", "left").groupBy(*keep).agg(F.coalesce(F.sum("w"), F.lit(0.0)).alias("m"))
     if loss == "modified_huber":
         prob = (F.least(F.greatest(F.col("m"), F.lit(-1.0)), F.lit(1.0)) + 1.0) / 2.0
     elif loss == "log":

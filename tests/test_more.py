@@ -121,3 +121,14 @@ def test_stratified_exact_counts(spark):
         assert counts[(cls, "train")] == n - math.ceil(0.25 * n)
         assert counts[(cls, "train")] + counts[(cls, "test")] == n
     assert out.select("row_id").distinct().count() == 700
+
+
+@pytest.mark.parametrize("loss,penalty", [("hinge", "l1"), ("perceptron", "elasticnet"), ("squared_hinge", "l2")])
+def test_proximal_solver_separates(spark, loss, penalty):
+    from goalcast.operators import linear as LN
+    rows = [(i, [0, 2] if i % 2 else [1, 2], i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "row_id long, features array<int>, y int").cache()
+    w = LN.fit_proximal(df, 3, loss, penalty, 1e-4, iterations=40, step=1.0)
+    assert w[0] > 0 > w[1]
+    preds = {r.row_id: r.pred for r in LN.score_weights(df, w, loss, ["row_id"]).collect()}
+    assert all(preds[i] == i % 2 for i in range(60))
