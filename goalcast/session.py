@@ -86,3 +86,19 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def release_tables(spark: SparkSession) -> None:
+    """Drop this application's intermediate tables and scratch folders from the shared
+    checkpoint folder (the folder is per application) and forget memoised results.
+    Call at the end of a run; DataFrames built before the call become unreadable."""
+    from goalcast.plans import catalog
+    catalog._memo.clear()
+    sc = spark.sparkContext
+    base = checkpoint_dir(spark).rstrip("/")
+    jvm = sc._jvm
+    for sub in ("goalcast-tables", "goalcast-scratch"):
+        p = jvm.org.apache.hadoop.fs.Path(f"{base}/{sub}")
+        fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+        if fs.exists(p):
+            fs.delete(p, True)

@@ -132,3 +132,12 @@ def test_proximal_solver_separates(spark, loss, penalty):
     assert w[0] > 0 > w[1]
     preds = {r.row_id: r.pred for r in LN.score_weights(df, w, loss, ["row_id"]).collect()}
     assert all(preds[i] == i % 2 for i in range(60))
+
+
+def test_release_tables(spark):
+    from goalcast.session import checkpoint_dir, cut_lineage, release_tables
+    t = cut_lineage(spark.range(3), "probe")
+    assert t.count() == 3
+    release_tables(spark)
+    base = checkpoint_dir(spark).replace("file:", "").rstrip("/")
+    assert not os.path.exists(f"{base}/goalcast-tables")
