@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goalcast.plans.indexing import lookup_join, maybe_broadcast
-from goalcast.session import cut_lineage
+from goalcast.session import cut_lineage, cut_lineage_observed
 
 
 def key_array(features: Column, combinations: bool) -> Column:
@@ -82,7 +82,7 @@ def fit_counts(encoded: DataFrame, goals: list[str], scopes=("train",), combinat
             tot.append(F.sum(F.when(pred, F.col(g)).otherwise(0)).cast("long").alias(f"pos_{s}_{g}"))
     carry = ["set", "day_ts"] if "day_ts" in encoded.columns else ["set"]
     rows = encoded.select(*carry, "features", *goals)
-    totals_row = rows.agg(*tot).collect()[0].asDict()  # one row of label totals
+    totals_row = {k: int(v or 0) for k, v in rows.agg(*tot).collect()[0].asDict().items()}  # one row
 
     ns = [F.col(f"n_{s}") for s in scopes]
     keep = (ns[0] if len(ns) == 1 else F.greatest(*ns)) >= min_count
@@ -98,9 +98,10 @@ def fit_counts(encoded: DataFrame, goals: list[str], scopes=("train",), combinat
     else:
         ex = rows.select(F.explode(key_array(F.col("features"), combinations)).alias("k"), *carry, *goals) \
                  .select("k.i", "k.j", *carry, *goals)
-    keys = cut_lineage(ex.groupBy("i", "j").agg(*aggs).where(keep))
+    keys, kstats = cut_lineage_observed(ex.groupBy("i", "j").agg(*aggs).where(keep), "counts",
+                                        {"n_keys": F.count(F.lit(1))})
     return BayesCounts(keys=keys, totals=totals_row, goals=list(goals), scopes=scopes,
-                       combinations=combinations, n_keys=keys.count())
+                       combinations=combinations, n_keys=int(kstats["n_keys"]))
 
 
 @dataclass

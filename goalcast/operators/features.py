@@ -31,7 +31,7 @@ from goalcast.plans.indexing import dense_index, lookup_join, maybe_broadcast
 # (one sort of at most this many short strings); larger ones use the distributed
 # range-partition + offsets index.
 LOCAL_INDEX_LIMIT = 1_000_000
-from goalcast.session import cut_lineage
+from goalcast.session import cut_lineage, cut_lineage_observed
 
 
 def list_tokens(c) -> Column:
@@ -113,7 +113,7 @@ def dictionary_slots(levels: DataFrame, threshold: int) -> tuple[DataFrame, Data
 
 def build_dictionary(levels: DataFrame, threshold: int,
                      families: list[str] | None = None,
-                     constant_feature: bool = False) -> FeatureDictionary:
+                     constant_feature: bool = False, level_stats: dict | None = None) -> FeatureDictionary:
     """F4-F7 (+F8): final (idx, name) and the (col, value) -> idx lookup."""
     fams = LOCATION_FAMILIES_OBSERVED if families is None else families
     entries, slots = dictionary_slots(levels, threshold)
@@ -121,15 +121,18 @@ def build_dictionary(levels: DataFrame, threshold: int,
     dup = F.count(F.lit(1)).over(Window.partitionBy("final_name"))
     slots = slots.withColumn("_dup", dup).where(F.col("_dup") == 1).drop("_dup")
     # the level table bounds both the feature count and the lookup size
-    n_levels = levels.count()
+    if level_stats is None:
+        level_stats = levels.agg(F.count(F.lit(1)).alias("n_levels"),
+                                 F.sum(F.when(F.col("grp") == 0, F.col("n"))).alias("n_cells")).collect()[0].asDict()
+    n_levels = int(level_stats["n_levels"])
     order = [F.col("grp"), F.col("name")]
     if n_levels <= LOCAL_INDEX_LIMIT:
         # checked bound: a dictionary this small is ranked by one ordered window
         indexed = slots.withColumn("idx", (F.row_number().over(Window.orderBy(*order)) - 1).cast("int"))
     else:
         indexed = dense_index(slots, order)
-    indexed = cut_lineage(indexed, "dictionary")
-    size = indexed.count()  # parquet footers
+    indexed, istats = cut_lineage_observed(indexed, "dictionary", {"size": F.count(F.lit(1))})
+    size = int(istats["size"])
     lookup = entries.join(maybe_broadcast(indexed.select("grp", "name", "idx"), n_levels), ["grp", "name"]) \
                     .select("grp", "col", "value", "idx", "n")
     # both inputs are written tables; the lookup is small and read once by the encoder
@@ -137,9 +140,10 @@ def build_dictionary(levels: DataFrame, threshold: int,
     if constant_feature:
         spark = levels.sparkSession
         names = names.unionByName(spark.createDataFrame([(size, DUMMY_FEATURE)], "idx int, name string"))
-    n_rows = levels.where(F.col("grp") == 0).groupBy("col").agg(F.sum("n").alias("_r")) \
-        .agg(F.max("_r")).collect()[0][0] or 0  # rows of the input (one cell per row per attribute)
-    return FeatureDictionary(names=names, entries=lookup, size=size, n_entries=n_levels, n_rows=int(n_rows))
+    # rows of the input: every row has one cell per attribute column
+    n_attr = max(1, int(level_stats.get("n_attr_cols") or 1))
+    n_rows = int(level_stats.get("n_cells") or 0) // n_attr
+    return FeatureDictionary(names=names, entries=lookup, size=size, n_entries=n_levels, n_rows=n_rows)
 
 
 def encode_rows(cells: DataFrame, dictionary: FeatureDictionary, carry: list[str],
@@ -165,6 +169,8 @@ def one_hot(df: DataFrame, attribute_cols: list[str], list_cols: list[str], carr
             constant_feature: bool = False) -> tuple[DataFrame, FeatureDictionary]:
     """Full feature build: dictionary from the level counts, then the encoded rows."""
     cells = feature_cells(df, attribute_cols, list_cols, carry)
-    levels = cut_lineage(level_counts(cells), "levels")
-    dictionary = build_dictionary(levels, threshold, families, constant_feature)
+    levels, stats = cut_lineage_observed(level_counts(cells), "levels", {
+        "n_levels": F.count(F.lit(1)), "n_cells": F.sum(F.when(F.col("grp") == 0, F.col("n")))})
+    stats["n_attr_cols"] = len(attribute_cols)
+    dictionary = build_dictionary(levels, threshold, families, constant_feature, stats)
     return encode_rows(cells, dictionary, carry, constant_feature), dictionary

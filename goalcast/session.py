@@ -80,6 +80,18 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def cut_lineage_observed(df: DataFrame, name: str, metrics: dict) -> tuple[DataFrame, dict]:
+    """``cut_lineage`` plus aggregate metrics of the written rows, computed by one
+    aggregation over the written (column-pruned, often footer-only) table.
+
+    (Spark's ``Observation`` would fold this into the write job, but once a session
+    has used it the session object stops being serialisable, which breaks Spark ML
+    models whose summaries reference the session.)"""
+    out = cut_lineage(df, name)
+    row = out.agg(*[col.alias(k) for k, col in metrics.items()]).collect()[0].asDict()  # one row
+    return out, row
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
