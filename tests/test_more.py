@@ -141,3 +141,13 @@ def test_release_tables(spark):
     release_tables(spark)
     base = checkpoint_dir(spark).replace("file:", "").rstrip("/")
     assert not os.path.exists(f"{base}/goalcast-tables")
+
+
+def test_fit_model_saves_proximal_weights(spark, scratch):
+    from goalcast.plans.training import fit_model
+    df = spark.createDataFrame([(i, [0, 2] if i % 2 else [1, 2], i % 2) for i in range(20)],
+                               "row_id long, features array<int>, y int").cache()
+    path = scratch("model")
+    fit_model("sgd", {"loss": "modified_huber", "penalty": "l2", "alpha": 1e-4}, df, 3, path)
+    w = {r.i: r.w for r in spark.read.parquet(path).collect()}
+    assert set(w) == {0, 1, 2} and w[0] > w[1]
