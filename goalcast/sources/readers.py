@@ -141,9 +141,10 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     lines = F.split(F.col("value"), "\n")
     header = F.split(strip_ws(F.try_element_at(lines, F.lit(2))), r"\s+")
     pos = F.array_position(header, "1")
-    body = F.slice(lines, 4, F.greatest(F.size(lines) - 3, F.lit(0)))
-    body = F.filter(body, lambda x: strip_ws(x) != "")
-    rows = txt.select("file", pos.alias("_pos"), F.posexplode(body).alias("row", "_line"))
+    # one generator over the lines of the file; body rows start at the fourth line
+    rows = txt.select("file", pos.alias("_pos"), F.posexplode(lines).alias("_ln", "_line")) \
+        .where((F.col("_ln") >= 3) & (strip_ws(F.col("_line")) != "")) \
+        .withColumn("row", (F.col("_ln") - 3).cast("int"))
     vals = F.split(strip_ws(F.col("_line")), r"\s+")
     prob = F.when(F.col("_pos") > 0, F.element_at(vals, F.col("_pos").cast("int")).try_cast("double")).otherwise(F.lit(0.0))
     return rows.select("file", "row", prob.alias("prob"), (prob > 0.5).cast("int").alias("pred"))
