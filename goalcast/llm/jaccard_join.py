@@ -322,9 +322,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
                         "jaccard-edges")
     roots = connected_components(edges)
 
-    named = classes.join(roots.withColumnRenamed("node", "rid"), "rid", "left")
-    least = named.where("root is not null").groupBy("root").agg(F.min("least").alias("component"))
-    named = named.join(least, "root", "left").select("cid", F.coalesce("component", "least").alias("component_id"))
+    linked = roots.withColumnRenamed("node", "rid").join(classes, "rid")
+    least = linked.groupBy("root").agg(F.min("least").alias("component"))
+    linked = linked.join(least, "root").select("rid", "component")
+    named = classes.join(linked, "rid", "left").select("cid", F.coalesce("component", "least").alias("component_id"))
     return (sets.select("doc_id", "n", "cid").join(named, "cid", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
