@@ -1,8 +1,8 @@
 """Registered queries of the subpackage and their DuckDB SQL."""
 
-from goalcast.llm import jaccard_join
+from goalcast.llm import bpe, jaccard_join, langid, packing, sharding, substring_dedup
 
-_MODULES = (jaccard_join,)
+_MODULES = (sharding, jaccard_join, substring_dedup, packing, langid, bpe)
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLE = {k: v for m in _MODULES for k, v in getattr(m, "ORACLE", {}).items()}
