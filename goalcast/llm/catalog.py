@@ -1,8 +1,10 @@
 """Registered queries of the subpackage and their DuckDB SQL."""
 
-from goalcast.llm import bpe, jaccard_join, langid, packing, sharding, substring_dedup
+from goalcast.llm import (bpe, cover_tree, html_text, jaccard_join, langid, license_scan, multi_index, packing,
+                          sharding, substring_dedup)
 
-_MODULES = (sharding, jaccard_join, substring_dedup, packing, langid, bpe)
+_MODULES = (html_text, sharding, jaccard_join, substring_dedup, license_scan, packing, multi_index, cover_tree,
+            langid, bpe)
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLE = {k: v for m in _MODULES for k, v in getattr(m, "ORACLE", {}).items()}
