@@ -17,6 +17,7 @@ from functools import lru_cache
 from itertools import islice
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -250,8 +251,6 @@ def _digests(path: str) -> Callable:
 
 def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``docs`` plus ``ids``: the token ids of ``text`` (array<long>; a null text has none)."""
-    import pandas as pd
-
     @F.pandas_udf("array<long>")
     def ids(texts: pd.Series) -> pd.Series:
         return pd.Series([np.frombuffer(x, dtype="<u4").astype(np.int64) for x in _loaded(tokenizer).encode(texts.fillna("").tolist())])
@@ -260,8 +259,6 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 def decode_ids(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` plus the text of its token ids (a null list is an empty text)."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def back(lists: pd.Series) -> pd.Series:
         return pd.Series([_loaded(tokenizer).decode(np.array([] if x is None else x, dtype="<u4").tobytes()).decode() for x in lists])

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from goalcast.llm.vectors import best_rows, matrix, merge_best, valid_vectors
 from goalcast.session import cut_lineage, read_table
 
-#: Rows in a block, points in a leaf, children of a node, shrinking of the radius per level.
-BLOCK, LEAF, FAN, SHRINK = 4096, 64, 24, 1.3
+#: Rows in a block, points in a leaf (rows, queries), children of a node, shrinking of the radius per level.
+BLOCK, LEAF, QUERY_LEAF, FAN, SHRINK = 4096, 48, 12, 24, 1.3
 
 
 class Node:
@@ -33,12 +33,12 @@ class Node:
 
     __slots__ = ("index", "centre", "norm", "radius", "children", "worst")
 
-    def __init__(self, points: np.ndarray, index: np.ndarray, centre: int):
+    def __init__(self, points: np.ndarray, index: np.ndarray, centre: int, leaf: int = LEAF):
         self.index, self.centre = index, points[centre]
         self.norm = float(np.sqrt((self.centre * self.centre).sum()))
         gaps = np.sqrt(((points[index] - self.centre) ** 2).sum(axis=1))
         self.radius, self.children, self.worst = float(gaps.max()), [], -np.inf
-        if len(index) <= LEAF or self.radius == 0:
+        if len(index) <= leaf or self.radius == 0:
             return
         near, owner, net = gaps, np.zeros(len(index), dtype=np.int64), [centre]
         while len(net) < FAN and near.max() > self.radius / SHRINK or len(net) < 2:
@@ -47,7 +47,7 @@ class Node:
             closer = dist < near
             owner[closer], near = len(net), np.minimum(near, dist)
             net.append(int(index[pick]))
-        self.children = [Node(points, index[owner == x], c) for x, c in enumerate(net)]
+        self.children = [Node(points, index[owner == x], c, leaf) for x, c in enumerate(net)]
 
     def bound(self, other: Node) -> float:
         """No inner product of a point here with a point there is larger."""
@@ -84,7 +84,7 @@ class _Search:
     def run(self) -> None:
         if not len(self.q) or not len(self.x):
             return
-        a, b = Node(self.q, np.arange(len(self.q)), 0), Node(self.x, np.arange(len(self.x)), 0)
+        a, b = Node(self.q, np.arange(len(self.q)), 0, QUERY_LEAF), Node(self.x, np.arange(len(self.x)), 0)
         heap, count = [(-a.bound(b), 0, a, b)], 1
         heapify(heap)
         while heap:

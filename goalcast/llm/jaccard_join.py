@@ -35,7 +35,7 @@ LONGEST, CHUNK, SALTS = 4, 256, 4
 #: Class ids broadcast at most (8 bytes each); more go through a shuffle join.
 ID_LIMIT = 1_000_000
 
-_SETS = "doc_id long, rid long, n long, s long, cid binary, pool binary"
+_SETS = "doc_id long, th long, rid long, n long, s long, cid binary, pool binary"
 
 
 def _shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -58,14 +58,14 @@ def _need(n: np.ndarray | int, num: int, den: int):
 
 
 def _set_rows(k: int, num: int, den: int, zone: int) -> Callable:
-    schema = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("n", pa.int64()), ("s", pa.int64()),
+    schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("rid", pa.int64()), ("n", pa.int64()), ("s", pa.int64()),
                         ("cid", pa.binary()), ("pool", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rid = TaskContext.get().partitionId() << 31
         for b in batches:
             ns, ss, cids, pools = [], [], [], []
-            for x in _shingle_sets(b.column(1), k):
+            for x in _shingle_sets(b.column(2), k):
                 n = len(x)
                 s = int(np.searchsorted(x, U64(zone)))
                 ns.append(n)
@@ -74,7 +74,7 @@ def _set_rows(k: int, num: int, den: int, zone: int) -> Callable:
                 pools.append(x[:max(s, min(n, n - _need(n, num, den) + LONGEST))].tobytes())
             ids = np.arange(rid, rid + len(ns))
             rid += len(ns)
-            yield packed.batch(schema, [b.column(0), ids, ns, ss, cids, pools])
+            yield packed.batch(schema, [b.column(0), b.column(1), ids, ns, ss, cids, pools])
     return run
 
 
@@ -268,25 +268,21 @@ def _full_sets(k: int) -> Callable:
     return run
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
-                       id_limit: int = ID_LIMIT) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` for every row of ``docs`` (columns doc_id, text;
-    others are ignored): words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, sets of distinct
-    ``k``-word shingles, links at Jaccard >= ``num / den``, exact up to 64-bit hash collisions.
+_FIRST = "min(struct(doc_id is null as no_id, doc_id, th, rid))"
 
-    Defined cases: a null or wordless text has 0 shingles and links with nothing (its component
-    is its own doc_id); a text of fewer than ``k`` words is one shingle; repeated doc_ids are
-    judged row by row; a null doc_id is never a component id while another id is in reach
-    (a component of null ids only has a null id). An empty table gives an empty result.
-    """
+
+def _components(docs: DataFrame, k: int, num: int, den: int, id_limit: int) -> tuple[DataFrame, DataFrame]:
+    """Rows ``(doc_id, th, rid, n, cid)`` and, per class, ``(cid, least)``: the first row of its
+    component by (doc_id, th, rid), null ids last. ``th`` is ``xxhash64(text)``."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("th", F.xxhash64("text"))
     buckets = packed.bucket_count(spark)
     # the zone holds twice the tokens that a 1-prefix takes on average
     zone = min(2 ** 64 - 1, 2 ** 64 * 2 * (den - num) // den)
-    sets = cut_lineage(docs.mapInArrow(_set_rows(k, num, den, zone), _SETS), "jaccard-sets")
+    sets = cut_lineage(docs.select("doc_id", "th", "text").mapInArrow(_set_rows(k, num, den, zone), _SETS), "jaccard-sets")
     classes = cut_lineage(sets.where("cid is not null").groupBy("cid")
-                          .agg(F.min("rid").alias("rid"), F.min("doc_id").alias("least")), "jaccard-classes")
+                          .agg(F.min("rid").alias("rid"), F.expr(_FIRST).alias("least")), "jaccard-classes")
 
     cols = sets.select("rid", "s", "cid", "pool")
     freq = cut_lineage(cols.mapInArrow(_send_counts(buckets), "bucket int, low binary, cnt binary")
@@ -325,10 +321,46 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     linked = roots.withColumnRenamed("node", "rid").join(classes, "rid")
     least = linked.groupBy("root").agg(F.min("least").alias("component"))
     linked = linked.join(least, "root").select("rid", "component")
-    named = classes.join(linked, "rid", "left").select("cid", F.coalesce("component", "least").alias("component_id"))
-    return (sets.select("doc_id", "n", "cid").join(named, "cid", "left")
+    return sets.select("doc_id", "th", "rid", "n", "cid"), classes.join(linked, "rid", "left").select(
+        "cid", F.coalesce("component", "least").alias("least"))
+
+
+def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
+                       id_limit: int = ID_LIMIT) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` for every row of ``docs`` (columns doc_id, text;
+    others are ignored): words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, sets of distinct
+    ``k``-word shingles, links at Jaccard >= ``num / den``, exact up to 64-bit hash collisions.
+
+    Defined cases: a null or wordless text has 0 shingles and links with nothing (its component
+    is its own doc_id); a text of fewer than ``k`` words is one shingle; repeated doc_ids are
+    judged row by row; a null doc_id is never a component id while another id is in reach
+    (a component of null ids only has a null id). An empty table gives an empty result.
+    """
+    rows, classes = _components(docs, k, num, den, id_limit)
+    return (rows.join(classes, "cid", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+                    F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id")))
+
+
+def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_limit: int = ID_LIMIT) -> DataFrame:
+    """``docs`` with one row of every component (the one with the smallest doc_id); rows without
+    words all stay. All columns stay as they are."""
+    rows, classes = _components(docs, k, num, den, id_limit)
+    first = (rows.join(classes, "cid", "left").where("cid is null or rid = least.rid")
+             .groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th"))
+             .agg(F.count("cid").alias("_n")))
+    # rows that share id and text with others: one of them stays (all, where there are no words)
+    same = rows.where("cid is not null").groupBy("doc_id", "th").agg((F.count(F.lit(1)) > 1).alias("_many"))
+    first = cut_lineage(first.join(same, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_th") == F.col("th")), "left")
+                        .select("_id", "_th", F.coalesce("_many", F.lit(False)).alias("_many")), "jaccard-first")
+    side = F.broadcast(first) if first.count() <= id_limit else first    # at most id_limit rows of 24 bytes
+    whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_doc"),
+                        F.xxhash64(F.col("text").cast("string")).alias("_key"))
+    kept = whole.join(side, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th")))
+    single = kept.where("not _many").select("_row.*")
+    if not first.where("_many").limit(1).count():
+        return single
+    return single.unionByName(kept.where("_many").dropDuplicates(["_id", "_th"]).select("_row.*"))
 
 
 def op3_jaccard(spark, sf_dir: str) -> DataFrame:

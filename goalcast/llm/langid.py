@@ -254,6 +254,23 @@ def identify_language(docs: DataFrame, model: LanguageModel | None = None, penal
                            "spans array<struct<lang: string, first_word: long, n_words: long>>")
 
 
+def keep_identified(docs: DataFrame, least_share: float = 0.5, penalty: float = SWITCH) -> DataFrame:
+    """``docs`` without the rows that have no language: ``und``, or no language with
+    ``least_share`` of the letters. All columns and kept rows stay as they are."""
+    model = train(docs)
+    label = _predict(model, penalty)
+
+    @F.arrow_udf("boolean")
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            none = pa.nulls(len(texts), pa.int64()), pa.nulls(len(texts), pa.bool_())
+            rows = pa.RecordBatch.from_arrays([*none, texts], names=["doc_id", "held_out", "text"])
+            for out in label(iter([rows])):
+                named = np.array(out.column("lang_pred").to_pylist(), dtype=object) != "und"
+                yield pa.array((named & (out.column("score").to_numpy() >= least_share)).astype(bool))
+    return docs.where(judge(F.col("text").cast("string")))
+
+
 def op9_language_id(spark, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows that are not held out."""
     return (identify_language(read_table(spark, sf_dir, "documents"))

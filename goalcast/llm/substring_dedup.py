@@ -347,12 +347,17 @@ def find_repeats(docs: DataFrame, span: int = 50, seed: int = 20, id_limit: int
 def remove_repeats(docs: DataFrame, span: int = 50, seed: int = 20) -> DataFrame:
     """``docs`` with every word dropped that lies in a window of ``span`` words whose sequence
     also starts in a document with a smaller doc_id; a text that loses words becomes its kept
-    words joined by one space, other texts and all other columns stay as they are."""
+    words joined by one space (and ``n_chars``, if there, its length), other texts and all other
+    columns stay as they are."""
     _, changed = find_repeats(docs, span, seed)
-    th = F.xxhash64(F.col("text").cast("string"))
-    kept = changed.select("_id", "_th", "kept")
-    out = docs.withColumn("_key", th).join(kept, (F.col("doc_id") == F.col("_id")) & (F.col("_key") == F.col("_th")), "left")
-    return out.withColumn("text", F.coalesce("kept", "text")).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_doc"),
+                       F.xxhash64(F.col("text").cast("string")).alias("_key"))
+    kept = changed.select("_id", "_th", F.col("kept").alias("_kept"))
+    out = rows.join(kept, (F.col("_doc") == F.col("_id")) & (F.col("_key") == F.col("_th")), "left")
+    replaced = {"text": F.coalesce("_kept", "_row.text")}
+    if "n_chars" in docs.columns:
+        replaced["n_chars"] = F.coalesce(F.char_length("_kept").cast("long"), "_row.n_chars")
+    return out.select(*[replaced.get(c, F.col(f"_row.{c}")).alias(c) for c in docs.columns])
 
 
 def repeat_digest(docs: DataFrame, span: int = 50, seed: int = 20) -> DataFrame:
