@@ -24,8 +24,10 @@ from goalcast.session import cut_lineage, read_table
 
 U64 = np.uint64
 BUCKETS = 1 << 15
-#: Training rows per language at most; characters that advance together; log-odds to switch language.
-PER_LANGUAGE, SLICE, SWITCH = 1500, 1 << 22, 8.0
+#: Training rows per language at most; log-odds to switch language.
+PER_LANGUAGE, SWITCH = 1500, 8.0
+#: Characters of texts that advance together, characters scored in one go (about 60 bytes each).
+SLICE, PIECE = 1 << 22, 1 << 19
 #: Score of a language that does not write the word's script.
 BARRED = np.float32(-60.0)
 
@@ -112,7 +114,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows, langs, texts = [], b.column(0).to_pylist(), b.column(1).to_pylist()
         for lang in sorted(set(langs)):
-            for part in _slices([t for t, x in zip(texts, langs) if x == lang]):
+            for part in _slices([p for t, x in zip(texts, langs) if x == lang for p in _pieces(t)], PIECE):
                 buckets, _, scripts, _, _ = _grams(part)
                 for kind, values, size in ((0, buckets, BUCKETS), (1, scripts, N_SCRIPTS)):
                     counts = np.bincount(values, minlength=size)
@@ -120,10 +122,12 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield packed.rows(schema, rows)
 
 
-def _slices(texts: list[str]) -> Iterator[list[str]]:
+def _slices(texts: list[str], limit: int | None = None) -> Iterator[list[str]]:
+    """Consecutive texts of about ``limit`` characters together (a longer text stands alone)."""
+    limit = limit or SLICE
     part, size = [], 0
     for t in texts:
-        if part and size + len(t) > SLICE:
+        if part and size + len(t) > limit:
             yield part
             part, size = [], 0
         part.append(t)
@@ -132,6 +136,18 @@ def _slices(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
+def _pieces(text: str) -> Iterator[str]:
+    """A text in pieces of at most ``PIECE`` characters, cut at white space; a word that is
+    longer than that is cut like a text."""
+    at = 0
+    while len(text) - at > PIECE:
+        cut = at + PIECE
+        back = next((c for c in range(cut, cut - 1000, -1) if text[c].isspace()), cut)
+        yield text[at:back]
+        at = back
+    yield text[at:]
+
+
 class LanguageModel:
     """Trigram log-probabilities per language, and the scripts each language is written in."""
 
@@ -201,9 +217,11 @@ def _predict(model: LanguageModel, penalty: float) -> Callable:
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()),
                         ("spans", pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64())])))])
 
-    def label(texts: list[str]) -> list[tuple]:
+    n = len(model.langs)
+
+    def score(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(scores of each word, letters of each word, words of each text)."""
         buckets, head, scripts, letters, words_of = _grams(texts)
-        n = len(model.langs)
         scores = np.zeros((len(head), n), dtype=np.float32)
         if len(head) and n:
             for x in range(n):
@@ -212,7 +230,14 @@ def _predict(model: LanguageModel, penalty: float) -> Callable:
             known = may.any(axis=1)
             scores[~known] = 0                                 # a script that no language writes says nothing
             scores[known[:, None] & ~may] += BARRED
-        labels = _viterbi(scores, words_of, penalty) if n else np.zeros(len(head), np.int16)
+        return scores, letters, words_of
+
+    def label(texts: list[str]) -> list[tuple]:
+        cut = [list(_pieces(t)) for t in texts]
+        scored = [score(part) for part in _slices([p for c in cut for p in c], PIECE)]
+        scores, letters, counts = (np.concatenate(x) for x in zip(*scored))
+        words_of = np.add.reduceat(counts, np.cumsum([0] + [len(c) for c in cut[:-1]]))
+        labels = _viterbi(scores, words_of, penalty) if n else np.zeros(len(scores), np.int16)
         weight, out, at = letters.astype(np.float64), [], 0
         for w in words_of:
             part, mass = labels[at:at + w], weight[at:at + w]
