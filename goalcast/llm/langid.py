@@ -166,13 +166,17 @@ class LanguageModel:
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
     """Fit on rows that are not held out and have a language and a text; of each language the
     ``per_language`` rows with the smallest id hash (a documented bound: the model is at most
-    languages x ``BUCKETS`` counts). The choice is made in salted groups, then among their best."""
+    languages x ``BUCKETS`` counts)."""
     rows = (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~_held_out())
             .select(F.col("doc_id").cast("long").alias("_id"), F.col("lang").alias("_lang"), F.xxhash64("doc_id").alias("h")).distinct())
-    order = [F.col("h"), F.col("_id")]
-    near = (rows.withColumn("salt", F.pmod(F.col("h"), F.lit(97)))
-            .withColumn("r", F.row_number().over(Window.partitionBy("_lang", "salt").orderBy(*order))).where(f"r <= {per_language}")
-            .withColumn("r", F.row_number().over(Window.partitionBy("_lang").orderBy(*order))).where(f"r <= {per_language}"))
+    # hash ranges of each language up to the one that fills the bound, then its exact rank
+    rows = rows.withColumn("range", F.shiftrightunsigned("h", 48))
+    ranges = rows.groupBy("_lang", "range").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("_lang").orderBy("range")) - F.col("n")
+    ranges = ranges.withColumn("before", before).where(f"before < {per_language}").select("_lang", "range")
+    rank = F.row_number().over(Window.partitionBy("_lang").orderBy("range", "h", "_id"))
+    near = (rows.join(F.broadcast(ranges), ["_lang", "range"])     # at most per_language ranges a language
+            .withColumn("r", rank).where(f"r <= {per_language}"))
     chosen = F.broadcast(cut_lineage(near.select("_id", "_lang"), "langid-sample"))   # per_language rows a language
     counted = (docs.join(chosen, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
                .where(F.col("text").isNotNull()).select("lang", "text")
