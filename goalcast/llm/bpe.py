@@ -273,6 +273,7 @@ def bpe_digests(docs: DataFrame, tokenizer: str) -> DataFrame:
     first, as the library does; null and repeated doc_ids pass through, other columns are
     ignored, an empty table gives no rows. Nothing is shuffled.
     """
+    packed.small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(_digests(tokenizer), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

@@ -279,6 +279,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     Defined cases: a null, empty or text-free page has an empty text; null ids and urls pass
     through; repeated rows are extracted one by one; an empty table gives no rows.
     """
+    packed.small_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"))
     return rows.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

@@ -275,6 +275,7 @@ def _components(docs: DataFrame, k: int, num: int, den: int, id_limit: int) -> t
     """Rows ``(doc_id, th, rid, n, cid)`` and, per class, ``(cid, least)``: the first row of its
     component by (doc_id, th, rid), null ids last. ``th`` is ``xxhash64(text)``."""
     spark = docs.sparkSession
+    packed.small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("th", F.xxhash64("text"))
     buckets = packed.bucket_count(spark)

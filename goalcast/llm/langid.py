@@ -167,6 +167,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
     """Fit on rows that are not held out and have a language and a text; of each language the
     ``per_language`` rows with the smallest id hash (a documented bound: the model is at most
     languages x ``BUCKETS`` counts)."""
+    packed.small_batches(docs.sparkSession)
     rows = (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~_held_out())
             .select(F.col("doc_id").cast("long").alias("_id"), F.col("lang").alias("_lang"), F.xxhash64("doc_id").alias("h")).distinct())
     # hash ranges of each language up to the one that fills the bound, then its exact rank

@@ -114,6 +114,7 @@ def _template_grams(spark, templates: tuple, k: int) -> DataFrame:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
+    packed.small_batches(docs.sparkSession)
     text = F.col("text").cast("string")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
 

@@ -56,3 +56,14 @@ def batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
 def rows(schema: pa.Schema, values: list[tuple]) -> pa.RecordBatch:
     """A batch from row tuples (possibly none)."""
     return batch(schema, list(zip(*values)) if values else [[] for _ in schema])
+
+
+#: Rows of an Arrow batch between the JVM and Python workers; texts may be long.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size to ``BATCH_ROWS`` unless it is lower already."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))

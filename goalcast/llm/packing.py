@@ -9,12 +9,14 @@ merged best-fit, largest first. Only piece records (a few numbers) leave a task,
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -23,35 +25,53 @@ from pyspark.sql import functions as F
 from goalcast.llm import packed
 from goalcast.session import cut_lineage, read_table
 
-#: Chunks of text whose ids a worker remembers, characters looked at in one go.
-CACHE, SEGMENT = 400_000, 1 << 20
-#: The white space of the tokenizer's patterns (Unicode White_Space).
-SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Words whose ids a worker remembers, characters looked at in one go.
+CACHE, SEGMENT = 300_000, 1 << 19
+#: White space, letters and numbers of Latin-1 as the tokenizer's patterns see them.
+SPACE, LETTER, NUMBER = "\\t-\\r \\x85\\xa0", "a-zA-Z\\xaa\\xb5\\xba\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff", "0-9\\xb2\\xb3\\xb9\\xbc-\\xbe"
 
 
-class ChunkEncoder:
-    """Token ids of whole texts, as little-endian unsigned 32-bit bytes.
+class _Places(dict):
+    """Word -> place in the id table; unknown words get places after the known ones."""
 
-    The tokenizer's rules never look across white space, so a text's ids are those of its
-    space-free chunks; frequent chunks are remembered. Texts that hold a special token are
-    given to the tokenizer whole, because it matches those before anything else.
+    def __init__(self):
+        super().__init__()
+        self.fresh: dict[str, int] = {}
+
+    def __missing__(self, word: str) -> int:
+        return self.fresh.setdefault(word, len(self) + len(self.fresh))
+
+
+class WordEncoder:
+    """Token ids of whole texts, as arrays of unsigned 32-bit numbers.
+
+    For Latin-1 text the tokenizer's normaliser and pattern are plain lower-casing and one
+    regular expression, so a text is cut into words here, every distinct word is encoded once
+    (without normaliser and pattern) and remembered, and a text's ids are gathered from the
+    table of words. Any other text, and one that holds a special token, goes to the tokenizer
+    whole; so does every text if the tokenizer file is of another make.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.chunks = re.compile(f"[^{SPACE}]+")
-        self.gap = re.compile(f"[{SPACE}]")
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        spec["truncation"] = spec["padding"] = None
+        self.whole = Tokenizer.from_str(json.dumps(spec))
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)")
+        steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.by_word = steps == ["NFC", "Replace", "Lowercase"] and len(cuts) == 2 and cuts[1]["type"] == "ByteLevel"
+        if self.by_word:
+            self.words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^{SPACE}{LETTER}{NUMBER}]+")
+            self.gap = re.compile(f"[{SPACE}]")
+            self.word = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": cuts[1]}))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places = _Places()
+        self.table, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _segments(self, text: str) -> Iterator[str]:
         """The text in bounded pieces cut at white space."""
@@ -64,36 +84,57 @@ class ChunkEncoder:
             at = cut.end()
         yield text[at:]
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
+    def _plain(self, text: str) -> bool:
+        if not self.by_word or self.special.search(text):
+            return False
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        return True
+
+    def _encode_plain(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of Latin-1 texts of together about ``SEGMENT`` characters."""
+        look, words, sizes = self.places.__getitem__, [], []
+        for t in texts:
+            found = self.words.findall(t.lower())
+            words += found
+            sizes.append(len(found))
+        place = np.fromiter(map(look, words), dtype=np.int64, count=len(words))
+        table, ends = self.table, self.ends
+        fresh = self.places.fresh
+        if fresh:
+            new = [e.ids for e in self.word.encode_batch_fast(list(fresh), add_special_tokens=False)]
+            table = np.concatenate([table, np.fromiter((i for ids in new for i in ids), dtype=np.uint32)])
+            ends = np.concatenate([ends, ends[-1] + np.cumsum([len(ids) for ids in new])])
+            if len(self.places) + len(fresh) <= CACHE:
+                self.places.update(fresh)
+                self.table, self.ends = table, ends
+            self.places.fresh = {}
+        first, count = ends[place], ends[place + 1] - ends[place]
+        total = np.cumsum(count)
+        at = np.arange(total[-1] if len(total) else 0) + np.repeat(first - (total - count), count)
+        stops = np.concatenate([np.zeros(1, np.int64), total])[np.cumsum(sizes)]
+        return np.split(table[at], stops[:-1])
+
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text, a bounded group of texts at a time."""
-        group, size = [], 0
+        group: list[str] = []
+        size = 0
         for t in texts:
-            if size + len(t) > SEGMENT and group:
-                yield from self._group(group)
+            alone = len(t) > SEGMENT or not self._plain(t)
+            if group and (alone or size + len(t) > SEGMENT):
+                yield from self._encode_plain(group)
                 group, size = [], 0
-            if len(t) > SEGMENT and not self._has_special(t):
-                yield b"".join(x for s in self._segments(t) for x in self._group([s]))
-            else:
+            if not alone:
                 group.append(t)
                 size += len(t)
-        yield from self._group(group)
-
-    def _has_special(self, text: str) -> bool:
-        return bool(self.special and self.special.search(text))
-
-    def _group(self, texts: list[str]) -> Iterator[bytes]:
-        whole = [self._has_special(t) for t in texts]
-        split = [[] if w else self.chunks.findall(t) for t, w in zip(texts, whole)]
-        new = list({c for s in split for c in s if c not in self.known})
-        fresh = dict(zip(new, self._ids(new)))
-        if len(self.known) + len(fresh) <= CACHE:
-            self.known.update(fresh)
-            look = self.known.__getitem__
-        else:
-            known = self.known
-            look = lambda c: fresh[c] if c in fresh else known[c]
-        for t, s, w in zip(texts, split, whole):
-            yield self._ids([t])[0] if w else b"".join(map(look, s))
+            elif self._plain(t):
+                yield np.concatenate([x for s in self._segments(t) for x in self._encode_plain([s])])
+            else:
+                yield np.array(self.whole.encode_batch_fast([t], add_special_tokens=False)[0].ids, dtype=np.uint32)
+        if group:
+            yield from self._encode_plain(group)
 
 
 class OpenWindows:
@@ -130,7 +171,7 @@ _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 def _pack(path: str, end_id: int, length: int, limit: int) -> Callable:
     schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "window", "place", "used")]
                        + [("open", pa.bool_())])
-    end = end_id.to_bytes(4, "little")
+    end = np.uint32(end_id)
 
     def rows(window: tuple[int, list], is_open: bool) -> list[tuple]:
         w, parts = window
@@ -141,14 +182,14 @@ def _pack(path: str, end_id: int, length: int, limit: int) -> Callable:
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(path)
+        encoder = WordEncoder(path)
         windows = OpenWindows(length, limit, TaskContext.get().partitionId() << 32)
         for b in batches:
             out = []
             texts = b.column(1).fill_null("").to_pylist()
             for doc_id, ids in zip(b.column(0).to_pylist(), encoder.encode(texts)):
-                ids += end
-                total, view = len(ids) // 4, memoryview(ids)
+                ids = np.append(ids, end).astype("<u4")
+                total, view = len(ids), memoryview(ids).cast("B")
                 for start in range(0, total, length):
                     size = min(length, total - start)
                     piece = (doc_id, start, size, zlib.crc32(view[4 * start:4 * (start + size)]), total)
@@ -190,6 +231,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int
     Defined cases: a null or empty text is ``end_id`` alone; null and repeated doc_ids are packed
     row by row like others; other columns are ignored; an empty table gives no rows.
     """
+    packed.small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     pieces = cut_lineage(docs.mapInArrow(_pack(tokenizer, end_id, length, open_windows), _PIECES), "pack-pieces")
     merged = (pieces.where("open").groupBy(F.expr(f"(window >> 32) div {fan_in}"))

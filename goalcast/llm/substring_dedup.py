@@ -306,6 +306,7 @@ def find_repeats(docs: DataFrame, span: int = 50, seed: int = 20, id_limit: int
     ``(_id, _th, n_removed, kept_sha, kept)`` of the documents that lose words, one row per
     (doc_id, ``xxhash64(text)`` as th)."""
     spark = docs.sparkSession
+    packed.small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("th", F.xxhash64("text"))
     buckets = packed.bucket_count(spark)
