@@ -15,6 +15,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,33 +24,70 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goalcast.llm import packed
+from goalcast.llm.words import BYTE_TABLE, run_hashes
 from goalcast.session import cut_lineage, read_table
 
-#: Words whose ids a worker remembers, characters looked at in one go.
-CACHE, SEGMENT = 300_000, 1 << 19
-#: White space, letters and numbers of Latin-1 as the tokenizer's patterns see them.
-SPACE, LETTER, NUMBER = "\\t-\\r \\x85\\xa0", "a-zA-Z\\xaa\\xb5\\xba\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff", "0-9\\xb2\\xb3\\xb9\\xbc-\\xbe"
-
-
-class _Places(dict):
-    """Word -> place in the id table; unknown words get places after the known ones."""
-
-    def __init__(self):
-        super().__init__()
-        self.fresh: dict[str, int] = {}
+#: Words whose ids a worker remembers (about 50 bytes each), characters looked at in one go.
+CACHE, SEGMENT = 1_000_000, 1 << 19
+
+# White space, letters, numbers and contractions of Latin-1 as the tokenizer's
+# patterns see them.
+SPACES = bytes([*range(0x09, 0x0E), 0x20, 0x85, 0xA0])
+LETTERS = bytes([*range(0x41, 0x5B), *range(0x61, 0x7B), 0xAA, 0xB5, 0xBA, *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)])
+NUMBERS = bytes([*range(0x30, 0x3A), 0xB2, 0xB3, 0xB9, 0xBC, 0xBD, 0xBE])
+CONTRACTIONS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
+
+SPACE, LETTER, NUMBER, OTHER = range(4)
+KIND = np.full(256, OTHER, dtype=np.uint8)
+for _kind, _bytes in ((SPACE, SPACES), (LETTER, LETTERS), (NUMBER, NUMBERS)):
+    KIND[list(_bytes)] = _kind
+LOWER = bytes(ord(chr(b).lower()) if b in LETTERS else b for b in range(256))
+
+
+class HashTable:
+    """Open addressing over arrays: 64-bit keys (not 0) to places, whole arrays at a time."""
+
+    def __init__(self, bits: int = 16):
+        self.keys, self.values, self.size = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32), 0
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of every key, -1 where there is none."""
+        out, left = np.full(len(keys), -1, np.int32), np.arange(len(keys))
+        slot = (keys & np.uint64(len(self.keys) - 1)).astype(np.int64)
+        while len(left):
+            there = self.keys[slot]
+            hit = there == keys[left]
+            out[left[hit]] = self.values[slot[hit]]
+            on = ~hit & (there != 0)
+            left, slot = left[on], (slot[on] + 1) & (len(self.keys) - 1)
+        return out
 
-    def __missing__(self, word: str) -> int:
-        return self.fresh.setdefault(word, len(self) + len(self.fresh))
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Distinct keys that are not there yet."""
+        if 2 * (self.size + len(keys)) > len(self.keys):
+            full = self.keys != 0
+            old = self.keys[full], self.values[full]
+            self.__init__(max(len(self.keys).bit_length(), (4 * (self.size + len(keys))).bit_length()))
+            self.add(*old)
+        self.size += len(keys)
+        slot = (keys & np.uint64(len(self.keys) - 1)).astype(np.int64)
+        while len(keys):
+            free = self.keys[slot] == 0
+            self.keys[slot[free]] = keys[free]                 # of several in one slot, one stays
+            won = free & (self.keys[slot] == keys)
+            self.values[slot[won]] = values[won]
+            keys, values, slot = keys[~won], values[~won], (slot[~won] + 1) & (len(self.keys) - 1)
 
 
 class WordEncoder:
     """Token ids of whole texts, as arrays of unsigned 32-bit numbers.
 
-    For Latin-1 text the tokenizer's normaliser and pattern are plain lower-casing and one
-    regular expression, so a text is cut into words here, every distinct word is encoded once
-    (without normaliser and pattern) and remembered, and a text's ids are gathered from the
-    table of words. Any other text, and one that holds a special token, goes to the tokenizer
-    whole; so does every text if the tokenizer file is of another make.
+    For Latin-1 text the tokenizer's normaliser and pattern come down to lower-casing and cutting
+    by byte kinds, so words are cut and hashed here for many texts at once; every distinct word
+    is encoded once (without normaliser and pattern) and remembered under its 64-bit hash, and
+    a text's ids are gathered from the table of words. Any other text, and one that holds a
+    special token, goes to the tokenizer whole; so does every text if the tokenizer file is of
+    another make.
     """
 
     def __init__(self, path: str):
@@ -64,17 +102,21 @@ class WordEncoder:
         cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
         self.by_word = steps == ["NFC", "Replace", "Lowercase"] and len(cuts) == 2 and cuts[1]["type"] == "ByteLevel"
         if self.by_word:
-            self.words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^{SPACE}{LETTER}{NUMBER}]+")
-            self.gap = re.compile(f"[{SPACE}]")
+            self.gap = re.compile(b"[" + re.escape(SPACES) + b"]")
             self.word = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": cuts[1]}))
-        self._forget()
+        self.places, self.table, self.ends = HashTable(), np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def _forget(self) -> None:
-        self.places = _Places()
-        self.table, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+    def _latin(self, text: str) -> bytes | None:
+        """Lower-cased Latin-1 bytes of a text that can be cut here."""
+        if not self.by_word or self.special.search(text):
+            return None
+        try:
+            return text.encode("latin-1").translate(LOWER)
+        except UnicodeEncodeError:
+            return None
 
-    def _segments(self, text: str) -> Iterator[str]:
-        """The text in bounded pieces cut at white space."""
+    def _segments(self, text: bytes) -> Iterator[bytes]:
+        """A text in bounded pieces cut at white space."""
         at = 0
         while len(text) - at > SEGMENT:
             cut = self.gap.search(text, at + SEGMENT)
@@ -84,57 +126,77 @@ class WordEncoder:
             at = cut.end()
         yield text[at:]
 
-    def _plain(self, text: str) -> bool:
-        if not self.by_word or self.special.search(text):
-            return False
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return False
-        return True
-
-    def _encode_plain(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of Latin-1 texts of together about ``SEGMENT`` characters."""
-        look, words, sizes = self.places.__getitem__, [], []
-        for t in texts:
-            found = self.words.findall(t.lower())
-            words += found
-            sizes.append(len(found))
-        place = np.fromiter(map(look, words), dtype=np.int64, count=len(words))
+    @staticmethod
+    def _word_starts(raw: np.ndarray, kind: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Where words begin: runs of letters, single numbers, runs of other characters, and the
+        contractions (an apostrophe that no run of others has taken, and its letters)."""
+        first = kind != SPACE
+        first[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == NUMBER)
+        first[starts] = kind[starts] != SPACE
+        mark = np.flatnonzero((raw == 0x27) & first)
+        if len(mark):
+            ends = np.append(starts, len(raw))[np.searchsorted(starts, mark, side="right")]
+            done = np.zeros(len(mark), dtype=bool)
+            padded = np.concatenate([raw, np.zeros(3, np.uint8)])
+            for tail in CONTRACTIONS:                          # in the pattern's order
+                hit = ~done & (mark + len(tail) < ends)
+                for x, b in enumerate(tail, start=1):
+                    hit &= padded[mark + x] == b
+                done |= hit
+                after = mark[hit] + len(tail) + 1
+                first[mark[hit] + 1] = False
+                on = after[after < ends[hit]]
+                first[on] |= kind[on] == LETTER                # what is left of the word
+        return first
+
+    def _encode_latin(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of lower-cased texts of together about ``SEGMENT`` bytes."""
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        starts = np.cumsum(sizes) - sizes
+        kind = KIND[raw]
+        hashes, at, lengths = run_hashes(raw, kind != SPACE, self._word_starts(raw, kind, starts[starts < len(raw)]), BYTE_TABLE)
+        hashes |= np.uint64(1)                                 # 0 is the free key
+        place = self.places.find(hashes)
         table, ends = self.table, self.ends
-        fresh = self.places.fresh
-        if fresh:
-            new = [e.ids for e in self.word.encode_batch_fast(list(fresh), add_special_tokens=False)]
-            table = np.concatenate([table, np.fromiter((i for ids in new for i in ids), dtype=np.uint32)])
+        missing = np.flatnonzero(place < 0)
+        if len(missing):
+            fresh, one, of = np.unique(hashes[missing], return_index=True, return_inverse=True)
+            one = missing[one]
+            data = raw.tobytes()
+            words = [data[a:a + n].decode("latin-1") for a, n in zip(at[one].tolist(), lengths[one].tolist())]
+            new = [e.ids for e in self.word.encode_batch_fast(words, add_special_tokens=False)]
+            numbers = np.arange(len(ends) - 1, len(ends) - 1 + len(fresh), dtype=np.int32)
+            place[missing] = numbers[of]
+            table = np.concatenate([table, np.array(list(chain.from_iterable(new)), dtype=np.uint32)])
             ends = np.concatenate([ends, ends[-1] + np.cumsum([len(ids) for ids in new])])
-            if len(self.places) + len(fresh) <= CACHE:
-                self.places.update(fresh)
+            if len(ends) <= CACHE:
+                self.places.add(fresh, numbers)
                 self.table, self.ends = table, ends
-            self.places.fresh = {}
-        first, count = ends[place], ends[place + 1] - ends[place]
+        low, count = ends[place], ends[place + 1] - ends[place]
         total = np.cumsum(count)
-        at = np.arange(total[-1] if len(total) else 0) + np.repeat(first - (total - count), count)
-        stops = np.concatenate([np.zeros(1, np.int64), total])[np.cumsum(sizes)]
-        return np.split(table[at], stops[:-1])
+        ids = table[np.arange(total[-1] if len(total) else 0) + np.repeat(low - (total - count), count)]
+        stops = np.concatenate([np.zeros(1, np.int64), total])[np.searchsorted(at, starts + sizes)]
+        return np.split(ids, stops[:-1])
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text, a bounded group of texts at a time."""
-        group: list[str] = []
+        group: list[bytes] = []
         size = 0
         for t in texts:
-            alone = len(t) > SEGMENT or not self._plain(t)
-            if group and (alone or size + len(t) > SEGMENT):
-                yield from self._encode_plain(group)
+            latin = self._latin(t)
+            if group and (latin is None or size + len(latin) > SEGMENT):
+                yield from self._encode_latin(group)
                 group, size = [], 0
-            if not alone:
-                group.append(t)
-                size += len(t)
-            elif self._plain(t):
-                yield np.concatenate([x for s in self._segments(t) for x in self._encode_plain([s])])
-            else:
+            if latin is None:
                 yield np.array(self.whole.encode_batch_fast([t], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            elif len(latin) > SEGMENT:
+                yield np.concatenate([x for s in self._segments(latin) for x in self._encode_latin([s])])
+            else:
+                group.append(latin)
+                size += len(latin)
         if group:
-            yield from self._encode_plain(group)
+            yield from self._encode_latin(group)
 
 
 class OpenWindows:

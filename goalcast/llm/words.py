@@ -27,7 +27,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-_TABLE = mix64((np.arange(1, 257, dtype=U64)) * U64(0xD1342543DE82EF95))
+BYTE_TABLE = mix64((np.arange(1, 257, dtype=U64)) * U64(0xD1342543DE82EF95))
 
 
 def byte_class(separators: bytes) -> np.ndarray:
@@ -57,22 +57,28 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)), offsets
 
 
+def run_hashes(raw: np.ndarray, mask: np.ndarray, first: np.ndarray, table: np.ndarray):
+    """Hashes, first bytes and lengths of runs of bytes: ``mask`` marks the bytes that belong to
+    runs, ``first`` the ones that begin a run."""
+    at = np.flatnonzero(mask)
+    if not len(at):
+        return np.zeros(0, U64), at, at
+    begin = np.flatnonzero(first[at])                          # index among the marked bytes
+    lengths = np.diff(np.append(begin, len(at)))
+    pos = np.arange(len(at)) - np.repeat(begin, lengths)
+    power = np.multiply.accumulate(np.full(int(lengths.max()), _MULT, dtype=U64))
+    sums = np.add.reduceat(table[raw[at]] * power[pos], begin)
+    return mix64(sums + lengths.astype(U64) * U64(0xA0761D6478BD642F)), at[begin], lengths
+
+
 def _hash_slice(raw: np.ndarray, starts_of_docs: np.ndarray, table: np.ndarray, in_word: np.ndarray):
     """Hashes and first bytes of the words of one slice; documents also break words."""
     mask = in_word[raw]
-    if not mask.any():
-        return np.zeros(0, U64), np.zeros(0, np.int64)
     first = mask.copy()
     first[1:] &= ~mask[:-1]
     inside = starts_of_docs[starts_of_docs < len(raw)]
     first[inside] = mask[inside]
-    at = np.flatnonzero(mask)
-    begin = np.flatnonzero(first[at])          # index among word bytes
-    lengths = np.diff(np.append(begin, len(at)))
-    pos = np.arange(len(at)) - np.repeat(begin, lengths)
-    power = np.multiply.accumulate(np.full(int(lengths.max()), _MULT, dtype=U64))
-    sums = np.add.reduceat(table[raw[at]] * power[pos], begin)
-    return mix64(sums + lengths.astype(U64) * U64(0xA0761D6478BD642F)), at[begin]
+    return run_hashes(raw, mask, first, table)[:2]
 
 
 def hashed_words(column: pa.Array, in_word: np.ndarray, lower: bool) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -81,7 +87,7 @@ def hashed_words(column: pa.Array, in_word: np.ndarray, lower: bool) -> Iterator
     ``SLICE_BYTES`` bytes; a longer document is hashed piecewise, cut at separators."""
     data, off = string_buffers(column)
     fold = _LOWER if lower else _IDENTITY
-    table = _TABLE[fold]
+    table = BYTE_TABLE[fold]
     word = in_word[fold]
     n, i = len(off) - 1, 0
     while i < n:
