@@ -50,31 +50,29 @@ class BayesCounts:
     n_keys: int = 0
 
 
-# extra fit scopes by name -> row predicate (e.g. a "recent" window of train days)
-SCOPE_PREDICATES: dict[str, Column] = {}
-
-
-def _scope_pred(scope: str) -> Column:
-    if scope in SCOPE_PREDICATES:
-        return SCOPE_PREDICATES[scope]
+def _scope_pred(scope: str, predicates: dict[str, Column]) -> Column:
+    if scope in predicates:
+        return predicates[scope]
     if scope == "unified":
         return F.lit(True)
     return F.col("set") == F.lit(scope)
 
 
 def fit_counts(encoded: DataFrame, goals: list[str], scopes=("train",), combinations: bool = False,
-               min_count: int = 1, prune_singles: bool = True) -> BayesCounts:
+               min_count: int = 1, prune_singles: bool = True,
+               predicates: dict[str, Column] | None = None) -> BayesCounts:
     """L1 for every scope and goal in one pass.
 
-    ``min_count`` drops keys seen fewer times than the smallest threshold that will be
+    ``predicates`` names extra fit scopes by row condition (e.g. a "recent" window of train
+    days). ``min_count`` drops keys seen fewer times than the smallest threshold that will be
     used (exact: a threshold is applied on the same total). With combinations, a pair
-    can only reach the threshold if both its singles do, so pairs of rare singles
-    are removed before the aggregation (semi joins against the single counts).
+    can only reach the threshold if both its singles do, so rare singles leave the rows
+    (semi join against the single counts) before any pair is made.
     """
     scopes = list(scopes)
     aggs, tot = [], []
     for s in scopes:
-        pred = _scope_pred(s)
+        pred = _scope_pred(s, predicates or {})
         aggs.append(F.sum(F.when(pred, 1).otherwise(0)).cast("long").alias(f"n_{s}"))
         tot.append(F.sum(F.when(pred, 1).otherwise(0)).cast("long").alias(f"n_{s}"))
         for g in goals:
@@ -87,17 +85,13 @@ def fit_counts(encoded: DataFrame, goals: list[str], scopes=("train",), combinat
     ns = [F.col(f"n_{s}") for s in scopes]
     keep = (ns[0] if len(ns) == 1 else F.greatest(*ns)) >= min_count
     if combinations and prune_singles and min_count > 1:
-        singles = fit_counts(encoded, goals, scopes, False, min_count, False)
-        ok = singles.keys.select(F.col("i").alias("_ok"))
-        ex = rows.select(F.explode(key_array(F.col("features"), True)).alias("k"), *carry, *goals) \
-                 .select("k.i", "k.j", *carry, *goals)
-        okb = maybe_broadcast(ok, singles.n_keys)
-        ex = ex.join(okb, ex.i == okb._ok, "left_semi")
-        okb2 = maybe_broadcast(ok.select(F.col("_ok").alias("_ok2")), singles.n_keys)
-        ex = ex.join(okb2, ex.j == okb2._ok2, "left_semi")
-    else:
-        ex = rows.select(F.explode(key_array(F.col("features"), combinations)).alias("k"), *carry, *goals) \
-                 .select("k.i", "k.j", *carry, *goals)
+        singles = fit_counts(encoded, goals, scopes, False, min_count, False, predicates)
+        ok = maybe_broadcast(singles.keys.select(F.col("i").alias("_f")), singles.n_keys)
+        same = [F.first(c).alias(c) for c in (*carry, *goals)]
+        rows = (encoded.select("row_id", *carry, *goals, F.explode("features").alias("_f")).join(ok, "_f", "left_semi")
+                .groupBy("row_id").agg(*same, F.array_sort(F.collect_set("_f")).alias("features")))
+    ex = rows.select(F.explode(key_array(F.col("features"), combinations)).alias("k"), *carry, *goals) \
+             .select("k.i", "k.j", *carry, *goals)
     keys, kstats = cut_lineage_observed(ex.groupBy("i", "j").agg(*aggs).where(keep), "counts",
                                         {"n_keys": F.count(F.lit(1))})
     return BayesCounts(keys=keys, totals=totals_row, goals=list(goals), scopes=scopes,
@@ -158,10 +152,18 @@ def model_constants(counts: BayesCounts, params: DataFrame, specs: list[ModelSpe
     return row.select(F.explode(F.array(*arr)).alias("m")).select("m.*")
 
 
+# Log-odds are kept to this step: sums of the same terms in another order differ by about
+# 1e-13, and rows with equal evidence must tie exactly for the rank metrics.
+LOG_ODDS_STEP = 1e9
+
+
+def log_odds(l1: Column, l0: Column) -> Column:
+    return F.floor((l1 - l0) * LOG_ODDS_STEP + 0.5) / LOG_ODDS_STEP
+
+
 def probability(l1: Column, l0: Column) -> Column:
-    """exp(l1 - logsumexp(l0, l1)), computed stably around the larger term."""
-    m = F.greatest(l1, l0)
-    return F.exp(l1 - (m + F.ln(F.exp(l1 - m) + F.exp(l0 - m))))
+    """P(class 1) = 1 / (1 + exp(l0 - l1)), from the log-odds."""
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-log_odds(l1, l0)))
 
 
 @dataclass
@@ -170,16 +172,11 @@ class ScoredModels:
     constants: DataFrame
 
 
-def score_models(rows: DataFrame, counts: BayesCounts, specs: list[ModelSpec], keep: list[str],
-                 combinations: bool | None = None, params: DataFrame | None = None) -> ScoredModels:
-    """H1 for many models: one explode, one (broadcast) key join, one ``groupBy(row)``.
-
-    ``keep`` are row columns carried to the output (must identify the row). A row
-    without a known key scores the baseline (``zero_total + prior``).
-    """
+def _row_sums(rows: DataFrame, counts: BayesCounts, specs: list[ModelSpec], keep: list[str],
+              combinations: bool | None, params: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(keep..., goals..., sp__<model>, sn__<model>...): one explode, one key join, one
+    ``groupBy(row)`` for all models."""
     combos = counts.combinations if combinations is None else combinations
-    params = params if params is not None else key_params(counts)
-    consts = model_constants(counts, params, specs)
     needed = {"i", "j"}
     for m in specs:
         needed |= {f"n_{m.scope}", f"adjp_{m.scope}_{m.goal}", f"adjn_{m.scope}_{m.goal}"}
@@ -187,9 +184,8 @@ def score_models(rows: DataFrame, counts: BayesCounts, specs: list[ModelSpec], k
     keys = params.select(*sorted(needed))
     freq = F.greatest(*[F.col(f"n_{s}") for s in scopes]) if len(scopes) > 1 else F.col(f"n_{scopes[0]}")
     keys = keys.withColumn("_freq", freq)
-    goals_needed = sorted({m.goal for m in specs})
-    ex = rows.select(*keep, *[g for g in goals_needed if g not in keep],
-                     F.explode_outer(key_array(F.col("features"), combos)).alias("k"))
+    labels = [g for g in sorted({m.goal for m in specs}) if g in rows.columns and g not in keep]
+    ex = rows.select(*keep, *labels, F.explode_outer(key_array(F.col("features"), combos)).alias("k"))
     ex = ex.select("*", F.col("k.i").alias("i"), F.col("k.j").alias("j")).drop("k")
     total = max(int(counts.totals.get(f"n_{s}", 0) or 0) for s in counts.scopes)
     joined = lookup_join(ex, keys, ["i", "j"], counts.n_keys, "_freq", total, "left")
@@ -198,9 +194,24 @@ def score_models(rows: DataFrame, counts: BayesCounts, specs: list[ModelSpec], k
         member = F.col(f"n_{m.scope}") >= m.threshold
         aggs += [F.sum(F.when(member, F.col(f"adjp_{m.scope}_{m.goal}")).otherwise(0.0)).alias(f"sp__{m.model_id}"),
                  F.sum(F.when(member, F.col(f"adjn_{m.scope}_{m.goal}")).otherwise(0.0)).alias(f"sn__{m.model_id}")]
-    group = list(keep) + [g for g in goals_needed if g not in keep]
-    per_row = joined.groupBy(*group).agg(*aggs)
-    arr = F.array(*[F.struct(F.lit(m.model_id).alias("model_id"), F.col(m.goal).cast("int").alias("y"),
+    return joined.groupBy(*keep, *labels).agg(*aggs), labels
+
+
+def score_models(rows: DataFrame, counts: BayesCounts, specs: list[ModelSpec], keep: list[str],
+                 combinations: bool | None = None, params: DataFrame | None = None) -> ScoredModels:
+    """H1 for many models: one explode, one (broadcast) key join, one ``groupBy(row)``.
+
+    ``keep`` are row columns carried to the output (must identify the row). A row
+    without a known key scores the baseline (``zero_total + prior``). ``y`` is the row's
+    label where the rows have one.
+    """
+    params = params if params is not None else key_params(counts)
+    consts = model_constants(counts, params, specs)
+    per_row, labels = _row_sums(rows, counts, specs, keep, combinations, params)
+
+    def label(m):
+        return F.col(m.goal).cast("int") if m.goal in labels or m.goal in keep else F.lit(None).cast("int")
+    arr = F.array(*[F.struct(F.lit(m.model_id).alias("model_id"), label(m).alias("y"),
                              F.col(f"sp__{m.model_id}").alias("sp"), F.col(f"sn__{m.model_id}").alias("sn"))
                     for m in specs])
     long = per_row.select(*keep, F.explode(arr).alias("_m")).select(*keep, "_m.*")
@@ -209,27 +220,45 @@ def score_models(rows: DataFrame, counts: BayesCounts, specs: list[ModelSpec], k
     l0 = F.col("zero_n") + F.col("prior_n") + F.coalesce(F.col("sn"), F.lit(0.0))
     out = long.select(*keep, "model_id", "y", l1.alias("l1"), l0.alias("l0"))
     out = out.withColumn("prob", probability(F.col("l1"), F.col("l0"))) \
-             .withColumn("pred", (F.col("l1") > F.col("l0")).cast("int"))
+             .withColumn("pred", (log_odds(F.col("l1"), F.col("l0")) > 0).cast("int"))
     return ScoredModels(scores=out, constants=consts)
 
 
-def mix_probabilities(hist: DataFrame, recent: DataFrame, keys: list[str], alpha: float,
-                      use_recent: bool = True) -> DataFrame:
-    """L3: ``alpha * p_hist + (1 - alpha) * p_recent``; the historical probability alone
-    when the recent model is absent or alpha >= 1."""
-    if not use_recent or alpha >= 1.0:
-        return hist.select(*keys, F.col("prob"))
-    h = hist.select(*keys, F.col("prob").alias("_ph"))
-    r = recent.select(*keys, F.col("prob").alias("_pr"))
-    return h.join(r, keys).select(*keys, (F.lit(alpha) * F.col("_ph") + F.lit(1.0 - alpha) * F.col("_pr")).alias("prob"))
+def mixed_scores(rows: DataFrame, counts: BayesCounts, hist: ModelSpec, recent: ModelSpec, keep: list[str],
+                 alpha: float, use_recent: bool = True) -> DataFrame:
+    """L3 in one scoring pass: both models' probabilities are columns of one row, mixed as
+    ``alpha * p_hist + (1 - alpha) * p_recent``; the historical one alone when the recent
+    model is absent or alpha >= 1. Output (keep..., prob)."""
+    specs = [hist, recent] if use_recent and alpha < 1.0 else [hist]
+    params = key_params(counts)
+    per_row, _ = _row_sums(rows, counts, specs, keep, None, params)
+    probs = []
+    for m in model_constants(counts, params, specs).collect():  # one row per model
+        l1 = F.lit(m["zero_p"]) + F.lit(m["prior_p"]) + F.coalesce(F.col(f"sp__{m['model_id']}"), F.lit(0.0))
+        l0 = F.lit(m["zero_n"]) + F.lit(m["prior_n"]) + F.coalesce(F.col(f"sn__{m['model_id']}"), F.lit(0.0))
+        probs.append((m["model_id"], probability(l1, l0)))
+    prob = dict(probs)
+    if len(specs) == 1:
+        return per_row.select(*keep, prob[hist.model_id].alias("prob"))
+    mixed = F.lit(alpha) * prob[hist.model_id] + F.lit(1.0 - alpha) * prob[recent.model_id]
+    return per_row.select(*keep, mixed.alias("prob"))
+
+
+def incremental_alpha(recent_positives: int) -> tuple[float, bool]:
+    """L3, incremental variant: (alpha, use recent) - 0.5/0.5, used only when the recent model
+    saw at least 20 positives; otherwise the historical probability alone."""
+    from goalcast.constants import RECENT_MIN_POSITIVES, RECENT_WEIGHT_INCREMENTAL
+    return 1.0 - RECENT_WEIGHT_INCREMENTAL, recent_positives >= RECENT_MIN_POSITIVES
 
 
-def incremental_mix(hist: DataFrame, recent: DataFrame, keys: list[str], recent_positives: int) -> DataFrame:
-    """L3, incremental variant: 0.5/0.5 mix, used only when the recent model saw at
-    least 20 positives; otherwise the historical probability alone."""
-    from goalcast.constants import RECENT_MIN_POSITIVES, RECENT_WEIGHT_INCREMENTAL
-    use = recent_positives >= RECENT_MIN_POSITIVES and RECENT_WEIGHT_INCREMENTAL > 0
-    return mix_probabilities(hist, recent, keys, 1.0 - RECENT_WEIGHT_INCREMENTAL, use_recent=use)
+def counts_from_model(model: dict, goal: str, scope: str = "model") -> BayesCounts:
+    """A model read back from its folder (S7: keys with positive and negative counts, label
+    totals) in the form that scoring takes."""
+    keys = model["keys"].select("i", "j", (F.col("pos") + F.col("neg")).alias(f"n_{scope}"), F.col("pos").alias(f"pos_{scope}_{goal}"))
+    size = keys.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("i") != F.col("j")).alias("pairs")).collect()[0]  # one row
+    t = model["totals"]
+    return BayesCounts(keys=keys, totals={f"n_{scope}": t["pos"] + t["neg"], f"pos_{scope}_{goal}": t["pos"]},
+                       goals=[goal], scopes=[scope], combinations=size["pairs"] > 0, n_keys=size["n"])
 
 
 def bernoulli_nb_params(counts: BayesCounts, scope: str, goal: str, alpha: float, fit_prior: bool,

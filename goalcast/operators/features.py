@@ -26,12 +26,7 @@ from pyspark.sql import functions as F
 
 from goalcast.constants import DUMMY_FEATURE, LOCATION_FAMILIES_OBSERVED, OTHER
 from goalcast.plans.indexing import dense_index, lookup_join, maybe_broadcast
-
-# Dictionaries up to this many features are ranked by a single ordered window
-# (one sort of at most this many short strings); larger ones use the distributed
-# range-partition + offsets index.
-LOCAL_INDEX_LIMIT = 1_000_000
-from goalcast.session import cut_lineage, cut_lineage_observed
+from goalcast.session import cut_lineage_observed
 
 
 def list_tokens(c) -> Column:
@@ -125,12 +120,7 @@ def build_dictionary(levels: DataFrame, threshold: int,
         level_stats = levels.agg(F.count(F.lit(1)).alias("n_levels"),
                                  F.sum(F.when(F.col("grp") == 0, F.col("n"))).alias("n_cells")).collect()[0].asDict()
     n_levels = int(level_stats["n_levels"])
-    order = [F.col("grp"), F.col("name")]
-    if n_levels <= LOCAL_INDEX_LIMIT:
-        # checked bound: a dictionary this small is ranked by one ordered window
-        indexed = slots.withColumn("idx", (F.row_number().over(Window.orderBy(*order)) - 1).cast("int"))
-    else:
-        indexed = dense_index(slots, order)
+    indexed = dense_index(slots, [F.col("grp"), F.col("name")])
     indexed, istats = cut_lineage_observed(indexed, "dictionary", {"size": F.count(F.lit(1))})
     size = int(istats["size"])
     lookup = entries.join(maybe_broadcast(indexed.select("grp", "name", "idx"), n_levels), ["grp", "name"]) \
@@ -168,9 +158,16 @@ def one_hot(df: DataFrame, attribute_cols: list[str], list_cols: list[str], carr
             threshold: int, families: list[str] | None = None,
             constant_feature: bool = False) -> tuple[DataFrame, FeatureDictionary]:
     """Full feature build: dictionary from the level counts, then the encoded rows."""
+    dictionary = feature_dictionary(df, attribute_cols, list_cols, threshold, families, constant_feature)
     cells = feature_cells(df, attribute_cols, list_cols, carry)
+    return encode_rows(cells, dictionary, carry, constant_feature), dictionary
+
+
+def feature_dictionary(df: DataFrame, attribute_cols: list[str], list_cols: list[str], threshold: int,
+                       families: list[str] | None = None, constant_feature: bool = False) -> FeatureDictionary:
+    """The dictionary alone: one aggregation over the rows, nothing is encoded."""
+    cells = feature_cells(df, attribute_cols, list_cols, [])
     levels, stats = cut_lineage_observed(level_counts(cells), "levels", {
         "n_levels": F.count(F.lit(1)), "n_cells": F.sum(F.when(F.col("grp") == 0, F.col("n")))})
     stats["n_attr_cols"] = len(attribute_cols)
-    dictionary = build_dictionary(levels, threshold, families, constant_feature, stats)
-    return encode_rows(cells, dictionary, carry, constant_feature), dictionary
+    return build_dictionary(levels, threshold, families, constant_feature, stats)

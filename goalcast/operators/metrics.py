@@ -7,10 +7,8 @@ nothing is collected. AUC is exact with ties counted half:
     AUC = sum over distinct scores s of pos(s) * (neg(< s) + neg(s) / 2) / (P * N)
 
 ``neg(< s)`` is a prefix sum over the distinct scores of a group. To keep one group
-from landing in a single task, scores are cut into monotone buckets (equal-width
-cells of the log-odds): prefix sums run per (group, bucket) and a per-bucket offset
-(a table of groups x buckets rows) is added. Any monotone bucketing is exact; the
-buckets only spread the work.
+from landing in a single task, the distinct scores are range-partitioned by (group, score):
+prefix sums run per (group, partition) and an offset per (group, partition) is added.
 """
 
 from __future__ import annotations
@@ -21,8 +19,6 @@ from pyspark.sql import functions as F
 from goalcast.constants import LOG_LOSS_EPS
 from goalcast.session import cut_lineage
 
-AUC_BUCKETS = 256
-
 
 def _div0(a: Column, b: Column) -> Column:
     """a / b, 0 when undefined."""
@@ -39,32 +35,25 @@ def score_table(scored: DataFrame, group: list[str], y: str = "y", score: str =
         F.sum(F.col(y)).cast("long").alias("_pos"), F.sum(1 - F.col(y)).cast("long").alias("_neg"))
 
 
-def score_bucket(s: Column, buckets: int = AUC_BUCKETS) -> Column:
-    """Monotone bucket of a probability: equal-width cells of its log-odds (clipped to
-    +-40), so scores crowded near 0 or 1 are still spread; plain arithmetic, codegen."""
-    p = F.least(F.greatest(s, F.lit(1e-300)), F.lit(1.0 - 1e-16))
-    logit = F.least(F.greatest(F.ln(p) - F.ln(1.0 - p), F.lit(-40.0)), F.lit(40.0))
-    return F.width_bucket(logit, F.lit(-40.0), F.lit(40.0001), F.lit(buckets))
-
-
-def roc_auc_from_table(t: DataFrame, group: list[str], buckets: int = AUC_BUCKETS) -> DataFrame:
-    """Exact AUC in one shuffle of the folded table: rows are clustered by
-    (group, bucket); distinct scores, the in-bucket prefix sums and the per-bucket
-    totals all run on that clustering; the cross-bucket part
-    sum_b P_b * N(buckets before b) is computed on the groups x buckets table."""
-    b = score_bucket(F.col("_s"), buckets)
-    clustered = t.where(F.col("_s").isNotNull()).withColumn("_bk", b).repartition(*group, "_bk")
-    dist = clustered.groupBy(*group, "_bk", "_s").agg(
+def roc_auc_from_table(t: DataFrame, group: list[str]) -> DataFrame:
+    """Exact AUC from the folded table: distinct scores are range-partitioned by (group,
+    score) - boundaries come from the scores themselves, so partitions are even whatever
+    their distribution -, prefix sums run inside a partition, and the cross-partition part
+    sum_p P_p * N(partitions before p) is computed on one row per (group, partition)."""
+    dist = t.where(F.col("_s").isNotNull()).groupBy(*group, "_s").agg(
         F.sum("_pos").cast("long").alias("_pos"), F.sum("_neg").cast("long").alias("_neg"))
+    parts = int(t.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # written with its partition number, so a retried task cannot see other boundaries
+    placed = cut_lineage(dist.repartitionByRange(parts, *group, "_s").withColumn("_bk", F.spark_partition_id()), "auc-ranges")
     wb = Window.partitionBy(*group, "_bk").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    d = dist.withColumn("_below", F.coalesce(F.sum("_neg").over(wb), F.lit(0)))
+    d = placed.withColumn("_below", F.coalesce(F.sum("_neg").over(wb), F.lit(0)))
     inner = F.col("_pos") * (F.col("_below") + F.col("_neg") * 0.5)
-    per_bucket = d.groupBy(*group, "_bk").agg(F.sum(inner).alias("_in"), F.sum("_pos").alias("_bp"),
-                                              F.sum("_neg").alias("_bn"))
+    per_part = d.groupBy(*group, "_bk").agg(F.sum(inner).alias("_in"), F.sum("_pos").alias("_bp"),
+                                            F.sum("_neg").alias("_bn"))
     wo = Window.partitionBy(*group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.withColumn("_off", F.coalesce(F.sum("_bn").over(wo), F.lit(0)))
-    agg = per_bucket.groupBy(*group).agg(F.sum(F.col("_in") + F.col("_bp") * F.col("_off")).alias("_c"),
-                                         F.sum("_bp").alias("_P"), F.sum("_bn").alias("_N"))
+    per_part = per_part.withColumn("_off", F.coalesce(F.sum("_bn").over(wo), F.lit(0)))
+    agg = per_part.groupBy(*group).agg(F.sum(F.col("_in") + F.col("_bp") * F.col("_off")).alias("_c"),
+                                       F.sum("_bp").alias("_P"), F.sum("_bn").alias("_N"))
     auc = F.when((F.col("_P") > 0) & (F.col("_N") > 0),
                  F.col("_c") / (F.col("_P").cast("double") * F.col("_N").cast("double")))
     return agg.select(*group, auc.alias("roc_auc"))
@@ -85,10 +74,9 @@ def confusion_from_table(t: DataFrame, group: list[str]) -> DataFrame:
                                  c("_pos", 0).alias("fn"), c("_pos", 1).alias("tp"))
 
 
-def roc_auc(scored: DataFrame, group: list[str], y: str = "y", score: str = "prob",
-            buckets: int = AUC_BUCKETS) -> DataFrame:
+def roc_auc(scored: DataFrame, group: list[str], y: str = "y", score: str = "prob") -> DataFrame:
     """(group..., roc_auc); null when a group lacks one of the classes or has no score."""
-    return roc_auc_from_table(score_table(scored, group, y, score, score), group, buckets)
+    return roc_auc_from_table(score_table(scored, group, y, score, score), group)
 
 
 def log_loss(scored: DataFrame, group: list[str], y: str = "y", score: str = "prob") -> DataFrame:

@@ -8,6 +8,7 @@ Spec entry: ``{"name", "field", "type"?, "function"?, "const"?, "other"?, "other
 * type 1: one feature per element of the list at the path
 * type 2: a registered function ``fn(name, json_col, path, ts_col) -> Column``
   returning a string or an array of strings
+* ``other_field``: a second path, read where the first yields no feature
 * type 3: the field exists -> ``name + const`` (or ``name + value`` without const);
   missing -> ``name + other`` when ``other`` is given
 
@@ -103,6 +104,8 @@ def _needs(spec: list[dict]) -> list[tuple[str, str]]:
     out = []
     for e in spec:
         typ, field = e.get("type", 0), e["field"]
+        if "other_field" in e:                                  # read where the first path is absent
+            out += _needs([{**{k: v for k, v in e.items() if k != "other_field"}, "field": e["other_field"]}])
         if typ == 1:
             out.append((field, "array"))
         elif typ == 2:
@@ -151,6 +154,10 @@ def _merge(a: dict, b: dict) -> dict:
 def spec_column(entry: dict, acc: Accessor, ts: Column) -> Column:
     """array<string> of the features one spec entry yields for a request."""
     name, field, typ = entry["name"], entry["field"], entry.get("type", 0)
+    if "other_field" in entry:
+        first = {k: v for k, v in entry.items() if k != "other_field"}
+        found = F.array_compact(spec_column(first, acc, ts))
+        return F.when(F.size(found) > 0, found).otherwise(spec_column({**first, "field": entry["other_field"]}, acc, ts))
     if typ == 1:
         arr = acc.array(field)
         return F.coalesce(F.transform(arr, lambda v: F.concat(F.lit(name), v)), F.array().cast("array<string>"))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goalcast.operators import bayes as B
-from goalcast.plans.indexing import maybe_broadcast
+from goalcast.plans.indexing import lookup_join
 
 
 def cr_step(prob: Column, thresholds: list[float] | None, crs: list[float] | None) -> Column:
@@ -59,13 +59,20 @@ def best_agent(scored: DataFrame, key: str, agent: str = "agent", score: str = "
     return scored.groupBy(key).agg(best.alias("_b")).select(key, *[F.col(f"_b.{c}").alias(c) for c in cols])
 
 
-def names_to_indices(rows: DataFrame, key: str, names_col: str, dictionary: DataFrame, n_dict: int) -> DataFrame:
-    """P7 + H2: feature names -> sorted distinct known indices (unknown names dropped,
-    rows without a known name kept with an empty array)."""
-    ex = rows.select(key, F.explode_outer(names_col).alias("name"))
-    d = maybe_broadcast(dictionary.select("name", "idx"), n_dict)
-    j = ex.join(d, "name", "left")
-    return j.groupBy(key).agg(F.array_sort(F.collect_set("idx")).alias("features"))
+def names_to_indices(rows: DataFrame, key: str | list[str], names_col: str, dictionary: DataFrame, n_dict: int,
+                     freq_col: str | None = None, total_rows: int | None = None) -> DataFrame:
+    """P7 + H2: feature names -> sorted distinct known indices ``features`` and their names
+    ``known`` in the same order (unknown names dropped, rows without a known name kept with
+    empty arrays). With ``freq_col`` (how often a name occurs) a dictionary beyond the broadcast
+    bound is joined with its frequent names split off."""
+    keys = [key] if isinstance(key, str) else key
+    ex = rows.select(*keys, F.explode_outer(names_col).alias("name"))
+    d = dictionary.select("name", "idx", *([freq_col] if freq_col else []))
+    j = lookup_join(ex, d, ["name"], n_dict, freq_col, total_rows, "left")
+    pairs = F.array_sort(F.collect_set(F.when(F.col("idx").isNotNull(), F.struct("idx", "name"))))
+    return (j.groupBy(*keys).agg(pairs.alias("_p"))
+            .select(*keys, F.transform("_p", lambda p: p["idx"]).alias("features"),
+                    F.transform("_p", lambda p: p["name"]).alias("known")))
 
 
 def used_combinations(features: Column, names_by_idx: Column) -> Column:

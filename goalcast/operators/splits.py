@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,20 +35,9 @@ def stratified_set(row_id: Column, seed: int = SPLIT_SEED) -> Column:
     return F.when(hash_bucket(row_id, seed) < int(TRAIN_FRACTION * 100), F.lit("train")).otherwise(F.lit("test"))
 
 
-def assign_sets(df: DataFrame, day_col: str = "day_ts", row_col: str = "row_id",
-                min_days: int = MIN_DAYS_FOR_TEMPORAL_SPLIT) -> DataFrame:
-    """Temporal split when the data spans at least ``min_days`` days, else the hash
-    split. Only the distinct-day count reaches the driver."""
-    days = day_sets(df, day_col)
-    n_days = days.count()
-    if n_days >= min_days:
-        # one row per day: bounded, broadcast
-        return df.join(F.broadcast(days.withColumnRenamed("day_ts", day_col)), day_col, "left")
-    return df.withColumn("set", stratified_set(F.col(row_col)))
-
-
 def unified(df: DataFrame) -> DataFrame:
-    """Train + test as one set; per-set weights already computed are kept."""
+    """Train + test as one set; other columns, so also per-set weights already
+    computed, are kept as they are."""
     return df.withColumn("set", F.lit("unified"))
 
 
@@ -88,3 +79,20 @@ def stratified_exact(df: DataFrame, label: str, row_col: str = "row_id", seed: i
     edge = edge.withColumn("set", F.when(rk <= F.col("_take"), F.lit("train")).otherwise(F.lit("test")))
     cols = [c for c in df.columns] + ["set"]
     return full.select(*cols).unionByName(edge.select(*cols))
+
+
+def assign_sets(df: DataFrame, days: list, n_null_days: int, stratify_by: str, day_col: str = "day_ts",
+                min_days: int = MIN_DAYS_FOR_TEMPORAL_SPLIT) -> DataFrame:
+    """The flow's split from the distinct days of ``df`` (one per calendar day): U1 when there
+    are at least ``min_days`` - sorted as integers, the first floor(0.75 * n) are train; the day
+    table is broadcast -, else U2 stratified by one label. A row without a day has no place in
+    the temporal split, so it is an error there."""
+    days = sorted((d for d in days if d is not None), key=int)
+    if len(days) < min_days:
+        return stratified_exact(df, stratify_by)
+    if n_null_days:
+        raise ValueError(f"{n_null_days} rows have no {day_col}; the temporal split needs one for every row")
+    n_train = math.floor(TRAIN_FRACTION * len(days))
+    table = df.sparkSession.createDataFrame(
+        [(d, "train" if k < n_train else "test") for k, d in enumerate(days)], f"{day_col} string, set string")
+    return df.join(F.broadcast(table), day_col, "left")          # one row per day

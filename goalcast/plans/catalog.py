@@ -15,19 +15,17 @@ from goalcast.operators import labels as L
 from goalcast.operators import metrics as M
 from goalcast.operators import selection as S
 from goalcast.operators import splits as U
-from goalcast.operators.features import feature_cells, level_counts, one_hot, rare_levels
+from goalcast.operators.features import feature_cells, feature_dictionary, level_counts, one_hot, rare_levels
 from goalcast.constants import LOCATION_FAMILIES, HYPER_PARAMETERS
 from goalcast.plans.fixtures import (FIXTURE_ATTRIBUTE_COLUMNS, FIXTURE_GOALS, FIXTURE_LIST_COLUMNS,
                                      FIXTURE_RARITY, impressions)
-from goalcast.plans.prepare import Prepared, derive_raw_features, prepared_impressions, with_split
-from goalcast.session import cut_lineage, prepare
+from goalcast.plans import training as TR
+from goalcast.plans.prepare import Prepared, derive_raw_features, prepared_impressions
+from goalcast.session import cut_lineage, prepare, read_table
 
 ROUND = 6
-SCORE_ROUND = 10
 GRID_THRESHOLDS = HYPER_PARAMETERS["POLY2BAYES"]["rarity_threshold"]
 SCORE_THRESHOLD = 5
-VALID_GOALS = ["click", "buy", "register", "video_ad_start"]
-
 _memo: dict = {}
 
 
@@ -114,12 +112,18 @@ def q_one_hot_lists(spark, sf_dir):
     return _partial_one_hot(spark, sf_dir, [], FIXTURE_LIST_COLUMNS)
 
 
+def _dictionary(spark, sf_dir, families=None):
+    """The dictionary alone; rows are not encoded for it."""
+    d = derive_raw_features(impressions(spark, sf_dir))
+    return feature_dictionary(d, FIXTURE_ATTRIBUTE_COLUMNS, FIXTURE_LIST_COLUMNS, FIXTURE_RARITY, families).names
+
+
 def q_feature_dictionary(spark, sf_dir):
-    return prepared(spark, sf_dir).dictionary.names.select("idx", "name")
+    return _dictionary(spark, sf_dir).select("idx", "name")
 
 
 def q_patch_location(spark, sf_dir):
-    return prepared(spark, sf_dir, families=tuple(LOCATION_FAMILIES)).dictionary.names.select("idx", "name")
+    return _dictionary(spark, sf_dir, LOCATION_FAMILIES).select("idx", "name")
 
 
 def q_constant_feature(spark, sf_dir):
@@ -202,26 +206,30 @@ def _scored(spark, sf_dir, goals, thresholds, scope="train"):
 
 
 def q_bayes_score(spark, sf_dir):
-    s = _scored(spark, sf_dir, ["click"], [SCORE_THRESHOLD]).where(F.col("set") == "test")
+    s = _scored(spark, sf_dir, ["click"], [SCORE_THRESHOLD])
     return s.select("row_id", r("l1").alias("l1"), r("l0").alias("l0"), r("prob").alias("prob"), "pred")
 
 
-def _metric_cols():
-    return [r(m).alias(m) for m in M.METRICS]
-
-
 def q_evaluate_sets(spark, sf_dir):
-    s = _scored(spark, sf_dir, ["click"], [SCORE_THRESHOLD]).withColumn("prob", r("prob", SCORE_ROUND))
-    ev = M.evaluate_sets(s, ["goal"])
+    ev = M.evaluate_sets(_scored(spark, sf_dir, ["click"], [SCORE_THRESHOLD]), ["goal"])
     return ev.select("goal", *[r(c).alias(c) for c in ev.columns if c != "goal"])
 
 
+def goal_list(spark, sf_dir) -> list[str]:
+    """Goals with enough examples of both classes in every set (P4), in request order."""
+    k = _key(spark, "goals", sf_dir)
+    if k not in _memo:
+        _memo[k] = TR.valid_goal_list(prepared(spark, sf_dir), FIXTURE_GOALS)
+    return _memo[k]
+
+
 def _grid(spark, sf_dir):
-    s = _scored(spark, sf_dir, VALID_GOALS, GRID_THRESHOLDS).withColumn("prob", r("prob", SCORE_ROUND))
-    ev = M.evaluate_sets(s, ["goal", "threshold"])
-    ev = ev.select("goal", "threshold", *[r(c).alias(c) for c in ev.columns if c not in ("goal", "threshold")])
-    return ev.withColumn("config_id", F.array_position(F.array(*[F.lit(t) for t in GRID_THRESHOLDS]),
-                                                         F.col("threshold")).cast("int") - 1)
+    """The training run's own grid: every valid goal x threshold, metrics as computed."""
+    k = _key(spark, "grid", sf_dir)
+    if k not in _memo:
+        ev, _ = TR.bayes_grid(prepared(spark, sf_dir), goal_list(spark, sf_dir), GRID_THRESHOLDS, counts(spark, sf_dir))
+        _memo[k] = cut_lineage(ev.withColumnRenamed("rarity_threshold", "threshold"), "grid")
+    return _memo[k]
 
 
 def q_grid_search_bayes(spark, sf_dir):
@@ -240,10 +248,11 @@ def q_select_best(spark, sf_dir):
 # ---------------------------------------------------------------- metrics on the raw score (M1-M5)
 
 def _score_frame(spark, sf_dir):
-    imp = impressions(spark, sf_dir)
-    return imp.select("device_os", F.col("click").alias("y"),
-                      r(F.col("score") / 500.0, SCORE_ROUND).alias("prob"),
-                      (F.col("score") > 50).cast("int").alias("pred"))
+    """Raw scores of the events (the metrics need none of the joined columns)."""
+    e = read_table(spark, sf_dir, "events")
+    return e.select(F.concat(F.lit("os"), (F.col("event_id") % 4).cast("string")).alias("device_os"),
+                    (F.col("event_type") == "click").cast("int").alias("y"), (F.col("value") / 500.0).alias("prob"),
+                    (F.col("value") > 50).cast("int").alias("pred"))
 
 
 def q_roc_auc(spark, sf_dir):

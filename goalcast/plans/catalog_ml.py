@@ -4,45 +4,35 @@ families (L5-L10), grid search for an ML family and the full training run (M10).
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T_
 
-from goalcast.constants import HYPER_PARAMETERS
-from goalcast.operators import bayes as B
 from goalcast.operators import labels as L
 from goalcast.operators import linear as LN
 from goalcast.operators import metrics as M
-from goalcast.operators import serving as SV
+from goalcast.operators import selection as S
 from goalcast.operators import trees as T
-from goalcast.operators.requests import REQUEST_SPEC, parse_requests, request_feature_array
-from goalcast.operators.vectors import to_vectors
+from goalcast.operators.requests import REQUEST_SPEC
 from goalcast.plans import training as TR
-from goalcast.plans.catalog import SCORE_THRESHOLD, _scored, counts, prepared, r
-from goalcast.plans.catalog_more import CR_RATES, CR_THRESHOLDS, request_frame, run_params
+from goalcast.plans.catalog import SCORE_THRESHOLD, _scored, prepared, r
+from goalcast.plans.catalog_more import CR_RATES, CR_THRESHOLDS, request_frame, run_params, run_stats_rounded, written_model
 from goalcast.plans.fixtures import FIXTURE_GOALS
-from goalcast.session import scratch_path
+from goalcast.plans.requests_flow import score_requests
+from goalcast.session import cut_lineage, scratch_path
 from goalcast.sinks import writers as W
 from goalcast.streaming import scoring as ST
 
-METRIC_SCHEMA = T_.StructType(
-    [T_.StructField("goal", T_.StringType()), T_.StructField("config_id", T_.IntegerType()),
-     T_.StructField("params", T_.StringType())]
-    + [T_.StructField(f"{m}_{s}", T_.DoubleType()) for s in ("train", "test") for m in M.METRICS])
-
-
-def _metrics_frame(spark, rows):
-    return spark.createDataFrame([{f.name: row.get(f.name) for f in METRIC_SCHEMA.fields} for row in rows], METRIC_SCHEMA)
-
-
 # ---------------------------------------------------------------- export sinks (K1-K3)
 
 
 def q_matrix_export(spark, sf_dir):
+    """Matrix of every set with its header and case weights, written and read back:
+    (part, set, value)."""
     p = prepared(spark, sf_dir)
     data = L.case_weights(L.focus_goal(p.encoded, "click", ["row_id", "set", "features"]))
-    train = data.where(F.col("set") == "train")
     path = scratch_path(spark, "matrix")
-    W.write_matrix(train, p.dictionary.names, path, p.dictionary.size)
-    return spark.read.text(path)
+    W.write_matrix(data, p.dictionary.names, path, p.dictionary.size)
+    header = spark.read.text(f"{path}/header").select(F.lit("header").alias("part"), F.lit("").alias("set"), "value")
+    parts = [spark.read.text(f"{path}/{x}").select(F.lit(x).alias("part"), "set", "value") for x in ("rows", "weights")]
+    return header.unionByName(parts[0]).unionByName(parts[1])
 
 
 def q_score_export(spark, sf_dir):
@@ -59,87 +49,71 @@ def q_score_export(spark, sf_dir):
 
 
 def q_stream_score(spark, sf_dir):
-    """Requests written as parquet files, scored as a stream against the model tables."""
-    p = prepared(spark, sf_dir)
-    c = counts(spark, sf_dir)
-    src = scratch_path(spark, "requests")
-    req = request_frame(spark, sf_dir)
+    """Requests written as parquet files, scored as a stream; each batch loads the model."""
+    src, model = scratch_path(spark, "requests"), written_model(spark, sf_dir)
+    req = request_frame(spark, sf_dir).drop("agents")
     req.repartition(8).write.mode("overwrite").parquet(src)
-    names = p.dictionary.names
-    spec = B.ModelSpec("m", "train", "click", SCORE_THRESHOLD)
-    params = B.key_params(c)
 
     def score_batch(batch):
-        parsed = parse_requests(batch, "request", REQUEST_SPEC)
-        feats = parsed.select("request_id", request_feature_array(REQUEST_SPEC, F.col("_req"), F.col("ts")).alias("names"))
-        idx = SV.names_to_indices(feats, "request_id", "names", names, p.dictionary.size)
-        rows = idx.withColumn("set", F.lit("stream")).withColumn("click", F.lit(0))
-        sc = B.score_models(rows, c, [spec], ["request_id"], params=params).scores
-        return sc.select("request_id", "prob", SV.cr_step(F.col("prob"), CR_THRESHOLDS, CR_RATES).alias("cr"))
+        return score_requests(batch, model, "click", "request_id", "request", "ts", None, REQUEST_SPEC, [], CR_THRESHOLDS, CR_RATES)
 
     sink, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    q = ST.start_scoring_stream(spark, src, req.schema, score_batch, sink, ck, max_files_per_trigger=2)
-    ST.run_to_completion(q)
+    ST.run_to_completion(ST.start_scoring_stream(spark, src, req.schema, score_batch, sink, ck, max_files_per_trigger=2))
     return ST.read_sink(spark, sink).select("request_id", r("prob").alias("prob"), "cr")
 
 
 # ---------------------------------------------------------------- ML families
 
 
-def _vec(spark, sf_dir, goal="click", weights=False):
-    p = prepared(spark, sf_dir)
-    data = p.encoded.select("row_id", "set", "features", F.col(goal).cast("int").alias("y"))
-    if weights:
-        data = L.case_weights(data)
-    vec = to_vectors(data, p.dictionary.size).cache()
-    return p, vec, vec.where(F.col("set") == "train")
+# Node sizes of the grid suit logs of tens of millions of rows; the fixture takes a thousandth.
+FIXTURE_NODE_SCALE = 1000
+
+
+def forest_configs() -> list[dict]:
+    return [{**c, "min_target_node_size": c["min_target_node_size"] // FIXTURE_NODE_SCALE} for c in TR.family_configs("rf")]
 
 
-def _eval(scored, has_prob=True):
-    ev = M.evaluate_sets(scored.withColumn("goal", F.lit("click")), ["goal"], has_prob=has_prob)
-    return ev.select("goal", *[r(c).alias(c) for c in ev.columns if c != "goal"])
+def _fit_and_evaluate(spark, sf_dir, family: str, config: dict):
+    """One configuration fitted on the train rows, metrics of both sets (one row, written
+    before the cached vectors go)."""
+    p = prepared(spark, sf_dir)
+    vec = TR.family_vectors(p, family, "click").cache()
+    score = TR.fit_config(family, config, vec.where(F.col("set") == "train"), p.dictionary.size)[1]
+    has_prob = family in ("rf", "xgb") or config["loss"] in LN.PROBABILISTIC_LOSSES
+    ev = M.evaluate_sets(score(vec, ["row_id", "set", "y"]).withColumn("goal", F.lit("click")), ["goal"], has_prob=has_prob)
+    out = cut_lineage(ev.select("goal", *[r(c).alias(c) for c in ev.columns if c != "goal"]), "fit-metrics")
+    vec.unpersist()
+    return out
 
 
 def q_lasso_fit(spark, sf_dir):
-    p, vec, train = _vec(spark, sf_dir)
-    m = LN.fit_logistic(train, 1e-4, "l1")
-    return _eval(LN.score_logistic(m, vec, ["row_id", "set", "y"]))
+    return _fit_and_evaluate(spark, sf_dir, "lasso", {"loss": "log", "penalty": "l1", "alpha": 1e-4})
 
 
 def q_svm_fit(spark, sf_dir):
-    p, vec, train = _vec(spark, sf_dir)
-    m = LN.fit_svm(train, 1e-4)
-    return _eval(LN.score_svm(m, vec, ["row_id", "set", "y"]), has_prob=False)
+    return _fit_and_evaluate(spark, sf_dir, "sgd", {"loss": "hinge", "penalty": "l2", "alpha": 1e-4})
 
 
 def q_linear_custom_fit(spark, sf_dir):
-    p, vec, train = _vec(spark, sf_dir)
-    w = LN.fit_proximal(train.select("features", "y").cache(), p.dictionary.size, "modified_huber", "elasticnet", 1e-4)
-    return _eval(LN.score_weights(vec, w, "modified_huber", ["row_id", "set", "y"]))
+    return _fit_and_evaluate(spark, sf_dir, "sgd", {"loss": "modified_huber", "penalty": "elasticnet", "alpha": 1e-4})
 
 
 def q_forest_fit(spark, sf_dir):
-    p, vec, train = _vec(spark, sf_dir, weights=True)
-    cfg = TR.family_configs("rf")[0]
-    m = T.fit_forest(train, cfg["ntree"], cfg["fraction"], cfg["min_target_node_size"])
-    return _eval(T.score_probabilistic(m, vec, ["row_id", "set", "y"]))
+    return _fit_and_evaluate(spark, sf_dir, "rf", forest_configs()[0])
 
 
 def q_gbt_fit(spark, sf_dir):
-    p, vec, train = _vec(spark, sf_dir)
-    cfg = TR.family_configs("xgb")[0]
-    m = T.fit_gbt(train, cfg["max_depth"], cfg["eta"])
-    return _eval(T.score_probabilistic(m, vec, ["row_id", "set", "y"]))
+    return _fit_and_evaluate(spark, sf_dir, "xgb", TR.family_configs("xgb")[0])
 
 
 def q_tree_importance(spark, sf_dir):
     """Final boosted model (refit on the unified set) -> importance table and files."""
-    p, vec, _ = _vec(spark, sf_dir)
-    cfg = TR.family_configs("xgb")[-1]
-    m = T.fit_gbt(vec, cfg["max_depth"], cfg["eta"])
+    p = prepared(spark, sf_dir)
+    vec = TR.family_vectors(p, "xgb", "click").cache()
     path = scratch_path(spark, "gbt-model")
-    m.write().overwrite().save(path)
-    imp = T.importance(spark, path, p.dictionary.names)
+    TR.fit_model("xgb", TR.family_configs("xgb")[-1], vec, p.dictionary.size, path)
+    vec.unpersist()
+    imp = T.importance(spark, path, p.dictionary.names, p.dictionary.size)
     for kind in ("weight", "gain", "cover"):
         T.importance_lines(imp, kind).write.mode("overwrite").text(f"{path}-importance/importance_{kind}")
     return imp
@@ -147,14 +121,35 @@ def q_tree_importance(spark, sf_dir):
 
 def q_grid_search_gbt(spark, sf_dir):
     p = prepared(spark, sf_dir)
-    from goalcast.operators import selection as S
     return S.select_best(TR.ml_grid(p, "xgb", "click", threads=4), ["goal"])
 
 
 def q_train_all_goals(spark, sf_dir):
     p = prepared(spark, sf_dir)
     out = scratch_path(spark, "run-NB")
-    res = TR.train_bayes(p, [g.upper() for g in FIXTURE_GOALS], out, "NB", run_params(spark, sf_dir))
+    TR.train_bayes(p, [g.upper() for g in FIXTURE_GOALS], out, "NB", run_params(spark, sf_dir))
+    # a blank field of the file is an empty list of files
+    back = spark.read.option("header", "true").csv(f"{out}/Parameters").fillna("", ["Files"])
+    return run_stats_rounded(back)
+
+
+def q_grid_table(spark, sf_dir):
+    """The grid table of a run (K5), written as CSV and read back."""
+    p = prepared(spark, sf_dir)
+    res = TR.train_bayes(p, [g.upper() for g in FIXTURE_GOALS], None, "NB")
+    path = scratch_path(spark, "grid-table")
+    W.write_grid_table(res.grid, path)
+    t = spark.read.option("header", "true").csv(path)
+    return t.select("goal", F.col("config_id").cast("int").alias("config_id"), F.col("rarity_threshold").cast("int").alias("threshold"),
+                    *[r(F.col(f"{m}_{s}").cast("double")).alias(f"{m}_{s}") for s in ("train", "test") for m in M.METRICS],
+                    (F.col("valid_model") == "true").cast("int").alias("valid_model"), (F.col("best") == "true").cast("int").alias("best"))
+
+
+def q_train_goal_rf(spark, sf_dir):
+    """Run for the forest family with case weights, node sizes scaled to the fixture."""
+    p = prepared(spark, sf_dir)
+    out = scratch_path(spark, "run-RF")
+    TR.train_ml(p, "rf", ["CLICK"], out, configs=[{**c, "ntree": 20} for c in forest_configs()[::3]])
     return spark.read.option("header", "true").csv(f"{out}/Parameters")
 
 
@@ -179,4 +174,6 @@ QUERIES_ML = {
     "grid_search_gbt": q_grid_search_gbt,
     "train_all_goals": q_train_all_goals,
     "train_goal_lasso": q_train_goal_lasso,
+    "train_goal_rf": q_train_goal_rf,
+    "grid_table": q_grid_table,
 }

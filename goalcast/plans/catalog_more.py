@@ -14,10 +14,13 @@ from goalcast.operators import metrics as M
 from goalcast.operators import requests as RQ
 from goalcast.operators import selection as S
 from goalcast.operators import serving as SV
-from goalcast.plans.catalog import (GRID_THRESHOLDS, SCORE_THRESHOLD, VALID_GOALS, _grid, _scored, counts,
-                                    features_text, prepared, r)
+from goalcast.plans import training as TR
+from goalcast.plans import requests_flow as RS
+from goalcast.plans.catalog import _key, _memo
+from goalcast.plans.catalog import SCORE_THRESHOLD, _grid, _scored, counts, features_text, goal_list, prepared, r
 from goalcast.plans.fixtures import FIXTURE_GOALS, impressions
-from goalcast.session import read_table, scratch_path
+from goalcast.plans.indexing import maybe_broadcast
+from goalcast.session import cut_lineage, read_table, scratch_path
 from goalcast.sinks import writers as W
 from goalcast.sources import readers as RD
 
@@ -66,6 +69,19 @@ def q_gzip_scan(spark, sf_dir):
     return _sparse_roundtrip(spark, sf_dir, compression="gzip")
 
 
+def q_train_from_sparse(spark, sf_dir):
+    """The main path: sparse log folders (header, train, test) -> data group -> goal filter ->
+    grid -> selection -> refit and outputs; returns the run statistics."""
+    p = prepared(spark, sf_dir)
+    base = scratch_path(spark, "sparse-log")
+    W.write_header(p.dictionary.names, f"{base}/header")
+    for s in ("train", "test"):
+        W.write_sparse(p.encoded.where(F.col("set") == s), f"{base}/{s}", p.dictionary.size)
+    run = TR.train_from_sparse(spark, f"{base}/header", {s: f"{base}/{s}" for s in ("train", "test")},
+                               [g.upper() for g in FIXTURE_GOALS], f"{base}/run", "NB", run_params(spark, sf_dir))
+    return run_stats_rounded(run.stats)
+
+
 RAW_COLUMNS = ["row_id", "exchange2", "loc_state", "timezone_offset", "category", "device_os", "click"]
 
 
@@ -73,28 +89,25 @@ def q_raw_log_scan(spark, sf_dir):
     imp = impressions(spark, sf_dir)
     rid = F.col("row_id")
     raw = imp.select(
-        rid.cast("string").alias("row_id"), "exchange2", "loc_state", "timezone_offset",
+        rid.cast("string").alias("row_id"), "exchange2",
+        F.when(rid % 23 == 0, F.concat(F.lit('a$"'), F.col("loc_state"), F.lit('"$b'))).otherwise(F.col("loc_state")).alias("loc_state"),
+        "timezone_offset",
         F.when(rid % 13 == 0, F.lit("nan")).otherwise(F.col("category")).alias("category"),
         F.when(rid % 19 == 0, F.lit("NULL")).otherwise(F.col("device_os")).alias("device_os"),
         F.col("click").cast("string").alias("click"))
     dpath, hpath = scratch_path(spark, "rawlog"), scratch_path(spark, "rawhead")
-    raw.write.mode("overwrite").option("sep", "$").option("nullValue", "\\N").csv(dpath)
-    spark.createDataFrame([tuple(RAW_COLUMNS)], RAW_COLUMNS).coalesce(1) \
-        .write.mode("overwrite").option("header", "true").csv(hpath)
+    from goalcast.plans.raw_flow import write_raw_log
+    write_raw_log(raw, dpath, hpath)
     return RD.read_raw_log(spark, dpath, hpath).select(*RAW_COLUMNS)
 
 
 def _param_files(spark, sf_dir) -> DataFrame:
     """One parameter file per region, built from the tables: date range, exchanges,
     campaigns (nation keys), an empty value, quoted lists and a duplicated key."""
-    imp = impressions(spark, sf_dir)
-    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    ev = read_table(spark, sf_dir, "events").select(F.col("event_id").alias("row_id"), "user_id")
-    j = imp.join(ev, "row_id").join(cust, ev.user_id == cust.c_custkey)
-    per = j.groupBy(F.col("loc_country").alias("region")).agg(
+    per = impressions(spark, sf_dir).groupBy(F.col("loc_country").alias("region")).agg(
         F.min("day_ts").alias("d0"), F.max("day_ts").alias("d1"),
         F.array_sort(F.collect_set("exchange2")).alias("ex"),
-        F.array_sort(F.collect_set(F.col("c_nationkey").cast("string"))).alias("camp"))
+        F.array_sort(F.collect_set(F.col("nation_key").cast("string"))).alias("camp"))
 
     def quoted(a):
         return F.concat(F.lit('"'), F.array_join(F.transform(a, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ","), F.lit('"'))
@@ -115,27 +128,30 @@ def q_params_scan(spark, sf_dir):
                     F.col("is_list").cast("int").alias("is_list"), F.size("values").alias("n_values"))
 
 
+PREDICTION_FILE_ROWS = 2000
+
+
 def q_prediction_scan(spark, sf_dir):
-    imp = impressions(spark, sf_dir).select("row_id", (F.col("score") / 500.0).alias("p"))
-    b = (F.col("row_id") % 4).cast("int")
-    rows = imp.select(b.alias("bucket"), F.col("row_id").alias("line_no"),
-                      F.when(b < 2, F.concat_ws(" ", (1.0 - F.col("p")).cast("string"), F.col("p").cast("string")))
-                       .when(b == 2, F.concat_ws(" ", F.col("p").cast("string"), (1.0 - F.col("p")).cast("string")))
-                       .otherwise(F.lit("1")).alias("value"))
-    heads = rows.select("bucket").distinct()
-    head_lines = heads.select("bucket", F.explode(F.array(
-        F.struct(F.lit(-3).cast("long").alias("line_no"), F.lit("Class predictions, one sample per row.").alias("value")),
-        F.struct(F.lit(-2).cast("long").alias("line_no"),
-                 F.when(F.col("bucket") < 2, F.lit("0 1 ")).when(F.col("bucket") == 2, F.lit("1 0"))
-                  .otherwise(F.lit("0")).alias("value")),
-        F.struct(F.lit(-1).cast("long").alias("line_no"), F.lit("").alias("value")))).alias("h")) \
-        .select("bucket", "h.line_no", "h.value")
+    """Forest prediction files of up to 2000 rows written from the events (layouts ``0 1``,
+    ``1 0`` and no ``1`` column in turn), read back line by line."""
+    e = read_table(spark, sf_dir, "events").select(F.col("event_id").alias("row_id"), (F.col("value") / 500.0).alias("p"))
+    part = F.floor(F.col("row_id") / PREDICTION_FILE_ROWS)
+    b = part % 4
+    rows = e.select(part.alias("part"), F.col("row_id").alias("line_no"),
+                    F.when(b < 2, F.concat_ws(" ", (1.0 - F.col("p")).cast("string"), F.col("p").cast("string")))
+                     .when(b == 2, F.concat_ws(" ", F.col("p").cast("string"), (1.0 - F.col("p")).cast("string")))
+                     .otherwise(F.lit("1")).alias("value"))
+    # the first row of a file carries the three head lines before it
+    first = rows.groupBy("part").agg(F.min("line_no").alias("line_no")).withColumn("head", F.lit(True))
+    layout = F.when(F.col("part") % 4 < 2, F.lit("0 1 ")).when(F.col("part") % 4 == 2, F.lit("1 0")).otherwise(F.lit("0"))
+    head = F.concat(F.lit("Class predictions, one sample per row.\n"), layout, F.lit("\n\n"))
     path = scratch_path(spark, "pred")
-    (rows.unionByName(head_lines).repartition("bucket").sortWithinPartitions("bucket", "line_no")
-     .select("bucket", "value").write.mode("overwrite").partitionBy("bucket").text(path))
+    (rows.join(first, ["part", "line_no"], "left")
+     .select("part", "line_no", F.when(F.col("head"), F.concat(head, "value")).otherwise(F.col("value")).alias("value"))
+     .repartition("part").sortWithinPartitions("part", "line_no")
+     .select("part", "value").write.mode("overwrite").partitionBy("part").text(path))
     out = RD.read_predictions(spark, path)
-    bucket = F.regexp_extract("file", r"bucket=(\d+)", 1).cast("int")
-    return out.select(bucket.alias("bucket"), "row", r("prob", 10).alias("prob"), "pred")
+    return out.select(F.regexp_extract("file", r"part=(\d+)", 1).cast("long").alias("part"), "row", "prob", "pred")
 
 
 def q_bayes_model_scan(spark, sf_dir):
@@ -162,64 +178,64 @@ def q_raw_log_features(spark, sf_dir):
     return p.encoded.select("row_id", "set", features_text().alias("features"), "click")
 
 
-GRID_FAMILIES = ["POLY2BAYES", "XGB", "RF"]
-
-
 def q_config_grid(spark, sf_dir):
-    from goalcast.operators.labels import valid_goals
+    """All families' grids as files, scanned and expanded for every valid goal."""
     import json
-    enc = prepared(spark, sf_dir).encoded
-    goals = [r_["goal"] for r_ in valid_goals(enc, FIXTURE_GOALS).where("valid").collect()]  # goal list: driver-sized
+    goals = goal_list(spark, sf_dir)
     frames = []
-    for fam in GRID_FAMILIES:
+    for fam, space in HYPER_PARAMETERS.items():
         path = scratch_path(spark, f"grid-{fam}")
-        spark.createDataFrame([(json.dumps(HYPER_PARAMETERS[fam]),)], "value string").write.mode("overwrite").text(path)
-        order = list(HYPER_PARAMETERS[fam])
-        g = RD.read_grid(spark, path, order)
-        params = F.concat_ws(";", *[F.concat(F.lit(k + "="), F.col(k).cast("string")) for k in order])
+        spark.createDataFrame([(json.dumps(space),)], "value string").write.mode("overwrite").text(path)
+        g = RD.read_grid(spark, path, list(space))
+        params = F.concat_ws(";", *[F.concat(F.lit(k + "="), F.col(k).cast("string")) for k in space])
         frames.append(g.select(F.lit(fam).alias("family"), "config_id", params.alias("params")))
-    allg = frames[0]
+    every = frames[0]
     for f in frames[1:]:
-        allg = allg.unionByName(f)
-    return allg.select(F.explode(F.array(*[F.lit(g) for g in goals])).alias("goal"), "family", "config_id", "params")
+        every = every.unionByName(f)
+    return every.select(F.explode(F.array(*[F.lit(g) for g in goals])).alias("goal"), "family", "config_id", "params")
 
 
 # ---------------------------------------------------------------- sinks (K4, K6, K7)
 
 
 def q_keymap(spark, sf_dir):
-    p = prepared(spark, sf_dir)
-    path = scratch_path(spark, "keymap")
-    W.write_keymap(p.dictionary.names, path)
-    t = spark.read.text(path)
+    """The keymap in its three forms, written and read back: (form, name, idx)."""
+    names = prepared(spark, sf_dir).dictionary.names
+    out = {}
+    for form in ("pairs", "forest", "linear"):
+        path = scratch_path(spark, f"keymap-{form}")
+        W.write_keymap(names, path, form)
+        out[form] = spark.read.text(path, wholetext=form == "forest")
     parts = F.split(F.col("value"), r"\$\$")
-    return t.select(parts[0].alias("name"), parts[1].cast("int").alias("idx"))
+    pairs = out["pairs"].select(F.lit("pairs").alias("form"), parts[0].alias("name"), parts[1].cast("int").alias("idx"))
+    linear = out["linear"].select(F.lit("linear").alias("form"), F.from_json("value", "name string, idx int").alias("m")) \
+        .select("form", "m.name", "m.idx")
+    lines = F.split("value", "\n")
+    forest = out["forest"].select(F.explode(F.arrays_zip(F.split(lines[0], ",").alias("name"), F.split(lines[1], ",").alias("idx"))).alias("m")) \
+        .select(F.lit("forest").alias("form"), "m.name", F.col("m.idx").cast("int").alias("idx"))
+    return pairs.unionByName(linear).unionByName(forest)
 
 
 def _best_per_goal(spark, sf_dir):
-    sel = S.select_best(_grid(spark, sf_dir), ["goal"])
-    anyv = sel.groupBy("goal").agg(F.max(F.col("valid_model").cast("int")).alias("_v"))
-    best = sel.where("best").select("goal", "threshold", "roc_auc_test", "log_loss_test", "f1_test")
-    return anyv.join(best, "goal", "left").select(
-        "goal", (F.col("_v") == 1).alias("valid"), F.col("threshold").alias("rarity_threshold"),
-        "roc_auc_test", "log_loss_test", "f1_test")
+    sel = S.select_best(_grid(spark, sf_dir), ["goal"]).withColumnRenamed("threshold", "rarity_threshold")
+    return TR._best_rows(sel, ["rarity_threshold"])
+
+
+def run_stats_rounded(st: DataFrame) -> DataFrame:
+    return st.select("Model_ID", "Algorithm", "Goal", r(F.col("AUC").cast("double")).alias("AUC"),
+                     r(F.col("LogLoss").cast("double")).alias("LogLoss"), r(F.col("Accuracy").cast("double")).alias("Accuracy"),
+                     "Status", "Files")
 
 
 def q_run_stats(spark, sf_dir):
-    st = W.run_stats(_best_per_goal(spark, sf_dir), "NB")
-    return st.select("Model_ID", "Algorithm", "Goal", r("AUC").alias("AUC"), r("LogLoss").alias("LogLoss"),
-                     r("Accuracy").alias("Accuracy"), "Status", "Files")
+    return run_stats_rounded(W.run_stats(_best_per_goal(spark, sf_dir), "NB"))
 
 
 def run_params(spark, sf_dir) -> dict:
     """Run parameters derived from the data: date window, exchanges, campaigns."""
-    imp = impressions(spark, sf_dir)
-    ev = read_table(spark, sf_dir, "events").select(F.col("event_id").alias("row_id"), "user_id")
-    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    j = imp.join(ev, "row_id").join(cust, ev.user_id == cust.c_custkey)
-    row = j.agg(F.min("day_ts").alias("d0"), F.max("day_ts").alias("d1"),
+    row = impressions(spark, sf_dir).agg(F.min("day_ts").alias("d0"), F.max("day_ts").alias("d1"),
                 F.array_sort(F.collect_set("exchange2")).alias("ex"),
-                F.array_sort(F.collect_set("c_nationkey")).alias("camp")).collect()[0]  # one row
+                F.array_sort(F.collect_set("nation_key")).alias("camp")).collect()[0]  # one row
     return {"From_Date": row["d0"], "To_Date": row["d1"], "Exchange": list(row["ex"]),
             "Campaign": [str(c) for c in row["camp"]]}
 
@@ -260,12 +276,18 @@ def request_frame(spark, sf_dir) -> DataFrame:
     tz = F.when(F.col("timezone_offset").isNotNull(), C.offset_hours("timezone_offset"))
     device = F.struct(F.col("device_os").alias("os"),
                       F.struct(F.concat(F.substring("domain", 2, 10), F.lit(" "), (rid % 90).cast("string")).alias("zip")).alias("geo"),
-                      F.struct(tz.alias("timezone_offset")).alias("ext"),
+                      F.struct(F.when(rid % 9 != 0, tz).alias("timezone_offset")).alias("ext"),
                       F.when(rid % 4 == 0, F.lit("Chrome")).alias("browser"))
     ext = F.struct(F.when(rid % 6 == 0, F.array("loc_country", "loc_city")).alias("locationSegments"))
     js = F.to_json(F.struct(F.col("exchange2").alias("dc_log"), imp_arr.alias("imp"), site.alias("site"),
-                            app.alias("app"), device.alias("device"), ext.alias("ext")))
-    return imp.select(rid.alias("request_id"), F.col("timestamp").alias("ts"), js.alias("request"))
+                            app.alias("app"), device.alias("device"), ext.alias("ext"),
+                            F.when(rid % 9 == 0, tz).alias("timezone")))
+    # agents: sub account, format and a category of their own, one JSON object each
+    agent = lambda k: F.to_json(F.struct(
+        F.concat(F.lit("s"), ((rid + k) % 3).cast("string")).alias("subAccount"), F.lit("300x250").alias("format"),
+        F.concat(F.lit("IAB"), ((rid + 5 * k) % 25).cast("string")).alias("cat")))
+    agents = F.transform(F.sequence(F.lit(0), (rid % 3).cast("int")), agent)
+    return imp.select(rid.alias("request_id"), F.col("timestamp").alias("ts"), js.alias("request"), agents.alias("agents"))
 
 
 def q_request_features(spark, sf_dir):
@@ -287,28 +309,35 @@ def q_time_of_day(spark, sf_dir):
     return imp.select("row_id", C.time_of_day("timestamp", C.offset_hours("timezone_offset")).alias("tod"))
 
 
+def q_registered_feature(spark, sf_dir):
+    """A feature function plugged in beside the scorer's own: the first category of the app
+    or site, upper level only."""
+    def top_category(name, acc, field, ts):
+        first = F.try_element_at(acc.array(field), F.lit(1))
+        return F.when(first.isNotNull(), F.concat(F.lit(name), F.regexp_extract(first, r"^([A-Z]+)", 1)))
+    RQ.register_feature("top_category", top_category, {"": "array"})
+    spec = [{"name": "top", "field": "site.cat", "other_field": "app.cat", "type": 2, "function_name": "top_category"}]
+    return RQ.extract_features(request_frame(spark, sf_dir), "request_id", "request", "ts", spec)
+
+
 # ---------------------------------------------------------------- serving (H2-H6)
 
 CR_THRESHOLDS = [0.3, 0.2, 0.1]
 CR_RATES = [0.08, 0.07, 0.09, 0.13]
 
 
-def _test_scores(spark, sf_dir):
-    return _scored(spark, sf_dir, ["click"], [SCORE_THRESHOLD]).where(F.col("set") == "test")
-
-
 def q_cr_adapter(spark, sf_dir):
-    s = _test_scores(spark, sf_dir)
+    s = _scored(spark, sf_dir, ["click"], [SCORE_THRESHOLD])
     return s.select("row_id", SV.cr_step(F.col("prob"), CR_THRESHOLDS, CR_RATES).alias("cr"))
 
 
 def q_confusion_score(spark, sf_dir):
-    s = _scored(spark, sf_dir, ["click"], [SCORE_THRESHOLD])
-    ev = M.evaluate_sets(s, ["goal"]).select("true_positive_test", "false_negative_test")
-    # one row of test rates per goal: broadcast
-    t = _test_scores(spark, sf_dir).join(F.broadcast(ev.withColumn("goal", F.lit("click"))), "goal")
-    return t.select("row_id", r(SV.confusion_score(F.col("pred"), F.col("true_positive_test"),
-                                                   F.col("false_negative_test"))).alias("cr"))
+    """Rows scored once (written), then folded to the test rates and read again."""
+    s = cut_lineage(_scored(spark, sf_dir, ["click"], [SCORE_THRESHOLD]).select("row_id", "set", "y", "prob", "pred"), "scored")
+    test = M.confusion_counts(s.where(F.col("set") == "test"), []).select(*M.rate_columns())
+    rate = test.collect()[0]  # one row
+    return s.select("row_id", r(SV.confusion_score(F.col("pred"), F.lit(rate["true_positive"]),
+                                                   F.lit(rate["false_negative"]))).alias("cr"))
 
 
 def _agent_requests(spark, sf_dir):
@@ -339,52 +368,90 @@ def q_best_agent(spark, sf_dir):
 
 def q_bayes_score_named(spark, sf_dir):
     p = prepared(spark, sf_dir)
-    c = counts(spark, sf_dir)
     names = p.dictionary.names
-    test = p.encoded.where(F.col("set") == "test")
-    ex = test.select("row_id", F.explode("features").alias("idx")).join(F.broadcast(names), "idx") \
-        if p.dictionary.size <= 2_000_000 else test.select("row_id", F.explode("features").alias("idx")).join(names, "idx")
-    named = ex.groupBy("row_id").agg(F.collect_list("name").alias("names"))
-    named = named.withColumn("names", F.concat("names", F.array(F.lit("zz_unknown_feature"))))
-    idx = SV.names_to_indices(named, "row_id", "names", names, p.dictionary.size)
+    ex = p.encoded.select("row_id", F.explode_outer("features").alias("idx")).join(maybe_broadcast(names, p.dictionary.size), "idx", "left")
+    named = ex.groupBy("row_id").agg(F.concat(F.collect_list("name"), F.array(F.lit("zz_unknown_feature"))).alias("names"))
+    idx = cut_lineage(SV.names_to_indices(named, "row_id", "names", names, p.dictionary.size), "named-rows")
+    used = F.array_join(F.array_sort(SV.used_combinations(F.col("features"), F.col("known"))), " ").alias("used")
     spec = B.ModelSpec("m", "train", "click", SCORE_THRESHOLD)
-    sc = B.score_models(idx.withColumn("set", F.lit("test")).withColumn("click", F.lit(0)), c, [spec], ["row_id"]).scores
-    nm = idx.select("row_id", F.posexplode("features").alias("pos", "idx")).join(F.broadcast(names), "idx") \
-        .groupBy("row_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda s: s["name"]).alias("nm"))
-    used = idx.join(nm, "row_id", "left").select(
-        "row_id", F.array_join(F.array_sort(SV.used_combinations(F.col("features"), F.coalesce("nm", F.array().cast("array<string>")))), " ").alias("used"))
-    return sc.join(used, "row_id").select("row_id", r("prob").alias("prob"), "pred", "used")
+    sc = B.score_models(idx.withColumn("used", used), counts(spark, sf_dir), [spec], ["row_id", "used"]).scores
+    return sc.select("row_id", r("prob").alias("prob"), "pred", "used")
 
 
-def q_combined_bayes(spark, sf_dir):
+def _with_recent(spark, sf_dir) -> B.BayesCounts:
+    """Counts of all train days and of the last seven."""
     p = prepared(spark, sf_dir)
     days = sorted(r_["day_ts"] for r_ in p.encoded.where("set = 'train'").select("day_ts").distinct().collect())
     cutoff = days[-7] if len(days) >= 7 else days[0]  # day list: one row per day
-    B.SCOPE_PREDICATES["recent"] = (F.col("set") == "train") & (F.col("day_ts") >= F.lit(cutoff))
-    c = B.fit_counts(p.encoded, ["click"], ("train", "recent"))
-    specs = [B.ModelSpec("hist", "train", "click", SCORE_THRESHOLD), B.ModelSpec("recent", "recent", "click", SCORE_THRESHOLD)]
-    sc = B.score_models(p.encoded.where(F.col("set") == "test"), c, specs, ["row_id"]).scores
-    hist = sc.where(F.col("model_id") == "hist")
-    rec = sc.where(F.col("model_id") == "recent")
-    mixed = B.mix_probabilities(hist, rec, ["row_id"], 0.7, use_recent=c.totals["n_recent"] > 0)
+    recent = (F.col("set") == "train") & (F.col("day_ts") >= F.lit(cutoff))
+    return B.fit_counts(p.encoded, ["click"], ("train", "recent"), predicates={"recent": recent})
+
+
+HIST, RECENT = (B.ModelSpec(s, s, "click", SCORE_THRESHOLD) for s in ("train", "recent"))
+
+
+def q_combined_bayes(spark, sf_dir):
+    c = _with_recent(spark, sf_dir)
+    mixed = B.mixed_scores(prepared(spark, sf_dir).encoded, c, HIST, RECENT, ["row_id"], 0.7, c.totals["n_recent"] > 0)
+    return mixed.select("row_id", r("prob").alias("prob"))
+
+
+def q_incremental_bayes(spark, sf_dir):
+    c = _with_recent(spark, sf_dir)
+    alpha, use = B.incremental_alpha(c.totals["pos_recent_click"])
+    mixed = B.mixed_scores(prepared(spark, sf_dir).encoded, c, HIST, RECENT, ["row_id"], alpha, use)
     return mixed.select("row_id", r("prob").alias("prob"))
 
 
 def q_bernoulli_nb(spark, sf_dir):
-    p = prepared(spark, sf_dir)
-    c = counts(spark, sf_dir)
-    feats, k = B.bernoulli_nb_params(c, "train", "click", 1.0, True, p.dictionary.size)
-    n_seen = feats.count()
-    zero = feats.agg(F.sum("l1mp").alias("zp"), F.sum("l1mn").alias("zn")).collect()[0]  # one row
-    zp = zero["zp"] + (p.dictionary.size - n_seen) * k["unseen_p"]
-    zn = zero["zn"] + (p.dictionary.size - n_seen) * k["unseen_n"]
-    test = p.encoded.where(F.col("set") == "test").select("row_id", F.explode_outer("features").alias("i"))
-    j = test.join(F.broadcast(feats), "i", "left")
-    per = j.groupBy("row_id").agg(F.sum(F.when(F.col("i").isNotNull(), F.coalesce("adjp", F.lit(0.0)))).alias("sp"),
-                                  F.sum(F.when(F.col("i").isNotNull(), F.coalesce("adjn", F.lit(0.0)))).alias("sn"))
-    l1 = F.lit(zp + k["prior_p"]) + F.coalesce("sp", F.lit(0.0))
-    l0 = F.lit(zn + k["prior_n"]) + F.coalesce("sn", F.lit(0.0))
-    return per.select("row_id", r(B.probability(l1, l0)).alias("prob"), (l1 > l0).cast("int").alias("pred"))
+    """All configurations of the grid over all rows: one explode, one join, a column per alpha."""
+    p, c = prepared(spark, sf_dir), counts(spark, sf_dir)
+    space = HYPER_PARAMETERS["NB"]
+    fits = [B.bernoulli_nb_params(c, "train", "click", a, True, p.dictionary.size) for a in space["alpha"]]
+    table = fits[0][0].select("i", *[F.col(x).alias(f"{x}0") for x in ("adjp", "adjn", "l1mp", "l1mn")])
+    for k, (feats, _) in enumerate(fits[1:], start=1):
+        table = table.join(feats.select("i", *[F.col(x).alias(f"{x}{k}") for x in ("adjp", "adjn", "l1mp", "l1mn")]), "i")
+    table = cut_lineage(table, "bernoulli")
+    sums = table.agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"{x}{k}").alias(f"{x}{k}") for k in range(len(fits)) for x in ("l1mp", "l1mn")]) \
+        .collect()[0]  # one row
+    unseen = p.dictionary.size - sums["n"]
+    rows = p.encoded.select("row_id", F.explode_outer("features").alias("i")).join(maybe_broadcast(table, sums["n"]), "i", "left")
+    per = rows.groupBy("row_id").agg(*[F.coalesce(F.sum(f"{x}{k}"), F.lit(0.0)).alias(f"{x}{k}") for k in range(len(fits)) for x in ("adjp", "adjn")])
+    import math
+    n, pos = c.totals["n_train"], c.totals["pos_train_click"]
+    out = []
+    for k, (_, const) in enumerate(fits):
+        for q, prior in enumerate(space["fit_prior"]):
+            pp, pn = (math.log(pos / n), math.log((n - pos) / n)) if prior else (math.log(0.5), math.log(0.5))
+            l1 = F.lit(sums[f"l1mp{k}"] + unseen * const["unseen_p"] + pp) + F.col(f"adjp{k}")
+            l0 = F.lit(sums[f"l1mn{k}"] + unseen * const["unseen_n"] + pn) + F.col(f"adjn{k}")
+            out.append(F.struct(F.lit(k * len(space["fit_prior"]) + q).alias("config_id"), r(B.probability(l1, l0)).alias("prob"),
+                                (B.log_odds(l1, l0) > 0).cast("int").alias("pred")))
+    return per.select("row_id", F.explode(F.array(*out)).alias("m")).select("row_id", "m.*")
+
+
+# ---------------------------------------------------------------- the request chain
+
+
+AGENT_FIELDS = RQ.AGENT_SPEC + [{"name": "category", "field": "cat"}]
+
+
+def written_model(spark, sf_dir) -> str:
+    """Model folder of the click model (train rows), written once per session."""
+    k = _key(spark, "model-folder", sf_dir)
+    if k not in _memo:
+        path = scratch_path(spark, "click-model")
+        W.write_bayes_model(counts(spark, sf_dir), "train", "click", SCORE_THRESHOLD, prepared(spark, sf_dir).dictionary.names, path)
+        _memo[k] = path
+    return _memo[k]
+
+
+def q_score_requests(spark, sf_dir):
+    """Bid requests through the whole chain with a model loaded from its folder: agent fan-out
+    -> request and agent features -> indices -> probability -> CR step -> best agent."""
+    out = RS.score_requests(request_frame(spark, sf_dir), written_model(spark, sf_dir), "click", "request_id", "request", "ts",
+                            "agents", RQ.REQUEST_SPEC, AGENT_FIELDS, CR_THRESHOLDS, CR_RATES)
+    return out.select("request_id", "agent", r("prob").alias("prob"), "cr")
 
 
 QUERIES_MORE = {
@@ -410,5 +477,9 @@ QUERIES_MORE = {
     "best_agent": q_best_agent,
     "bayes_score_named": q_bayes_score_named,
     "combined_bayes": q_combined_bayes,
+    "incremental_bayes": q_incremental_bayes,
     "bernoulli_nb": q_bernoulli_nb,
+    "train_from_sparse": q_train_from_sparse,
+    "registered_feature": q_registered_feature,
+    "score_requests": q_score_requests,
 }

@@ -17,7 +17,7 @@ from goalcast.session import read_table
 IMPRESSION_COLUMNS = [
     "row_id", "timestamp", "day_ts", "timezone_offset", "exchange2", "loc_country", "loc_state",
     "loc_city", "publisher", "domain", "device_os", "app_site_ind", "category",
-    "click", "buy", "register", "video_ad_start", "download", "score",
+    "click", "buy", "register", "video_ad_start", "download", "score", "nation_key",
 ]
 
 # Attribute / list columns of the fixture that exist among the raw-log feature columns.
@@ -71,6 +71,7 @@ def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (et == "view").cast("int").alias("video_ad_start"),
         F.lit(0).alias("download"),
         F.col("value").alias("score"),
+        F.col("c_nationkey").alias("nation_key"),
     )
     return out
 
@@ -109,7 +110,8 @@ impressions AS (
     CAST(e.event_type = 'signup' AS INTEGER) AS register,
     CAST(e.event_type = 'view' AS INTEGER) AS video_ad_start,
     0 AS download,
-    e.value AS score
+    e.value AS score,
+    c.c_nationkey AS nation_key
   FROM events e
   JOIN customer c ON e.user_id = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey

@@ -7,21 +7,34 @@ from pyspark.sql import functions as F
 
 from goalcast.session import cut_lineage
 
-# Broadcast a lookup side only when it is known to hold at most this many rows.
-BROADCAST_ROW_LIMIT = 2_000_000
+# Broadcast a lookup side only when its known row count times the estimated row size
+# stays within this many bytes.
+BROADCAST_BYTES = 128 << 20
 
 
-def maybe_broadcast(df: DataFrame, n_rows: int | None, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only behind a checked row count; otherwise leave the join to
-    the planner (shuffle join, AQE skew splitting)."""
-    if n_rows is not None and n_rows <= limit:
+def row_bytes(df: DataFrame) -> int:
+    """Estimated size of a hashed row: 8 bytes a fixed-width column, 40 a string, 160 a
+    nested one, and 32 for the row and its slot."""
+    size = {"string": 40, "binary": 40}
+    return 32 + sum(size.get(kind, 160 if kind.startswith(("array", "map", "struct")) else 8) for _, kind in df.dtypes)
+
+
+def broadcast_rows(df: DataFrame) -> int:
+    """Rows of ``df`` that fit the broadcast bound."""
+    return BROADCAST_BYTES // row_bytes(df)
+
+
+def maybe_broadcast(df: DataFrame, n_rows: int | None, limit: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only behind a checked size (row count x estimated row bytes);
+    otherwise leave the join to the planner (shuffle join, AQE skew splitting)."""
+    if n_rows is not None and n_rows <= (broadcast_rows(df) if limit is None else limit):
         return F.broadcast(df)
     return df
 
 
 def lookup_join(big: DataFrame, small: DataFrame, keys: list[str], n_small: int | None,
                 freq_col: str | None = None, total_rows: int | None = None, how: str = "left",
-                limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+                limit: int | None = None) -> DataFrame:
     """Join a large row-level table to a keyed lookup without a hot task.
 
     * lookup within the checked bound: broadcast hash join (no shuffle);
@@ -33,6 +46,7 @@ def lookup_join(big: DataFrame, small: DataFrame, keys: list[str], n_small: int
     * otherwise a plain shuffle join (AQE splits skewed partitions).
     ``small`` columns other than the keys are carried; ``how`` is "left" or "inner".
     """
+    limit = broadcast_rows(small) if limit is None else limit
     if n_small is not None and n_small <= limit:
         return big.join(F.broadcast(small), keys, how)
     if freq_col is None or total_rows is None:

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from goalcast.constants import LOCATION_FAMILIES
-from goalcast.plans.fixtures import FIXTURE_RARITY, IMPRESSIONS_SQL
+from goalcast.plans.fixtures import FIXTURE_GOALS, IMPRESSIONS_SQL
 from goalcast.plans.oracle_sql import (DAY_SETS_SQL, DERIVED_SQL, OFFSET_SQL, base_ctes, bayes_ctes,
                                        metrics_sql)
 
 R = 6
 GRID_THRESHOLDS = [1, 5, 10, 15, 20]
-VALID_GOALS = ["click", "buy", "register", "video_ad_start"]
 METRICS = ["roc_auc", "log_loss", "f1", "recall", "precision", "true_positive", "false_negative"]
 
 
@@ -17,31 +16,51 @@ def _w(*blocks) -> str:
     return "WITH " + ",\n".join(b.strip() for b in blocks)
 
 
-def _metric_select(prefix: str = "") -> str:
-    return ", ".join(f"rnd({m}) AS {m}" for m in METRICS)
-
-
-def _sets_pivot(group: list[str]) -> str:
-    cols = []
+def _sets_pivot(group: list[str], rounded: bool = True) -> str:
+    cols, rnd = [], "rnd" if rounded else ""
     for s in ("train", "test"):
         for m in METRICS:
-            cols.append(f"rnd(max(CASE WHEN \"set\" = '{s}' THEN {m} END)) AS {m}_{s}")
+            cols.append(f"{rnd}(max(CASE WHEN \"set\" = '{s}' THEN {m} END)) AS {m}_{s}")
     return f"SELECT {', '.join(group)}, {', '.join(cols)} FROM metrics GROUP BY {', '.join(group)}"
 
 
+VALID_GOALS_CTE = """,
+vg_cls AS (
+  SELECT g.goal, e."set",
+    sum(CASE WHEN (CASE g.goal WHEN 'click' THEN click WHEN 'buy' THEN buy WHEN 'download' THEN download
+                   WHEN 'register' THEN register ELSE video_ad_start END) = 0 THEN 1 ELSE 0 END) AS zeros,
+    sum(CASE WHEN (CASE g.goal WHEN 'click' THEN click WHEN 'buy' THEN buy WHEN 'download' THEN download
+                   WHEN 'register' THEN register ELSE video_ad_start END) = 1 THEN 1 ELSE 0 END) AS ones
+  FROM encoded e, (VALUES ('click'), ('download'), ('buy'), ('register'), ('video_ad_start')) g(goal)
+  GROUP BY g.goal, e."set"
+),
+vg AS (SELECT goal FROM vg_cls GROUP BY goal HAVING bool_and(zeros >= 10 AND ones >= 10) AND count(DISTINCT "set") = 2)"""
+
+
 def _grid_sql() -> str:
-    src = "(SELECT goal, threshold, \"set\", y, rnd10(prob) AS prob, pred FROM scored2)"
-    return (base_ctes() + bayes_ctes(VALID_GOALS, GRID_THRESHOLDS) + f""",
-scored3 AS {src}""" + metrics_sql("scored3", ["goal", "threshold", '"set"']) + f""",
+    """Metrics of every (valid goal, threshold), not rounded."""
+    return (base_ctes() + bayes_ctes(FIXTURE_GOALS, GRID_THRESHOLDS) + VALID_GOALS_CTE + """,
+scored3 AS (SELECT goal, threshold, "set", y, prob, pred FROM scored2 WHERE goal IN (SELECT goal FROM vg))"""
+            + metrics_sql("scored3", ["goal", "threshold", '"set"']) + f""",
 grid AS (
   SELECT *, CAST(list_position({GRID_THRESHOLDS}, threshold) - 1 AS INTEGER) AS config_id FROM (
-    {_sets_pivot(['goal', 'threshold'])}
+    {_sets_pivot(['goal', 'threshold'], rounded=False)}
   )
 )""")
 
 
+SELECT_BEST_CTES = """,
+sel AS (
+  SELECT *, abs(1 - roc_auc_test / (roc_auc_train + 1e-11)) AS diff,
+    coalesce(abs(1 - roc_auc_test / (roc_auc_train + 1e-11)) <= 0.4 AND roc_auc_test >= 0.5, false) AS valid_model
+  FROM grid
+),
+rk AS (SELECT *, row_number() OVER (PARTITION BY goal ORDER BY valid_model DESC, roc_auc_test DESC NULLS LAST, config_id) AS rk FROM sel)"""
+
+GRID_METRICS = ", ".join(f"rnd({m}_{s}) AS {m}_{s}" for s in ("train", "test") for m in METRICS)
+
 SCORE_FRAME = """
-sf AS (SELECT device_os, click AS y, rnd10(score / 500.0) AS prob, CAST(score > 50 AS INTEGER) AS pred FROM impressions)"""
+sf AS (SELECT device_os, click AS y, score / 500.0 AS prob, CAST(score > 50 AS INTEGER) AS pred FROM impressions)"""
 
 
 def expand_rounding(sql: str) -> str:
@@ -134,19 +153,12 @@ SELECT i, j, count(*) AS n, CAST(sum(click) AS BIGINT) AS pos FROM pairs GROUP B
 SELECT i, rnd(adjp_click) AS adjp, rnd(adjn_click) AS adjn, rnd(l1mp_click) AS l1mp, rnd(l1mn_click) AS l1mn
 FROM kparams WHERE n >= 5""",
     "bayes_score": base_ctes() + bayes_ctes(["click"], [5]) + """
-SELECT row_id, rnd(l1) AS l1, rnd(l0) AS l0, rnd(prob) AS prob, pred FROM scored2 WHERE "set" = 'test'""",
+SELECT row_id, rnd(l1) AS l1, rnd(l0) AS l0, rnd(prob) AS prob, pred FROM scored2""",
     "evaluate_sets": base_ctes() + bayes_ctes(["click"], [5]) + """,
-scored3 AS (SELECT goal, "set", y, rnd10(prob) AS prob, pred FROM scored2)""" + metrics_sql("scored3", ["goal", '"set"'])
+scored3 AS (SELECT goal, "set", y, prob, pred FROM scored2)""" + metrics_sql("scored3", ["goal", '"set"'])
     + "\n" + _sets_pivot(["goal"]),
-    "grid_search_bayes": _grid_sql() + "\nSELECT goal, config_id, threshold, "
-    + ", ".join(f"{m}_{s}" for s in ("train", "test") for m in METRICS) + " FROM grid",
-    "select_best": _grid_sql() + """,
-sel AS (
-  SELECT *, abs(1 - roc_auc_test / (roc_auc_train + 1e-11)) AS diff,
-    coalesce(abs(1 - roc_auc_test / (roc_auc_train + 1e-11)) <= 0.4 AND roc_auc_test >= 0.5, false) AS valid_model
-  FROM grid
-),
-rk AS (SELECT *, row_number() OVER (PARTITION BY goal ORDER BY valid_model DESC, roc_auc_test DESC NULLS LAST, config_id) AS rk FROM sel)
+    "grid_search_bayes": _grid_sql() + f"\nSELECT goal, config_id, threshold, {GRID_METRICS} FROM grid",
+    "select_best": _grid_sql() + SELECT_BEST_CTES + """
 SELECT goal, config_id, rnd(roc_auc_test) AS roc_auc_test, rnd(diff) AS roc_auc_diff,
   CAST(valid_model AS INTEGER) AS valid_model, CAST(valid_model AND rk = 1 AS INTEGER) AS best FROM rk""",
     "roc_auc": _w(IMPRESSIONS_SQL, SCORE_FRAME) + metrics_sql("sf", ["device_os"]) + """

@@ -104,6 +104,10 @@ def base_ctes(threshold: int = FIXTURE_RARITY, families=("zip",), attribute_cols
     return "WITH " + ",\n".join(b.strip() for b in blocks)
 
 
+# log-odds to a fixed step, in the same arithmetic as the Spark side
+LOG_ODDS = "(floor((l1 - l0) * 1e9 + 0.5) / 1e9)"
+
+
 def bayes_ctes(goals, thresholds, scope_set: str | None = "train", p: str = "", where: str | None = None) -> str:
     """Single-key counts on ``scope_set`` (None = all rows), per-key params per goal,
     per (row, goal, threshold) log-likelihood sums."""
@@ -149,8 +153,7 @@ def bayes_ctes(goals, thresholds, scope_set: str | None = "train", p: str = "",
   FROM {p}rowsums s JOIN {p}mconsts c ON s.goal = c.goal AND s.threshold = c.threshold
 ),
 {p}scored2 AS (
-  SELECT *, exp(l1 - (greatest(l1, l0) + ln(exp(l1 - greatest(l1, l0)) + exp(l0 - greatest(l1, l0))))) AS prob,
-    CAST(l1 > l0 AS INTEGER) AS pred FROM {p}scored
+  SELECT *, 1.0 / (1.0 + exp(-{LOG_ODDS})) AS prob, CAST({LOG_ODDS} > 0 AS INTEGER) AS pred FROM {p}scored
 )"""
 
 
@@ -161,8 +164,8 @@ def metrics_sql(src: str, group: list[str], y: str = "y", score: str = "prob", p
     gj = " AND ".join(f"a.{c} = b.{c}" for c in group)
     return f""",
 m_dist AS (
-  SELECT {g}, rnd10({score}) AS s, CAST(sum({y}) AS BIGINT) AS pos, CAST(sum(1 - {y}) AS BIGINT) AS neg
-  FROM {src} WHERE {score} IS NOT NULL GROUP BY {g}, rnd10({score})
+  SELECT {g}, {score} AS s, CAST(sum({y}) AS BIGINT) AS pos, CAST(sum(1 - {y}) AS BIGINT) AS neg
+  FROM {src} WHERE {score} IS NOT NULL GROUP BY {g}, {score}
 ),
 m_cum AS (
   SELECT *, coalesce(CAST(sum(neg) OVER (PARTITION BY {g} ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS below

@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 
 from goalcast.functions import columns as C
 from goalcast.operators.features import FeatureDictionary, one_hot
-from goalcast.constants import MIN_DAYS_FOR_TEMPORAL_SPLIT
-from goalcast.operators.splits import day_sets, stratified_set
+from goalcast.operators.splits import assign_sets
 from goalcast.plans.fixtures import (FIXTURE_ATTRIBUTE_COLUMNS, FIXTURE_GOALS, FIXTURE_LIST_COLUMNS,
                                      FIXTURE_RARITY, impressions)
-from goalcast.session import cut_lineage, cut_lineage_observed
+from goalcast.session import cut_lineage_observed
 
 
 def derive_raw_features(df: DataFrame) -> DataFrame:
@@ -43,34 +42,11 @@ def prepare_encoded(raw: DataFrame, attribute_cols: list[str], list_cols: list[s
     carry = ["row_id", "day_ts", *goals]
     enc, dic = one_hot(derived, attribute_cols, list_cols, carry, threshold, families, constant_feature)
     # the distinct days (one entry per calendar day) come from the written day column;
-    # the split is attached on read by a broadcast join of one row per day
+    # the split is attached on read
     enc, stats = cut_lineage_observed(enc.select("row_id", "day_ts", "features", *goals), "encoded",
-                                      {"days": F.collect_set("day_ts")})
-    enc = split_from_days(enc, list(stats["days"] or [])).select("row_id", "day_ts", "set", "features", *goals)
-    return Prepared(encoded=enc, dictionary=dic, goals=goals)
-
-
-def split_from_days(enc: DataFrame, days: list[str]) -> DataFrame:
-    """U1 from a known day list (>= 14 days): sorted as integers, the first
-    floor(0.75 * n) are train; the (calendar-bounded) table is broadcast. Else U2."""
-    import math
-    from goalcast.constants import TRAIN_FRACTION
-    days = sorted((d for d in days if d is not None), key=int)
-    if len(days) >= MIN_DAYS_FOR_TEMPORAL_SPLIT:
-        n_train = math.floor(TRAIN_FRACTION * len(days))
-        table = enc.sparkSession.createDataFrame(
-            [(d, "train" if k < n_train else "test") for k, d in enumerate(days)], "day_ts string, set string")
-        return enc.join(F.broadcast(table), "day_ts", "left")
-    return enc.withColumn("set", stratified_set(F.col("row_id")))
-
-
-def with_split(enc: DataFrame, raw: DataFrame) -> DataFrame:
-    """U1 when the raw rows span >= 14 days (day table joined by broadcast: one row
-    per day), else U2. Only the distinct-day count reaches the driver."""
-    days = day_sets(raw)
-    if days.count() >= MIN_DAYS_FOR_TEMPORAL_SPLIT:
-        return enc.join(F.broadcast(days), "day_ts", "left")
-    return enc.withColumn("set", stratified_set(F.col("row_id")))
+                                      {"days": F.collect_set("day_ts"), "no_day": F.count_if(F.col("day_ts").isNull())})
+    enc = assign_sets(enc, list(stats["days"] or []), stats["no_day"], goals[0])
+    return Prepared(encoded=enc.select("row_id", "day_ts", "set", "features", *goals), dictionary=dic, goals=goals)
 
 
 def prepared_impressions(spark: SparkSession, sf_dir: str, threshold: int = FIXTURE_RARITY,

@@ -52,6 +52,7 @@ def raw_log_rows(impressions: DataFrame) -> DataFrame:
 
 
 def write_raw_log(rows: DataFrame, data_path: str, header_path: str) -> None:
-    rows.write.mode("overwrite").option("sep", "$").option("nullValue", "\\N").csv(data_path)
+    (rows.write.mode("overwrite").option("sep", "$").option("quote", '"').option("escape", '"')
+     .option("nullValue", "\\N").csv(data_path))
     rows.sparkSession.createDataFrame([tuple(rows.columns)], rows.columns).coalesce(1) \
         .write.mode("overwrite").option("header", "true").csv(header_path)

@@ -13,19 +13,23 @@ from __future__ import annotations
 import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
-from goalcast.constants import GRID_OF_FAMILY, HYPER_PARAMETERS
+from goalcast.constants import GRID_OF_FAMILY, HYPER_PARAMETERS, KNOWN_LABELS
 from goalcast.operators import bayes as B
 from goalcast.operators import labels as L
 from goalcast.operators import linear as LN
 from goalcast.operators import metrics as M
 from goalcast.operators import selection as S
+from goalcast.operators import splits as U
 from goalcast.operators import trees as T
 from goalcast.operators.vectors import to_vectors
 from goalcast.plans.prepare import Prepared
+from goalcast.session import cut_lineage
 from goalcast.sinks import writers as W
 
 
@@ -66,7 +70,8 @@ def train_bayes(prep: Prepared, requested: list[str], out_path: str | None, fami
         raise ValueError("No valid goals found to train")
     thresholds = HYPER_PARAMETERS["POLY2BAYES"]["rarity_threshold"]
     grid, counts = bayes_grid(prep, goals, thresholds)
-    sel = S.select_best(grid, ["goal"]).cache()
+    # the metrics of all configurations (goals x thresholds rows) feed every output
+    sel = cut_lineage(S.select_best(grid, ["goal"]), "bayes-grid")
     best = _best_rows(sel, ["rarity_threshold"])
     stats = W.run_stats(best, family)
     if out_path:
@@ -87,6 +92,26 @@ def train_bayes(prep: Prepared, requested: list[str], out_path: str | None, fami
     return RunResult(grid=sel, stats=stats, best=best)
 
 
+def sparse_data(spark, header_path: str, set_paths: dict[str, str]) -> Prepared:
+    """The sparse log as training takes it: header + one folder per set."""
+    from goalcast.operators.features import FeatureDictionary
+    from goalcast.sources.readers import load_data_group
+    rows, header = load_data_group(spark, header_path, set_paths)
+    names = header.where(~F.col("is_label")).select("idx", "name")
+    size = names.count()
+    return Prepared(rows, FeatureDictionary(names=names, entries=None, size=size, n_entries=size), KNOWN_LABELS)
+
+
+def train_from_sparse(spark, header_path: str, set_paths: dict[str, str], requested: list[str], out_path: str | None,
+                      family: str = "NB", run_params: dict | None = None, **options) -> RunResult:
+    """Sparse log -> data group -> goal filter -> grid -> selection -> refit and outputs, for
+    any family."""
+    data = sparse_data(spark, header_path, set_paths)
+    if family.lower() in ("nb", "poly2bayes"):
+        return train_bayes(data, requested, out_path, family, run_params)
+    return train_ml(data, family, requested, out_path, **options)
+
+
 # ---------------------------------------------------------------- ML families
 
 
@@ -94,76 +119,58 @@ def family_configs(family: str) -> list[dict]:
     return S.expand_grid(HYPER_PARAMETERS[GRID_OF_FAMILY[family.lower()]])
 
 
-def fit_model(family: str, config: dict, train: DataFrame, n_features: int, model_path: str) -> None:
-    """Fit one configuration and save it (Spark ML model folder, or the weight table
-    of the proximal solver)."""
+def fit_config(family: str, config: dict, train: DataFrame, n_features: int):
+    """One configuration fitted on ``train``: ``(save(path), score(rows, keep))``. Forests read
+    the case weights of a ``weight`` column (F9)."""
     fam = family.lower()
     if fam in ("lasso", "sgd"):
         loss, pen, alpha = config["loss"], config["penalty"], config["alpha"]
         if loss == "log":
-            m = LN.fit_logistic(train, alpha, pen)
+            model, score = LN.fit_logistic(train, alpha, pen), LN.score_logistic
         elif loss == "hinge" and pen == "l2":
-            m = LN.fit_svm(train, alpha)
+            model, score = LN.fit_svm(train, alpha), LN.score_svm
         else:
-            import numpy as np
-            import pandas as pd
             w = LN.fit_proximal(train, n_features, loss, pen, alpha)
-            spark = train.sparkSession
-            spark.createDataFrame(pd.DataFrame({"i": np.arange(len(w), dtype=np.int32), "w": w})) \
-                .write.mode("overwrite").parquet(model_path)
-            return
+            return (lambda path: LN.write_weights(train.sparkSession, w, path)), \
+                (lambda rows, keep: LN.score_weights(rows, w, loss, keep))
     elif fam == "rf":
-        m = T.fit_forest(train, config["ntree"], config["fraction"], config["min_target_node_size"])
+        model = T.fit_forest(train, config["ntree"], config["fraction"], config["min_target_node_size"])
+        score = T.score_probabilistic
     elif fam in ("xgb", "xgbf"):
-        m = T.fit_gbt(train, config["max_depth"], config["eta"])
+        model, score = T.fit_gbt(train, config["max_depth"], config["eta"]), T.score_probabilistic
     else:
         raise ValueError(f"unknown family {family}")
-    m.write().overwrite().save(model_path)
+    return (lambda path: model.write().overwrite().save(path)), (lambda rows, keep: score(model, rows, keep))
 
 
-def fit_and_score(family: str, config: dict, train: DataFrame, every: DataFrame, n_features: int,
-                  model_path: str | None = None) -> DataFrame:
-    """Fit one configuration on ``train`` and score ``every`` -> (row_id, set, y, prob, pred)."""
-    keep = ["row_id", "set", "y"]
-    fam = family.lower()
-    if fam in ("lasso", "sgd"):
-        loss, pen, alpha = config["loss"], config["penalty"], config["alpha"]
-        if loss == "log":
-            m = LN.fit_logistic(train, alpha, pen)
-            out = LN.score_logistic(m, every, keep)
-        elif loss == "hinge" and pen == "l2":
-            m = LN.fit_svm(train, alpha)
-            out = LN.score_svm(m, every, keep)
-        else:
-            w = LN.fit_proximal(train, n_features, loss, pen, alpha)
-            return LN.score_weights(every, w, loss, keep)
-    elif fam == "rf":
-        m = T.fit_forest(train, config["ntree"], config["fraction"], config["min_target_node_size"])
-        out = T.score_probabilistic(m, every, keep)
-    elif fam in ("xgb", "xgbf"):
-        m = T.fit_gbt(train, config["max_depth"], config["eta"])
-        out = T.score_probabilistic(m, every, keep)
-    else:
-        raise ValueError(f"unknown family {family}")
-    if model_path:
-        m.write().overwrite().save(model_path)
-    return out
+def fit_model(family: str, config: dict, train: DataFrame, n_features: int, model_path: str):
+    """Fit one configuration and save it (Spark ML model folder, or the weight table of
+    the proximal solver)."""
+    save, score = fit_config(family, config, train, n_features)
+    save(model_path)
+    return score
+
+
+def family_vectors(prep: Prepared, family: str, goal: str) -> DataFrame:
+    """Vector rows ``(row_id, set, features, y, fv[, weight])`` of a goal. Forests get the case
+    weights of each row's own set (F9); the unified set keeps them as they are (U3)."""
+    data = prep.encoded.select("row_id", "set", "features", F.col(goal).cast("int").alias("y"))
+    if family.lower() == "rf":
+        data = L.case_weights(data)
+    return to_vectors(data, prep.dictionary.size)
 
 
 def ml_grid(prep: Prepared, family: str, goal: str, configs: list[dict] | None = None, threads: int = 4,
-            weights: bool = False) -> DataFrame:
+            vectors: DataFrame | None = None) -> DataFrame:
     """M7 for an ML family: one Spark job chain per configuration, run from a driver
     thread pool over one cached vector table; rows keyed by config_id."""
     configs = configs if configs is not None else family_configs(family)
-    data = prep.encoded.select("row_id", "set", "features", F.col(goal).cast("int").alias("y"))
-    if weights:
-        data = L.case_weights(data)
-    vec = to_vectors(data, prep.dictionary.size).cache()
+    vec = vectors if vectors is not None else family_vectors(prep, family, goal).cache()
     train = vec.where(F.col("set") == "train")
 
     def one(item):
         cid, cfg = item
-        scored = fit_and_score(family, cfg, train, vec, prep.dictionary.size)
+        scored = fit_config(family, cfg, train, prep.dictionary.size)[1](vec, ["row_id", "set", "y"])
         has_prob = not (family.lower() in ("sgd", "lasso") and cfg.get("loss") not in LN.PROBABILISTIC_LOSSES)
         ev = M.evaluate_sets(scored.withColumn("goal", F.lit(goal)), ["goal"], has_prob=has_prob)
         return ev.withColumn("config_id", F.lit(cid)).withColumn("params", F.lit(json.dumps(cfg, sort_keys=True))) \
@@ -171,44 +178,51 @@ def ml_grid(prep: Prepared, family: str, goal: str, configs: list[dict] | None =
 
     with ThreadPoolExecutor(max(1, threads)) as pool:
         rows = list(pool.map(one, list(enumerate(configs))))
-    spark = prep.encoded.sparkSession
-    from pyspark.sql import types as T_
-    schema = T_.StructType(
-        [T_.StructField("goal", T_.StringType()), T_.StructField("config_id", T_.IntegerType()),
-         T_.StructField("params", T_.StringType())]
-        + [T_.StructField(f"{m}_{s}", T_.DoubleType()) for s in ("train", "test") for m in M.METRICS])
+    if vectors is None:
+        vec.unpersist()
+    schema = ST.StructType(
+        [ST.StructField("goal", ST.StringType()), ST.StructField("config_id", ST.IntegerType()),
+         ST.StructField("params", ST.StringType())]
+        + [ST.StructField(f"{m}_{s}", ST.DoubleType()) for s in ("train", "test") for m in M.METRICS])
     rows = sorted(rows, key=lambda r: r["config_id"])
-    return spark.createDataFrame([{f.name: r.get(f.name) for f in schema.fields} for r in rows], schema)
+    return prep.encoded.sparkSession.createDataFrame([{f.name: r.get(f.name) for f in schema.fields} for r in rows], schema)
 
 
 def train_ml(prep: Prepared, family: str, requested: list[str], out_path: str | None, threads: int = 4,
-             algorithm_name: str | None = None) -> RunResult:
-    """M10 for an ML family: per valid goal, grid (M7) -> selection (M8) -> refit of the
-    best configuration on the unified set (L11) -> model + ``confusion`` rates of the
-    best test scores (K8) and keymap (K4); run statistics (K6) for all goals."""
+             algorithm_name: str | None = None, configs: list[dict] | None = None) -> RunResult:
+    """M10 for an ML family: per valid goal, grid (M7) -> selection (M8) -> refit of the best
+    configuration on the unified set with the per-set case weights (L11, U3) -> model,
+    ``confusion`` rates of the best test scores (K8), importance of boosted trees (L10) and
+    keymap (K4); run statistics (K6) for all goals. Goals run one after the other over their own
+    cached vectors; the configurations of a goal run side by side."""
     spark = prep.encoded.sparkSession
     goals = valid_goal_list(prep, requested)
     if not goals:
         raise ValueError("No valid goals found to train")
     name = algorithm_name or family.upper()
-    grids = [ml_grid(prep, family, g, threads=threads) for g in goals]
-    grid = grids[0]
-    for g in grids[1:]:
-        grid = grid.unionByName(g)
-    sel = S.select_best(grid, ["goal"]).cache()
-    best = _best_rows(sel, ["params"])
+    frames = []
+    for goal in goals:
+        vec = family_vectors(prep, family, goal).cache()
+        sel = S.select_best(ml_grid(prep, family, goal, configs, threads, vec), ["goal"])
+        frames.append(sel)
+        best = _best_rows(sel, ["params"]).where("valid").collect()  # at most one row
+        if out_path and best:
+            cfg, path = json.loads(best[0]["params"]), f"{out_path}/{goal}"
+            fit_model(family, cfg, U.unified(vec), prep.dictionary.size, f"{path}/model")
+            spark.createDataFrame([(goal, json.dumps(cfg, sort_keys=True), best[0]["true_positive_test"],
+                                    best[0]["false_negative_test"])],
+                                  "goal string, params string, true_positive double, false_negative double") \
+                .write.mode("overwrite").json(f"{path}/confusion")
+            if family.lower() in ("xgb", "xgbf"):
+                imp = T.importance(spark, f"{path}/model", prep.dictionary.names, prep.dictionary.size)
+                for kind in ("weight", "gain", "cover"):
+                    T.importance_lines(imp, kind).write.mode("overwrite").text(f"{path}/importance_{kind}")
+        vec.unpersist()
+    grid = reduce(DataFrame.unionByName, frames)
+    best = _best_rows(grid, ["params"])
     stats = W.run_stats(best, name)
     if out_path:
-        W.write_grid_table(sel, f"{out_path}/grid")
-        W.write_keymap(prep.dictionary.names, f"{out_path}/keymap")
+        W.write_grid_table(grid, f"{out_path}/grid")
+        W.write_keymap(prep.dictionary.names, f"{out_path}/keymap", W.KEYMAP_FORM.get(family.lower(), "pairs"))
         W.write_run_stats(stats, f"{out_path}/Parameters")
-        for r in best.where("valid").collect():  # one row per goal
-            cfg = json.loads(r["params"])
-            data = prep.encoded.select("row_id", "set", "features", F.col(r["goal"]).cast("int").alias("y"))
-            vec = to_vectors(data, prep.dictionary.size)
-            fit_model(family, cfg, vec, prep.dictionary.size, f"{out_path}/{r['goal']}/model")
-            spark.createDataFrame([(r["goal"], json.dumps(cfg, sort_keys=True), r["true_positive_test"],
-                                    r["false_negative_test"])],
-                                  "goal string, params string, true_positive double, false_negative double") \
-                .write.mode("overwrite").json(f"{out_path}/{r['goal']}/confusion")
-    return RunResult(grid=sel, stats=stats, best=best)
+    return RunResult(grid=grid, stats=stats, best=best)

@@ -33,34 +33,36 @@ def sparse_lines(encoded: DataFrame, n_features: int, labels: list[str] = KNOWN_
 
 
 def write_sparse(encoded: DataFrame, path: str, n_features: int, labels: list[str] = KNOWN_LABELS,
-                 compression: str | None = None, extra: Column | None = None) -> None:
+                 compression: str | None = None) -> None:
     line = sparse_lines(encoded, n_features, labels)
-    if extra is not None:
-        line = extra
     w = encoded.select(line.alias("value")).write.mode("overwrite")
     if compression:
         w = w.option("compression", compression)
     w.text(path)
 
 
-def dense_rows(encoded: DataFrame, n_features: int, y: str = "y") -> Column:
-    """K1 line: 0/1 per feature in index order, then the label (dense, by design of
-    the format: width = dictionary size)."""
-    bits = F.transform(F.sequence(F.lit(0), F.lit(n_features - 1)),
-                       lambda i: F.array_contains("features", i).cast("int").cast("string"))
-    return F.concat_ws("\t", F.array_join(bits, "\t"), F.col(y).cast("string"))
+def dense_rows(n_features: int, y: str = "y") -> Column:
+    """K1 line: 0/1 per feature in index order, then the label (dense, by design of the
+    format: width = dictionary size + 1). Built by walking the row's sorted indices: the run
+    of zeros before each one, then the tail."""
+    f = F.col("features")
+    ones = F.transform(f, lambda x, i: F.concat(
+        F.repeat(F.lit("0\t"), x - F.when(i == 0, F.lit(0)).otherwise(F.get(f, i - 1) + 1)), F.lit("1\t")))
+    tail = F.lit(n_features) - F.when(F.size(f) > 0, F.get(f, F.size(f) - 1) + 1).otherwise(F.lit(0))
+    return F.concat(F.array_join(ones, ""), F.repeat(F.lit("0\t"), tail), F.col(y).cast("string"))
 
 
 def write_matrix(encoded: DataFrame, names: DataFrame, path: str, n_features: int, y: str = "y") -> None:
-    """K1 + K2: gzip TSV: header line (names + ``__label__``) then dense rows; the
-    case weight travels with the row (``round(weight, 5)``), so no ordering is needed
-    to keep rows and weights aligned."""
-    head = header_line(names, ["__label__"]).select(F.lit(0).alias("_o"), "value")
-    body = encoded.select(F.lit(1).alias("_o"),
-                          F.concat_ws("\t", dense_rows(encoded, n_features, y),
-                                      F.format_number(F.col("weight"), 5)).alias("value"))
-    head.unionByName(body).sortWithinPartitions("_o").select("value") \
-        .write.mode("overwrite").option("compression", "gzip").text(path)
+    """K1 + K2 per set: ``header`` (one file, names + ``__label__``), ``rows/set=.../`` (gzip
+    TSV, as wide as the header) and ``weights/set=.../`` (``row_id<TAB>%.5f``). Rows and
+    weights carry the same ordering (by row id inside each part); the weight file names its row,
+    so neither depends on how the other is split into parts."""
+    header_line(names, ["__label__"]).coalesce(1).write.mode("overwrite").text(f"{path}/header")
+    rows = encoded.sortWithinPartitions("set", "row_id")
+    rows.select("set", dense_rows(n_features, y).alias("value")).write.mode("overwrite").partitionBy("set") \
+        .option("compression", "gzip").text(f"{path}/rows")
+    rows.select("set", F.concat_ws("\t", F.col("row_id").cast("string"), F.format_string("%.5f", F.col("weight"))).alias("value")) \
+        .write.mode("overwrite").partitionBy("set").text(f"{path}/weights")
 
 
 def write_scores(scored: DataFrame, path: str) -> None:
@@ -69,13 +71,29 @@ def write_scores(scored: DataFrame, path: str) -> None:
         .option("header", "true").csv(path)
 
 
-def keymap_lines(names: DataFrame) -> DataFrame:
-    """K4: ``name$$index`` lines."""
-    return names.select(F.concat_ws("$$", F.col("name"), F.col("idx").cast("string")).alias("value"))
+def keymap_lines(names: DataFrame, form: str = "pairs") -> DataFrame:
+    """K4 in its three forms: ``pairs`` (boosted trees: ``name$$index`` lines from 0),
+    ``forest`` (one line of names, one of 1-based indices, comma-joined: one row of dictionary
+    size by format), ``linear`` (one JSON object per name with its 0-based index)."""
+    if form == "pairs":
+        return names.select(F.concat_ws("$$", F.col("name"), F.col("idx").cast("string")).alias("value"))
+    if form == "linear":
+        return names.select(F.to_json(F.struct("name", "idx")).alias("value"))
+    if form == "forest":
+        ordered = F.array_sort(F.collect_list(F.struct("idx", "name")))
+        return names.agg(ordered.alias("m")).select(F.concat_ws(
+            "\n", F.array_join(F.transform("m", lambda s: s["name"]), ","),
+            F.array_join(F.transform("m", lambda s: (s["idx"] + 1).cast("string")), ",")).alias("value"))
+    raise ValueError(f"unknown keymap form {form}")
 
 
-def write_keymap(names: DataFrame, path: str) -> None:
-    keymap_lines(names).write.mode("overwrite").text(path)
+#: Family -> form of its keymap.
+KEYMAP_FORM = {"rf": "forest", "sgd": "linear", "lasso": "linear"}
+
+
+def write_keymap(names: DataFrame, path: str, form: str = "pairs") -> None:
+    out = keymap_lines(names, form)
+    (out.coalesce(1) if form == "forest" else out).write.mode("overwrite").text(path)
 
 
 def write_grid_table(grid: DataFrame, path: str) -> None:

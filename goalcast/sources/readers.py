@@ -53,7 +53,7 @@ def read_header(spark: SparkSession, path: str, delimiter: str = "\t",
 
 
 def read_sparse(spark: SparkSession, header: DataFrame, path: str, delimiter: str = "\t") -> DataFrame:
-    """(features array<int>, <label columns>) from tab-separated index lines.
+    """(row_id, features array<int>, <label columns>) from tab-separated index lines.
 
     Any token that is not an integer drops the whole row (so does an empty line);
     indices up to the last feature index are features, a label is 1 when its index
@@ -71,7 +71,22 @@ def read_sparse(spark: SparkSession, header: DataFrame, path: str, delimiter: st
     feats = F.array_sort(F.array_distinct(F.filter("_idx", lambda x: x <= F.lit(last))))
     labs = [F.array_contains("_idx", F.lit(i)).cast("int").alias(n) for n, i in label_idx.items()]
     missing = [F.lit(0).alias(n) for n in KNOWN_LABELS if n not in label_idx]
-    return parsed.select(feats.alias("features"), *labs, *missing)
+    return parsed.select(F.monotonically_increasing_id().alias("row_id"), feats.alias("features"), *labs, *missing)
+
+
+def load_data_group(spark: SparkSession, header_path: str, set_paths: dict[str, str],
+                    delimiter: str = "\t") -> tuple[DataFrame, DataFrame]:
+    """The named sets of one header as one table ``(row_id, set, features, <labels>)``,
+    and the header. Row ids are given while reading and written with the rows in the shared
+    folder, so later jobs (and retries) see the same ids; ids of different sets differ in
+    their set."""
+    from goalcast.session import cut_lineage
+    header = read_header(spark, header_path, delimiter)
+    parts = [read_sparse(spark, header, p, delimiter).withColumn("set", F.lit(name)) for name, p in set_paths.items()]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return cut_lineage(rows.select("row_id", "set", "features", *KNOWN_LABELS), "data-group"), header
 
 
 def normalise_nulls(df: DataFrame, tokens: list[str] = RAW_NULL_TOKENS) -> DataFrame:
@@ -81,11 +96,12 @@ def normalise_nulls(df: DataFrame, tokens: list[str] = RAW_NULL_TOKENS) -> DataF
 
 
 def read_raw_log(spark: SparkSession, data_path: str, header_path: str) -> DataFrame:
-    """`$`-separated log, every column a string, names from the header CSV."""
+    """`$`-separated log, every column a string, names from the header CSV. A field in
+    double quotes may hold the separator; a doubled quote inside it is one quote."""
     from pyspark.sql.types import StringType, StructField, StructType
     head = spark.read.option("header", "true").csv(header_path)
     schema = StructType([StructField(c, StringType()) for c in head.columns])
-    raw = (spark.read.schema(schema).option("sep", "$").option("quote", "\u0000")
+    raw = (spark.read.schema(schema).option("sep", "$").option("quote", '"').option("escape", '"')
            .option("nullValue", "\u0001").option("emptyValue", "").csv(data_path))
     return normalise_nulls(raw)
 
@@ -134,20 +150,28 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 
     Line 1 is a comment, line 2 the class header (position of token ``1`` is the
     positive column), line 3 blank, then one row per sample. Without a ``1`` column
-    every probability is 0.0; pred = 1 iff prob > 0.5."""
-    txt = spark.read.text(path, wholetext=True, recursiveFileLookup=True) \
-        .select(F.input_file_name().alias("file"), "value")
-    txt = txt.where(F.size(F.split(F.col("value"), "\n")) >= 2)  # skip empty files
-    lines = F.split(F.col("value"), "\n")
-    header = F.split(strip_ws(F.try_element_at(lines, F.lit(2))), r"\s+")
-    pos = F.array_position(header, "1")
-    # one generator over the lines of the file; body rows start at the fourth line
-    rows = txt.select("file", pos.alias("_pos"), F.posexplode(lines).alias("_ln", "_line")) \
-        .where((F.col("_ln") >= 3) & (strip_ws(F.col("_line")) != "")) \
-        .withColumn("row", (F.col("_ln") - 3).cast("int"))
-    vals = F.split(strip_ws(F.col("_line")), r"\s+")
-    prob = F.when(F.col("_pos") > 0, F.element_at(vals, F.col("_pos").cast("int")).try_cast("double")).otherwise(F.lit(0.0))
-    return rows.select("file", "row", prob.alias("prob"), (prob > 0.5).cast("int").alias("pred"))
+    every probability is 0.0; pred = 1 iff prob > 0.5.
+
+    Files are read as lines and may be split: a line's number is its place in its block
+    plus the lines of the earlier blocks of its file (a table of one row per block)."""
+    from pyspark.sql import Window
+
+    from goalcast.session import cut_lineage
+    block = ["file", "start"]
+    lines = cut_lineage(
+        spark.read.text(path, recursiveFileLookup=True)
+        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                F.monotonically_increasing_id().alias("place"), strip_ws(F.col("value")).alias("line")), "prediction-lines")
+    blocks = lines.groupBy(*block).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("start")) - F.col("n")
+    blocks = blocks.withColumn("before", before).drop("n")      # one row per file block
+    numbered = lines.join(blocks, block).select("file", "line", (F.col("before") + F.col("place") - F.col("first")).alias("no"))
+    heads = numbered.where("no = 1").select("file", F.array_position(F.split("line", r"\s+"), "1").alias("pos"))
+    body = numbered.where((F.col("no") >= 3) & (F.col("line") != ""))
+    prob = F.when(F.col("pos") > 0, F.try_element_at(F.split("line", r"\s+"), F.col("pos").cast("int")).try_cast("double")) \
+            .otherwise(F.lit(0.0))
+    return body.join(heads, "file").select("file", (F.col("no") - 3).cast("int").alias("row"), prob.alias("prob"),
+                                           (prob > 0.5).cast("int").alias("pred"))
 
 
 def read_bayes_model(spark: SparkSession, path: str, prefix: str = "historical") -> dict | None:

@@ -2,8 +2,8 @@
 
 ``readStream`` over request files -> per micro-batch: feature extraction (F10),
 names -> indices (P7), Bayes scoring (H1), CR step (H3) -> one output folder per
-epoch. The model tables are read again in every batch (stream-static join, so a
-refreshed model is picked up). The job is stateless, so no watermark is needed;
+epoch. ``score_batch`` loads the model itself, so every batch is scored with the model
+that lies in the model folder when it runs. The job is stateless, so no watermark is needed;
 each epoch overwrites its own folder, so a batch replayed after a failure writes
 the same result again (idempotent sink).
 """
@@ -27,11 +27,10 @@ def start_scoring_stream(spark: SparkSession, source_path: str, schema, score_ba
             .trigger(availableNow=True).start())
 
 
-def run_to_completion(query, timeout_s: int = 600) -> None:
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError("streaming query did not finish")
+def run_to_completion(query) -> None:
+    """Wait until the available input is scored, however long that takes; a failure of
+    the stream is raised."""
+    query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
 

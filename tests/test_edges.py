@@ -11,8 +11,8 @@ from goalcast.operators import labels as L
 from goalcast.operators import metrics as M
 from goalcast.operators import selection as S
 from goalcast.operators import serving as SV
+from goalcast.operators import splits as U
 from goalcast.operators.features import build_dictionary, encode_rows, feature_cells, level_counts
-from goalcast.plans.prepare import with_split
 from goalcast.sinks import writers as W
 from goalcast.sources import readers as RD
 
@@ -86,12 +86,13 @@ def test_location_patch_drops_duplicates(spark):
 def test_split_13_and_14_days(spark):
     def frame(n_days):
         base = dt.date(2024, 1, 1)
-        return spark.createDataFrame([(i, (base + dt.timedelta(days=i % n_days)).strftime("%Y%m%d"))
-                                      for i in range(200)], "row_id long, day_ts string")
-    d14 = with_split(frame(14), frame(14))
+        df = spark.createDataFrame([(i, (base + dt.timedelta(days=i % n_days)).strftime("%Y%m%d"), i % 4)
+                                    for i in range(200)], "row_id long, day_ts string, y int")
+        return U.assign_sets(df, [r.day_ts for r in df.select("day_ts").distinct().collect()], 0, "y")
+    d14 = frame(14)
     days = {r.day_ts: r.set for r in d14.select("day_ts", "set").distinct().collect()}
     assert sorted(days.items())[9][1] == "train" and sorted(days.items())[10][1] == "test"  # floor(0.75*14)=10
-    d13 = with_split(frame(13), frame(13))
+    d13 = frame(13)
     assert d13.where("set = 'train'").count() + d13.where("set = 'test'").count() == 200
     assert d13.select("day_ts", "set").distinct().count() > 13  # hash split mixes days
 

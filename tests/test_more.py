@@ -23,11 +23,21 @@ def test_dense_index_matches_global_rank(spark):
     assert a == b
 
 
-def test_incremental_mix_gate(spark):
-    h = spark.createDataFrame([(1, 0.2)], "row_id int, prob double")
-    r = spark.createDataFrame([(1, 0.6)], "row_id int, prob double")
-    assert B.incremental_mix(h, r, ["row_id"], 25).collect()[0].prob == pytest.approx(0.4)
-    assert B.incremental_mix(h, r, ["row_id"], 19).collect()[0].prob == pytest.approx(0.2)
+def test_incremental_mix_gate():
+    assert B.incremental_alpha(25) == (0.5, True)
+    assert B.incremental_alpha(19) == (0.5, False)
+
+
+def test_mixed_scores_in_one_pass(spark):
+    enc = spark.createDataFrame([(i, "train" if i < 30 else "late", [i % 3, 3 + i % 2], int(i % 5 == 0)) for i in range(40)],
+                                "row_id long, set string, features array<int>, click int")
+    c = B.fit_counts(enc, ["click"], ("train", "late"))
+    specs = [B.ModelSpec(s, s, "click", 1) for s in ("train", "late")]
+    both = {(r.row_id, r.model_id): r.prob for r in B.score_models(enc, c, specs, ["row_id"]).scores.collect()}
+    mixed = B.mixed_scores(enc, c, *specs, ["row_id"], 0.4).collect()
+    assert all(r.prob == pytest.approx(0.4 * both[r.row_id, "train"] + 0.6 * both[r.row_id, "late"]) for r in mixed)
+    alone = B.mixed_scores(enc, c, *specs, ["row_id"], 0.5, use_recent=False).collect()
+    assert all(r.prob == pytest.approx(both[r.row_id, "train"]) for r in alone)
 
 
 def test_read_bayes_zip(spark, scratch):

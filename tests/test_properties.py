@@ -48,7 +48,7 @@ def test_bayes_matches_direct_likelihood(spark, rows, test_feats):
                 min_size=2, max_size=40))
 def test_auc_matches_pairwise(spark, rows):
     df = spark.createDataFrame([("g", y, s) for y, s in rows], "grp string, y int, prob double")
-    got = M.roc_auc(df, ["grp"], buckets=4).collect()[0].roc_auc
+    got = M.roc_auc(df, ["grp"]).collect()[0].roc_auc
     pos = [s for y, s in rows if y == 1]
     neg = [s for y, s in rows if y == 0]
     if not pos or not neg:
