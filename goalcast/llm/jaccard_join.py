@@ -32,8 +32,8 @@ from goalcast.session import cut_lineage, read_table
 U64 = np.uint64
 #: Longest l considered, classes in a chunk of a family, salts of a hash bucket.
 LONGEST, CHUNK, SALTS = 4, 256, 4
-#: Class ids broadcast at most (8 bytes each); more go through a shuffle join.
-ID_LIMIT = 1_000_000
+#: Rows of ids broadcast at most (about 110 bytes each once hashed); more go through a shuffle join.
+ID_LIMIT = 500_000
 
 _SETS = "doc_id long, th long, rid long, n long, s long, cid binary, pool binary"
 
@@ -304,7 +304,7 @@ def _components(docs: DataFrame, k: int, num: int, den: int, id_limit: int) -> t
     picked = (sets.where("cid is not null").select("rid", "doc_id", "cid")
               .join(wanted, "rid").withColumnRenamed("doc_id", "_id"))
     if wanted.count() <= id_limit:
-        picked = F.broadcast(picked)                           # at most id_limit rows of 40 bytes
+        picked = F.broadcast(picked)                           # at most id_limit rows
     text = docs.join(picked, docs["doc_id"].eqNullSafe(F.col("_id"))).select("text", "rid", "cid")
     full = (cut_lineage(text.mapInArrow(_full_sets(k), "rid long, tokens_all binary"), "jaccard-full")
             .dropDuplicates(["rid"]))
@@ -354,7 +354,7 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_limit:
     same = rows.where("cid is not null").groupBy("doc_id", "th").agg((F.count(F.lit(1)) > 1).alias("_many"))
     first = cut_lineage(first.join(same, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_th") == F.col("th")), "left")
                         .select("_id", "_th", F.coalesce("_many", F.lit(False)).alias("_many")), "jaccard-first")
-    side = F.broadcast(first) if first.count() <= id_limit else first    # at most id_limit rows of 24 bytes
+    side = F.broadcast(first) if first.count() <= id_limit else first    # at most id_limit rows
     whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_doc"),
                         F.xxhash64(F.col("text").cast("string")).alias("_key"))
     kept = whole.join(side, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th")))

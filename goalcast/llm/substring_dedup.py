@@ -32,7 +32,7 @@ from goalcast.session import cut_lineage, read_table
 
 U64 = np.uint64
 SALTS = 4
-ID_LIMIT = 1_000_000
+ID_LIMIT = 500_000
 _B = 0xB5297A4D3F84D5B5
 _BASE, _INVERSE = U64(_B), U64(pow(_B, -1, 1 << 64))
 _PLACE = U64((1 << 24) - 1)
@@ -326,7 +326,7 @@ def find_repeats(docs: DataFrame, span: int = 50, seed: int = 20, id_limit: int
     ids = (units.select("rid", F.col("doc_id").alias("_id"), F.col("th").alias("_th")).join(marked, "rid")
            .groupBy("_id", "_th").agg(F.min("rid").alias("rid")))
     ids = cut_lineage(ids, "repeat-ids")
-    side = F.broadcast(ids) if ids.count() <= id_limit else ids   # at most id_limit rows of 24 bytes
+    side = F.broadcast(ids) if ids.count() <= id_limit else ids   # at most id_limit rows
     texts = cut_lineage(docs.join(side, (docs["doc_id"] == F.col("_id")) & (docs["th"] == F.col("_th")))
                         .select("rid", "doc_id", "th", "text"), "repeat-texts")
 
