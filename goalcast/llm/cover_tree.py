@@ -8,14 +8,13 @@ hold no score above
     <q, c> + r_q |c| + r_c |q| + r_q r_c
 
 (centres q and c, covering radii r_q and r_c); it is pruned when that is below the worst kth
-score of the query node's members. Pairs are taken best bound first, so kth scores rise early.
+score of the query node's members. A query leaf takes its remaining row leaves best bound
+first, in growing batches, so kth scores rise early.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from heapq import heapify, heappop, heappush
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,13 +30,13 @@ BLOCK, LEAF, QUERY_LEAF, FAN, SHRINK = 4096, 48, 12, 24, 1.3
 class Node:
     """Points ``index`` around ``centre``, all within ``radius`` of it."""
 
-    __slots__ = ("index", "centre", "norm", "radius", "children", "worst")
+    __slots__ = ("index", "centre", "norm", "radius", "children")
 
     def __init__(self, points: np.ndarray, index: np.ndarray, centre: int, leaf: int = LEAF):
         self.index, self.centre = index, points[centre]
         self.norm = float(np.sqrt((self.centre * self.centre).sum()))
         gaps = np.sqrt(((points[index] - self.centre) ** 2).sum(axis=1))
-        self.radius, self.children, self.worst = float(gaps.max()), [], -np.inf
+        self.radius, self.children = float(gaps.max()), []
         if len(index) <= leaf or self.radius == 0:
             return
         near, owner, net = gaps, np.zeros(len(index), dtype=np.int64), [centre]
@@ -49,58 +48,98 @@ class Node:
             net.append(int(index[pick]))
         self.children = [Node(points, index[owner == x], c, leaf) for x, c in enumerate(net)]
 
-    def bound(self, other: Node) -> float:
-        """No inner product of a point here with a point there is larger."""
-        return (float(self.centre @ other.centre) + self.radius * other.norm + other.radius * self.norm
-                + self.radius * other.radius)
+
+class _Level:
+    """All nodes of a tree as arrays, children after their parents."""
+
+    def __init__(self, root: Node):
+        nodes, at = [root], 0
+        self.children: list[np.ndarray] = []
+        while at < len(nodes):
+            kids = nodes[at].children
+            self.children.append(np.arange(len(nodes), len(nodes) + len(kids)))
+            nodes += kids
+            at += 1
+        self.nodes = nodes
+        self.centre = np.array([n.centre for n in nodes])
+        self.radius, self.norm = (np.array([getattr(n, x) for n in nodes]) for x in ("radius", "norm"))
+        self.inner = np.array([bool(n.children) for n in nodes])
+
+    def bounds(self, q: Node, nodes: np.ndarray) -> np.ndarray:
+        """No inner product of a point of ``q`` with a point of such a node is larger."""
+        return (self.centre[nodes] @ q.centre + q.radius * self.norm[nodes] + self.radius[nodes] * q.norm
+                + q.radius * self.radius[nodes])
+
+
+class _Rows:
+    """Rows of some leaves."""
+
+    __slots__ = ("index",)
+
+    def __init__(self, leaves: list[Node]):
+        self.index = np.concatenate([x.index for x in leaves])
 
 
 class _Search:
+    """Both trees are descended together; the row nodes that a query node still faces are held
+    as one array, so bounds of many pairs are one product."""
+
     def __init__(self, queries, query_ids, rows, row_ids, k):
         self.q, self.qid, self.x, self.xid, self.k = queries, query_ids, rows, row_ids, k
         self.kth = np.full(len(queries), -np.inf)
         self.best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0), np.zeros(0, np.int64)) for _ in queries]
 
-    def _worst(self, node: Node) -> float:
-        """The smallest kth score in a query node; leaves keep theirs, inner nodes ask down."""
-        if not node.children:
-            return node.worst
-        return min(self._worst(c) for c in node.children)
+    def _open(self, a: Node, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row nodes that may hold a better score for a member of ``a``, best bound first. Scores
+        are whole numbers, so half of one covers the rounding of a bound and keeps ties."""
+        bounds = self.tree.bounds(a, nodes)
+        keep = bounds + 0.5 >= self.kth[a.index].min()
+        order = np.argsort(-bounds[keep], kind="stable")
+        return nodes[keep][order], bounds[keep][order]
 
-    def _leaves(self, a: Node, b: Node) -> None:
+    def _leaves(self, a: Node, b: _Rows) -> None:
+        """Score the queries of a leaf against some rows and keep the k best of each."""
         scores = self.q[a.index] @ self.x[b.index].T           # integers: exact in doubles
         ids = self.xid[b.index]
         scores[self.qid[a.index][:, None] == ids[None]] = -np.inf
-        for r in np.flatnonzero((scores >= self.kth[a.index][:, None]).any(axis=1)):
-            at = a.index[r]
-            hit = np.flatnonzero((scores[r] >= self.kth[at]) & (scores[r] > -np.inf))
-            s, i = np.append(self.best[at][0], scores[r][hit]), np.append(self.best[at][1], ids[hit])
+        better = scores >= self.kth[a.index][:, None]
+        for r in np.flatnonzero(better.any(axis=1)):
+            at, hit = a.index[r], np.flatnonzero(better[r] & (scores[r] > -np.inf))
+            if len(hit) > 4 * self.k:
+                least = np.partition(scores[r][hit], -self.k)[-self.k]
+                hit = hit[scores[r][hit] >= least]
+            known, known_ids = self.best[at]
+            s, i = np.append(known, scores[r][hit]), np.append(known_ids, ids[hit])
             keep = best_rows(s, i, self.k)
             self.best[at] = s[keep], i[keep]
             if len(keep) == self.k:
                 self.kth[at] = s[keep[-1]]
-        a.worst = float(self.kth[a.index].min())
+
+    def _descend(self, a: Node, nodes: np.ndarray) -> None:
+        nodes, _ = self._open(a, nodes)
+        if a.children:
+            wide = self.tree.inner[nodes] & (self.tree.radius[nodes] >= a.radius)
+            nodes = np.concatenate([nodes[~wide], *[self.tree.children[n] for n in nodes[wide]]])
+            for c in a.children:
+                self._descend(c, nodes)
+            return
+        while self.tree.inner[nodes].any():
+            inner = self.tree.inner[nodes]
+            nodes, _ = self._open(a, np.concatenate([nodes[~inner], *[self.tree.children[n] for n in nodes[inner]]]))
+        nodes, bounds = self._open(a, nodes)
+        step = 4
+        while len(nodes):
+            self._leaves(a, _Rows([self.tree.nodes[n] for n in nodes[:step]]))
+            nodes, bounds = nodes[step:], bounds[step:]
+            stay = bounds + 0.5 >= self.kth[a.index].min()
+            nodes, bounds, step = nodes[stay], bounds[stay], 2 * step
 
     def run(self) -> None:
         if not len(self.q) or not len(self.x):
             return
-        a, b = Node(self.q, np.arange(len(self.q)), 0, QUERY_LEAF), Node(self.x, np.arange(len(self.x)), 0)
-        heap, count = [(-a.bound(b), 0, a, b)], 1
-        heapify(heap)
-        while heap:
-            bound, _, a, b = heappop(heap)
-            # rounding of the bound must not lose a tie: scores are whole numbers
-            if -bound + 0.5 < self._worst(a):
-                continue
-            if not a.children and not b.children:
-                self._leaves(a, b)
-                continue
-            # open the wider node
-            pairs = ([(c, b) for c in a.children] if a.children and (a.radius >= b.radius or not b.children)
-                     else [(a, c) for c in b.children])
-            for c, d in pairs:
-                heappush(heap, (-c.bound(d), count, c, d))
-                count += 1
+        a = Node(self.q, np.arange(len(self.q)), 0, QUERY_LEAF)
+        self.tree = _Level(Node(self.x, np.arange(len(self.x)), 0))
+        self._descend(a, np.zeros(1, dtype=np.int64))
 
 
 def _search(k: int) -> Callable:
