@@ -168,6 +168,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
     ``per_language`` rows with the smallest id hash (a documented bound: the model is at most
     languages x ``BUCKETS`` counts)."""
     packed.small_batches(docs.sparkSession)
+    docs = docs.select("doc_id", "lang", F.col("text").cast("string").alias("text"))
     rows = (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~_held_out())
             .select(F.col("doc_id").cast("long").alias("_id"), F.col("lang").alias("_lang"), F.xxhash64("doc_id").alias("h")).distinct())
     # hash ranges of each language up to the one that fills the bound, then its exact rank
@@ -286,8 +287,11 @@ def identify_language(docs: DataFrame, model: LanguageModel | None = None, penal
 
 def keep_identified(docs: DataFrame, least_share: float = 0.5, penalty: float = SWITCH) -> DataFrame:
     """``docs`` without the rows that have no language: ``und``, or no language with
-    ``least_share`` of the letters. All columns and kept rows stay as they are."""
+    ``least_share`` of the letters. All columns and kept rows stay as they are. If there is no
+    row to learn from, nothing can be judged and all rows stay."""
     model = train(docs)
+    if not model.langs:
+        return docs
     label = _predict(model, penalty)
 
     @F.arrow_udf("boolean")

@@ -117,3 +117,13 @@ def test_repeats_of_nothing(table):
     empty = hashlib.sha256(b"").hexdigest()
     assert {tuple(r) for r in repeat_digest(table([(1, None), (2, "a b")])).collect()} == {
         (1, 0, 0, empty), (2, 2, 0, hashlib.sha256(b"a b").hexdigest())}
+
+
+def test_without_broadcasts(table, corpus):
+    """The shuffle joins beyond the bound on ids give the same rows."""
+    from goalcast.llm.substring_dedup import find_repeats
+    docs = table(corpus)
+    a, b = (sorted([(r["doc_id"], r["text"]) for r in keep_one(docs, id_limit=n).collect()], key=key) for n in (0, 10 ** 6))
+    assert a == b
+    a, b = (sorted(map(tuple, find_repeats(docs, id_limit=n)[1].collect())) for n in (0, 10 ** 6))
+    assert a == b and a

@@ -57,3 +57,18 @@ def test_stages_equal_brute_force(spark, tmp_path):
     assert {r["doc_id"] for r in pieces} == {d for d, _ in want}
     whole = E.queries()["pipeline"](spark, SF)
     assert whole.columns == out["packing"].columns and math.isclose(whole.count(), len(pieces), abs_tol=3)
+
+
+def test_stages_on_little(spark, table):
+    """Empty tables, null texts and languages, repeated rows, extra columns: rows keep their columns."""
+    odd = [(1, None), (2, ""), (3, "12 3"), (None, "words of a text that has no id"), (8, "a text " * 40), (8, "a text " * 40), (7, "A TEXT " * 40)]
+    for rows, stays in (([], None), (odd, {"language_id": 4, "near_duplicates": 5, "repeated_passages": 7})):
+        docs = table(rows, lang={8: "en", 7: "en", None: "en"})
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF)
+            if name == "packing":
+                assert out.agg({"length": "sum"}).first()[0] == (None if not rows else sum(
+                    r["doc_tokens"] for r in out.where("start = 0").collect()))
+                continue
+            assert out.columns == docs.columns
+            assert out.count() == (stays[name] if stays else 0)
