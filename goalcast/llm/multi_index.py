@@ -24,7 +24,7 @@ from goalcast.session import cut_lineage, read_table
 
 #: Rows that fit the codebooks at most, codes per half, share of the rows that a query ranks,
 #: rows that it ranks at least, entries in a group.
-SAMPLE, CODES, SHARE, LEAST, GROUP = 20_000, 64, 0.45, 256, 4096
+SAMPLE, CODES, SHARE, LEAST, GROUP = 20_000, 64, 0.55, 1024, 4096
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
