@@ -7,9 +7,6 @@ hyper-parameter grids, stated plainly in their natural order.
 # Goal columns recognised as labels (anything else is a feature).
 KNOWN_LABELS = ["click", "download", "buy", "register", "video_ad_start"]
 
-# The scorer also accepts this label name.
-EXTRA_BAYES_LABELS = ["video_start"]
-
 # List feature columns (values separated by a literal dot).
 DATA_LIST_COLUMNS = ["category"]
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goalcast.constants import HYPER_PARAMETERS, KNOWN_LABELS
+from goalcast.constants import DATA_ATTRIBUTE_COLUMNS, DATA_LIST_COLUMNS, HYPER_PARAMETERS, KNOWN_LABELS
 from goalcast.functions import columns as C
 from goalcast.operators import bayes as B
 from goalcast.operators import metrics as M
@@ -168,13 +168,13 @@ def q_bayes_model_scan(spark, sf_dir):
 
 
 def q_raw_log_features(spark, sf_dir):
-    """Feature build from a raw `$` log written from the tables (S4 -> P3 -> F1-F7 -> U1)."""
+    """Feature build from a raw `$` log written from the tables, over all 22 attribute columns
+    of the log (S4 -> P3 -> F1-F7 -> U1)."""
     from goalcast.plans import raw_flow as RF
-    from goalcast.plans.fixtures import FIXTURE_ATTRIBUTE_COLUMNS, FIXTURE_LIST_COLUMNS, FIXTURE_RARITY
+    from goalcast.plans.fixtures import FIXTURE_RARITY
     dpath, hpath = scratch_path(spark, "rawlog-full"), scratch_path(spark, "rawlog-head")
-    RF.write_raw_log(RF.raw_log_rows(impressions(spark, sf_dir)), dpath, hpath)
-    p = RF.build_from_raw_log(spark, dpath, hpath, FIXTURE_ATTRIBUTE_COLUMNS, FIXTURE_LIST_COLUMNS,
-                              FIXTURE_GOALS, FIXTURE_RARITY)
+    RF.write_raw_log(RF.raw_log_rows(RF.with_log_columns(impressions(spark, sf_dir))), dpath, hpath)
+    p = RF.build_from_raw_log(spark, dpath, hpath, DATA_ATTRIBUTE_COLUMNS, DATA_LIST_COLUMNS, FIXTURE_GOALS, FIXTURE_RARITY)
     return p.encoded.select("row_id", "set", features_text().alias("features"), "click")
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import itertools
 
-from goalcast.constants import HYPER_PARAMETERS, KNOWN_LABELS
+from goalcast.constants import DATA_ATTRIBUTE_COLUMNS, HYPER_PARAMETERS, KNOWN_LABELS
 from goalcast.plans.fixtures import IMPRESSIONS_SQL
+from goalcast.plans.raw_flow import LOG_COLUMNS_SQL
 from goalcast.plans.oracle_queries import (GRID_METRICS, SELECT_BEST_CTES, VALID_GOALS_CTE, _grid_sql, _w,
                                            expand_rounding)
 from goalcast.plans.oracle_sql import LOG_ODDS, OFFSET_SQL, base_ctes, bayes_ctes, metrics_sql
@@ -122,13 +123,14 @@ TEST_CLICK = base_ctes() + bayes_ctes(["click"], [5])
 def _raw_log_ctes() -> str:
     """base CTEs with the impressions as seen through the raw log: null tokens read as
     null, missing labels as 0."""
-    text = base_ctes()
+    text = base_ctes(attribute_cols=DATA_ATTRIBUTE_COLUMNS)
     raw = """impressions_raw AS (
   SELECT row_id, "timestamp", day_ts, CASE WHEN timezone_offset = '\\N' THEN NULL ELSE timezone_offset END AS timezone_offset,
     exchange2, loc_country, loc_state, loc_city, publisher, domain,
     CASE WHEN row_id % 19 = 0 THEN NULL ELSE device_os END AS device_os, app_site_ind,
     CASE WHEN row_id % 13 = 0 THEN NULL ELSE category END AS category,
-    CASE WHEN row_id % 7 = 0 THEN 0 ELSE click END AS click, download, buy, register, video_ad_start, score
+    CASE WHEN row_id % 7 = 0 THEN 0 ELSE click END AS click, download, buy, register, video_ad_start, score,
+    """ + LOG_COLUMNS_SQL + """
   FROM impressions
 ),
 derived AS ("""

@@ -14,7 +14,9 @@ from goalcast.sources.readers import read_raw_log
 # Raw-log column order written by ``write_raw_log`` (strings only, as in the log format).
 RAW_LOG_COLUMNS = ["row_id", "timestamp", "timezone_offset", "day_ts", "exchange2", "loc_country", "loc_state",
                    "loc_city", "publisher", "domain", "device_os", "app_site_ind", "category",
-                   "click", "download", "buy", "register", "video_ad_start"]
+                   "impression_position_val", "impression_viewability", "formats", "device_language", "device_make",
+                   "device_model", "device_osv", "zip", "datacenter", "browser", "banner", "ad_type", "banner_size",
+                   "sub_account_id", "click", "download", "buy", "register", "video_ad_start"]
 
 
 def typed_raw_log(raw: DataFrame, labels: list[str]) -> DataFrame:
@@ -32,6 +34,31 @@ def build_from_raw_log(spark: SparkSession, data_path: str, header_path: str, at
     return prepare_encoded(raw, attribute_cols, list_cols, labels, threshold, families)
 
 
+def with_log_columns(impressions: DataFrame) -> DataFrame:
+    """The log columns that the impressions view lacks, from its row id and exchange."""
+    rid, none = F.col("row_id"), F.lit(None).cast("string")
+
+    def level(prefix: str, n: int):
+        return F.concat(F.lit(prefix), (rid % n).cast("string"))
+    return impressions.withColumns({
+        "impression_position_val": (rid % 3).cast("string"), "impression_viewability": none,
+        "formats": F.when(rid % 2 == 0, F.lit("300x250")).otherwise(F.lit("320x50")),
+        "device_language": level("l", 5), "device_make": level("m", 6), "device_model": level("mo", 11),
+        "device_osv": level("v", 8), "zip": level("z", 40), "datacenter": F.col("exchange2"),
+        "browser": F.when(rid % 4 == 0, F.lit("Chrome")), "banner": none,
+        "ad_type": F.when(rid % 2 == 0, F.lit("nativead")).otherwise(F.lit("OTHER")), "banner_size": F.lit("300x250"),
+        "sub_account_id": level("s", 3)})
+
+
+# The same columns in DuckDB.
+LOG_COLUMNS_SQL = """CAST(row_id % 3 AS VARCHAR) AS impression_position_val, NULL::VARCHAR AS impression_viewability,
+    CASE WHEN row_id % 2 = 0 THEN '300x250' ELSE '320x50' END AS formats, 'l' || (row_id % 5) AS device_language,
+    'm' || (row_id % 6) AS device_make, 'mo' || (row_id % 11) AS device_model, 'v' || (row_id % 8) AS device_osv,
+    'z' || (row_id % 40) AS zip, exchange2 AS datacenter, CASE WHEN row_id % 4 = 0 THEN 'Chrome' END AS browser,
+    NULL::VARCHAR AS banner, CASE WHEN row_id % 2 = 0 THEN 'nativead' ELSE 'OTHER' END AS ad_type,
+    '300x250' AS banner_size, 's' || (row_id % 3) AS sub_account_id"""
+
+
 def raw_log_rows(impressions: DataFrame) -> DataFrame:
     """The impressions as raw-log strings, with the null spellings of the format:
     ``\\N`` for missing values, ``nan`` and ``NULL`` in some rows, missing labels."""
