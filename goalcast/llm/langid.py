@@ -27,7 +27,7 @@ BUCKETS = 1 << 15
 #: Training rows per language at most; log-odds to switch language.
 PER_LANGUAGE, SWITCH = 1500, 8.0
 #: Characters of texts that advance together, characters scored in one go (about 60 bytes each).
-SLICE, PIECE = 1 << 22, 1 << 19
+SLICE, PIECE = 1 << 21, 1 << 18
 #: Score of a language that does not write the word's script.
 BARRED = np.float32(-60.0)
 

@@ -15,8 +15,8 @@ from pyspark.sql import SparkSession
 
 U64 = np.uint64
 LOW = U64(0xFFFFFFFF)
-#: Hashes gathered before a block is sent (8 MB of hashes; sorting takes several copies).
-BLOCK = 1 << 20
+#: Hashes gathered before a block is sent (4 MB of hashes; sorting takes several copies).
+BLOCK = 1 << 19
 
 
 def bucket_count(spark: SparkSession) -> int:
