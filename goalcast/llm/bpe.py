@@ -275,7 +275,7 @@ def bpe_digests(docs: DataFrame, tokenizer: str) -> DataFrame:
     """
     packed.small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(_digests(tokenizer), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.mapInArrow(packed.lean(_digests(tokenizer)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op10_bpe(spark, sf_dir: str) -> DataFrame:

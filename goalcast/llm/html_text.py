@@ -282,7 +282,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     packed.small_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"))
-    return rows.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    return rows.mapInArrow(packed.lean(_extract), "page_id long, url string, text string, n_chars long")
 
 
 def op1_html_text(spark, sf_dir: str) -> DataFrame:

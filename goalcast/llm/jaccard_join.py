@@ -281,14 +281,14 @@ def _components(docs: DataFrame, k: int, num: int, den: int, id_limit: int) -> t
     buckets = packed.bucket_count(spark)
     # the zone holds one and a half times the tokens that a 1-prefix takes on average
     zone = min(2 ** 64 - 1, 2 ** 64 * 3 * (den - num) // (2 * den))
-    sets = cut_lineage(docs.select("doc_id", "th", "text").mapInArrow(_set_rows(k, num, den, zone), _SETS), "jaccard-sets")
+    sets = cut_lineage(docs.select("doc_id", "th", "text").mapInArrow(packed.lean(_set_rows(k, num, den, zone)), _SETS), "jaccard-sets")
     classes = cut_lineage(sets.where("cid is not null").groupBy("cid")
                           .agg(F.min("rid").alias("rid"), F.expr(_FIRST).alias("least")), "jaccard-classes")
 
     cols = sets.select("rid", "s", "cid", "pool")
-    freq = cut_lineage(cols.mapInArrow(_send_counts(buckets), "bucket int, low binary, cnt binary")
+    freq = cut_lineage(cols.mapInArrow(packed.lean(_send_counts(buckets)), "bucket int, low binary, cnt binary")
                        .groupBy("bucket").applyInArrow(_sum_counts, "bucket int, low binary, df binary"), "jaccard-freq")
-    entries = cols.mapInArrow(_send_entries(buckets), "bucket int, salt int, low binary, rid binary")
+    entries = cols.mapInArrow(packed.lean(_send_entries(buckets)), "bucket int, salt int, low binary, rid binary")
     salted = freq.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     found = (entries.groupBy("bucket", "salt").cogroup(salted.groupBy("bucket", "salt"))
              .applyInArrow(_look_up, "rid long, zone boolean, df long, token long"))
@@ -306,7 +306,7 @@ def _components(docs: DataFrame, k: int, num: int, den: int, id_limit: int) -> t
     if wanted.count() <= id_limit:
         picked = F.broadcast(picked)                           # at most id_limit rows
     text = docs.join(picked, docs["doc_id"].eqNullSafe(F.col("_id"))).select("text", "rid", "cid")
-    full = (cut_lineage(text.mapInArrow(_full_sets(k), "rid long, tokens_all binary"), "jaccard-full")
+    full = (cut_lineage(text.mapInArrow(packed.lean(_full_sets(k)), "rid long, tokens_all binary"), "jaccard-full")
             .dropDuplicates(["rid"]))
 
     dealt = (member.join(families, "leader")

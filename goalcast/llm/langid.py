@@ -182,7 +182,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
     chosen = F.broadcast(cut_lineage(near.select("_id", "_lang"), "langid-sample"))   # per_language rows a language
     counted = (docs.join(chosen, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
                .where(F.col("text").isNotNull()).select("lang", "text")
-               .mapInArrow(_count_grams, "lang string, kind int, slot int, cnt long")
+               .mapInArrow(packed.lean(_count_grams), "lang string, kind int, slot int, cnt long")
                .groupBy("lang", "kind", "slot").agg(F.sum("cnt").alias("cnt")))
     return LanguageModel([tuple(r) for r in counted.collect()])   # at most languages x (BUCKETS + scripts) rows
 
@@ -281,7 +281,7 @@ def identify_language(docs: DataFrame, model: LanguageModel | None = None, penal
     model = model or train(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _held_out().alias("held_out"),
                        F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_predict(model, penalty), "doc_id long, held_out boolean, lang_pred string, score double, "
+    return rows.mapInArrow(packed.lean(_predict(model, penalty)), "doc_id long, held_out boolean, lang_pred string, score double, "
                            "spans array<struct<lang: string, first_word: long, n_words: long>>")
 
 
@@ -302,6 +302,7 @@ def keep_identified(docs: DataFrame, least_share: float = 0.5, penalty: float =
             for out in label(iter([rows])):
                 named = np.array(out.column("lang_pred").to_pylist(), dtype=object) != "und"
                 yield pa.array((named & (out.column("score").to_numpy() >= least_share)).astype(bool))
+        packed.give_back()
     return docs.where(judge(F.col("text").cast("string")))
 
 

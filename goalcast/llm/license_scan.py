@@ -122,7 +122,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def license_spans(docs: DataFrame, templates: tuple = TEMPLATES, k: int = K) -> DataFrame:
     """``(_id, _th, label, first_word, last_word, coverage)`` of the verified spans of templates;
     ``_th`` is ``xxhash64(text)``. Equal rows share their spans."""
-    grams = _keyed(docs).mapInArrow(_grams(k), "_id long, _th long, grams array<long>")
+    grams = _keyed(docs).mapInArrow(packed.lean(_grams(k)), "_id long, _th long, grams array<long>")
     known = F.broadcast(_template_grams(docs.sparkSession, templates, k))      # the templates' words
     hits = grams.select("_id", "_th", F.posexplode("grams").alias("pos", "gram")).join(known, "gram")
     votes = (hits.withColumn("diagonal", F.col("pos") - F.col("place"))
@@ -152,7 +152,7 @@ def scan_licenses(docs: DataFrame, templates: tuple = TEMPLATES, phrases: tuple
     strings; null doc_ids are scanned like others; repeated rows each get the full result; an
     empty table gives no rows.
     """
-    base = _keyed(docs).mapInArrow(_base(phrases), "doc_id long, th long, n_words long, n_base long, first_word long, last_word long, base array<string>")
+    base = _keyed(docs).mapInArrow(packed.lean(_base(phrases)), "doc_id long, th long, n_words long, n_base long, first_word long, last_word long, base array<string>")
     found = (license_spans(docs, templates).groupBy("_id", "_th")
              .agg(F.collect_set("label").alias("more"), F.max("coverage").alias("coverage")))
     none = F.array().cast("array<string>")

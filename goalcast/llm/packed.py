@@ -7,7 +7,9 @@ per hash, so a shuffle of hundreds of millions of hashes costs a few bytes each
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -67,3 +69,23 @@ def small_batches(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)       # glibc
+    if trim is not None:
+        trim(0)
+
+
+def lean(task: Callable) -> Callable:
+    """A ``mapInArrow`` function that hands freed memory back to the system when its task ends;
+    Python workers are reused and would hold on to it."""
+    @functools.wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            give_back()
+    return run

@@ -9,6 +9,7 @@ merged best-fit, largest first. Only piece records (a few numbers) leave a task,
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
@@ -96,7 +97,7 @@ class WordEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         spec["truncation"] = spec["padding"] = None
-        self.whole = Tokenizer.from_str(json.dumps(spec))
+        self.load_whole = functools.cache(lambda: Tokenizer.from_file(path))   # most texts never need it
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)")
         steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
         cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
@@ -189,7 +190,10 @@ class WordEncoder:
                 yield from self._encode_latin(group)
                 group, size = [], 0
             if latin is None:
-                yield np.array(self.whole.encode_batch_fast([t], add_special_tokens=False)[0].ids, dtype=np.uint32)
+                whole = self.load_whole()
+                whole.no_truncation()
+                whole.no_padding()
+                yield np.array(whole.encode_batch_fast([t], add_special_tokens=False)[0].ids, dtype=np.uint32)
             elif len(latin) > SEGMENT:
                 yield np.concatenate([x for s in self._segments(latin) for x in self._encode_latin([s])])
             else:
@@ -295,7 +299,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int
     """
     packed.small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    pieces = cut_lineage(docs.mapInArrow(_pack(tokenizer, end_id, length, open_windows), _PIECES), "pack-pieces")
+    pieces = cut_lineage(docs.mapInArrow(packed.lean(_pack(tokenizer, end_id, length, open_windows)), _PIECES), "pack-pieces")
     merged = (pieces.where("open").groupBy(F.expr(f"(window >> 32) div {fan_in}"))
               .applyInArrow(_merge(length), _PIECES))
     return (pieces.where("not open").unionByName(merged)

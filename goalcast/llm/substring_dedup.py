@@ -310,14 +310,14 @@ def find_repeats(docs: DataFrame, span: int = 50, seed: int = 20, id_limit: int
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("th", F.xxhash64("text"))
     buckets = packed.bucket_count(spark)
-    units = cut_lineage(docs.select("doc_id", "th", "text").mapInArrow(_unit_rows(span, seed), _UNITS), "repeat-units")
-    known = cut_lineage(units.select("rid", "doc_id", "anchor", "unit").mapInArrow(_send_units(buckets), _SEEN)
+    units = cut_lineage(docs.select("doc_id", "th", "text").mapInArrow(packed.lean(_unit_rows(span, seed)), _UNITS), "repeat-units")
+    known = cut_lineage(units.select("rid", "doc_id", "anchor", "unit").mapInArrow(packed.lean(_send_units(buckets)), _SEEN)
                         .groupBy("bucket").applyInArrow(_first_holders, "bucket int, low binary, unit binary, doc binary, mixed binary"),
                         "repeat-holders")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     found = cut_lineage(
         units.select("rid", "doc_id", "anchor", "unit", "lo", "hi")
-        .mapInArrow(_send_occurrences(buckets), "bucket int, salt int, low binary, unit binary, rid binary, doc binary, lo binary, hi binary")
+        .mapInArrow(packed.lean(_send_occurrences(buckets)), "bucket int, salt int, low binary, unit binary, rid binary, doc binary, lo binary, hi binary")
         .groupBy("bucket", "salt").cogroup(known.withColumn("salt", salts).groupBy("bucket", "salt"))
         .applyInArrow(_judge_units, "rid long, lo int, hi int, whole boolean"), "repeat-found")
 
@@ -332,15 +332,15 @@ def find_repeats(docs: DataFrame, span: int = 50, seed: int = 20, id_limit: int
 
     part = found.where("not whole").groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     compare = texts.join(part, "rid")
-    first = cut_lineage(compare.mapInArrow(_send_windows(buckets, span), "bucket int, unit binary, doc binary")
+    first = cut_lineage(compare.mapInArrow(packed.lean(_send_windows(buckets, span)), "bucket int, unit binary, doc binary")
                         .groupBy("bucket").applyInArrow(_first_windows, "bucket int, unit binary, doc binary"), "repeat-windows")
-    single = (compare.mapInArrow(_send_starts(buckets, span), "bucket int, salt int, unit binary, rid binary, doc binary, lo binary")
+    single = (compare.mapInArrow(packed.lean(_send_starts(buckets, span)), "bucket int, salt int, unit binary, rid binary, doc binary, lo binary")
               .groupBy("bucket", "salt").cogroup(first.withColumn("salt", salts).groupBy("bucket", "salt"))
               .applyInArrow(_judge_windows, "rid long, lo int, hi int"))
     gone = (found.where("whole").select("rid", "lo", "hi").unionByName(single)
             .groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")))
     changed = cut_lineage(texts.join(gone, "rid").select("doc_id", "th", "text", "ranges")
-                          .mapInArrow(_cut(span), "_id long, _th long, n_removed long, kept_sha string, kept string")
+                          .mapInArrow(packed.lean(_cut(span)), "_id long, _th long, n_removed long, kept_sha string, kept string")
                           .dropDuplicates(["_id", "_th"]), "repeat-changed")
     return units.select("doc_id", "th", "n_words", "sha"), changed
 
