@@ -279,8 +279,9 @@ def _components(docs: DataFrame, k: int, num: int, den: int, id_limit: int) -> t
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("th", F.xxhash64("text"))
     buckets = packed.bucket_count(spark)
-    # the zone holds one and a half times the tokens that a 1-prefix takes on average
-    zone = min(2 ** 64 - 1, 2 ** 64 * 3 * (den - num) // (2 * den))
+    # the zone holds twice the tokens that a 1-prefix takes on average: with fewer to choose from,
+    # tokens of common passages enter the prefixes and families grow
+    zone = min(2 ** 64 - 1, 2 ** 64 * 2 * (den - num) // den)
     sets = cut_lineage(docs.select("doc_id", "th", "text").mapInArrow(packed.lean(_set_rows(k, num, den, zone)), _SETS), "jaccard-sets")
     classes = cut_lineage(sets.where("cid is not null").groupBy("cid")
                           .agg(F.min("rid").alias("rid"), F.expr(_FIRST).alias("least")), "jaccard-classes")
