@@ -61,7 +61,7 @@ def rows(schema: pa.Schema, values: list[tuple]) -> pa.RecordBatch:
 
 
 #: Rows of an Arrow batch between the JVM and Python workers; texts may be long.
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -29,7 +29,7 @@ from goalcast.llm.words import BYTE_TABLE, run_hashes
 from goalcast.session import cut_lineage, read_table
 
 #: Words whose ids a worker remembers (about 50 bytes each), characters looked at in one go.
-CACHE, SEGMENT = 500_000, 1 << 18
+CACHE, SEGMENT = 300_000, 1 << 18
 
 # White space, letters, numbers and contractions of Latin-1 as the tokenizer's
 # patterns see them.
