@@ -23,7 +23,8 @@ from goalcast.session import read_table
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|style|itemprop|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+#: One attribute: its whole name, then its value in double or single quotes (to the end when the quote stays open) or bare.
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"?+|'([^']*+)'?+|([^\s>]*+)))?+""")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -38,6 +39,9 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 #: Elements that an implied end does not cross.
 BARRIER = frozenset("html body table ul ol dl div section article main aside nav header footer form blockquote td th li".split())
 
+# The attributes that are read.
+READ = frozenset("class id role style itemprop hidden aria-hidden".split())
+
 # Words of class, id and role that tell page furniture or the article.
 FURNITURE = frozenset(
     "ad ads advert adverts advertisement advertising aside banner bar breadcrumb breadcrumbs byline captcha comment comments "
@@ -69,6 +73,15 @@ class Block:
         self.text, self.linked, self.tag, self.hint, self.region = text, linked, tag, hint, region
 
 
+def _attributes(text: str) -> dict[str, str]:
+    """The attributes of ``READ`` in a start tag by their whole name; of a repeated one the first counts."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(text):
+        if name.lower() in READ:
+            found.setdefault(name.lower(), "".join(values))
+    return found
+
+
 def _child(parent: _Element, tag: str, attributes: str, serial: int) -> _Element:
     """The element's own reading: furniture marks outweigh article marks and go down the tree."""
     dropped = parent.dropped or tag in DROPPED
@@ -76,8 +89,7 @@ def _child(parent: _Element, tag: str, attributes: str, serial: int) -> _Element
     if tag == "header" and parent.hint > 0:
         furniture = False                                      # an article's own heading
     if attributes:
-        for name, value in _ATTRIBUTE.findall(attributes):
-            name, value = name.lower(), value.strip("\"'")
+        for name, value in _attributes(attributes).items():
             if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDDEN.search(value):
                 dropped = True
             elif name != "style":

@@ -132,6 +132,23 @@ def test_page_text():
         "Unclosed. Next line.", "point one", "point two", "Last paragraph, é and €."])
 
 
+LONG = "This paragraph is long enough to be the text of an article, and it ends as a sentence does."
+
+
+@pytest.mark.parametrize("mark", ['href="/hidden-costs"', 'title="The hidden valley"', 'data-title="Hidden gems"', "data-hidden", 'data-id="sidebar"',
+                                  "title=' id=sidebar hidden '", 'x-class="ad" alt=hidden', 'title = "a" data-style="display:none"'])
+def test_only_whole_attribute_names_count(mark):
+    assert html_text._attributes(mark) == html_text._attributes('title="x hidden') == {}
+    assert html_text.main_text(f"<body><section {mark}><p>{LONG}</p></section>") == LONG
+    link = f"<article><p>{LONG} See <a {mark}>the costs</a> of it.</p></article>"
+    assert "See the costs of it." in html_text.main_text(link)
+
+
+@pytest.mark.parametrize("mark", ["hidden", "HIDDEN", "title=x hidden", "hidden=''", 'aria-hidden="true"', "style='color:red; display : none'", 'a="b"hidden'])
+def test_hidden_elements_are_dropped(mark):
+    assert html_text.main_text(f"<article><p>{LONG}</p><div {mark}><p>{LONG} Not seen.</p></div></article>") == LONG
+
+
 @pytest.mark.parametrize("page", ["", "<", "</", "<p", "<!--", "<script>", "a < b", "<p title='x>y", "&am", "<div>" * 3000, "</p></div>", "<a \"" * 500])
 def test_broken_pages_do_not_fail(page):
     assert isinstance(html_text.main_text(page), str)
