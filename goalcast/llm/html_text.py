@@ -53,24 +53,29 @@ FURNITURE = frozenset(
 ARTICLE = frozenset("article articlebody blogpost body content entry hentry main post story text".split())
 FURNITURE_TAGS = frozenset("nav footer aside form header menu dialog fieldset".split())
 ARTICLE_TAGS = frozenset("article main".split())
+#: First words of names that tell what a wrapper has or how it is laid out (has-sidebar, overflow-hidden), not what it is.
+DESCRIBING = frozenset("has have with without no not overflow backface".split())
+#: Points for text of an article; costs of a furniture tag, of a name made of furniture words only, of a name that holds
+#: one, and of names inside one another. A name's cost can be outweighed by the other evidence, which reaches 240.
+IN_ARTICLE, BY_TAG, BY_NAME, BY_PART, BY_NAMES = 320, 320, 200, 120, 220
 TAG_WEIGHT = {"p": 60, "blockquote": 60, "pre": 60, "h1": 60, "h2": 40, "h3": 40, "h4": 20, "li": -20, "td": -20, "th": -20,
               "address": -80, "dt": 0, "dd": 10, "figcaption": 10}
 
 
 class _Element:
-    __slots__ = ("tag", "hint", "region", "dropped", "serial")
+    __slots__ = ("tag", "hint", "cause", "region", "dropped", "serial")
 
-    def __init__(self, tag, hint, region, dropped, serial):
-        self.tag, self.hint, self.region, self.dropped, self.serial = tag, hint, region, dropped, serial
+    def __init__(self, tag, hint, cause, region, dropped, serial):
+        self.tag, self.hint, self.cause, self.region, self.dropped, self.serial = tag, hint, cause, region, dropped, serial
 
 
 class Block:
     """A run of text between block-level tags."""
 
-    __slots__ = ("text", "linked", "tag", "hint", "region")
+    __slots__ = ("text", "linked", "tag", "hint", "named", "region")
 
-    def __init__(self, text, linked, tag, hint, region):
-        self.text, self.linked, self.tag, self.hint, self.region = text, linked, tag, hint, region
+    def __init__(self, text, linked, tag, hint, named, region):
+        self.text, self.linked, self.tag, self.hint, self.named, self.region = text, linked, tag, hint, named, region
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -82,32 +87,55 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
+def _name_cost(value: str) -> int:
+    """Cost of the furniture words in the names of a class, id or role."""
+    cost = 0
+    for name in value.split():
+        parts = [p.lower() for p in _NAME_PARTS.findall(name)]
+        if FURNITURE.isdisjoint(parts) or parts[0] in DESCRIBING or "layout" in parts or parts[-1] == "page":
+            continue
+        cost = max(cost, BY_NAME if all(p in FURNITURE or p.isdigit() for p in parts) else BY_PART)
+    return cost
+
+
 def _child(parent: _Element, tag: str, attributes: str, serial: int) -> _Element:
-    """The element's own reading: furniture marks outweigh article marks and go down the tree."""
+    """The element's own reading: furniture marks outweigh article marks and go down the tree, up to
+    an inner article. ``cause`` is the tag or the cost of the name that made the hint negative."""
     dropped = parent.dropped or tag in DROPPED
     furniture, article = tag in FURNITURE_TAGS, tag in ARTICLE_TAGS
     if tag == "header" and parent.hint > 0:
         furniture = False                                      # an article's own heading
+    cost, body = 0, tag == "main"
     if attributes:
         for name, value in _attributes(attributes).items():
             if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDDEN.search(value):
                 dropped = True
             elif name != "style":
-                parts = {p.lower() for p in _NAME_PARTS.findall(value)}
-                furniture |= bool(parts & FURNITURE) and tag not in ("html", "body", "article", "main")
-                article |= bool(parts & ARTICLE)
-    if furniture:
-        return _Element(tag, -1, serial, dropped, serial)
+                cost = max(cost, _name_cost(value))
+                article |= not ARTICLE.isdisjoint(p.lower() for p in _NAME_PARTS.findall(value))
+                body |= name == "itemprop" and "articlebody" in value.lower().split()
+    inner = body or tag == "article"
+    if furniture and not body:
+        return _Element(tag, -BY_TAG, tag, serial, dropped, serial)
+    if cost and not inner and tag not in ("html", "body"):
+        if parent.hint >= 0:
+            return _Element(tag, -cost, cost, serial, dropped, serial)
+        cause = max(cost, parent.cause) if isinstance(parent.cause, int) else parent.cause
+        return _Element(tag, min(parent.hint, -BY_NAMES), cause, serial, dropped, serial)
     if article and parent.hint >= 0:
-        return _Element(tag, 1, serial, dropped, serial)
+        return _Element(tag, IN_ARTICLE, None, serial, dropped, serial)
+    if body or inner and not cost and parent.cause in ("form", "fieldset", BY_PART):
+        return _Element(tag, IN_ARTICLE, None, serial, dropped, serial)
+    if inner and not cost and parent.cause == BY_NAME:
+        return _Element(tag, 0, None, serial, dropped, serial)     # an article, or one of a list: its text decides
     region = serial if tag in ("div", "section", "table", "ul", "ol", "dl") else parent.region
-    return _Element(tag, parent.hint, region, dropped, serial)
+    return _Element(tag, parent.hint, parent.cause, region, dropped, serial)
 
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks of a page in order. Broken markup is read leniently: an unclosed comment or
     raw element runs to the end, a tag cut off at the end is dropped."""
-    stack, out = [_Element("", 0, 0, False, 0)], []
+    stack, out = [_Element("", 0, None, 0, False, 0)], []
     text, linked, links, serial, at, size = [], 0, 0, 0, 0, len(page)
     lowered = None
 
@@ -118,7 +146,7 @@ def blocks_of(page: str) -> list[Block]:
             if words:
                 top = stack[-1]
                 tag = next((e.tag for e in reversed(stack) if e.tag not in INLINE), "")
-                out.append(Block(" ".join(words), linked, tag, top.hint, top.region))
+                out.append(Block(" ".join(words), linked, tag, top.hint, isinstance(top.cause, int), top.region))
         text, linked = [], 0
 
     def say(part: str):
@@ -193,10 +221,10 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def _unary(b: Block) -> int:
-    """Evidence for content (positive) or boilerplate (negative)."""
+def _unary(b: Block, most: int = BY_NAMES) -> int:
+    """Evidence for content (positive) or boilerplate (negative); names cost ``most`` at most."""
     words = b.text.count(" ") + 1
-    score = 320 * b.hint + TAG_WEIGHT.get(b.tag, 0) - 60
+    score = (max(b.hint, -most) if b.named else b.hint) + TAG_WEIGHT.get(b.tag, 0) - 60
     score += min(words, 40) * 5
     if b.text[-1] in ".!?:;\"”»)" and words > 3:
         score += 40
@@ -260,9 +288,9 @@ def minimum_cut(unary: list[int], edges: list[tuple[int, int, int]]) -> list[boo
 
 
 def main_text(page: str | None) -> str:
-    """Content blocks joined by an empty line."""
+    """Content blocks joined by an empty line. Where names left no content at all, they were those
+    of wrappers of the whole page, and count least."""
     blocks = blocks_of(page) if page else []
-    unary = [_unary(b) for b in blocks]
     edges, last = [], {}
     for i, b in enumerate(blocks):
         if i:
@@ -272,7 +300,9 @@ def main_text(page: str | None) -> str:
         if b.region in last and last[b.region] < i - 1:
             edges.append((last[b.region], i, 40))              # consecutive in one region of the tree
         last[b.region] = i
-    content = minimum_cut(unary, edges)
+    content = minimum_cut([_unary(b) for b in blocks], edges)
+    if not any(content) and any(b.named for b in blocks):
+        content = minimum_cut([_unary(b, BY_PART) for b in blocks], edges)
     return "\n\n".join(b.text for b, c in zip(blocks, content) if c)
 
 

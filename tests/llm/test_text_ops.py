@@ -144,6 +144,33 @@ def test_only_whole_attribute_names_count(mark):
     assert "See the costs of it." in html_text.main_text(link)
 
 
+WRAPPERS = ['class="layout has-sidebar"', 'class="overflow-hidden"', 'class="search-page"', 'class="with-comments"', 'id="site-header-wrap"',
+            'class="search"', 'class="hasSidebar noToc" id="overflow-x-hidden"', 'role="form"']
+
+
+@pytest.mark.parametrize("mark", WRAPPERS)
+@pytest.mark.parametrize("inner", ["article", "main", 'div itemprop="articleBody"'])
+def test_an_inner_article_recovers_from_its_wrapper(mark, inner):
+    page = f"<body><div {mark}><{inner}><h1>The title</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p></{inner.split()[0]}></div></body>"
+    assert html_text.main_text(page).split("\n\n") == ["The title", LONG, "Short.", LONG]
+    assert html_text.main_text(page.replace("div", "form") if inner[0] != "d" else page).count(LONG) == 2
+
+
+@pytest.mark.parametrize("mark", WRAPPERS)
+def test_long_text_outweighs_a_wrapper_name(mark):
+    more = f"{LONG} {LONG} {LONG}"
+    page = f"<body><nav><a href=1>Home</a></nav><div {mark}><div><p>{more}</p><p>{more}</p></div></div><footer>Imprint and more</footer></body>"
+    assert html_text.main_text(page) == f"{more}\n\n{more}"
+
+
+def test_furniture_stays_out_beside_an_article():
+    article = f"<article><h1>The title</h1><p>{LONG}</p></article>"
+    for other in (f'<div id="comments"><div class="comment"><p>{LONG}</p></div><article class="comment-body"><p>{LONG} So I say.</p></article></div>',
+                  f"<aside><article><h3><a href=1>Other</a></h3><p>{LONG}</p></article></aside>", '<div class="related"><article><h3><a href=1>Another title</a></h3></article></div>',
+                  f'<div class="sidebar"><div class="widget"><p>{LONG}</p></div></div>', '<div class="cookie-notice">We use cookies here.</div>'):
+        assert html_text.main_text(f"<body><div class='layout has-sidebar'>{article}{other}</div></body>") == f"The title\n\n{LONG}"
+
+
 @pytest.mark.parametrize("mark", ["hidden", "HIDDEN", "title=x hidden", "hidden=''", 'aria-hidden="true"', "style='color:red; display : none'", 'a="b"hidden'])
 def test_hidden_elements_are_dropped(mark):
     assert html_text.main_text(f"<article><p>{LONG}</p><div {mark}><p>{LONG} Not seen.</p></div></article>") == LONG
