@@ -31,6 +31,8 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 # HTML element kinds.
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
 DROPPED = frozenset("noscript template svg object embed canvas audio video select option datalist button input label head".split())
+#: What can stand in a head; anything else ends it, as its end tag can be left out.
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
@@ -151,6 +153,8 @@ def blocks_of(page: str) -> list[Block]:
 
     def say(part: str):
         nonlocal linked
+        if stack[-1].tag == "head" and part.strip():
+            stack.pop()
         if part and not stack[-1].dropped:
             text.append(part)
             if links:
@@ -185,6 +189,15 @@ def blocks_of(page: str) -> list[Block]:
         if tag == "br":
             say("\n")
             continue
+        if not closing and tag == "head" and any(e.tag != "html" for e in stack[1:]):
+            continue                                           # a second head, or one inside the body
+        if stack[-1].tag == "head" and (tag in ("body", "html") if closing else tag not in IN_HEAD):
+            stack.pop()
+        elif not closing and tag == "body":
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth].tag == "head":                 # with an open element in it
+                    links -= sum(e.tag == "a" for e in stack[depth:])
+                    del stack[depth:]
         if not closing and tag in RAW:
             lowered = page.lower() if lowered is None else lowered
             end = lowered.find("</" + tag, at) if len(lowered) == size else page.find("</" + tag, at)

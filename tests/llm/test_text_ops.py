@@ -171,6 +171,22 @@ def test_furniture_stays_out_beside_an_article():
         assert html_text.main_text(f"<body><div class='layout has-sidebar'>{article}{other}</div></body>") == f"The title\n\n{LONG}"
 
 
+@pytest.mark.parametrize("start", ["<body>", "", "<body class=x>\n", "</head>", "</head><body>", "<header><a href=1>Home</a></header>", "<noscript><img src=1></noscript><body>",
+                                   "<template><b><body>", "<nav><a href=1>Home</a></nav>", "<iframe src=1></iframe>", "<img src=1>"])
+@pytest.mark.parametrize("html", ["<html>", ""])
+def test_a_head_without_its_end_tag(start, html):
+    head = f"<!DOCTYPE html>{html}<head>\n<meta charset=utf-8><title>x</title><link href=1><style>p{{}}</style>\n{start}"
+    assert html_text.main_text(f"{head}<p>{LONG}<p>{LONG}") == f"{LONG}\n\n{LONG}"
+    assert html_text.main_text(f"{head}<article><h1>The title</h1><p>{LONG}</p></article></body></html>") == f"The title\n\n{LONG}"
+    assert html_text.main_text(head + LONG) == LONG
+    assert html_text.main_text(f"{head}<article><p>{LONG}</p><head><p>{LONG}</p></article>") == f"{LONG}\n\n{LONG}"
+
+
+def test_what_stands_in_a_head_is_not_text():
+    head = f"<html><head><noscript><p>{LONG} Noscript.</p></noscript><template><p>{LONG} Template.</p></template><title>{LONG} Title.</title>"
+    assert html_text.main_text(f"{head}<p>{LONG}") == html_text.main_text(f"{head}</head><body><p>{LONG}</body>") == LONG
+
+
 @pytest.mark.parametrize("mark", ["hidden", "HIDDEN", "title=x hidden", "hidden=''", 'aria-hidden="true"', "style='color:red; display : none'", 'a="b"hidden'])
 def test_hidden_elements_are_dropped(mark):
     assert html_text.main_text(f"<article><p>{LONG}</p><div {mark}><p>{LONG} Not seen.</p></div></article>") == LONG
