@@ -146,11 +146,11 @@ def q_grid_table(spark, sf_dir):
 
 
 def q_train_goal_rf(spark, sf_dir):
-    """Run for the forest family over all valid goals, with case weights and node sizes scaled to
-    the fixture."""
+    """Run for the forest family over all valid goals and the whole grid, with case weights and
+    node sizes scaled to the fixture."""
     p = prepared(spark, sf_dir)
     out = scratch_path(spark, "run-RF")
-    TR.train_ml(p, "rf", [g.upper() for g in FIXTURE_GOALS], out, configs=[{**c, "ntree": 20} for c in forest_configs()[::3]])
+    TR.train_ml(p, "rf", [g.upper() for g in FIXTURE_GOALS], out, configs=forest_configs())
     return spark.read.option("header", "true").csv(f"{out}/Parameters")
 
 

@@ -107,6 +107,22 @@ def test_forest_run_writes_model_and_rates(prep, scratch, spark):
     assert lines[0] == "f0,f1,f2,f3,f4,f5" and lines[1] == "1,2,3,4,5,6"
 
 
+def test_registered_forest_run_takes_the_whole_grid(prep, spark, monkeypatch):
+    from goalcast.plans import catalog_ml as C
+    seen = {}
+
+    def run(p, family, goals, out, configs=None, **_):
+        seen.update(family=family, configs=configs)
+        spark.createDataFrame([("click",)], "Goal string").write.option("header", "true").csv(f"{out}/Parameters")
+    monkeypatch.setattr(C, "prepared", lambda *_: prep)
+    monkeypatch.setattr(C.TR, "train_ml", run)
+    C.q_train_goal_rf(spark, "")
+    grid = HYPER_PARAMETERS["RF"]
+    want = {(n, f, m // C.FIXTURE_NODE_SCALE) for n in grid["ntree"] for f in grid["fraction"] for m in grid["min_target_node_size"]}
+    assert len(seen["configs"]) == len(want) == 12 and seen["family"] == "rf"
+    assert {(c["ntree"], c["fraction"], c["min_target_node_size"]) for c in seen["configs"]} == want
+
+
 def test_boosted_run_writes_importance(prep, scratch, spark):
     out = scratch("xgb-run")
     TR.train_ml(prep, "xgb", ["click"], out, configs=[FAMILIES[4][1]])
