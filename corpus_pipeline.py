@@ -19,7 +19,7 @@ from goalcast.session import cut_lineage, read_table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language: one holds at least half of the letters."""
+    """Documents with half of their letters or more in scripts of learned languages."""
     return keep_identified(docs, least_share=0.5)
 
 

@@ -219,16 +219,15 @@ def _viterbi(scores: np.ndarray, words_of: np.ndarray, penalty: float) -> np.nda
     return label
 
 
-def _predict(model: LanguageModel, penalty: float) -> Callable:
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()),
-                        ("spans", pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64())])))])
-
+def _label(model: LanguageModel, penalty: float) -> Callable[[list[str]], list[tuple]]:
+    """``(language, share of its letters, spans, share of the letters in words of a script that a
+    learned language writes)`` of each of some texts."""
     n = len(model.langs)
 
-    def score(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(scores of each word, letters of each word, words of each text)."""
+    def score(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(scores of each word, letters of each word, the same in learned scripts, words of each text)."""
         buckets, head, scripts, letters, words_of = _grams(texts)
-        scores = np.zeros((len(head), n), dtype=np.float32)
+        scores, learned = np.zeros((len(head), n), dtype=np.float32), np.zeros_like(letters)
         if len(head) and n:
             for x in range(n):
                 scores[:, x] = np.add.reduceat(model.log[x][buckets], head)
@@ -236,12 +235,13 @@ def _predict(model: LanguageModel, penalty: float) -> Callable:
             known = may.any(axis=1)
             scores[~known] = 0                                 # a script that no language writes says nothing
             scores[known[:, None] & ~may] += BARRED
-        return scores, letters, words_of
+            learned = letters * known
+        return scores, letters, learned, words_of
 
     def label(texts: list[str]) -> list[tuple]:
         cut = [list(_pieces(t)) for t in texts]
         scored = [score(part) for part in _slices([p for c in cut for p in c], PIECE)]
-        scores, letters, counts = (np.concatenate(x) for x in zip(*scored))
+        scores, letters, learned, counts = (np.concatenate(x) for x in zip(*scored))
         words_of = np.add.reduceat(counts, np.cumsum([0] + [len(c) for c in cut[:-1]]))
         labels = _viterbi(scores, words_of, penalty) if n else np.zeros(len(scores), np.int16)
         weight, out, at = letters.astype(np.float64), [], 0
@@ -249,16 +249,24 @@ def _predict(model: LanguageModel, penalty: float) -> Callable:
             part, mass = labels[at:at + w], weight[at:at + w]
             total = mass.sum()
             if not total or not n:
-                out.append(("und", 0.0, []))
+                out.append(("und", 0.0, [], 0.0))
             else:
                 share = np.bincount(part, weights=mass, minlength=n)
                 top = int(share.argmax())
                 cut = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
                 size = np.diff(np.append(cut, w))
                 out.append((model.langs[top], float(share[top] / total),
-                            [{"lang": model.langs[part[c]], "first_word": int(c), "n_words": int(z)} for c, z in zip(cut, size)]))
+                            [{"lang": model.langs[part[c]], "first_word": int(c), "n_words": int(z)} for c, z in zip(cut, size)],
+                            float(learned[at:at + w].sum() / total)))
             at += w
         return out
+    return label
+
+
+def _predict(model: LanguageModel, penalty: float) -> Callable:
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()),
+                        ("spans", pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64())])))])
+    label = _label(model, penalty)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -286,22 +294,20 @@ def identify_language(docs: DataFrame, model: LanguageModel | None = None, penal
 
 
 def keep_identified(docs: DataFrame, least_share: float = 0.5, penalty: float = SWITCH) -> DataFrame:
-    """``docs`` without the rows that have no language: ``und``, or no language with
-    ``least_share`` of the letters. All columns and kept rows stay as they are. If there is no
-    row to learn from, nothing can be judged and all rows stay."""
+    """``docs`` without the rows that have no language: ``und``, or less than ``least_share`` of the
+    letters in words of scripts that a learned language writes. A text in several learned languages
+    stays. All columns and kept rows stay as they are. If there is no row to learn from, nothing can
+    be judged and all rows stay."""
     model = train(docs)
     if not model.langs:
         return docs
-    label = _predict(model, penalty)
+    label = _label(model, penalty)
 
     @F.arrow_udf("boolean")
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            none = pa.nulls(len(texts), pa.int64()), pa.nulls(len(texts), pa.bool_())
-            rows = pa.RecordBatch.from_arrays([*none, texts], names=["doc_id", "held_out", "text"])
-            for out in label(iter([rows])):
-                named = np.array(out.column("lang_pred").to_pylist(), dtype=object) != "und"
-                yield pa.array((named & (out.column("score").to_numpy() >= least_share)).astype(bool))
+            out = [r for part in _slices(texts.fill_null("").to_pylist()) for r in label(part)]
+            yield pa.array([lang != "und" and learned >= least_share for lang, _, _, learned in out], pa.bool_())
         packed.give_back()
     return docs.where(judge(F.col("text").cast("string")))
 

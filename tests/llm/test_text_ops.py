@@ -74,6 +74,19 @@ def test_language_spans_scripts_and_edges(spark):
     assert kept.columns == docs.columns and kept.count() == len(out) - 3
 
 
+def test_keep_identified_judges_learned_scripts(spark):
+    rnd = random.Random(5)
+    words = {"aa": ["ka", "lo", "mi"], "bb": ["thr", "sch", "ent"], "cc": ["qui", "gue", "dos"]}
+    make = lambda lang, n: " ".join("".join(rnd.choice(words[lang]) for _ in range(3)) for _ in range(n))
+    rows = [(100 * k + i, make(lang, 30), lang) for k, lang in enumerate(words, 1) for i in range(60)]
+    cases = [(1, "ภาษาไทย เป็นภาษา ราชการ", False), (2, "漢字漢字 漢字", False), (3, "漢字漢字漢字漢字 " + make("aa", 1), False),
+             (4, "漢字 " + make("aa", 9), True), (5, " ".join(make(x, 30) for x in ("aa", "bb", "cc")), True), (6, "12 !", False), (7, "я ты он", False)]
+    docs = spark.createDataFrame(rows + [(i, t, None) for i, t, _ in cases], "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in langid.keep_identified(docs).collect()}
+    assert {i for i, _, _ in cases if i in kept} == {i for i, _, keep in cases if keep}
+    assert len(kept) == len(rows) + 2
+
+
 def test_language_without_training_rows(spark):
     docs = spark.createDataFrame([(1, "abc", None), (2, None, "en")], "doc_id long, text string, lang string")
     assert {r["lang_pred"] for r in langid.identify_language(docs).collect()} == {"und"}
