@@ -25,6 +25,8 @@ from goalcast.session import cut_lineage, read_table
 #: Rows that fit the codebooks at most, codes per half, share of the rows that a query ranks,
 #: rows that it ranks at least, entries in a group.
 SAMPLE, CODES, SHARE, LEAST, GROUP = 20_000, 64, 0.55, 1024, 4096
+#: Queries that meet a group in one task, about.
+PART = 4096
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -186,7 +188,12 @@ def nearest_neighbours(vectors: DataFrame, every: int = 50, k: int = 5, share: f
     visits = (indexed.where(F.col("vec_id") % every == 0).select("vec_id", "v")
               .repartition("vec_id")                           # the walks are Python work: spread them
               .mapInArrow(_visits(index, wanted), "g long, query_id long, v array<double>, cells array<int>"))
-    found = entries.groupBy("g").cogroup(visits.groupBy("g")).applyInArrow(_rerank(k), "query_id long, vec_id long, score double")
+    # a query visits half of the groups or more: parts of about PART queries bound what meets a group at once
+    parts = max(1, -(-indexed.where(F.col("vec_id") % every == 0).count() // PART))
+    part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))) if parts > 1 else F.lit(0)
+    entries = entries.withColumn("part", part)
+    visits = visits.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
+    found = entries.groupBy("g", "part").cogroup(visits.groupBy("g", "part")).applyInArrow(_rerank(k), "query_id long, vec_id long, score double")
     return merge_best(found, k)
 
 

@@ -118,6 +118,24 @@ def test_walk_visits_cells_by_growing_distance():
     assert len(set(cells)) == len(d[0]) * len(d[1]) and np.all(np.diff(sums) >= -1e-12)
 
 
+def test_queries_of_a_group_come_in_parts(spark, monkeypatch):
+    df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    whole = sorted(tuple(r) for r in nearest_neighbours(df, 2, 5).collect())
+    n, rerank = df.where("vec_id % 2 = 0").count(), multi_index._rerank
+
+    def bounded(k):
+        run = rerank(k)
+
+        def check(entries, queries):
+            if queries.num_rows > 60:
+                raise ValueError(f"{queries.num_rows} queries at once")
+            return run(entries, queries)
+        return check
+    monkeypatch.setattr(multi_index, "_rerank", bounded)
+    monkeypatch.setattr(multi_index, "PART", 20, raising=False)
+    assert n > 100 and sorted(tuple(r) for r in nearest_neighbours(df, 2, 5).collect()) == whole
+
+
 def test_searches_of_little(spark):
     for f in (nearest_neighbours, top_inner_products):
         assert f(make(spark, [(1, [1.0, 2.0])]).limit(0)).collect() == []
