@@ -8,14 +8,13 @@ estimated cost, and a pair is verified only if it shares the smaller of its two
 
 Token frequencies count all documents in a packed exchange. A token that occurs once fills a
 prefix position but yields no candidate, so most documents leave before any pair is made.
-Classes that share a prefix token meet in the family of that token's smallest class; a large
-family is dealt out in pairs of chunks, and a task returns only a spanning forest of the links
-it verified, so no group emits its pairs.
+Classes that share a prefix token meet in the family of that token's smallest class. A large
+family is compared chunk by chunk as far as its components ask for it (``families``), and a task
+returns only a spanning forest of the links it verified, so no group emits its pairs.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goalcast.llm import packed
-from goalcast.llm.components import connected_components
-from goalcast.llm.words import SPACED, gram_hashes, hashed_words, mix64
+from goalcast.llm.families import family_components, linked, overlaps
+from goalcast.llm.shingles import class_id, full_sets, shingle_sets
 from goalcast.session import cut_lineage, read_table
 
 U64 = np.uint64
@@ -38,20 +37,6 @@ ID_LIMIT = 500_000
 _SETS = "doc_id long, th long, rid long, n long, s long, cid binary, pool binary"
 
 
-def _shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
-    """Sorted distinct shingle hashes of each text; a shorter text is one shingle."""
-    for i, j, words, counts in hashed_words(texts, SPACED, lower=True):
-        grams, at = gram_hashes(words, k), 0
-        for c in counts:
-            if c >= k:
-                yield np.unique(grams[at:at + c - k + 1])
-            elif c:
-                yield mix64(gram_hashes(words[at:at + c], int(c)) + U64(k))
-            else:
-                yield np.zeros(0, U64)
-            at += c
-
-
 def _need(n: np.ndarray | int, num: int, den: int):
     """Overlap that a set of ``n`` tokens needs with any partner."""
     return -(-n * num // den)
@@ -65,12 +50,12 @@ def _set_rows(k: int, num: int, den: int, zone: int) -> Callable:
         rid = TaskContext.get().partitionId() << 31
         for b in batches:
             ns, ss, cids, pools = [], [], [], []
-            for x in _shingle_sets(b.column(2), k):
+            for x in shingle_sets(b.column(2), k):
                 n = len(x)
                 s = int(np.searchsorted(x, U64(zone)))
                 ns.append(n)
                 ss.append(s)
-                cids.append(hashlib.blake2b(x.tobytes(), digest_size=16).digest() if n else None)
+                cids.append(class_id(x))
                 pools.append(x[:max(s, min(n, n - _need(n, num, den) + LONGEST))].tobytes())
             ids = np.arange(rid, rid + len(ns))
             rid += len(ns)
@@ -181,91 +166,17 @@ def _prefixes(found: DataFrame, sets: DataFrame, reps: DataFrame, num: int, den:
                     F.expr("transform(best.p, x -> x.token)").alias("tokens")))
 
 
-def _forest(links: np.ndarray) -> list[tuple[int, int]]:
-    """Spanning forest (root, member) of a symmetric link matrix."""
-    left, edges = np.ones(len(links), dtype=bool), []
-    for root in range(len(links)):
-        if not left[root]:
-            continue
-        left[root] = False
-        front = np.flatnonzero(links[root] & left)
-        while len(front):
-            left[front] = False
-            edges += [(root, int(x)) for x in front]
-            front = np.flatnonzero(links[front].any(axis=0) & left)
-    return edges
-
-
-def _overlaps(rows: list[np.ndarray], cols: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of all rows with all columns (sorted token arrays)."""
-    sizes = [len(x) for x in rows + cols]
-    tokens = np.concatenate(rows + cols)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    known, index = np.unique(tokens, return_inverse=True)
-    shared = np.bincount(index) > 1
-    rank = np.cumsum(shared) - 1
-    keep = shared[index]
-    index, owner, width = rank[index[keep]], owner[keep], int(shared.sum())
-    out = np.zeros((len(rows), len(cols)), dtype=np.float32)
-    for lo in range(0, width, 4096):                           # bounded slabs of tokens
-        here = (index >= lo) & (index < lo + 4096)
-        slab = np.zeros((len(sizes), min(4096, width - lo)), dtype=np.float32)
-        slab[owner[here], index[here] - lo] = 1
-        out += slab[:len(rows)] @ slab[len(rows):].T
-    return out.astype(np.int64)
-
-
 def _verify(num: int, den: int) -> Callable:
-    """One family, or one pair of its chunks: candidates by shared prefix tokens, exact overlap."""
-    def run(table: pa.Table) -> pa.Table:
-        side = table["side"].to_numpy()
-        rid, n, l = (table[c].to_numpy() for c in ("rid", "n", "l"))
+    """Links among candidates: enough shared prefix tokens, sizes that allow it, exact overlap."""
+    def check(table: pa.Table, a: np.ndarray, b: np.ndarray, cand: np.ndarray) -> np.ndarray:
+        n, l = (table[c].to_numpy() for c in ("n", "l"))
         lists = table["tokens"].combine_chunks()
         prefix = np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1])
-        sets = [np.frombuffer(x, dtype=U64) for x in table["tokens_all"].to_pylist()]
-        one = table["ci"][0] == table["cj"][0]
-        a = np.arange(len(rid)) if one else np.flatnonzero(side == 0)
-        b = a if one else np.flatnonzero(side == 1)
-        edges = []
-        if len(a) and len(b) and len(rid) > 1:
-            shared = _overlaps([prefix[x] for x in a], [prefix[x] for x in b])
-            small, large = np.minimum.outer(n[a], n[b]), np.maximum.outer(n[a], n[b])
-            cand = (shared >= np.minimum.outer(l[a], l[b])) & (small * den >= large * num)
-            if one:
-                np.fill_diagonal(cand, False)
-            total = n[a][:, None] + n[b][None, :]
-            link = np.zeros_like(cand)
-            if cand.sum() > 4 * len(rid):
-                r, c = np.flatnonzero(cand.any(axis=1)), np.flatnonzero(cand.any(axis=0))
-                both = _overlaps([sets[a[x]] for x in r], [sets[b[x]] for x in c])
-                link[np.ix_(r, c)] = both * (num + den) >= num * total[np.ix_(r, c)]
-                link &= cand
-            else:
-                for i, j in zip(*np.nonzero(cand)):
-                    if not one or i < j:
-                        both = len(np.intersect1d(sets[a[i]], sets[b[j]], assume_unique=True))
-                        link[i, j] = both * (num + den) >= num * total[i, j]
-            size = len(rid)
-            full = np.zeros((size, size), dtype=bool)
-            full[np.ix_(a, b)] = link
-            edges = _forest(full | full.T)
-        return pa.table({"a": pa.array([int(rid[x]) for x, _ in edges], pa.int64()),
-                         "b": pa.array([int(rid[x]) for _, x in edges], pa.int64())})
-    return run
-
-
-def _full_sets(k: int) -> Callable:
-    schema = pa.schema([("rid", pa.int64()), ("tokens_all", pa.binary())])
-
-    def run(batches):
-        for b in batches:
-            rids, out = [], []
-            for rid, cid, x in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), _shingle_sets(b.column(0), k)):
-                if len(x) and hashlib.blake2b(x.tobytes(), digest_size=16).digest() == cid:
-                    rids.append(rid)
-                    out.append(x.tobytes())
-            yield packed.batch(schema, [rids, out])
-    return run
+        shared = overlaps([prefix[x] for x in a], [prefix[x] for x in b])
+        small, large = np.minimum.outer(n[a], n[b]), np.maximum.outer(n[a], n[b])
+        cand = cand & (shared >= np.minimum.outer(l[a], l[b])) & (small * den >= large * num)
+        return linked([np.frombuffer(x, dtype=U64) for x in table["tokens_all"].to_pylist()], a, b, cand, num, den)
+    return check
 
 
 _FIRST = "min(struct(doc_id is null as no_id, doc_id, th, rid))"
@@ -299,31 +210,15 @@ def _components(docs: DataFrame, k: int, num: int, den: int, id_limit: int) -> t
     lists = entry.groupBy("token").agg(F.min("rid").alias("leader"), F.max("rid").alias("last")).where("leader < last")
     member = cut_lineage(entry.join(lists.select("token", "leader"), "token").select("leader", "rid").distinct(),
                          "jaccard-members")
-    families = member.groupBy("leader").agg(F.ceil(F.count("rid") / CHUNK).cast("int").alias("chunks"))
-    wanted = cut_lineage(member.select("rid").distinct(), "jaccard-wanted")
-
-    picked = (sets.where("cid is not null").select("rid", "doc_id", "cid")
-              .join(wanted, "rid").withColumnRenamed("doc_id", "_id"))
-    if wanted.count() <= id_limit:
-        picked = F.broadcast(picked)                           # at most id_limit rows
-    text = docs.join(picked, docs["doc_id"].eqNullSafe(F.col("_id"))).select("text", "rid", "cid")
-    full = (cut_lineage(text.mapInArrow(packed.lean(_full_sets(k)), "rid long, tokens_all binary"), "jaccard-full")
-            .dropDuplicates(["rid"]))
-
-    dealt = (member.join(families, "leader")
-             .withColumn("c", F.expr("pmod(xxhash64(rid), chunks)").cast("int"))
-             .withColumn("o", F.explode(F.expr("sequence(0, chunks - 1)")))
-             .select("leader", "rid", F.least("c", "o").alias("ci"), F.greatest("c", "o").alias("cj"),
-                     F.when(F.col("c") <= F.col("o"), 0).otherwise(1).alias("side")))
-    blocks = dealt.join(prefixes, "rid").join(full, "rid")
-    edges = cut_lineage(blocks.groupBy("leader", "ci", "cj").applyInArrow(_verify(num, den), "a long, b long"),
-                        "jaccard-edges")
-    roots = connected_components(edges)
-
-    linked = roots.withColumnRenamed("node", "rid").join(classes, "rid")
-    least = linked.groupBy("root").agg(F.min("least").alias("component"))
-    linked = linked.join(least, "root").select("rid", "component")
-    return sets.select("doc_id", "th", "rid", "n", "cid"), classes.join(linked, "rid", "left").select(
+    wanted = cut_lineage(sets.where("cid is not null").join(member.select("rid").distinct(), "rid").select("rid", "doc_id", "cid"),
+                         "jaccard-wanted")
+    full = full_sets(docs, wanted, k, id_limit, "jaccard-full")
+    roots = family_components(member, lambda rows: rows.join(prefixes, "rid").join(full, "rid"), _verify(num, den), CHUNK, "jaccard")
+
+    joined = roots.withColumnRenamed("node", "rid").join(classes, "rid")
+    least = joined.groupBy("root").agg(F.min("least").alias("component"))
+    joined = joined.join(least, "root").select("rid", "component")
+    return sets.select("doc_id", "th", "rid", "n", "cid"), classes.join(joined, "rid", "left").select(
         "cid", F.coalesce("component", "least").alias("least"))
 
 

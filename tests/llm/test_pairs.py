@@ -5,7 +5,7 @@ import hashlib
 import pytest
 from conftest_llm import SPACED, lower_ascii
 
-from goalcast.llm import jaccard_join
+from goalcast.llm import families, jaccard_join
 from goalcast.llm.jaccard_join import jaccard_components, keep_one
 from goalcast.llm.substring_dedup import remove_repeats, repeat_digest
 
@@ -47,8 +47,10 @@ def test_components_equal_brute_force(table, corpus, k, num, den):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
-def test_components_with_chunked_families_and_shuffled_ids(table, corpus, monkeypatch):
+@pytest.mark.parametrize("rounds", [0, 1, 4])
+def test_components_with_chunked_families_and_shuffled_ids(table, corpus, monkeypatch, rounds):
     monkeypatch.setattr(jaccard_join, "CHUNK", 3)
+    monkeypatch.setattr(families, "PIVOT_ROUNDS", rounds)
     got = [tuple(r) for r in jaccard_components(table(corpus), 3, 9, 10, id_limit=0).collect()]
     assert sorted(got, key=key) == sorted(brute_components(corpus, 3, 9, 10)[0], key=key)
 
