@@ -5,7 +5,9 @@ together on the ring; every shard has virtual nodes at fixed cells, and a cell b
 next node clockwise (its arc). Law ``rows``: each shard takes exactly its share of the rows
 (shares differ by at most one). A shard first takes rows of its own arcs in ring order; rows
 over its share continue clockwise, first come first served, to the next node whose shard has
-room. What overflows and where it lands is decided on one row per arc (shards x nodes, a
+room. A node stands where its shard and its number put it, so one more shard only adds nodes; the
+rows that then move are those of the new arcs and what the smaller shares push on. What overflows
+and where it lands is decided on one row per arc (shards x nodes, a
 parameter); rows only look up their arc. Ranks within an arc come from small (cell, salt)
 groups, so a text that a third of all rows share is spread over many tasks.
 """
@@ -24,8 +26,9 @@ def _ring(spark, shards: int, nodes: int) -> DataFrame:
     """``(cell, arc, owner)`` of all cells; an arc is named by the cell of its node."""
     cells = 1 << CELL_BITS
     node = (spark.range(shards * nodes)
-            .select((F.col("id") % shards).cast("int").alias("owner"),
-                    F.shiftrightunsigned(F.xxhash64(F.lit("node"), "id"), 64 - CELL_BITS).alias("arc"))
+            .select((F.col("id") % shards).cast("int").alias("owner"), F.expr(f"id div {shards}").alias("replica"))
+            # a node's place depends on its owner and number alone, so another shard count moves no node
+            .select("owner", F.shiftrightunsigned(F.xxhash64(F.lit("node"), "owner", "replica"), 64 - CELL_BITS).alias("arc"))
             .groupBy("arc").agg(F.min("owner").alias("owner")))
     one = Window.orderBy("arc")                                # shards x nodes rows
     gaps = node.select("arc", "owner", F.lag("arc").over(one).alias("before"), F.max("arc").over(Window.partitionBy()).alias("top"))
@@ -81,7 +84,7 @@ def shard_documents(docs: DataFrame, shards: int = 24, nodes: int = 64) -> DataF
     the rows; slots number the rows of a shard from 0 without gaps.
 
     Defined cases: a null text has size 8 and the CRC of no bytes (0) and stands with empty
-    texts; null doc_ids rank first; repeated rows are placed one by one; an empty table gives
+    texts; null doc_ids rank last among the rows of their place; repeated rows are placed one by one; an empty table gives
     no rows. Which of several equal rows gets which slot does not matter: they are alike.
     """
     spark = docs.sparkSession
@@ -91,7 +94,13 @@ def shard_documents(docs: DataFrame, shards: int = 24, nodes: int = 64) -> DataF
                     F.when(F.col("text").isNull(), F.lit(8)).otherwise(F.octet_length(raw) + 8).cast("long").alias("size"),
                     F.crc32(raw.cast("binary")).alias("text_crc32"), F.xxhash64(raw).alias("pos"))
         .withColumn("cell", F.shiftrightunsigned("pos", 64 - CELL_BITS))
-        .withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")), "shard-rows")
+        .withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+        # rows without an id come last in their cell, text by text, spread by their place in the
+        # input: equal ones are alike, and the table is written, so salts stay
+        .withColumn("salt", F.when(F.col("doc_id").isNull(), F.expr(
+            f"{SALTS} * (1 + shiftrightunsigned(shiftleft(pos, {CELL_BITS}), 34)) + pmod(xxhash64(monotonically_increasing_id()), {SALTS})"))
+            .otherwise(F.col("salt"))),
+        "shard-rows")
     ring = F.broadcast(_ring(spark, shards, nodes))            # 2 ** CELL_BITS rows
     groups = base.groupBy("cell", "salt").agg(F.count(F.lit(1)).alias("cnt")).join(ring, "cell")
     groups = cut_lineage(

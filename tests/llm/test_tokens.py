@@ -167,3 +167,17 @@ def test_sharding_follows_the_ring(spark, table):
                 free[a[1]] -= 1
                 want[queue.pop(0)] = a[1]
     assert got == want and spill
+
+
+def test_one_more_shard_moves_few_rows(table):
+    rows = [(i, f"text {i}" if i % 5 else f"copy {i % 100}") for i in range(12_000)]
+    at = [{r["doc_id"]: r["shard"] for r in shard_documents(table(rows), n).collect()} for n in (24, 25)]
+    moved = [d for d in at[0] if at[0][d] != at[1][d]]
+    between_old = [d for d in moved if at[1][d] != 24]
+    assert len(moved) <= 0.1 * len(rows) and len(between_old) <= 0.06 * len(rows), (len(moved), len(between_old))
+
+
+def test_rows_without_an_id_are_spread(table):
+    rows = [(None, "same text")] * 3000 + [(i, "same text") for i in range(100)]
+    got = shard_documents(table(rows), 7, 4).collect()
+    assert sorted((r["shard"], r["slot"]) for r in got) == [(s, x) for s in range(7) for x in range(443 if s < 6 else 442)]
