@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goalcast.llm import packed
-from goalcast.llm.vectors import best_rows, matrix, merge_best, valid_vectors
+from goalcast.llm.vectors import best_rows, by_length, matrix, merge_best, valid_vectors
 from goalcast.session import cut_lineage, read_table
 
 #: Rows that fit the codebooks at most, codes per half, share of the rows that a query ranks,
@@ -93,39 +93,41 @@ class MultiIndex:
 
 
 def _assign(index: MultiIndex) -> Callable:
-    schema = pa.schema([("vec_id", pa.int64()), ("v", pa.list_(pa.float64())), ("cell", pa.int32())])
+    schema = pa.schema([("row", pa.int64()), ("vec_id", pa.int64()), ("v", pa.list_(pa.float64())), ("cell", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cells = index.cells(matrix(b.column(1))) if b.num_rows else []
-            yield packed.batch(schema, [b.column(0), b.column(1), cells])
+            cells = index.cells(matrix(b.column(2))) if b.num_rows else []
+            yield packed.batch(schema, [b.column(0), b.column(1), b.column(2), cells])
     return run
 
 
 def _entries(index: MultiIndex) -> Callable:
-    schema = pa.schema([("g", pa.int64()), ("vec_id", pa.int64()), ("v", pa.list_(pa.float64())), ("cell", pa.int32())])
+    schema = pa.schema([("g", pa.int64()), ("row", pa.int64()), ("vec_id", pa.int64()), ("v", pa.list_(pa.float64())),
+                        ("cell", pa.int32())])
 
     def run(batches):
         for b in batches:
-            cell = b.column(2).to_numpy()
+            cell = b.column(3).to_numpy()
             part = b.column(0).to_numpy().view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
             chunk = index.base[cell] + part.astype(np.int64) % index.parts[cell]
-            yield packed.batch(schema, [index.group[chunk], b.column(0), b.column(1), b.column(2)])
+            yield packed.batch(schema, [index.group[chunk], *b.columns])
     return run
 
 
 def _visits(index: MultiIndex, wanted: int) -> Callable:
-    schema = pa.schema([("g", pa.int64()), ("query_id", pa.int64()), ("v", pa.list_(pa.float64())), ("cells", pa.list_(pa.int32()))])
+    schema = pa.schema([("g", pa.int64()), ("query", pa.int64()), ("query_id", pa.int64()), ("v", pa.list_(pa.float64())),
+                        ("cells", pa.list_(pa.int32()))])
 
     def run(batches):
         for b in batches:
-            rows, vectors = [], matrix(b.column(1)) if b.num_rows else []
-            for query, v in zip(b.column(0).to_pylist(), vectors):
+            rows, vectors = [], matrix(b.column(2)) if b.num_rows else []
+            for query, vec_id, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), vectors):
                 by_group: dict[int, list[int]] = {}
                 for cell in index.walk(v, wanted):
                     for g in set(index.group[index.base[cell]:index.base[cell] + index.parts[cell]].tolist()):
                         by_group.setdefault(g, []).append(cell)
-                rows += [(g, query, v, cells) for g, cells in by_group.items()]
+                rows += [(g, query, vec_id, v, cells) for g, cells in by_group.items()]
             yield packed.rows(schema, rows)
     return run
 
@@ -134,28 +136,29 @@ def _rerank(k: int) -> Callable:
     def run(entries: pa.Table, queries: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if entries.num_rows and queries.num_rows:
-            ids, x = entries["vec_id"].to_numpy(), _unit(matrix(entries["v"]))
+            row, ids, x = entries["row"].to_numpy(), entries["vec_id"].to_numpy(), _unit(matrix(entries["v"]))
             cells, cell = np.unique(entries["cell"].to_numpy(), return_inverse=True)
-            qid, q, visited = queries["query_id"].to_numpy(), _unit(matrix(queries["v"])), queries["cells"].to_pylist()
+            own, qid = queries["query"].to_numpy(), queries["query_id"].to_numpy()
+            q, visited = _unit(matrix(queries["v"])), queries["cells"].to_pylist()
             for lo in range(0, len(qid), 256):
                 block = q[lo:lo + 256] @ x.T
                 seen = np.zeros((len(block), len(cells)), dtype=bool)
                 for r, c in enumerate(visited[lo:lo + 256]):
                     seen[r, np.searchsorted(cells, c)[np.isin(c, cells)]] = True
                 block[~seen[:, cell]] = -np.inf
-                block[ids[None] == qid[lo:lo + 256, None]] = -np.inf
-                for r, row in enumerate(block):
-                    live = int((row > -np.inf).sum())
+                block[row[None] == own[lo:lo + 256, None]] = -np.inf
+                for r, scores in enumerate(block):
+                    live = int((scores > -np.inf).sum())
                     if live:
                         # the matrix product rounds by place; near the k-th best, sum in one fixed order
-                        least = np.partition(row, -min(k, live))[-min(k, live)]
-                        near = np.flatnonzero(row >= least - 1e-9)
+                        least = np.partition(scores, -min(k, live))[-min(k, live)]
+                        near = np.flatnonzero(scores >= least - 1e-9)
                         exact = (x[near] * q[lo + r]).sum(axis=1)
                         for p in best_rows(exact, ids[near], k):
-                            out.append((int(qid[lo + r]), int(ids[near[p]]), float(exact[p])))
-        columns = list(zip(*out)) if out else [[], [], []]
-        return pa.table({"query_id": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()),
-                         "score": pa.array(columns[2], pa.float64())})
+                            out.append((int(own[lo + r]), int(qid[lo + r]), int(ids[near[p]]), float(exact[p])))
+        columns = list(zip(*out)) if out else [[], [], [], []]
+        return pa.table({"query": pa.array(columns[0], pa.int64()), "query_id": pa.array(columns[1], pa.int64()),
+                         "vec_id": pa.array(columns[2], pa.int64()), "score": pa.array(columns[3], pa.float64())})
     return run
 
 
@@ -166,34 +169,35 @@ def nearest_neighbours(vectors: DataFrame, every: int = 50, k: int = 5, share: f
     until these hold ``share`` of all rows (at least ``LEAST`` rows).
 
     Defined cases: null ids and vectors that are null, empty, all zero or hold null or
-    non-finite components take no part; of repeated ids the smallest vector counts; vectors of
-    an unusual length take no part; fewer candidates than ``k`` give fewer rows; an empty table
-    gives no rows.
+    non-finite components take no part; vectors of each length are searched by themselves, with
+    their own index; repeated rows all stay, as queries and as candidates of one another; fewer
+    candidates than ``k`` give fewer rows; an empty table gives no rows.
     """
     rows = cut_lineage(valid_vectors(vectors, nonzero=True), "vectors")
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toArrow()   # bounded by SAMPLE
-    if not sample.num_rows or len(sample["v"][0]) < 2:
-        index = None
-    else:
-        index = MultiIndex(matrix(sample["v"]))
-    if index is None:
-        return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
-    indexed = cut_lineage(rows.mapInArrow(_assign(index), "vec_id long, v array<double>, cell int"), "vector-cells")
+    return by_length(rows, lambda x: _search(x, every, k, share), "query_id long, rank int, vec_id long, score double")
+
+
+def _search(rows: DataFrame, every: int, k: int, share: float) -> DataFrame:
+    """The search among rows (row, vec_id, v) of one length."""
+    sample = rows.orderBy(F.xxhash64("row"), "row").limit(SAMPLE).select("v").toArrow()   # bounded by SAMPLE
+    index = MultiIndex(matrix(sample["v"]))
+    indexed = cut_lineage(rows.mapInArrow(_assign(index), "row long, vec_id long, v array<double>, cell int"), "vector-cells")
     sizes = np.zeros(CODES * CODES, dtype=np.int64)
     for r in indexed.groupBy("cell").count().collect():        # at most CODES ** 2 rows
         sizes[r["cell"]] = r["count"]
     index.deal(sizes)
     wanted = max(LEAST, int(np.ceil(share * sizes.sum())))
-    entries = indexed.mapInArrow(_entries(index), "g long, vec_id long, v array<double>, cell int")
-    visits = (indexed.where(F.col("vec_id") % every == 0).select("vec_id", "v")
-              .repartition("vec_id")                           # the walks are Python work: spread them
-              .mapInArrow(_visits(index, wanted), "g long, query_id long, v array<double>, cells array<int>"))
+    entries = indexed.mapInArrow(_entries(index), "g long, row long, vec_id long, v array<double>, cell int")
+    queries = indexed.where(F.col("vec_id") % every == 0)
+    visits = (queries.select("row", "vec_id", "v").repartition("row")   # the walks are Python work: spread them
+              .mapInArrow(_visits(index, wanted), "g long, query long, query_id long, v array<double>, cells array<int>"))
     # a query visits half of the groups or more: parts of about PART queries bound what meets a group at once
-    parts = max(1, -(-indexed.where(F.col("vec_id") % every == 0).count() // PART))
+    parts = max(1, -(-queries.count() // PART))
     part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))) if parts > 1 else F.lit(0)
     entries = entries.withColumn("part", part)
-    visits = visits.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
-    found = entries.groupBy("g", "part").cogroup(visits.groupBy("g", "part")).applyInArrow(_rerank(k), "query_id long, vec_id long, score double")
+    visits = visits.withColumn("part", F.pmod(F.xxhash64("query"), F.lit(parts)).cast("int"))
+    found = (entries.groupBy("g", "part").cogroup(visits.groupBy("g", "part"))
+             .applyInArrow(_rerank(k), "query long, query_id long, vec_id long, score double"))
     return merge_best(found, k)
 
 

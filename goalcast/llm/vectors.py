@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def valid_vectors(df: DataFrame, nonzero: bool) -> DataFrame:
-    """``(vec_id, v array<double>)``: one row per non-null vec_id (of repeated ids the smallest
-    vector), without vectors that are null, empty, hold null or non-finite components, or (on
-    request) only zeros; of several lengths the most frequent one stays (ties: the shortest)."""
+    """``(row, vec_id, v array<double>)``: every row with a non-null vec_id, numbered, without
+    vectors that are null, empty, hold null or non-finite components, or (on request) only zeros.
+    The numbers hold once the result is written."""
     v = F.col("embedding").cast("array<double>")
     rows = (df.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where("vec_id is not null and size(v) > 0")
             .where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))))
     if nonzero:
         rows = rows.where(F.exists("v", lambda x: x != 0))
-    rows = rows.groupBy("vec_id").agg(F.min("v").alias("v"))
-    length = (rows.groupBy(F.size("v").alias("d")).count()
-              .agg(F.max_by("d", F.struct("count", -F.col("d"))).alias("d")))      # one row
-    return rows.join(F.broadcast(length), F.size("v") == F.col("d"), "left_semi")
+    return rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", "v")
+
+
+def by_length(rows: DataFrame, search: Callable[[DataFrame], DataFrame], schema: str) -> DataFrame:
+    """``search`` over the vectors of each length by themselves, side by side: vectors of different
+    lengths have no product."""
+    lengths = [r[0] for r in rows.select(F.size("v")).distinct().collect()]    # one number per length
+    parts = [search(rows.where(F.size("v") == d) if len(lengths) > 1 else rows) for d in sorted(lengths)]
+    return reduce(DataFrame.union, parts) if parts else rows.sparkSession.createDataFrame([], schema)
 
 
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -36,9 +44,9 @@ def best_rows(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -score))[:k]
 
 
-def merge_best(found: DataFrame, k: int) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: the k best of each query's per-block lists (k rows a
-    block at most)."""
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+def merge_best(found: DataFrame, k: int, *then: Column) -> DataFrame:
+    """``(query_id, rank, vec_id, score)``: the k best of each query row's per-block lists
+    (``query`` is the number of the row; k rows a block at most); equal scores go by ``then``."""
+    order = Window.partitionBy("query").orderBy(F.desc("score"), *then, "vec_id")
     return (found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

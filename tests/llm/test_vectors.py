@@ -1,5 +1,7 @@
 """Vector searches against brute force."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -29,27 +31,47 @@ def rows():
 
 
 def valid(rows, nonzero):
-    keep = {}
-    for i, v in rows:
-        if i is not None and v and len(v) == 8 and None not in v and np.isfinite(v).all() and (any(v) or not nonzero):
-            keep[i] = min(keep.get(i, v), v)
-    return keep
+    return [(i, v) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and (any(v) or not nonzero)]
 
 
-def brute(keep, every, k, score):
-    out = set()
-    ids = sorted(keep)
-    for q in ids:
+def brute(rows, every, k, score):
+    """Every row is a query and a candidate of its own; lengths do not mix."""
+    out = []
+    for a, (q, v) in enumerate(rows):
         if q % every == 0:
-            s = sorted([(-score(keep[q], keep[c]), c) for c in ids if c != q])[:k]
-            out |= {(q, r + 1, c, -x) for r, (x, c) in enumerate(s)}
-    return out
+            s = sorted([(-score(v, w), c) for b, (c, w) in enumerate(rows) if a != b and len(v) == len(w)])[:k]
+            out += [(q, r + 1, c, -x) for r, (x, c) in enumerate(s)]
+    return sorted(out)
+
+
+def whole_product(v, w):
+    v, w = ([math.floor(256 * x) if abs(x) < 1e300 else 256 * int(x) for x in y] for y in (v, w))
+    return sum(x * y for x, y in zip(v, w))
 
 
 def test_top_inner_products(spark, rows):
-    keep = {i: [np.floor(256 * c) for c in v] for i, v in valid(rows, False).items()}
-    want = brute(keep, 50, 5, lambda a, b: int(np.dot(a, b)))
-    assert {tuple(r) for r in top_inner_products(make(spark, rows), 50, 5).collect()} == want
+    want = brute(valid(rows, False), 50, 5, whole_product)
+    assert sorted(tuple(r) for r in top_inner_products(make(spark, rows), 50, 5).collect()) == want
+    assert {len(v) for i, v in valid(rows, False) if i % 50 == 0} == {2, 8}
+
+
+@pytest.mark.parametrize("size", [1e3, 1e7, 1e9, 1e150, 1e300])
+def test_inner_products_of_large_components(spark, size):
+    rng = np.random.default_rng(int(np.log10(size)))
+    x = rng.normal(size=(400, 3)) * size
+    x[50:90] = x[50] + np.round(rng.normal(size=(40, 3)) * 2)  # nearly equal
+    x[90:100] = x[90]
+    x[200:260] = rng.normal(size=(60, 3))                      # small ones beside them
+    rows = [(int(i), [float(c) for c in v]) for i, v in enumerate(x)] + [(50, [float(c) for c in x[50]]), (50, [1e9, 1.0]), (7, [2e9, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    top = 2 ** 63 - 1
+    want = sorted((q, r, c, max(-top, min(top, s))) for q, r, c, s in brute(rows, 5, 5, whole_product))
+    assert sorted(tuple(r) for r in top_inner_products(df, 5, 5).collect()) == want
+
+
+def test_keys_sort_like_scores():
+    scores = [s * n for n in (2 ** 63 - 1, 2 ** 63, 10 ** 25, 10 ** 25 + 1, 3 ** 900) for s in (1, -1)]
+    assert sorted(scores) == sorted(scores, key=cover_tree._key) and cover_tree._key(2 ** 63 - 2) is None
 
 
 def test_dual_tree_prunes_and_is_exact():
@@ -58,7 +80,7 @@ def test_dual_tree_prunes_and_is_exact():
     x = np.floor(centres[rng.integers(0, 12, 3000)] + rng.normal(size=(3000, 6)) * 5)
     q = x[::30]
     seen = []
-    search = cover_tree._Search(q, np.arange(0, 3000, 30), x, np.arange(3000), 5)
+    search = cover_tree._Search(q, np.arange(0, 3000, 30), x, np.arange(3000), np.arange(3000), 5)
     leaves = search._leaves
     search._leaves = lambda a, b: (seen.append(len(a.index) * len(b.index)), leaves(a, b))
     search.run()
@@ -66,7 +88,7 @@ def test_dual_tree_prunes_and_is_exact():
     for r, i in enumerate(range(0, 3000, 30)):
         s = x @ q[r]
         want = sorted([(-s[j], j) for j in range(3000) if j != i])[:5]
-        assert [(-a, b) for a, b in zip(*search.best[r])] == want
+        assert [(-a, b) for a, b in search.results(r)] == want
 
 
 def test_cover_tree_nets():
@@ -90,17 +112,17 @@ def cosine(a, b):
 
 
 def test_nearest_with_all_cells_is_exact(spark, rows):
-    keep = valid(rows, True)
+    rows = rows + [(10_350, [3.0, -1.0]), (7, [2.0, 2.5]), (50, [-1.0]), (51, [4.0])]
     got = nearest_neighbours(make(spark, rows), 50, 5, share=1.0).collect()
-    want = brute(keep, 50, 5, lambda a, b: round(cosine(a, b), 9))
-    assert {(r[0], r[1], r[2], round(r[3], 9)) for r in got} == want
+    want = brute(valid(rows, True), 50, 5, lambda a, b: round(cosine(a, b), 9))
+    assert sorted((r[0], r[1], r[2], round(r[3], 9)) for r in got) == want and (50, 1, 51, -1.0) in want
 
 
 def test_nearest_recall_and_full_cells(spark, monkeypatch):
     monkeypatch.setattr(multi_index, "GROUP", 50)
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     pdf = df.toPandas()
-    keep = {int(i): [float(x) for x in v] for i, v in zip(pdf.vec_id, pdf.embedding)}
+    keep = [(int(i), [float(x) for x in v]) for i, v in zip(pdf.vec_id, pdf.embedding)]
     got = {(r[0], r[2]) for r in nearest_neighbours(df, 5, 5).collect()}
     want = {(q, c) for q, _, c, _ in brute(keep, 5, 5, cosine)}
     assert len(got & want) >= 0.9 * len(want)
