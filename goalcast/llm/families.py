@@ -24,6 +24,8 @@ from goalcast.session import cut_lineage
 
 #: Rounds of one pivot chunk a family before all that is left is dealt.
 PIVOT_ROUNDS = 4
+#: Rows of the table of large families that is broadcast at most.
+SIDE_ROWS = 500_000
 EDGES = "a long, b long"
 
 
@@ -100,32 +102,45 @@ def compare(check: Callable) -> Callable:
     return run
 
 
+def _side(df: DataFrame) -> DataFrame:
+    """One row a (large) family: broadcast up to ``SIDE_ROWS`` rows of about 50 bytes."""
+    return F.broadcast(df) if df.count() <= SIDE_ROWS else df
+
+
 def family_components(member: DataFrame, payload: Callable[[DataFrame], DataFrame], check: Callable, chunk: int,
-                      name: str) -> DataFrame:
+                      name: str, edges: list[DataFrame] | None = None) -> tuple[DataFrame, list[DataFrame]]:
     """``(node, root)`` of the components of all links inside the families of ``member``
-    (leader, rid; distinct longs). ``payload`` adds to rows with a ``rid`` what ``check`` reads;
-    rows that it does not know leave. Rows without a link are absent."""
+    (leader, rid; distinct longs) and the links in ``edges``, and all links found so far. ``payload``
+    adds to rows with a ``rid`` what ``check`` reads; rows that it does not know leave. Rows
+    without a link are absent."""
     def run(dealt: DataFrame, step: int) -> DataFrame:
         blocks = payload(dealt.select("leader", "rid", "label", "ci", "cj", "side"))
         return cut_lineage(blocks.groupBy("leader", "ci", "cj").applyInArrow(compare(check), EDGES), f"{name}-edges-{step}")
 
-    sizes = member.groupBy("leader").agg(F.ceil(F.count("rid") / chunk).cast("int").alias("chunks"))
-    member = cut_lineage(member.join(sizes, "leader").withColumn("c", F.expr("pmod(xxhash64(rid), chunks)").cast("int")),
-                         f"{name}-families")
+    def labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
+        return rows.join(roots.select(F.col("node").alias("rid"), "root"), "rid", "left") \
+                   .withColumn("label", F.coalesce("root", "rid")).drop("root")
+
+    edges = list(edges or [])
+    sizes = cut_lineage(member.groupBy("leader").agg(F.ceil(F.count("rid") / chunk).cast("int").alias("chunks"))
+                        .where("chunks > 1"), f"{name}-large")
+    chunks = F.coalesce("chunks", F.lit(1))
+    member = (member.join(_side(sizes), "leader", "left").withColumn("chunks", chunks)
+              .withColumn("c", F.expr("pmod(xxhash64(rid), chunks)").cast("int")))
+    member = cut_lineage(labelled(member, connected_components(reduce(DataFrame.union, edges))) if edges
+                         else member.withColumn("label", F.col("rid")), f"{name}-families")
     # chunk 0 meets every chunk; a family of one chunk meets itself
     dealt = (member.withColumn("cj", F.explode(F.expr("if(c = 0, sequence(0, chunks - 1), array(c))")))
-             .withColumn("ci", F.lit(0)).withColumn("side", F.when(F.col("c") == 0, 0).otherwise(1))
-             .withColumn("label", F.col("rid")))
-    edges = [run(dealt, 0)]
+             .withColumn("ci", F.lit(0)).withColumn("side", F.when(F.col("c") == 0, 0).otherwise(1)))
+    edges.append(run(dealt, 0))
     rest = member.where("c > 0").select("leader", "rid")
-    roots = connected_components(edges[0])
+    roots = connected_components(reduce(DataFrame.union, edges))
     step = 0
     while True:
         step += 1
         if not rest.limit(1).count():
-            return roots
-        known = rest.join(roots.select(F.col("node").alias("rid"), "root"), "rid", "left") \
-                    .select("leader", "rid", F.coalesce("root", "rid").alias("label"))
+            return roots, edges
+        known = labelled(rest, roots)
         parts = known.groupBy("leader", "label").agg(F.count("rid").alias("cnt"))
         open_ = (parts.groupBy("leader").agg(F.max(F.struct("cnt", "label")).alias("top"), F.sum("cnt").alias("total"))
                  .where("total > top.cnt")
@@ -133,12 +148,13 @@ def family_components(member: DataFrame, payload: Callable[[DataFrame], DataFram
                          F.expr(f"int(ceil((total - top.cnt) / {chunk}))").alias("oc"),
                          F.expr(f"int(ceil(top.cnt / {chunk}))").alias("gc"),
                          F.expr(f"int(ceil(total / {chunk}))").alias("mc")))
-        rest = cut_lineage(known.join(open_, "leader")
+        open_ = cut_lineage(open_, f"{name}-open")
+        rest = cut_lineage(known.join(_side(open_), "leader")
                            .withColumn("outside", F.col("label") != F.col("giant"))
                            .withColumn("c", F.expr(f"if(outside, pmod(xxhash64(rid, {step}), oc), pmod(xxhash64(rid), gc))").cast("int")),
                            f"{name}-rest")
         if not rest.limit(1).count():
-            return roots
+            return roots, edges
         if step <= PIVOT_ROUNDS:
             pivot = "outside and c = 0"
             dealt = (rest.withColumn("cj", F.explode(F.expr(f"if({pivot}, sequence(0, mc), array(int(1 + pmod(xxhash64(rid), mc))))")))

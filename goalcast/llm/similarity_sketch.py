@@ -8,8 +8,10 @@ and a large set is done after about ``1 + t ln t / n`` rounds. Two coordinates a
 probability of the Jaccard similarity, with the concentration of ``t`` independent draws.
 
 Sets that agree in all ``rows`` coordinates of one of the bands are compared on their full sets.
-At similarity ``j`` a pair is missed with probability ``(1 - j ** rows) ** bands``: with 32 bands of
-4 rows below 1e-10 at 0.85 and below 1e-7 at 0.8. Texts of one class (equal sets) are never compared.
+At similarity ``j`` a pair is missed with probability ``(1 - j ** rows) ** bands``: with 32 bands
+of 5 rows below 1e-8 at 0.85 and 4e-6 at 0.8, for a pair that no chain of other links joins. Texts
+of one class (equal sets) are never compared. The first bands come first: they find nearly all
+links, and of the other bands only those whose sets are not all in one component yet are left.
 """
 
 from __future__ import annotations
@@ -31,23 +33,24 @@ from goalcast.session import cut_lineage, read_table
 U64 = np.uint64
 #: Classes compared in one block of a family, rows of ids broadcast at most, shingles sketched at a time.
 CHUNK, ID_LIMIT, SLICE = 256, 500_000, 1 << 18
+#: Bands whose links are found before the others'.
+FIRST_BANDS = 6
 _EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 
 
 def sketches(sets: list[np.ndarray], t: int) -> np.ndarray:
-    """Sketch of every (non-empty) set, one row of ``t`` coordinates each; ``t`` is a power of two."""
+    """Sketch of every (non-empty) set, one row of ``t`` coordinates each."""
     sizes = np.array([len(x) for x in sets], dtype=np.int64)
     out = np.full(len(sets) * t, _EMPTY, dtype=U64)
     live = np.flatnonzero(sizes > 0)
     tokens = np.concatenate([sets[i] for i in live]) if len(live) else np.zeros(0, U64)
     owner = np.repeat(live, sizes[live])
-    shift = U64(64 - (t - 1).bit_length())
     for i in range(2 * t):
         if not len(tokens):
             break
         h = mix64(tokens ^ mix64(np.array([i + 1], dtype=U64) * U64(0x9E3779B97F4A7C15)))
-        bins = (h >> shift).astype(np.int64) if i < t else np.full(len(h), i - t)
-        # the lower 48 bits are independent of the bin; the round ranks before them
+        # the upper 16 bits pick the bin, the other 48 are the throw; the round ranks before them
+        bins = ((h >> U64(48)) * U64(t) >> U64(16)).astype(np.int64) if i < t else np.full(len(h), i - t)
         value = (h & U64(0xFFFFFFFFFFFF)) | U64(i) << U64(48)
         # earlier rounds hold smaller values, so a filled bin keeps its throw
         np.minimum.at(out, owner * t + bins, value)
@@ -107,8 +110,6 @@ def _components(docs: DataFrame, k: int, num: int, den: int, bands: int, rows: i
     """Rows ``(doc_id, th, rid, n, cid)`` and, per class, ``(cid, least)``: the first row of its
     component by doc_id (nulls last)."""
     t = bands * rows
-    if t & (t - 1):
-        raise ValueError("bands * rows is a power of two")
     packed.small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("th", F.xxhash64("text"))
@@ -118,14 +119,24 @@ def _components(docs: DataFrame, k: int, num: int, den: int, bands: int, rows: i
         F.min("rid").alias("rid"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "rid")).alias("least")),
         "sketch-classes")
 
-    # one row per class and band; a band that one class has alone leaves
-    entry = sets.join(classes.select("rid"), "rid", "left_semi").select("rid", F.explode("bands").alias("band"))
-    shared = entry.groupBy("band").agg(F.min("rid").alias("leader"), F.max("rid").alias("last")).where("leader < last")
-    shared = cut_lineage(shared.select("band", "leader"), "sketch-bands")
-    member = cut_lineage(entry.join(shared, "band").select("leader", "rid").distinct(), "sketch-members")
-    wanted = cut_lineage(sets.join(member.select("rid").distinct(), "rid").select("rid", "doc_id", "cid"), "sketch-wanted")
-    full = full_sets(docs, wanted, k, id_limit, "sketch-full")
-    roots = family_components(member, lambda x: x.join(full, "rid"), _verify(num, den), CHUNK, "sketch")
+    full, roots, edges = None, None, []
+    reps = sets.join(classes.select("rid"), "rid", "left_semi").select("rid", "doc_id", "cid", "bands")
+    for step, (lo, n) in enumerate(((1, FIRST_BANDS), (1 + FIRST_BANDS, bands - FIRST_BANDS))):
+        # one row per class and band; bands whose classes are one, or one component, leave
+        own = reps.withColumn("label", F.col("rid"))
+        if roots is not None:
+            own = reps.join(roots.select(F.col("node").alias("rid"), "root"), "rid", "left").withColumn("label", F.coalesce("root", "rid"))
+        entry = own.select("rid", "label", F.explode(F.slice("bands", lo, n)).alias("band"))
+        shared = entry.groupBy("band").agg(F.min("rid").alias("leader"), F.min("label").alias("l"), F.max("label").alias("m")).where("l < m")
+        shared = cut_lineage(shared.select("band", "leader"), "sketch-bands")
+        side = F.broadcast(shared) if shared.count() <= id_limit else shared         # at most id_limit rows
+        member = cut_lineage(entry.join(side, "band").select("leader", "rid").distinct(), "sketch-members")
+        wanted = cut_lineage(reps.join(member.select("rid").distinct(), "rid", "left_semi").select("rid", "doc_id", "cid"), "sketch-wanted")
+        if full is not None:
+            wanted = wanted.join(full.select("rid"), "rid", "left_anti")
+        more = full_sets(docs, wanted, k, id_limit, "sketch-full")
+        full = more if full is None else full.unionByName(more)
+        roots, edges = family_components(member, lambda x: x.join(full, "rid"), _verify(num, den), CHUNK, "sketch", edges)
 
     joined = roots.withColumnRenamed("node", "rid").join(classes, "rid")
     least = joined.groupBy("root").agg(F.min("least").alias("component"))
@@ -134,7 +145,7 @@ def _components(docs: DataFrame, k: int, num: int, den: int, bands: int, rows: i
         "cid", F.coalesce("component", "least").alias("least"))
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, bands: int = 32, rows: int = 4,
+def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, bands: int = 32, rows: int = 5,
                     id_limit: int = ID_LIMIT) -> DataFrame:
     """``(doc_id, n_shingles, component_id, first)`` for every row of ``docs`` (columns doc_id, text;
     others are ignored): words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, sets of distinct

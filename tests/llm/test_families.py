@@ -36,7 +36,7 @@ def components(spark, groups, link, chunk):
     def check(table, a, b, cand):
         rid = table["rid"].to_numpy()
         return cand & np.array([[link(int(rid[i]), int(rid[j])) for j in b] for i in a], dtype=bool).reshape(len(a), len(b))
-    out = FA.family_components(df, payload, check, chunk, "test-families")
+    out, _ = FA.family_components(df, payload, check, chunk, "test-families")
     return {r["node"]: r["root"] for r in out.collect()}, dealt
 
 
@@ -70,3 +70,16 @@ def test_dealt_rows_of_a_dense_family_follow_its_members(spark):
 def test_no_families(spark):
     got, _ = components(spark, {}, lambda a, b: True, 4)
     assert got == {}
+
+
+def test_links_known_before_are_not_compared_again(spark):
+    df = spark.createDataFrame([(0, r) for r in range(40)], "leader long, rid long")
+    known = spark.createDataFrame([(r, r + 1) for r in range(0, 39) if r != 19], "a long, b long")
+    seen = spark.sparkContext.accumulator(0)
+
+    def check(table, a, b, cand):
+        seen.add(int(cand.sum()))
+        return cand & False
+    out, edges = FA.family_components(df, lambda x: x, check, 64, "test-known", [known])
+    assert {r["node"]: r["root"] for r in out.collect()} == {r: 20 * (r // 20) for r in range(40)}
+    assert seen.value <= 2 * 20 * 20 and len(edges) == 2

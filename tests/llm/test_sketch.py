@@ -24,6 +24,13 @@ def test_chunked_families_small_slices_and_no_broadcast(table, corpus, monkeypat
     assert sorted(got, key=key) == sorted(brute_components(corpus, 3, 17, 20)[0], key=key)
 
 
+@pytest.mark.parametrize("first", [1, 31])
+def test_bands_may_come_in_any_shares(table, corpus, monkeypatch, first):
+    monkeypatch.setattr(S, "FIRST_BANDS", first)
+    got = [tuple(r) for r in S.near_duplicates(table(corpus), 3, 17, 20).drop("first").collect()]
+    assert sorted(got, key=key) == sorted(brute_components(corpus, 3, 17, 20)[0], key=key)
+
+
 def test_one_first_row_of_each_component(table, corpus):
     rows = S.near_duplicates(table(corpus)).collect()
     groups = {}
@@ -48,8 +55,6 @@ def test_nothing(table):
     assert S.near_duplicates(table([])).collect() == []
     got = {tuple(r) for r in S.near_duplicates(table([(1, None), (2, ""), (3, "a"), (4, "A")])).collect()}
     assert got == {(1, 0, 1, True), (2, 0, 2, True), (3, 1, 3, True), (4, 1, 3, False)}
-    with pytest.raises(ValueError):
-        S.near_duplicates(table([]), bands=3, rows=5)
 
 
 def test_every_coordinate_is_filled_and_copies_agree():
