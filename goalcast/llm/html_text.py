@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from bisect import bisect_right
+from collections import defaultdict, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -64,6 +65,10 @@ TAG_WEIGHT = {"p": 60, "blockquote": 60, "pre": 60, "h1": 60, "h2": 40, "h3": 40
               "address": -80, "dt": 0, "dd": 10, "figcaption": 10}
 
 
+#: Cells of a table row that is read as one statement at most.
+ROW_CELLS = 4
+
+
 class _Element:
     __slots__ = ("tag", "hint", "cause", "region", "dropped", "serial")
 
@@ -71,13 +76,58 @@ class _Element:
         self.tag, self.hint, self.cause, self.region, self.dropped, self.serial = tag, hint, cause, region, dropped, serial
 
 
+class _Stack:
+    """Open elements, with the depths of each tag and of all that are not inline, so that no look
+    walks over elements that stay: broken pages leave many thousands of tags open."""
+
+    def __init__(self):
+        self.items = [_Element("", 0, None, 0, False, 0)]
+        self.depths: defaultdict[str, list[int]] = defaultdict(list)
+        self.outer: list[int] = [0]
+
+    @property
+    def top(self) -> _Element:
+        return self.items[-1]
+
+    def push(self, e: _Element) -> None:
+        self.depths[e.tag].append(len(self.items))
+        if e.tag not in INLINE:
+            self.outer.append(len(self.items))
+        self.items.append(e)
+
+    def cut(self, depth: int) -> int:
+        """Close all elements from ``depth`` on; returns how many of them were links."""
+        links = 0
+        for _ in range(len(self.items) - depth):
+            e = self.items.pop()
+            self.depths[e.tag].pop()
+            links += e.tag == "a"
+            if e.tag not in INLINE:
+                self.outer.pop()
+        return links
+
+    def last(self, tag: str) -> int:
+        """Depth of the innermost open ``tag``; 0 if there is none."""
+        return self.depths[tag][-1] if self.depths[tag] else 0
+
+    def ended(self, ends: set[str]) -> int:
+        """Depth of the outermost open element of ``ends`` inside the innermost barrier; 0 if none."""
+        ends = {t for t in ends if self.depths[t]}
+        if not ends:
+            return 0
+        wall = max(self.last(t) for t in BARRIER if t not in ends)
+        inside = [d[bisect_right(d, wall)] for d in (self.depths[t] for t in ends) if d[-1] > wall]
+        return min(inside, default=0)
+
+
 class Block:
-    """A run of text between block-level tags."""
+    """A run of text between block-level tags. ``row`` is the table row it stands in, if any."""
 
-    __slots__ = ("text", "linked", "tag", "hint", "named", "region")
+    __slots__ = ("text", "linked", "tag", "hint", "named", "region", "row")
 
-    def __init__(self, text, linked, tag, hint, named, region):
+    def __init__(self, text, linked, tag, hint, named, region, row):
         self.text, self.linked, self.tag, self.hint, self.named, self.region = text, linked, tag, hint, named, region
+        self.row = row
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -137,7 +187,7 @@ def _child(parent: _Element, tag: str, attributes: str, serial: int) -> _Element
 def blocks_of(page: str) -> list[Block]:
     """Text blocks of a page in order. Broken markup is read leniently: an unclosed comment or
     raw element runs to the end, a tag cut off at the end is dropped."""
-    stack, out = [_Element("", 0, None, 0, False, 0)], []
+    stack, out = _Stack(), []
     text, linked, links, serial, at, size = [], 0, 0, 0, 0, len(page)
     lowered = None
 
@@ -146,16 +196,16 @@ def blocks_of(page: str) -> list[Block]:
         if text:
             words = html.unescape("".join(text)).split()
             if words:
-                top = stack[-1]
-                tag = next((e.tag for e in reversed(stack) if e.tag not in INLINE), "")
-                out.append(Block(" ".join(words), linked, tag, top.hint, isinstance(top.cause, int), top.region))
+                top, row = stack.top, stack.last("tr")
+                out.append(Block(" ".join(words), linked, stack.items[stack.outer[-1]].tag, top.hint, isinstance(top.cause, int), top.region,
+                                 stack.items[row].serial if row else None))
         text, linked = [], 0
 
     def say(part: str):
         nonlocal linked
-        if stack[-1].tag == "head" and part.strip():
-            stack.pop()
-        if part and not stack[-1].dropped:
+        if stack.top.tag == "head" and part.strip():
+            stack.cut(len(stack.items) - 1)
+        if part and not stack.top.dropped:
             text.append(part)
             if links:
                 linked += len(part)
@@ -189,15 +239,12 @@ def blocks_of(page: str) -> list[Block]:
         if tag == "br":
             say("\n")
             continue
-        if not closing and tag == "head" and any(e.tag != "html" for e in stack[1:]):
+        if not closing and tag == "head" and len(stack.items) - 1 > len(stack.depths["html"]):
             continue                                           # a second head, or one inside the body
-        if stack[-1].tag == "head" and (tag in ("body", "html") if closing else tag not in IN_HEAD):
-            stack.pop()
-        elif not closing and tag == "body":
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == "head":                 # with an open element in it
-                    links -= sum(e.tag == "a" for e in stack[depth:])
-                    del stack[depth:]
+        if stack.top.tag == "head" and (tag in ("body", "html") if closing else tag not in IN_HEAD):
+            stack.cut(len(stack.items) - 1)
+        elif not closing and tag == "body" and stack.depths["head"]:
+            links -= stack.cut(stack.depths["head"][0])        # with an open element in it
         if not closing and tag in RAW:
             lowered = page.lower() if lowered is None else lowered
             end = lowered.find("</" + tag, at) if len(lowered) == size else page.find("</" + tag, at)
@@ -207,13 +254,9 @@ def blocks_of(page: str) -> list[Block]:
         if tag not in INLINE:
             flush()
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    links -= sum(e.tag == "a" for e in stack[depth:])
-                    del stack[depth:]
-                    break
-                if tag in INLINE and stack[depth].tag not in INLINE:
-                    break                                      # a stray inline end tag
+            depth = stack.last(tag)
+            if depth and (tag not in INLINE or depth > stack.outer[-1]):   # else a stray end tag
+                links -= stack.cut(depth)
             continue
         if tag in VOID or attributes.endswith("/") and tag in DROPPED:
             continue
@@ -221,14 +264,11 @@ def blocks_of(page: str) -> list[Block]:
         ends |= CLOSES.get(tag, set())
         if tag == "a":
             ends = {"a"}
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag in ends:
-                links -= sum(e.tag == "a" for e in stack[depth:])
-                del stack[depth:]
-            elif stack[depth].tag in BARRIER:
-                break
+        depth = stack.ended(ends) if ends else 0
+        if depth:
+            links -= stack.cut(depth)
         serial += 1
-        stack.append(_child(stack[-1], tag, attributes, serial))
+        stack.push(_child(stack.top, tag, attributes, serial))
         links += tag == "a"
     flush()
     return out
@@ -248,6 +288,23 @@ def _unary(b: Block, most: int = BY_NAMES) -> int:
     return score
 
 
+def _evidence(blocks: list[Block], most: int = BY_NAMES) -> list[int]:
+    """Evidence of all blocks. A short cell beside a sentence belongs to it: in a table row of a
+    few cells without links it weighs half as much against content as the best cell weighs for it."""
+    unary = [_unary(b, most) for b in blocks]
+    rows = defaultdict(list)
+    for i, b in enumerate(blocks):
+        if b.row is not None:
+            rows[b.row].append(i)
+    for cells in rows.values():
+        best = max(unary[i] for i in cells)
+        if best > 0 and 1 < len(cells) <= ROW_CELLS and all(blocks[i].tag in ("td", "th") and not blocks[i].linked for i in cells):
+            for i in cells:
+                if blocks[i].hint >= 0:
+                    unary[i] = max(unary[i], -best // 2)
+    return unary
+
+
 def minimum_cut(unary: list[int], edges: list[tuple[int, int, int]]) -> list[bool]:
     """Side of every node in the minimum cut: True where it stays with the content terminal.
 
@@ -313,9 +370,9 @@ def main_text(page: str | None) -> str:
         if b.region in last and last[b.region] < i - 1:
             edges.append((last[b.region], i, 40))              # consecutive in one region of the tree
         last[b.region] = i
-    content = minimum_cut([_unary(b) for b in blocks], edges)
+    content = minimum_cut(_evidence(blocks), edges)
     if not any(content) and any(b.named for b in blocks):
-        content = minimum_cut([_unary(b, BY_PART) for b in blocks], edges)
+        content = minimum_cut(_evidence(blocks, BY_PART), edges)
     return "\n\n".join(b.text for b, c in zip(blocks, content) if c)
 
 
@@ -332,7 +389,9 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     one space, blocks are joined in page order by an empty line. Whole pages, no shuffle.
 
     Defined cases: a null, empty or text-free page has an empty text; null ids and urls pass
-    through; repeated rows are extracted one by one; an empty table gives no rows.
+    through; repeated rows are extracted one by one; an empty table gives no rows. Pages of any
+    length and depth, also with very many unclosed or stray tags, are read in time that follows
+    their length.
     """
     packed.small_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),

@@ -228,3 +228,21 @@ def test_pages_of_the_tables(spark):
         inner = r["html"].split("<article>")[1].split("</article>")[0]
         parts = [" ".join(html.unescape(re.sub(r"</?b>|<br>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", inner)]
         assert html_text.main_text(r["html"]) == "\n\n".join(p for p in parts if p)
+
+
+@pytest.mark.parametrize("kind", ["<b>x ", "</i>x ", "<p><b>y", "<div><b>", "<table><tr><td><b>", "</div><b>", "<li><i>z", "<head><b>", "<a>x"])
+def test_broken_pages_take_time_in_proportion(kind):
+    import time
+    took = []
+    for n in (5_000, 40_000):
+        t = time.process_time()
+        html_text.main_text("<html><body>" + kind * n + "</body></html>")
+        took.append(time.process_time() - t)
+    assert took[1] < 24 * max(took[0], 0.02)
+
+
+def test_rows_of_a_table_with_short_cells_are_text():
+    row = "<tr><td>Part {0}</td><td>The engine number {0} was built in the northern works and ran for many years.</td></tr>"
+    page = "<nav><a href=x>Home</a></nav><table>" + "".join(row.format(i) for i in range(6)) + "</table><footer>Contact us</footer>"
+    text = html_text.main_text(f"<html><body>{page}</body></html>")
+    assert text.count("The engine number") == 6 and "Part 5" in text and "Home" not in text and "Contact" not in text
