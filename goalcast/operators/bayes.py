@@ -58,16 +58,37 @@ def _scope_pred(scope: str, predicates: dict[str, Column]) -> Column:
     return F.col("set") == F.lit(scope)
 
 
+#: Buckets of a row of the count-min sketch, and its rows (two tables of this many rows are broadcast).
+SKETCH, SKETCH_ROWS = 1 << 18, 2
+
+
+def frequent_pairs(pairs: DataFrame, min_count: int, buckets: int = SKETCH) -> DataFrame:
+    """``pairs`` (i, j, ...) without those that a count-min sketch shows to occur fewer than
+    ``min_count`` times. A bucket counts all rows of its pairs, so it only overestimates: no pair
+    of ``min_count`` rows leaves. The sketch costs one scan with map-side sums of at most
+    ``SKETCH_ROWS`` x ``buckets`` rows a task."""
+    def bucket(d):
+        return F.pmod(F.xxhash64("i", "j", F.lit(d)), F.lit(buckets)).cast("int")
+    cells = pairs.select(F.explode(F.array(*[F.struct(F.lit(d).alias("d"), bucket(d).alias("b")) for d in range(SKETCH_ROWS)])).alias("c"))
+    heavy = cut_lineage(cells.groupBy("c.d", "c.b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count).select("d", "b"), "sketch")
+    for d in range(SKETCH_ROWS):
+        side = F.broadcast(heavy.where(F.col("d") == d).select("b"))           # at most ``buckets`` rows
+        pairs = pairs.withColumn("b", bucket(d)).join(side, "b", "left_semi").drop("b")
+    return pairs
+
+
 def fit_counts(encoded: DataFrame, goals: list[str], scopes=("train",), combinations: bool = False,
                min_count: int = 1, prune_singles: bool = True,
-               predicates: dict[str, Column] | None = None) -> BayesCounts:
+               predicates: dict[str, Column] | None = None, sketch: int = SKETCH) -> BayesCounts:
     """L1 for every scope and goal in one pass.
 
     ``predicates`` names extra fit scopes by row condition (e.g. a "recent" window of train
     days). ``min_count`` drops keys seen fewer times than the smallest threshold that will be
     used (exact: a threshold is applied on the same total). With combinations, a pair
     can only reach the threshold if both its singles do, so rare singles leave the rows
-    (semi join against the single counts) before any pair is made.
+    (semi join against the single counts) before any pair is made; and of the pairs that are
+    made, those in a bucket of a count-min ``sketch`` (buckets a row, 0: none) with too few rows
+    leave before the shuffle by pair.
     """
     scopes = list(scopes)
     aggs, tot = [], []
@@ -92,12 +113,48 @@ def fit_counts(encoded: DataFrame, goals: list[str], scopes=("train",), combinat
                 .groupBy("row_id").agg(*same, F.array_sort(F.collect_set("_f")).alias("features")))
     ex = rows.select(F.explode(key_array(F.col("features"), combinations)).alias("k"), *carry, *goals) \
              .select("k.i", "k.j", *carry, *goals)
+    if combinations and min_count > 1 and sketch:
+        ex = frequent_pairs(ex, min_count, sketch)
     keys, kstats = cut_lineage_observed(ex.groupBy("i", "j").agg(*aggs).where(keep), "counts",
                                         {"n_keys": F.count(F.lit(1))})
     return BayesCounts(keys=keys, totals=totals_row, goals=list(goals), scopes=scopes,
                        combinations=combinations, n_keys=int(kstats["n_keys"]))
 
 
+def write_day_counts(encoded: DataFrame, goals: list[str], path: str, combinations: bool = False) -> None:
+    """L3: counts of every day as a table partitioned by day: ``keys`` (day_ts, set, i, j, n,
+    pos_<goal>...) and ``totals`` (day_ts, set, n, pos_<goal>...). A day that is written again
+    replaces itself and leaves the other days alone, so a refresh writes the new day only."""
+    sums = [F.count(F.lit(1)).alias("n"), *[F.sum(g).cast("long").alias(f"pos_{g}") for g in goals]]
+    rows = encoded.select("day_ts", "set", "features", *goals)
+    keys = (rows.select("day_ts", "set", F.explode(key_array(F.col("features"), combinations)).alias("k"), *goals)
+            .groupBy("day_ts", "set", "k.i", "k.j").agg(*sums))
+    for name, t in (("keys", keys), ("totals", rows.groupBy("day_ts", "set").agg(*sums))):
+        # one shuffle partition holds whole (day, hash) groups, so a day has few files
+        t = t.repartition("day_ts", F.pmod(F.xxhash64(*(["i", "j"] if name == "keys" else ["set"])), F.lit(16)))
+        t.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day_ts").parquet(f"{path}/{name}")
+
+
+def counts_of_days(spark, path: str, goals: list[str], predicates: dict[str, Column], combinations: bool = False,
+                   min_count: int = 1) -> BayesCounts:
+    """Counts of fit scopes as sums of days: ``predicates`` gives each scope by a condition on
+    ``day_ts`` and ``set``. The same counts as ``fit_counts`` over the rows of those days."""
+    schema = "set string, n long, " + ", ".join(f"pos_{g} long" for g in goals) + ", day_ts string"
+    scopes = list(predicates)
+
+    def sums():
+        return [F.sum(F.when(pred, F.col(c)).otherwise(0)).cast("long").alias(f"{kind}_{s}{tail}")
+                for s, pred in predicates.items()
+                for c, kind, tail in [("n", "n", ""), *[(f"pos_{g}", "pos", f"_{g}") for g in goals]]]
+    totals = spark.read.schema(schema).parquet(f"{path}/totals").agg(*sums()).collect()[0].asDict()   # one row
+    keys = spark.read.schema("i int, j int, " + schema).parquet(f"{path}/keys")
+    ns = [F.col(f"n_{s}") for s in scopes]
+    keep = (ns[0] if len(ns) == 1 else F.greatest(*ns)) >= min_count
+    out, stats = cut_lineage_observed(keys.groupBy("i", "j").agg(*sums()).where(keep), "day-counts", {"n_keys": F.count(F.lit(1))})
+    return BayesCounts(keys=out, totals={k: int(v or 0) for k, v in totals.items()}, goals=list(goals), scopes=scopes,
+                       combinations=combinations, n_keys=int(stats["n_keys"]))
+
+
 @dataclass
 class ModelSpec:
     """One Bayes model: fitted on ``scope`` for ``goal`` keeping keys with total >= threshold."""
@@ -209,8 +266,10 @@ def score_models(rows: DataFrame, counts: BayesCounts, specs: list[ModelSpec], k
     consts = model_constants(counts, params, specs)
     per_row, labels = _row_sums(rows, counts, specs, keep, combinations, params)
 
+    counted = dict(rows.dtypes)                                # labels of vector classes are sums
+
     def label(m):
-        return F.col(m.goal).cast("int") if m.goal in labels or m.goal in keep else F.lit(None).cast("int")
+        return F.col(m.goal).cast("long" if counted.get(m.goal) == "bigint" else "int") if m.goal in labels or m.goal in keep else F.lit(None).cast("int")
     arr = F.array(*[F.struct(F.lit(m.model_id).alias("model_id"), label(m).alias("y"),
                              F.col(f"sp__{m.model_id}").alias("sp"), F.col(f"sn__{m.model_id}").alias("sn"))
                     for m in specs])

@@ -1,57 +1,32 @@
-"""Linear families: log loss with l1/l2/elastic net (L5, Spark ML LogisticRegression),
-hinge + l2 (L6, Spark ML LinearSVC), other losses and penalties (L7, distributed
-proximal gradient), confusion-rate scoring (H4 lives in serving).
-
-L7 solver: full-batch proximal gradient over the encoded rows. Each iteration
-broadcasts the weight vector (one float per dictionary entry - the only model state
-on the driver), computes per-partition margins and loss derivatives with numpy in
-``mapInPandas``, emits per-partition gradient partial sums keyed by feature index,
-and sums them with ``groupBy(idx)`` (one small shuffle of at most
-partitions x features rows). No row leaves its executor.
+"""Linear families (L5-L7): one proximal solver for all goals and configurations of a grid.
+
+The solver works on vector classes (``classes``) and a weight matrix with one column per
+(goal, configuration). A step is one scan: each task takes the margins of its classes for all
+columns at once and sends its gradient as packed blocks of features; blocks are summed, and the
+driver moves the weights. Columns that have converged leave the matrix. Matrices are kept below
+``MATRIX_BYTES`` by taking the columns in groups. No row leaves its executor.
 """
 
 from __future__ import annotations
 
 import warnings
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goalcast.plans.indexing import maybe_broadcast
+from goalcast.operators.classes import scored
+from goalcast.operators.growth import Batch
 
 ELASTIC_MIX = 0.15  # library default l1 ratio of the elastic-net penalty
 PENALTY_MIX = {"l1": 1.0, "l2": 0.0, "elasticnet": ELASTIC_MIX}
 PROBABILISTIC_LOSSES = {"log", "modified_huber"}
-
-
-def fit_logistic(train: DataFrame, alpha: float, penalty: str, weight_col: str | None = None, max_iter: int = 100):
-    """Log loss, no intercept, no standardisation (same objective as SGD with log loss)."""
-    lr = LogisticRegression(featuresCol="fv", labelCol="y", regParam=float(alpha),
-                            elasticNetParam=PENALTY_MIX[penalty], fitIntercept=False,
-                            standardization=False, maxIter=max_iter)
-    if weight_col:
-        lr.setWeightCol(weight_col)
-    return lr.fit(train)
-
-
-def score_logistic(model, df: DataFrame, keep: list[str]) -> DataFrame:
-    out = model.transform(df)
-    return out.select(*keep, vector_to_array("probability")[1].alias("prob"), F.col("prediction").cast("int").alias("pred"))
-
-
-def fit_svm(train: DataFrame, alpha: float, max_iter: int = 100):
-    """Hinge + l2; predictions only (no probability -> AUC and log loss null)."""
-    return LinearSVC(featuresCol="fv", labelCol="y", regParam=float(alpha), fitIntercept=False,
-                     standardization=False, maxIter=max_iter).fit(train)
-
-
-def score_svm(model, df: DataFrame, keep: list[str]) -> DataFrame:
-    out = model.transform(df)
-    return out.select(*keep, F.lit(None).cast("double").alias("prob"), F.col("prediction").cast("int").alias("pred"))
+#: Weights and gradients held at once, in the driver and in a task.
+MATRIX_BYTES = 128 << 20
 
 
 def _dloss(loss: str, y: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -71,98 +46,195 @@ def _dloss(loss: str, y: np.ndarray, m: np.ndarray) -> np.ndarray:
     raise ValueError(f"unknown loss {loss}")
 
 
-def _gradient_job(rows: DataFrame, weights_bc, loss: str) -> DataFrame:
-    def part(it):
-        w = weights_bc.value
-        acc = np.zeros(w.shape[0])
-        for pdf in it:
-            feats = pdf["features"]
-            y = np.where(pdf["y"].to_numpy() == 1, 1.0, -1.0)
-            lens = feats.map(len).to_numpy()
-            flat = np.concatenate([np.asarray(f, dtype=np.int64) for f in feats]) if len(feats) else np.zeros(0, np.int64)
-            owner = np.repeat(np.arange(len(feats)), lens)
-            m = np.bincount(owner, weights=w[flat], minlength=len(feats)) if len(flat) else np.zeros(len(feats))
-            g = _dloss(loss, y, m)
-            if len(flat):
-                acc += np.bincount(flat, weights=g[owner], minlength=w.shape[0])
-        nz = np.nonzero(acc)[0]
-        yield pd.DataFrame({"idx": nz.astype(np.int32), "g": acc[nz]})
-    return rows.select("features", "y").mapInPandas(part, "idx int, g double").groupBy("idx").agg(F.sum("g").alias("g"))
-
-
 #: Largest second derivative of the smooth losses (per unit of squared margin).
 CURVATURE = {"log": 0.25, "squared_hinge": 2.0, "modified_huber": 2.0}
 
-
-def fit_proximal(train: DataFrame, n_features: int, loss: str, penalty: str, alpha: float,
-                 iterations: int = 300, step: float = 0.5, tolerance: float = 5e-3,
-                 report: dict | None = None) -> np.ndarray:
-    """Weights minimising mean loss + alpha * penalty by proximal gradient. Smooth losses
-    take accelerated steps with a curvature bound per feature, the others subgradient steps of
-    falling size. Stops when no weight moves by more than ``tolerance`` times the largest
-    weight; if ``iterations`` steps do not get there it warns, and ``report`` (filled with
-    ``iterations`` and ``converged``) says so. ``train`` should be cached (read once a step)."""
-    spark = train.sparkSession
+_BLOCKS = pa.schema([("block", pa.int32()), ("idx", pa.binary()), ("g", pa.binary())])
+
+
+def _margins(rows: Batch, w: np.ndarray) -> np.ndarray:
+    """(rows, columns) sums of the weights of each row's features."""
+    out = np.zeros((rows.n, w.shape[1]))
+    some = np.flatnonzero(rows.lens)
+    if len(some):
+        out[some] = np.add.reduceat(w[rows.flat], rows.start[some], axis=0)
+    return out
+
+
+def _parts(rows: Batch, columns: int) -> Iterator[Batch]:
+    """Runs of rows whose (feature, column) pairs fit into 32 MB."""
+    limit, lo = max(1, (1 << 22) // max(1, columns)), 0
+    while lo < rows.n:
+        hi = max(lo + 1, int(np.searchsorted(rows.start, rows.start[lo] + limit, side="right")) - 1)
+        hi = rows.n if hi >= rows.n - 1 else hi
+        yield lo, hi, rows.part(lo, hi)
+        lo = hi
+
+
+def _gradient(shared, goals: list[str], columns: list[tuple[str, str, np.ndarray]], width: int, blocks: int) -> Callable:
+    """Gradient sums of a task. ``columns``: (goal, loss, its columns)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = shared.value
+        total, seen = np.zeros_like(w), np.zeros(width, dtype=bool)
+        for batch in batches:
+            n = batch.column("n").to_numpy().astype(np.float64)
+            y = {g: batch.column(g).to_numpy(zero_copy_only=False).astype(np.float64) for g in goals}
+            for lo, hi, rows in _parts(Batch(batch.column("features")), w.shape[1]):
+                if not len(rows.flat):
+                    continue
+                m = _margins(rows, w)
+                d = np.empty_like(m)
+                for goal, loss, at in columns:
+                    pos = y[goal][lo:hi, None]
+                    d[:, at] = pos * _dloss(loss, 1.0, m[:, at]) + (n[lo:hi, None] - pos) * _dloss(loss, -1.0, m[:, at])
+                order = np.argsort(rows.flat, kind="stable")
+                f = rows.flat[order]
+                first = np.flatnonzero(np.append(True, f[1:] != f[:-1]))
+                owner = np.repeat(np.arange(rows.n), rows.lens)
+                total[f[first]] += np.add.reduceat(d[owner[order]], first, axis=0)
+                seen[f[first]] = True
+        idx = np.flatnonzero(seen)
+        cuts = np.searchsorted(idx * blocks // width, np.arange(blocks + 1))
+        rows = [(i, idx[x:z].tobytes(), total[idx[x:z]].tobytes()) for i, (x, z) in enumerate(zip(cuts, cuts[1:])) if z > x]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 3, _BLOCKS)], schema=_BLOCKS)
+    return run
+
+
+def _sum_blocks(columns: int) -> Callable:
+    def run(table: pa.Table) -> pa.Table:
+        idx = [np.frombuffer(x, dtype=np.int64) for x in table["idx"].to_pylist()]
+        known = np.unique(np.concatenate(idx))
+        out = np.zeros((len(known), columns))
+        for i, g in zip(idx, table["g"].to_pylist()):          # in any order: sums differ by rounding only
+            out[np.searchsorted(known, i)] += np.frombuffer(g).reshape(len(i), columns)
+        return pa.table({"idx": pa.array([known.tobytes()], pa.binary()), "g": pa.array([out.tobytes()], pa.binary())})
+    return run
+
+
+@dataclass
+class Linear:
+    """Weights (features, jobs) of all jobs, and how their fits ended: ``steps``, ``converged``,
+    ``residual`` (largest violation of the optimality conditions by a feature: gradient plus
+    ridge, where the weight is not 0 moved by the l1 penalty and where it is 0 beyond it; none for
+    losses without a derivative)."""
+
+    jobs: list[tuple[str, dict]]
+    weights: np.ndarray
+    steps: np.ndarray
+    converged: np.ndarray
+    residual: np.ndarray
+
+    def score(self, rows: DataFrame, keep: list[str]) -> DataFrame:
+        """Scores (``classes.scored``) of every row and job: class 1 iff the margin is above 0;
+        probabilities are the sigmoid (log) or ``(clip(m, -1, 1) + 1) / 2`` (modified_huber)."""
+        shared = rows.sparkSession.sparkContext.broadcast(self.weights)   # below MATRIX_BYTES
+        losses = np.array([c["loss"] for _, c in self.jobs])
+
+        def model():
+            w = shared.value
+
+            def apply(rows_: Batch):
+                m = np.zeros((rows_.n, w.shape[1]))
+                for lo, hi, part in _parts(rows_, w.shape[1]):
+                    m[lo:hi] = _margins(part, w)
+                prob = np.full_like(m, np.nan)
+                log, huber = losses == "log", losses == "modified_huber"
+                prob[:, log] = 1.0 / (1.0 + np.exp(np.clip(-m[:, log], -700, 700)))
+                prob[:, huber] = (np.clip(m[:, huber], -1.0, 1.0) + 1.0) / 2.0
+                return prob, m > 0
+            return apply
+        return scored(rows, keep, [g for g, _ in self.jobs], model)
+
+    def save(self, spark: SparkSession, job: int, path: str) -> None:
+        """K8: the weight table (i, w) of one job, with its goal, loss and penalty."""
+        goal, c = self.jobs[job]
+        t = pd.DataFrame({"i": np.arange(len(self.weights), dtype=np.int32), "w": self.weights[:, job]})
+        spark.createDataFrame(t.assign(goal=goal, loss=c["loss"], penalty=c["penalty"], alpha=float(c["alpha"]))).write.mode("overwrite").parquet(path)
+
+
+def read_linear(spark: SparkSession, path: str) -> Linear:
+    t = spark.read.parquet(path).toPandas().sort_values("i")   # one weight per feature
+    job = (t["goal"].iloc[0], {c: t[c].iloc[0] for c in ("loss", "penalty", "alpha")})
+    return Linear([job], t[["w"]].to_numpy(), np.zeros(1, int), np.ones(1, bool), np.zeros(1))
+
+
+def _shrink(x: np.ndarray, by: np.ndarray) -> np.ndarray:
+    return np.sign(x) * np.maximum(np.abs(x) - by, 0.0)
+
+
+def fit_linear(classes: DataFrame, jobs: list[tuple[str, dict]], width: int, iterations: int = 300, step: float = 0.5,
+               tolerance: float = 5e-3) -> Linear:
+    """Weights that minimise, for every job (goal, {loss, penalty, alpha}), mean loss + alpha *
+    penalty over the rows of ``classes`` (features, n, goal columns) without intercept. Smooth
+    losses take accelerated proximal steps with a curvature bound per feature, the others
+    subgradient steps of falling size. A column is done when no weight of it moves by more than
+    ``tolerance`` times its largest one; ``converged`` says which of them did within
+    ``iterations`` steps."""
+    size = max(1, MATRIX_BYTES // (8 * max(1, width)))
+    done = [_fit_columns(classes, jobs[lo:lo + size], width, iterations, step, tolerance) for lo in range(0, len(jobs), size)]
+    out = Linear(jobs, *(np.concatenate([getattr(d, f) for d in done], axis=-1) for f in ("weights", "steps", "converged", "residual")))
+    if not out.converged.all():
+        warnings.warn(f"{int((~out.converged).sum())} of {len(jobs)} fits not within {tolerance} after {iterations} steps", stacklevel=2)
+    return out
+
+
+def _fit_columns(classes: DataFrame, jobs: list[tuple[str, dict]], width: int, iterations: int, step: float, tolerance: float) -> Linear:
+    spark = classes.sparkSession
+    goals = sorted({g for g, _ in jobs})
+    rows = classes.select("features", F.col("n").cast("long").alias("n"), *[F.col(g).cast("long").alias(g) for g in goals])
+    total = max(1, rows.agg(F.sum("n")).collect()[0][0] or 0)  # one row
     # per feature: rows that have it, each weighted by its width; binary rows x of width k have
     # x x' <= k diag(x), so these bound the curvature feature by feature
-    widths = (train.select(F.size("features").alias("k"), F.explode("features").alias("idx"))
-              .groupBy("idx").agg(F.sum("k").alias("k")).toPandas())   # at most n_features rows
-    n_rows = max(1, train.count())
-    bound = np.zeros(n_features)
-    bound[widths["idx"].to_numpy()] = widths["k"].to_numpy() / n_rows
-    rho, smooth = PENALTY_MIX[penalty], loss in CURVATURE
-    ridge = alpha * (1 - rho)
-    seen = bound > 0
-    if smooth:
-        size = np.where(seen, 1.0 / (CURVATURE[loss] * np.where(seen, bound, 1.0) + ridge), 0.0)
-    else:
-        size = np.where(seen, step / np.where(seen, bound, 1.0), 0.0)
-    w = np.zeros(n_features)
-    ahead, momentum, converged, t = w, 1.0, False, 0
-    while t < iterations and not converged:
-        t += 1
-        bc = spark.sparkContext.broadcast(ahead)
-        g = _gradient_job(train, bc, loss).toPandas()  # at most n_features rows: the gradient vector
-        bc.unpersist()
-        grad = np.zeros(n_features)
-        grad[g["idx"].to_numpy()] = g["g"].to_numpy() / n_rows
-        eta = size if smooth else size / np.sqrt(t)
-        new = ahead - eta * (grad + ridge * ahead)
-        if rho > 0:
-            new = np.sign(new) * np.maximum(np.abs(new) - eta * alpha * rho, 0.0)
-        converged = bool(np.abs(new - w).max(initial=0.0) <= tolerance * max(np.abs(new).max(initial=0.0), 1e-12))
-        if smooth:
-            if float(((ahead - new) * np.where(seen, bound, 0.0)) @ (new - w)) > 0:   # momentum uphill: start it anew
-                momentum = 1.0
-            later = (1 + np.sqrt(1 + 4 * momentum * momentum)) / 2
-            ahead = new + (momentum - 1) / later * (new - w)
-            momentum = later
-        else:
-            ahead = new
-        w = new
-    if not converged:
-        warnings.warn(f"{loss}/{penalty}/{alpha}: not within {tolerance} after {iterations} steps", stacklevel=2)
-    if report is not None:
-        report.update(iterations=t, converged=converged)
-    return w
-
-
-def write_weights(spark, w: np.ndarray, path: str) -> None:
-    """K8 of the proximal solver: the weight table (i, w)."""
-    spark.createDataFrame(pd.DataFrame({"i": np.arange(len(w), dtype=np.int32), "w": w})).write.mode("overwrite").parquet(path)
-
-
-def score_weights(df: DataFrame, w: np.ndarray, loss: str, keep: list[str]) -> DataFrame:
-    """Margins by a broadcast join of the (dictionary-sized) weight table; probability
-    for modified_huber is ``(clip(m, -1, 1) + 1) / 2``, for log the sigmoid."""
-    spark = df.sparkSession
-    wt = spark.createDataFrame(pd.DataFrame({"i": np.arange(len(w), dtype=np.int32), "w": w}))
-    ex = df.select(*keep, F.explode_outer("features").alias("i"))
-    m = ex.join(maybe_broadcast(wt, len(w)), "i", "left").groupBy(*keep).agg(F.coalesce(F.sum("w"), F.lit(0.0)).alias("m"))
-    if loss == "modified_huber":
-        prob = (F.least(F.greatest(F.col("m"), F.lit(-1.0)), F.lit(1.0)) + 1.0) / 2.0
-    elif loss == "log":
-        prob = 1.0 / (1.0 + F.exp(-F.col("m")))
-    else:
-        prob = F.lit(None).cast("double")
-    return m.select(*keep, prob.alias("prob"), (F.col("m") > 0).cast("int").alias("pred"))
+    widths = (rows.select((F.size("features") * F.col("n")).alias("k"), F.explode("features").alias("idx"))
+              .groupBy("idx").agg(F.sum("k").alias("k")).toArrow())    # at most one row a feature
+    bound = np.zeros(width)
+    bound[widths["idx"].to_numpy()] = widths["k"].to_numpy() / total
+    seen = bound[:, None] > 0
+    safe = np.where(seen, bound[:, None], 1.0)
+    loss = np.array([c["loss"] for _, c in jobs])
+    goal = np.array([g for g, _ in jobs])
+    rho = np.array([PENALTY_MIX[c["penalty"]] for _, c in jobs])
+    alpha = np.array([float(c["alpha"]) for _, c in jobs])
+    smooth = np.isin(loss, list(CURVATURE))
+    ridge, lasso = alpha * (1 - rho), alpha * rho
+    curvature = np.array([CURVATURE.get(x, 1.0) for x in loss])
+    blocks = max(1, min(width, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+    def gradient(w: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Mean gradient of the loss at weights (features, columns ``at``)."""
+        kinds = [(g, x, np.flatnonzero((goal[at] == g) & (loss[at] == x))) for g in goals for x in sorted(set(loss[at]))]
+        shared = spark.sparkContext.broadcast(w)
+        found = (rows.mapInArrow(_gradient(shared, goals, [k for k in kinds if len(k[2])], width, blocks), "block int, idx binary, g binary")
+                 .groupBy("block").applyInArrow(_sum_blocks(len(at)), "idx binary, g binary").toArrow())   # below MATRIX_BYTES
+        shared.unpersist()
+        out = np.zeros_like(w)
+        for i, g in zip(found["idx"].to_pylist(), found["g"].to_pylist()):
+            out[np.frombuffer(i, dtype=np.int64)] = np.frombuffer(g).reshape(-1, len(at))
+        return out / total
+
+    def moves(at: np.ndarray, t: int) -> np.ndarray:
+        """Step sizes per feature and column."""
+        bent = np.where(seen, 1.0 / (curvature[at] * safe + ridge[at]), 0.0)
+        return np.where(smooth[at], bent, np.where(seen, step / safe, 0.0) / np.sqrt(t))
+    weights = np.zeros((width, len(jobs)))
+    ahead, momentum = weights.copy(), np.ones(len(jobs))
+    steps, converged = np.zeros(len(jobs), dtype=np.int64), np.zeros(len(jobs), dtype=bool)
+    at = np.arange(len(jobs))
+    for t in range(1, iterations + 1):
+        eta, here, w = moves(at, t), ahead[:, at], weights[:, at]
+        new = _shrink(here - eta * (gradient(here, at) + ridge[at] * here), eta * lasso[at])
+        steps[at] = t
+        converged[at] = np.abs(new - w).max(axis=0, initial=0.0) <= tolerance * np.maximum(np.abs(new).max(axis=0, initial=0.0), 1e-12)
+        uphill = (((here - new) * np.where(seen, safe, 0.0)) * (new - w)).sum(axis=0) > 0
+        old = np.where(uphill, 1.0, momentum[at])              # momentum uphill: start it anew
+        later = (1 + np.sqrt(1 + 4 * old * old)) / 2
+        ahead[:, at] = np.where(smooth[at], new + (old - 1) / later * (new - w), new)
+        momentum[at], weights[:, at] = later, new
+        at = at[~converged[at]]
+        if not len(at):
+            break
+    every = np.arange(len(jobs))
+    g = gradient(weights, every) + ridge * weights
+    off = np.where(weights != 0, np.abs(g + lasso * np.sign(weights)), np.maximum(np.abs(g) - lasso, 0.0))
+    residual = np.where(smooth, off.max(axis=0, initial=0.0), np.nan)
+    return Linear(jobs, weights, steps, converged, residual)

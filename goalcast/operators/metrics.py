@@ -25,14 +25,19 @@ def _div0(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
+def _class_counts(scored: DataFrame, y: str = "y") -> list[Column]:
+    """Class counts of scored rows, or of scored vector classes (columns ``pos`` and ``neg``)."""
+    pos, neg = ("pos", "neg") if {"pos", "neg"} <= set(scored.columns) else (F.col(y), 1 - F.col(y))
+    return [F.sum(pos).cast("long").alias("_pos"), F.sum(neg).cast("long").alias("_neg")]
+
+
 def score_table(scored: DataFrame, group: list[str], y: str = "y", score: str = "prob",
                 pred: str = "pred") -> DataFrame:
     """(group..., _s, _p, _pos, _neg): rows folded to distinct (score, predicted class)
     with class counts. One map-side-combined aggregation over the scored rows; every
     metric below is computed from this (much smaller) table."""
     s = F.nanvl(F.col(score), F.lit(None).cast("double")) if score in scored.columns else F.lit(None).cast("double")
-    return scored.groupBy(*group, s.alias("_s"), F.col(pred).alias("_p")).agg(
-        F.sum(F.col(y)).cast("long").alias("_pos"), F.sum(1 - F.col(y)).cast("long").alias("_neg"))
+    return scored.groupBy(*group, s.alias("_s"), F.col(pred).alias("_p")).agg(*_class_counts(scored, y))
 
 
 def roc_auc_from_table(t: DataFrame, group: list[str]) -> DataFrame:
@@ -86,8 +91,7 @@ def log_loss(scored: DataFrame, group: list[str], y: str = "y", score: str = "pr
 
 def confusion_counts(scored: DataFrame, group: list[str], y: str = "y", pred: str = "pred") -> DataFrame:
     """M4: (group..., tn, fp, fn, tp)."""
-    t = scored.groupBy(*group, F.col(pred).alias("_p")).agg(
-        F.sum(F.col(y)).cast("long").alias("_pos"), F.sum(1 - F.col(y)).cast("long").alias("_neg"))
+    t = scored.groupBy(*group, F.col(pred).alias("_p")).agg(*_class_counts(scored, y))
     return confusion_from_table(t, group)
 
 
@@ -115,8 +119,7 @@ def evaluate(scored: DataFrame, group: list[str], has_prob: bool = True) -> Data
     """All metrics per group: (group..., roc_auc, log_loss, f1, recall, precision,
     true_positive, false_negative). Without probabilities AUC and log loss are null."""
     t = score_table(scored, group) if has_prob else scored.groupBy(
-        *group, F.lit(None).cast("double").alias("_s"), F.col("pred").alias("_p")).agg(
-        F.sum("y").cast("long").alias("_pos"), F.sum(1 - F.col("y")).cast("long").alias("_neg"))
+        *group, F.lit(None).cast("double").alias("_s"), F.col("pred").alias("_p")).agg(*_class_counts(scored))
     # the folded table feeds three metric branches: materialise it once (shared storage)
     t = cut_lineage(t, "score-table")
     cm = confusion_from_table(t, group)

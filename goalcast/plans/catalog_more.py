@@ -378,13 +378,17 @@ def q_bayes_score_named(spark, sf_dir):
     return sc.select("row_id", r("prob").alias("prob"), "pred", "used")
 
 
-def _with_recent(spark, sf_dir) -> B.BayesCounts:
-    """Counts of all train days and of the last seven."""
+def _recent_days(spark, sf_dir):
+    """Condition for the last seven train days."""
     p = prepared(spark, sf_dir)
     days = sorted(r_["day_ts"] for r_ in p.encoded.where("set = 'train'").select("day_ts").distinct().collect())
     cutoff = days[-7] if len(days) >= 7 else days[0]  # day list: one row per day
-    recent = (F.col("set") == "train") & (F.col("day_ts") >= F.lit(cutoff))
-    return B.fit_counts(p.encoded, ["click"], ("train", "recent"), predicates={"recent": recent})
+    return (F.col("set") == "train") & (F.col("day_ts") >= F.lit(cutoff))
+
+
+def _with_recent(spark, sf_dir) -> B.BayesCounts:
+    """Counts of all train days and of the last seven."""
+    return B.fit_counts(prepared(spark, sf_dir).encoded, ["click"], ("train", "recent"), predicates={"recent": _recent_days(spark, sf_dir)})
 
 
 HIST, RECENT = (B.ModelSpec(s, s, "click", SCORE_THRESHOLD) for s in ("train", "recent"))
@@ -397,9 +401,14 @@ def q_combined_bayes(spark, sf_dir):
 
 
 def q_incremental_bayes(spark, sf_dir):
-    c = _with_recent(spark, sf_dir)
+    """Both models as sums of a count table by day, to which the last day is added on its own."""
+    p, path = prepared(spark, sf_dir), scratch_path(spark, "day-counts")
+    last = p.encoded.agg(F.max("day_ts")).collect()[0][0]      # one row
+    B.write_day_counts(p.encoded.where(F.col("day_ts") < last), ["click"], path)
+    B.write_day_counts(p.encoded.where(F.col("day_ts") == last), ["click"], path)
+    c = B.counts_of_days(spark, path, ["click"], {"train": F.col("set") == "train", "recent": _recent_days(spark, sf_dir)})
     alpha, use = B.incremental_alpha(c.totals["pos_recent_click"])
-    mixed = B.mixed_scores(prepared(spark, sf_dir).encoded, c, HIST, RECENT, ["row_id"], alpha, use)
+    mixed = B.mixed_scores(p.encoded, c, HIST, RECENT, ["row_id"], alpha, use)
     return mixed.select("row_id", r("prob").alias("prob"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 
 from goalcast.constants import DATA_ATTRIBUTE_COLUMNS, HYPER_PARAMETERS, KNOWN_LABELS
-from goalcast.plans.fixtures import IMPRESSIONS_SQL
+from goalcast.plans.fixtures import FIXTURE_GOALS, IMPRESSIONS_SQL
 from goalcast.plans.raw_flow import LOG_COLUMNS_SQL
 from goalcast.plans.oracle_queries import (GRID_METRICS, SELECT_BEST_CTES, VALID_GOALS_CTE, _grid_sql, _w,
                                            expand_rounding)
@@ -265,6 +265,14 @@ SELECT row_id, "set", array_to_string(features, ' ') AS features, click FROM enc
 
 ORACLE_MORE = {k: expand_rounding(v) for k, v in ORACLE_MORE.items()}
 
+
+
+def _goal_sizes(where: str = "") -> str:
+    """(goal, n_rows, n_pos) of the encoded rows."""
+    return " UNION ALL ".join(f"SELECT '{g}' AS goal, count(*) AS n_rows, CAST(sum({g}) AS BIGINT) AS n_pos FROM encoded {where}"
+                              for g in FIXTURE_GOALS)
+
+
 ORACLE_ML = {
     "matrix_export": expand_rounding(base_ctes() + """,
 dsize AS (SELECT CAST(count(*) AS INTEGER) AS n FROM indexed),
@@ -286,4 +294,14 @@ SELECT goal, config_id, threshold, {GRID_METRICS}, CAST(valid_model AS INTEGER)
 FROM rk"""),
     "score_export": expand_rounding(TEST_CLICK + """
 SELECT row_id, "set", rnd(prob) AS prob, pred, y FROM scored2"""),
+    "linear_optimality": base_ctes() + VALID_GOALS_CTE + f""",
+size AS ({_goal_sizes("WHERE \"set\" = 'train'")})
+SELECT vg.goal, penalty, alpha, 1 AS optimal, n_rows, n_pos
+FROM vg JOIN size USING (goal), (VALUES ('l1'), ('l2'), ('elasticnet')) p(penalty),
+  (VALUES (1e-5::DOUBLE), (1e-4), (1e-3), (1e-2), (1), (5), (10)) a(alpha)""",
+    "forest_rules": base_ctes() + VALID_GOALS_CTE + """
+SELECT goal, 100::BIGINT AS trees, 0::BIGINT AS too_small, 0::BIGINT AS pure, 0::BIGINT AS unequal FROM vg""",
+    "refit_scores": base_ctes() + VALID_GOALS_CTE + f""",
+size AS ({_goal_sizes()})
+SELECT goal, family, 0::BIGINT AS differing, n_rows, n_pos FROM vg JOIN size USING (goal), (VALUES ('lasso'), ('rf')) f(family)""",
 }

@@ -4,8 +4,9 @@
 Count-based family (pair-count Bayes): goals and configurations are columns of one
 job - counts once for every goal and both fit scopes (train, unified), all
 (goal, threshold) models scored in one aggregation, metrics in one grouped
-aggregation. ML families: a driver thread pool of Spark jobs over one cached vector
-table, results keyed by configuration id (never by completion order).
+aggregation. ML families: a job is a (goal, configuration); all jobs of a grid are fitted
+together (one weight matrix, or one growth of all trees) and scored in one scan of the vector
+classes.
 """
 
 from __future__ import annotations
@@ -13,11 +14,9 @@ from __future__ import annotations
 import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as ST
 
 from goalcast.constants import GRID_OF_FAMILY, HYPER_PARAMETERS, KNOWN_LABELS
 from goalcast.operators import bayes as B
@@ -27,7 +26,7 @@ from goalcast.operators import metrics as M
 from goalcast.operators import selection as S
 from goalcast.operators import splits as U
 from goalcast.operators import trees as T
-from goalcast.operators.vectors import to_vectors
+from goalcast.operators.classes import vector_classes
 from goalcast.plans.prepare import Prepared
 from goalcast.session import cut_lineage
 from goalcast.sinks import writers as W
@@ -45,10 +44,28 @@ def valid_goal_list(prep: Prepared, requested: list[str]) -> list[str]:
     return [r["goal"] for r in v.where("valid").orderBy("position").collect()]  # goal list: driver-sized
 
 
+#: Rows a vector class must hold on average before scoring classes pays for grouping them.
+ROWS_A_CLASS = 2.0
+
+
+def worth_classes(encoded: DataFrame) -> bool:
+    """Whether rows with equal features are common enough to be scored as classes: a sketch of
+    the distinct vectors over all rows, one row to the driver."""
+    t = encoded.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("set", "features")).alias("d")).collect()[0]
+    return t["n"] >= ROWS_A_CLASS * max(1, t["d"])
+
+
+def _scored_classes(prep: Prepared, counts: B.BayesCounts, specs: list[B.ModelSpec], goals: list[str]) -> DataFrame:
+    """H1 over vector classes: (set, model_id, pos, neg, prob, pred) per class and model."""
+    scored = B.score_models(goal_classes(prep, goals), counts, specs, ["class_id", "set", "n"]).scores
+    return scored.withColumn("pos", F.col("y")).withColumn("neg", F.col("n") - F.col("y"))
+
+
 def bayes_grid(prep: Prepared, goals: list[str], thresholds: list[int], counts: B.BayesCounts | None = None):
     counts = counts or B.fit_counts(prep.encoded, goals, ("train", "unified"))
     specs = [B.ModelSpec(f"{g}__{t}", "train", g, t) for g in goals for t in thresholds]
-    scored = B.score_models(prep.encoded, counts, specs, ["row_id", "set"]).scores
+    scored = _scored_classes(prep, counts, specs, goals) if worth_classes(prep.encoded) else \
+        B.score_models(prep.encoded, counts, specs, ["row_id", "set"]).scores
     scored = scored.withColumn("goal", F.split("model_id", "__")[0]) \
                    .withColumn("rarity_threshold", F.split("model_id", "__")[1].cast("int"))
     ev = M.evaluate_sets(scored, ["goal", "rarity_threshold"])
@@ -119,109 +136,78 @@ def family_configs(family: str) -> list[dict]:
     return S.expand_grid(HYPER_PARAMETERS[GRID_OF_FAMILY[family.lower()]])
 
 
-def fit_config(family: str, config: dict, train: DataFrame, n_features: int):
-    """One configuration fitted on ``train``: ``(save(path), score(rows, keep))``. Forests read
-    the case weights of a ``weight`` column (F9)."""
+def fit_models(family: str, rows: DataFrame, classes: DataFrame, jobs: list[tuple[str, dict]], width: int):
+    """All jobs (goal, configuration) fitted together: an object with ``score(rows, keep)`` and
+    ``save(spark, job, path)``. Linear families fit ``classes``, trees ``rows`` (row_id, set,
+    features, goals), forests with the case weights of each row's own set (F9, U3)."""
     fam = family.lower()
     if fam in ("lasso", "sgd"):
-        loss, pen, alpha = config["loss"], config["penalty"], config["alpha"]
-        if loss == "log":
-            model, score = LN.fit_logistic(train, alpha, pen), LN.score_logistic
-        elif loss == "hinge" and pen == "l2":
-            model, score = LN.fit_svm(train, alpha), LN.score_svm
-        else:
-            w = LN.fit_proximal(train, n_features, loss, pen, alpha)
-            return (lambda path: LN.write_weights(train.sparkSession, w, path)), \
-                (lambda rows, keep: LN.score_weights(rows, w, loss, keep))
-    elif fam == "rf":
-        model = T.fit_forest(train, config["ntree"], config["fraction"], config["min_target_node_size"])
-        score = T.score_probabilistic
-    elif fam in ("xgb", "xgbf"):
-        model, score = T.fit_gbt(train, config["max_depth"], config["eta"]), T.score_probabilistic
-    else:
-        raise ValueError(f"unknown family {family}")
-    return (lambda path: model.write().overwrite().save(path)), (lambda rows, keep: score(model, rows, keep))
-
-
-def fit_model(family: str, config: dict, train: DataFrame, n_features: int, model_path: str):
-    """Fit one configuration and save it (Spark ML model folder, or the weight table of
-    the proximal solver)."""
-    save, score = fit_config(family, config, train, n_features)
-    save(model_path)
-    return score
-
-
-def family_vectors(prep: Prepared, family: str, goal: str) -> DataFrame:
-    """Vector rows ``(row_id, set, features, y, fv[, weight])`` of a goal. Forests get the case
-    weights of each row's own set (F9); the unified set keeps them as they are (U3)."""
-    data = prep.encoded.select("row_id", "set", "features", F.col(goal).cast("int").alias("y"))
-    if family.lower() == "rf":
-        data = L.case_weights(data)
-    return to_vectors(data, prep.dictionary.size)
-
-
-def ml_grid(prep: Prepared, family: str, goal: str, configs: list[dict] | None = None, threads: int = 4,
-            vectors: DataFrame | None = None) -> DataFrame:
-    """M7 for an ML family: one Spark job chain per configuration, run from a driver
-    thread pool over one cached vector table; rows keyed by config_id."""
+        return LN.fit_linear(classes, jobs, width)
+    if fam == "rf":
+        return T.fit_forests(rows, jobs, width)
+    if fam in ("xgb", "xgbf"):
+        return T.fit_boosted(rows, jobs, width)
+    raise ValueError(f"unknown family {family}")
+
+
+def read_model(spark, family: str, path: str):
+    """A saved model of one job, as ``fit_models`` gives it."""
+    return {"lasso": LN.read_linear, "sgd": LN.read_linear, "rf": T.read_forest,
+            "xgb": T.read_boosted, "xgbf": T.read_boosted}[family.lower()](spark, path)
+
+
+def goal_classes(prep: Prepared, goals: list[str]) -> DataFrame:
+    return vector_classes(prep.encoded, goals, "goal-classes")
+
+
+def ml_grid(prep: Prepared, family: str, goals: list[str], configs: list[dict] | None = None,
+            classes: DataFrame | None = None) -> DataFrame:
+    """M7 for an ML family: ``(goal, config_id, params, converged, metrics...)`` of every goal and
+    configuration, fitted on the train rows together and scored on both sets in one scan.
+    ``converged`` is null for families that do not iterate towards an optimum."""
+    spark = prep.encoded.sparkSession
     configs = configs if configs is not None else family_configs(family)
-    vec = vectors if vectors is not None else family_vectors(prep, family, goal).cache()
-    train = vec.where(F.col("set") == "train")
-
-    def one(item):
-        cid, cfg = item
-        scored = fit_config(family, cfg, train, prep.dictionary.size)[1](vec, ["row_id", "set", "y"])
-        has_prob = not (family.lower() in ("sgd", "lasso") and cfg.get("loss") not in LN.PROBABILISTIC_LOSSES)
-        ev = M.evaluate_sets(scored.withColumn("goal", F.lit(goal)), ["goal"], has_prob=has_prob)
-        return ev.withColumn("config_id", F.lit(cid)).withColumn("params", F.lit(json.dumps(cfg, sort_keys=True))) \
-                 .collect()[0].asDict()  # one metrics row per configuration
-
-    with ThreadPoolExecutor(max(1, threads)) as pool:
-        rows = list(pool.map(one, list(enumerate(configs))))
-    if vectors is None:
-        vec.unpersist()
-    schema = ST.StructType(
-        [ST.StructField("goal", ST.StringType()), ST.StructField("config_id", ST.IntegerType()),
-         ST.StructField("params", ST.StringType())]
-        + [ST.StructField(f"{m}_{s}", ST.DoubleType()) for s in ("train", "test") for m in M.METRICS])
-    rows = sorted(rows, key=lambda r: r["config_id"])
-    return prep.encoded.sparkSession.createDataFrame([{f.name: r.get(f.name) for f in schema.fields} for r in rows], schema)
-
-
-def train_ml(prep: Prepared, family: str, requested: list[str], out_path: str | None, threads: int = 4,
+    classes = classes if classes is not None else goal_classes(prep, goals)
+    jobs = [(g, c) for g in goals for c in configs]
+    models = fit_models(family, prep.encoded.where(F.col("set") == "train"), classes.where(F.col("set") == "train"), jobs, prep.dictionary.size)
+    ended = getattr(models, "converged", [None] * len(jobs))
+    table = spark.createDataFrame(
+        [(j, g, j % len(configs), json.dumps(c, sort_keys=True), None if e is None else bool(e)) for j, ((g, c), e) in enumerate(zip(jobs, ended))],
+        "job int, goal string, config_id int, params string, converged boolean")
+    ev = M.evaluate_sets(models.score(classes, ["set"]), ["job"])
+    names = [f"{m}_{s}" for s in ("train", "test") for m in M.METRICS]
+    return cut_lineage(table.join(F.broadcast(ev), "job", "left").select("goal", "config_id", "params", "converged", *names), "ml-grid")
+
+
+def train_ml(prep: Prepared, family: str, requested: list[str], out_path: str | None,
              algorithm_name: str | None = None, configs: list[dict] | None = None) -> RunResult:
-    """M10 for an ML family: per valid goal, grid (M7) -> selection (M8) -> refit of the best
-    configuration on the unified set with the per-set case weights (L11, U3) -> model,
-    ``confusion`` rates of the best test scores (K8), importance of boosted trees (L10) and
-    keymap (K4); run statistics (K6) for all goals. Goals run one after the other over their own
-    cached vectors; the configurations of a goal run side by side."""
+    """M10 for an ML family: grid of all valid goals (M7) -> selection (M8) -> refit of each goal's
+    best configuration on the unified set with the per-set case weights (L11, U3), all goals
+    together -> model, ``confusion`` rates of the best test scores (K8), importance of boosted
+    trees (L10) and keymap (K4) per goal; run statistics (K6) for all goals."""
     spark = prep.encoded.sparkSession
     goals = valid_goal_list(prep, requested)
     if not goals:
         raise ValueError("No valid goals found to train")
     name = algorithm_name or family.upper()
-    frames = []
-    for goal in goals:
-        vec = family_vectors(prep, family, goal).cache()
-        sel = S.select_best(ml_grid(prep, family, goal, configs, threads, vec), ["goal"])
-        frames.append(sel)
-        best = _best_rows(sel, ["params"]).where("valid").collect()  # at most one row
-        if out_path and best:
-            cfg, path = json.loads(best[0]["params"]), f"{out_path}/{goal}"
-            fit_model(family, cfg, U.unified(vec), prep.dictionary.size, f"{path}/model")
-            spark.createDataFrame([(goal, json.dumps(cfg, sort_keys=True), best[0]["true_positive_test"],
-                                    best[0]["false_negative_test"])],
+    classes = goal_classes(prep, goals)
+    grid = cut_lineage(S.select_best(ml_grid(prep, family, goals, configs, classes), ["goal"]), "ml-selected")
+    best = _best_rows(grid, ["params"])
+    stats = W.run_stats(best, name)
+    if out_path:
+        chosen = best.where("valid").orderBy("goal").collect()  # at most one row a goal
+        jobs = [(r["goal"], json.loads(r["params"])) for r in chosen]
+        models = fit_models(family, prep.encoded, U.unified(classes), jobs, prep.dictionary.size) if jobs else None
+        for job, r in enumerate(chosen):
+            path = f"{out_path}/{r['goal']}"
+            models.save(spark, job, f"{path}/model")
+            spark.createDataFrame([(r["goal"], r["params"], r["true_positive_test"], r["false_negative_test"])],
                                   "goal string, params string, true_positive double, false_negative double") \
                 .write.mode("overwrite").json(f"{path}/confusion")
             if family.lower() in ("xgb", "xgbf"):
                 imp = T.importance(spark, f"{path}/model", prep.dictionary.names, prep.dictionary.size)
                 for kind in ("weight", "gain", "cover"):
                     T.importance_lines(imp, kind).write.mode("overwrite").text(f"{path}/importance_{kind}")
-        vec.unpersist()
-    grid = reduce(DataFrame.unionByName, frames)
-    best = _best_rows(grid, ["params"])
-    stats = W.run_stats(best, name)
-    if out_path:
         W.write_grid_table(grid, f"{out_path}/grid")
         W.write_keymap(prep.dictionary.names, f"{out_path}/keymap", W.KEYMAP_FORM.get(family.lower(), "pairs"))
         W.write_run_stats(stats, f"{out_path}/Parameters")

@@ -103,22 +103,93 @@ def test_bayes_with_pair_keys_matches_direct(spark):
     assert got.l1 == pytest.approx(lp) and got.l0 == pytest.approx(ln_)
 
 
-def test_stream_scoring_equals_batch(spark, scratch):
+def test_stream_takes_a_new_model_version_between_batches(spark, scratch):
+    from goalcast.sinks import versions as V
     from goalcast.streaming import scoring as ST
     enc = spark.createDataFrame([(i, "train", [i % 3, 3 + i % 2], i % 2) for i in range(40)],
                                 "row_id long, set string, features array<int>, click int")
-    c = B.fit_counts(enc, ["click"], ("train",))
     spec = [B.ModelSpec("m", "train", "click", 1)]
-    src = scratch("stream-src")
+    src, base = scratch("stream-src"), scratch("stream-model")
     enc.repartition(4).write.parquet(src)
-
-    def score(batch):
-        return B.score_models(batch, c, spec, ["row_id"]).scores.select("row_id", "prob")
+    first, second = enc, enc.where("row_id % 5 > 0")           # what the two versions are fitted on
+
+    def score(batch, counts):
+        return B.score_models(batch, counts, spec, ["row_id"]).scores.select("row_id", "prob")
+
+    def publish(rows):
+        return V.publish(spark, base, lambda folder: rows.write.parquet(folder))
+    with pytest.raises(ValueError):
+        V.Versioned(spark, base, lambda folder: None).get()
+    assert publish(first) == 1
+    seen = []
+
+    def score_and_swap(batch, counts):
+        out = score(batch, counts)
+        if not seen:
+            assert publish(second) == 2                        # while the first batch runs
+        seen.append({r["row_id"] for r in batch.select("row_id").collect()})
+        return out
+    model = V.Versioned(spark, base, lambda folder: B.fit_counts(spark.read.parquet(folder), ["click"], ("train",)))
     sink, ck = scratch("stream-sink"), scratch("stream-ck")
-    ST.run_to_completion(ST.start_scoring_stream(spark, src, enc.schema, score, sink, ck, max_files_per_trigger=1))
-    streamed = sorted((r.row_id, round(r.prob, 12)) for r in ST.read_sink(spark, sink).collect())
-    batch = sorted((r.row_id, round(r.prob, 12)) for r in score(enc).collect())
-    assert streamed == batch
+    ST.run_to_completion(ST.start_scoring_stream(spark, src, enc.schema, score_and_swap, model, sink, ck, max_files_per_trigger=1))
+    assert len(seen) == 4 and model.loads == 2 and model.number == 2
+    got = {r.row_id: round(r.prob, 12) for r in ST.read_sink(spark, sink).collect()}
+    want = [{r.row_id: round(r.prob, 12) for r in score(enc, B.fit_counts(x, ["click"], ("train",))).collect()} for x in (first, second)]
+    assert want[0] != want[1]
+    assert got == {i: want[0 if i in seen[0] else 1][i] for i in range(40)}
+
+
+def test_day_counts_are_sums_of_days(spark, scratch):
+    rows = [(i, f"202401{1 + i % 9:02d}" if i % 50 else None, "train" if i % 9 < 7 else "test", sorted({i % 5, 5 + i % 3}), int(i % 4 == 0), int(i % 6 == 0))
+            for i in range(300)]
+    enc = spark.createDataFrame(rows, "row_id long, day_ts string, set string, features array<int>, click int, buy int")
+    recent = (F.col("set") == "train") & (F.col("day_ts") >= "20240105")
+    scopes = {"train": F.col("set") == "train", "recent": recent, "unified": F.lit(True)}
+    path, late = scratch("day-counts"), F.coalesce(F.col("day_ts") == "20240109", F.lit(False))
+    B.write_day_counts(enc.where(~late), ["click", "buy"], path, combinations=True)
+    B.write_day_counts(enc.where(late).limit(3), ["click", "buy"], path, combinations=True)
+    B.write_day_counts(enc.where(late), ["click", "buy"], path, combinations=True)        # the day again: it replaces itself
+    a = B.counts_of_days(spark, path, ["click", "buy"], scopes, True, 5)
+    b = B.fit_counts(enc, ["click", "buy"], tuple(scopes), True, 5, predicates={"recent": recent})
+    assert a.totals == b.totals and a.n_keys == b.n_keys > 10
+    cols = sorted(a.keys.columns)
+    assert cols == sorted(b.keys.columns)
+    assert sorted(map(tuple, a.keys.select(cols).collect())) == sorted(map(tuple, b.keys.select(cols).collect()))
+
+
+def test_sketch_leaves_out_rare_pairs_only(spark):
+    import random
+    rnd = random.Random(4)
+    rows = [(i, "train", sorted(rnd.sample(range(60), 6)) if i % 3 else [1, 2, 3], i % 2) for i in range(400)]
+    enc = spark.createDataFrame(rows, "row_id long, set string, features array<int>, click int")
+    whole = B.fit_counts(enc, ["click"], ("train",), True, 12, sketch=0).keys
+    for buckets in (7, 1 << 12):
+        assert sorted(map(tuple, B.fit_counts(enc, ["click"], ("train",), True, 12, sketch=buckets).keys.collect())) == sorted(map(tuple, whole.collect()))
+    pairs = enc.select(F.explode(B.key_array(F.col("features"), True)).alias("k")).select("k.i", "k.j")
+    kept = B.frequent_pairs(pairs, 12, 1 << 12)
+    # pairs that go through the shuffle, before and after: all frequent ones and hardly another
+    n, m = pairs.distinct().count(), kept.distinct().count()
+    assert whole.count() <= m < 0.2 * n
+
+
+def test_bayes_grid_scores_classes_where_rows_repeat(spark, monkeypatch):
+    from goalcast.operators.features import FeatureDictionary
+    from goalcast.plans import training as TR
+    from goalcast.plans.prepare import Prepared
+    rows = [(i, "train" if i % 4 else "test", [i % 3, 3 + i % 2], int(i * 7 % 10 < 3), int(i % 2)) for i in range(300)]
+    enc = spark.createDataFrame(rows, "row_id long, set string, features array<int>, click int, buy int")
+    prep = Prepared(enc, FeatureDictionary(names=None, entries=None, size=5, n_entries=5), ["click", "buy"])
+    assert TR.worth_classes(enc) and not TR.worth_classes(enc.limit(7))
+    seen = []
+    score = B.score_models
+    monkeypatch.setattr(B, "score_models", lambda rows, *a, **k: (seen.append(rows.count()), score(rows, *a, **k))[1])
+    a = TR.bayes_grid(prep, ["click", "buy"], [1, 20])[0]
+    monkeypatch.setattr(TR, "ROWS_A_CLASS", 1e9)
+    b = TR.bayes_grid(prep, ["click", "buy"], [1, 20])[0]
+    assert seen == [9, 300]
+    cols = sorted(a.columns)
+    norm = lambda t: sorted([tuple(round(v, 12) if isinstance(v, float) else v for v in r) for r in t.select(cols).collect()], key=str)
+    assert norm(a) == norm(b)
 
 
 def test_stratified_exact_counts(spark):
@@ -137,10 +208,10 @@ def test_stratified_exact_counts(spark):
 def test_proximal_solver_separates(spark, loss, penalty):
     from goalcast.operators import linear as LN
     rows = [(i, [0, 2] if i % 2 else [1, 2], i % 2) for i in range(60)]
-    df = spark.createDataFrame(rows, "row_id long, features array<int>, y int").cache()
-    w = LN.fit_proximal(df, 3, loss, penalty, 1e-4, iterations=40, step=1.0)
-    assert w[0] > 0 > w[1]
-    preds = {r.row_id: r.pred for r in LN.score_weights(df, w, loss, ["row_id"]).collect()}
+    df = spark.createDataFrame(rows, "row_id long, features array<int>, click int")
+    model = LN.fit_linear(df.withColumn("n", F.lit(1)), [("click", {"loss": loss, "penalty": penalty, "alpha": 1e-4})], 3, iterations=40, step=1.0)
+    assert model.weights[0, 0] > 0 > model.weights[1, 0]
+    preds = {r.row_id: r.pred for r in model.score(df, ["row_id"]).collect()}
     assert all(preds[i] == i % 2 for i in range(60))
 
 
@@ -153,11 +224,14 @@ def test_release_tables(spark):
     assert not os.path.exists(f"{base}/goalcast-tables")
 
 
-def test_fit_model_saves_proximal_weights(spark, scratch):
-    from goalcast.plans.training import fit_model
-    df = spark.createDataFrame([(i, [0, 2] if i % 2 else [1, 2], i % 2) for i in range(20)],
-                               "row_id long, features array<int>, y int").cache()
+def test_linear_models_are_saved_and_read_back(spark, scratch):
+    from goalcast.plans.training import fit_models, read_model
+    df = spark.createDataFrame([(i, [0, 2] if i % 2 else [1, 2], i % 2, 1) for i in range(20)] + [(20, [], 0, 1), (21, None, 1, 1)],
+                               "row_id long, features array<int>, click int, n int")
     path = scratch("model")
-    fit_model("sgd", {"loss": "modified_huber", "penalty": "l2", "alpha": 1e-4}, df, 3, path)
+    model = fit_models("sgd", df, df, [("click", {"loss": "modified_huber", "penalty": "l2", "alpha": 1e-4})], 3)
+    model.save(spark, 0, path)
     w = {r.i: r.w for r in spark.read.parquet(path).collect()}
     assert set(w) == {0, 1, 2} and w[0] > w[1]
+    a, b = ({r.row_id: (r.prob, r.pred, r.pos, r.neg) for r in m.score(df, ["row_id"]).collect()} for m in (model, read_model(spark, "sgd", path)))
+    assert a == b and a[20] == (0.5, 0, 0, 1) and a[21] == (0.5, 0, 1, 0)

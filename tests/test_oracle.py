@@ -46,7 +46,8 @@ def duck():
 def test_every_query_has_oracle_or_is_declared_rows_only():
     rows_only = {q for q in set(E.queries()) - set(E.oracle_sql()) if not q.startswith("op") and q != "pipeline"}
     assert rows_only <= {"lasso_fit", "svm_fit", "linear_custom_fit", "forest_fit", "gbt_fit",
-                         "tree_importance", "grid_search_gbt", "train_goal_lasso", "train_goal_rf"}
+                         "tree_importance", "grid_search_gbt", "grid_search_sgd", "grid_search_rf", "train_goal_lasso",
+                         "train_goal_rf", "train_goal_xgb"}
 
 
 @pytest.mark.parametrize("name", FAST)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from goalcast.constants import HYPER_PARAMETERS, KNOWN_LABELS
 from goalcast.operators import bayes as B
+from goalcast.operators import growth as G
 from goalcast.operators import labels as L
 from goalcast.operators import linear as LN
 from goalcast.operators import metrics as M
@@ -42,59 +43,183 @@ FAMILIES = [("lasso", {"loss": "log", "penalty": "l1", "alpha": 1e-4}), ("sgd",
             ("rf", {"ntree": 10, "fraction": 1.0, "min_target_node_size": 20}), ("xgb", {"max_depth": 2, "eta": 0.3})]
 
 
-@pytest.mark.parametrize("family,config", FAMILIES)
-def test_families_learn_through_the_grid(prep, family, config):
-    grid = TR.ml_grid(prep, family, "click", [config], threads=1).collect()
-    assert len(grid) == 1 and json.loads(grid[0]["params"]) == config
-    assert grid[0]["f1_test"] > 0.6
-    if family in ("rf", "xgb", "lasso"):
-        assert grid[0]["roc_auc_train"] > 0.75
-    else:
-        assert grid[0]["roc_auc_train"] is None
-
-
-def test_l1_optimality(prep):
-    """Log loss + l1: the gradient is within alpha of zero, and at alpha where a weight is not 0."""
-    vec = TR.family_vectors(prep, "lasso", "click").cache()
-    alpha = 0.05
-    w = LN.fit_logistic(vec, alpha, "l1", max_iter=500).coefficients.toArray()
-    rows = [(r["features"], r["y"]) for r in vec.collect()]
-    g = np.zeros(6)
-    for f, y in rows:
-        p = 1 / (1 + math.exp(-sum(w[i] for i in f)))
-        for i in f:
-            g[i] += (p - y) / len(rows)
-    assert np.all(np.abs(g) <= alpha + 1e-3)
-    assert np.allclose(g[w != 0], -alpha * np.sign(w[w != 0]), atol=1e-3)
-
-
-def test_proximal_solver_reports_convergence(prep):
-    train = prep.encoded.select("features", F.col("click").alias("y")).cache()
-    report = {}
-    w = LN.fit_proximal(train, 6, "modified_huber", "l2", 0.1, tolerance=1e-5, report=report)
-    assert report["converged"] and report["iterations"] < 300
-    rows = train.collect()
-    g = 0.1 * w.copy()
-    for r in rows:
-        y = 1 if r["y"] else -1
-        d = LN._dloss("modified_huber", np.array([y], float), np.array([sum(w[i] for i in r["features"])]))[0]
-        for i in r["features"]:
-            g[i] += d / len(rows)
-    assert np.abs(g).max() < 1e-3
+def click(prep):
+    return prep.encoded.select("row_id", "set", "features", "click")
+
+
+@pytest.mark.parametrize("family,configs", [("lasso", FAMILIES[:1]), ("sgd", FAMILIES[1:3]), ("rf", FAMILIES[3:4]), ("xgb", FAMILIES[4:])])
+def test_families_learn_through_the_grid(prep, family, configs):
+    configs = [c for _, c in configs]
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        grid = TR.ml_grid(prep, family, ["click"], configs).orderBy("config_id").collect()
+    assert [json.loads(r["params"]) for r in grid] == configs
+    for r, c in zip(grid, configs):
+        assert r["f1_test"] > 0.6 and (r["converged"] is None) == (family in ("rf", "xgb"))
+        assert (r["roc_auc_train"] or 0) > 0.75 if c.get("loss", "log") == "log" else r["roc_auc_train"] is None
+
+
+def dense(prep):
+    rows = click(prep).orderBy("row_id").collect()
+    x = np.zeros((len(rows), 6))
+    for i, r in enumerate(rows):
+        x[i, r["features"]] = 1
+    return x, np.array([r["click"] for r in rows]), np.array([r["set"] for r in rows])
+
+
+def single_fit(x, y, loss, penalty, alpha, iterations=300, step=0.5, tolerance=5e-3):
+    """The same steps for one configuration over plain rows."""
+    rho, smooth, n = LN.PENALTY_MIX[penalty], loss in LN.CURVATURE, len(x)
+    bound = (x * x.sum(axis=1, keepdims=True)).sum(axis=0) / n
+    w = ahead = np.zeros(x.shape[1])
+    momentum = 1.0
+    for t in range(1, iterations + 1):
+        sign = np.where(y == 1, 1.0, -1.0)
+        g = x.T @ LN._dloss(loss, sign, x @ ahead) / n + alpha * (1 - rho) * ahead
+        eta = 1 / (LN.CURVATURE[loss] * bound + alpha * (1 - rho)) if smooth else step / bound / np.sqrt(t)
+        new = ahead - eta * g
+        new = np.sign(new) * np.maximum(np.abs(new) - eta * alpha * rho, 0)
+        if np.abs(new - w).max() <= tolerance * max(np.abs(new).max(), 1e-12):
+            return new, t, True
+        if smooth:
+            if ((ahead - new) * bound) @ (new - w) > 0:
+                momentum = 1.0
+            later = (1 + np.sqrt(1 + 4 * momentum ** 2)) / 2
+            ahead, momentum = new + (momentum - 1) / later * (new - w), later
+        else:
+            ahead = new
+        w = new
+    return w, iterations, False
+
+
+def test_one_solver_equals_single_fits(prep, monkeypatch):
+    x, y, _ = dense(prep)
+    grid = [{"loss": a, "penalty": b, "alpha": c} for a in HYPER_PARAMETERS["SGD"]["loss"] for b in ("l2", "l1", "elasticnet") for c in (1e-4, 0.05)]
+    classes = TR.goal_classes(prep, ["click"])
+    monkeypatch.setattr(LN, "MATRIX_BYTES", 8 * 6 * 20)        # 20 columns at a time
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        got = LN.fit_linear(classes, [("click", c) for c in grid], 6, iterations=25)
+    for j, c in enumerate(grid):
+        w, steps, converged = single_fit(x, y, c["loss"], c["penalty"], c["alpha"], 25)
+        assert np.allclose(got.weights[:, j], w, atol=1e-9), c
+        assert (got.steps[j], got.converged[j]) == (steps, converged), c
+    assert got.converged.any() and not got.converged.all()
+
+
+def test_solver_reaches_the_optimum_and_says_so(prep):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+    x, y, _ = dense(prep)
+    jobs = [("click", {"loss": "log", "penalty": p, "alpha": a}) for p, a in (("l1", 0.05), ("l2", 0.1), ("elasticnet", 0.02))]
+    jobs.append(("click", {"loss": "modified_huber", "penalty": "l2", "alpha": 0.1}))
+    got = LN.fit_linear(TR.goal_classes(prep, ["click"]), jobs, 6, tolerance=1e-6)
+    assert got.converged.all() and (got.residual < 1e-4).all()
+    for j, (_, c) in enumerate(jobs):
+        w = got.weights[:, j]
+        g = x.T @ LN._dloss(c["loss"], np.where(y == 1, 1.0, -1.0), x @ w) / len(x)
+        l1, l2 = c["alpha"] * LN.PENALTY_MIX[c["penalty"]], c["alpha"] * (1 - LN.PENALTY_MIX[c["penalty"]])
+        assert np.allclose((g + l2 * w)[w != 0], -l1 * np.sign(w[w != 0]), atol=1e-4) and np.all(np.abs(g[w == 0]) <= l1 + 1e-4)
+    df = prep.encoded.sparkSession.createDataFrame([(float(b), Vectors.dense(a)) for a, b in zip(x.tolist(), y)], ["label", "features"])
+    lr = LogisticRegression(regParam=0.05, elasticNetParam=1.0, fitIntercept=False, standardization=False, maxIter=500, tol=1e-12).fit(df)
+    assert np.allclose(lr.coefficients.toArray(), got.weights[:, 0], atol=2e-3)
+
+
+def test_solver_warns_where_it_did_not_converge(prep):
     with warnings.catch_warnings(record=True) as seen:
         warnings.simplefilter("always")
-        LN.fit_proximal(train, 6, "hinge", "l1", 1e-4, iterations=2, report=report)
-    assert not report["converged"] and seen
+        got = LN.fit_linear(TR.goal_classes(prep, ["click"]), [("click", {"loss": "hinge", "penalty": "l1", "alpha": 1e-4})], 6, iterations=2)
+    assert not got.converged.any() and seen and np.isnan(got.residual).all()
+
+
+# ---------------------------------------------------------------- forests
+
+FOREST = [{"ntree": n, "fraction": f, "min_target_node_size": m} for n in (4, 7) for f in (1.0, 0.3) for m in (12, 30)]
+
+
+def replay_tree(rows, rates, width, seed, number, fraction, least):
+    """One tree grown on the driver by the stated rules: {path: (n, pos, feature)}."""
+    key = G.mix(G.mix(np.array([seed], dtype=np.uint64)) + np.uint64(number))
+    draw = G.uniform(G.mix(G.mix(np.array([r["row_id"] for r in rows]).view(np.uint64)) ^ key))
+    n = np.array([np.searchsorted(T.poisson_steps(rates[r["set"], "click", r["click"]] * fraction), d, side="right") for r, d in zip(rows, draw)])
+    y = np.array([r["click"] for r in rows])
+    x = np.zeros((len(rows), width), dtype=bool)
+    for i, r in enumerate(rows):
+        x[i, r["features"]] = True
+    limit, hashes, out = int(1 / np.sqrt(width) * 2 ** 64), G.feature_hashes(width), {}
+
+    def node(at, key, path):
+        a, b = int(n[at].sum()), int((n[at] * y[at]).sum())
+        best = (1e-9, None)
+        for f in range(width) if a >= least and 0 < b < a else ():
+            if int(G.mix(key ^ hashes[f:f + 1])[0]) > limit:
+                continue
+            left = at & x[:, f]
+            g = float(T._gini_gain(a, b, float(n[left].sum()), float((n[left] * y[left]).sum())))
+            if g > best[0]:
+                best = (g, f)
+        out[path] = (a, b, -1 if best[1] is None else best[1])
+        if best[1] is not None:
+            node(at & x[:, best[1]], G.mix(key * np.uint64(2) + np.uint64(1)), path + "1")
+            node(at & ~x[:, best[1]], G.mix(key * np.uint64(2) + np.uint64(2)), path + "0")
+    node(np.ones(len(rows), dtype=bool), key, "")
+    return out
+
+
+def paths(t):
+    """The same form from a node table, per tree."""
+    by = t.set_index("node")
+    trees = {}
+    for root in t[t["depth"] == 0].itertuples():
+        stack, out = [(root.node, "")], {}
+        while stack:
+            i, path = stack.pop()
+            r = by.loc[i]
+            out[path] = (int(r["n"]), int(r["pos"]), int(r["feature"]))
+            if r["feature"] >= 0:
+                stack += [(int(r["left"]), path + "1"), (int(r["left"]) + 1, path + "0")]
+        trees[root.tree] = out
+    return trees
+
+
+def test_forest_equals_trees_grown_alone(prep, spark, scratch):
+    rows = click(prep)
+    forests = T.fit_forests(rows, [("click", c) for c in FOREST], 6, seed=3)
+    plain, rates = rows.collect(), T.draw_rates(rows, ["click"])
+    for j, c in enumerate(FOREST):
+        got = paths(forests.table(j))
+        assert len(got) == c["ntree"]
+        for t in (0, c["ntree"] - 1):
+            assert got[t] == replay_tree(plain, rates, 6, 3, t, c["fraction"], c["min_target_node_size"]), (c, t)
+        assert all(n >= c["min_target_node_size"] for tree in got.values() for n, _, f in tree.values() if f >= 0)
+    # scores of a view are the mean share of its own leaves; a saved model scores alike
+    scores = {(r["row_id"], r["job"]): r["prob"] for r in forests.score(rows, ["row_id"]).collect()}
+    job = FOREST.index({"ntree": 7, "fraction": 0.3, "min_target_node_size": 30})
+    trees = paths(forests.table(job))
+    for r in plain[:25]:
+        leaf = []
+        for tree in trees.values():
+            p = ""
+            while tree[p][2] >= 0:
+                p += "1" if tree[p][2] in r["features"] else "0"
+            leaf.append(tree[p][1] / max(tree[p][0], 1))
+        assert scores[r["row_id"], job] == pytest.approx(np.mean(leaf), abs=1e-12)
+    path = scratch("forest")
+    forests.save(spark, job, path)
+    back = {r["row_id"]: r["prob"] for r in T.read_forest(spark, path).score(rows, ["row_id"]).collect()}
+    assert back == pytest.approx({i: p for (i, j), p in scores.items() if j == job}, abs=1e-12)
 
 
-def test_forest_never_splits_small_nodes(prep, scratch):
-    vec = TR.family_vectors(prep, "rf", "click")
-    assert {round(r[0], 5) for r in vec.select("weight").distinct().collect()} == {
-        round(r[0], 5) for r in L.case_weights(prep.encoded.withColumn("y", F.col("click"))).select("weight").distinct().collect()}
-    path = scratch("forest")
-    T.fit_forest(vec, 5, 1.0, 100).write().overwrite().save(path)
-    nodes = vec.sparkSession.read.parquet(f"{path}/data").select("nodeData.*")
-    assert nodes.where("leftChild >= 0").agg(F.min("rawCount")).first()[0] >= 100
+def test_rows_are_drawn_by_their_weights(prep):
+    rows = click(prep)
+    rates = T.draw_rates(rows, ["click"])
+    weights = {(r["set"], r["click"]): r["weight"] for r in L.case_weights(rows.withColumn("y", F.col("click"))).select("set", "click", "weight").distinct().collect()}
+    scale = {round(rates[s, "click", y] / w, 6) for (s, y), w in weights.items()}
+    assert len(scale) == 1 and abs(scale.pop() - 1) < 1e-3
+    steps = T.poisson_steps(1.7)
+    u = G.uniform(G.mix(np.arange(200_000, dtype=np.uint64)))
+    drawn = np.searchsorted(steps, u, side="right")
+    assert abs(drawn.mean() - 1.7) < 0.02 and abs(drawn.var() - 1.7) < 0.03
 
 
 def test_forest_run_writes_model_and_rates(prep, scratch, spark):
@@ -105,29 +230,101 @@ def test_forest_run_writes_model_and_rates(prep, scratch, spark):
     assert 0 < rates["true_positive"] <= 1
     lines = spark.read.text(f"{out}/keymap", wholetext=True).collect()[0][0].split("\n")
     assert lines[0] == "f0,f1,f2,f3,f4,f5" and lines[1] == "1,2,3,4,5,6"
+    # the model is that of both sets, with each row weighted in its own set
+    again = T.fit_forests(click(prep), [("click", FAMILIES[3][1])], 6)
+    assert paths(spark.read.parquet(f"{out}/click/model").toPandas()) == paths(again.table(0))
 
 
 def test_registered_forest_run_takes_the_whole_grid(prep, spark, monkeypatch):
     from goalcast.plans import catalog_ml as C
-    seen = {}
-
-    def run(p, family, goals, out, configs=None, **_):
-        seen.update(family=family, configs=configs)
-        spark.createDataFrame([("click",)], "Goal string").write.option("header", "true").csv(f"{out}/Parameters")
-    monkeypatch.setattr(C, "prepared", lambda *_: prep)
-    monkeypatch.setattr(C.TR, "train_ml", run)
-    C.q_train_goal_rf(spark, "")
     grid = HYPER_PARAMETERS["RF"]
-    want = {(n, f, m // C.FIXTURE_NODE_SCALE) for n in grid["ntree"] for f in grid["fraction"] for m in grid["min_target_node_size"]}
-    assert len(seen["configs"]) == len(want) == 12 and seen["family"] == "rf"
-    assert {(c["ntree"], c["fraction"], c["min_target_node_size"]) for c in seen["configs"]} == want
-
-
-def test_boosted_run_writes_importance(prep, scratch, spark):
+    configs = C.forest_configs(240)
+    assert {(c["ntree"], c["fraction"]) for c in configs} == {(n, f) for n in grid["ntree"] for f in grid["fraction"]} and len(configs) == 12
+    assert {c["min_target_node_size"] for c in C.forest_configs(10_000_000)} == set(grid["min_target_node_size"])
+    monkeypatch.setattr(C, "prepared", lambda *_: prep)
+    monkeypatch.setattr(C, "forest_configs", lambda n: [{**c, "ntree": c["ntree"] // 10, "min_target_node_size": 20} for c in configs])
+    rows = C.q_grid_search_rf(spark, "").collect()
+    assert len(rows) == 12 and {r["goal"] for r in rows} == {"click"} and sum(r["best"] for r in rows) <= 1
+
+
+# ---------------------------------------------------------------- boosted trees
+
+
+def replay_boosting(rows, width, depth, eta, rounds, seed=1):
+    """Boosting on the driver by the stated rules: margins, and [(tree, path, feature, gain, cover)]."""
+    x = np.zeros((len(rows), width), dtype=bool)
+    for i, r in enumerate(rows):
+        x[i, r["features"]] = True
+    y, ids = np.array([r["click"] for r in rows]), np.array([r["row_id"] for r in rows]).view(np.uint64)
+    margin, splits, hashes = np.zeros(len(rows)), [], G.feature_hashes(width)
+    for t in range(rounds):
+        key = G.mix(G.mix(np.array([seed], dtype=np.uint64)) + np.uint64(t))
+        order = np.argsort(G.mix(key ^ hashes))
+        columns = sorted(order[:max(1, int(0.8 * width))].tolist())
+        drawn = G.uniform(G.mix(G.mix(ids) ^ G.mix(key))) < 0.8
+        p = 1 / (1 + np.exp(-margin))
+        g = np.round((p - y) / T.STEP) * T.STEP
+        h = np.maximum(np.round(p * (1 - p) / T.STEP) * T.STEP, T.STEP)
+        add = np.zeros(len(rows))
+
+        def node(at, level, path):
+            live = at & drawn
+            a, b = h[live].sum(), g[live].sum()
+            best = (T.LEAST_BOOST_GAIN, None)
+            for f in columns if level < depth and a >= 2 else ():
+                gain = float(T._boost_gain(a, b, h[live & x[:, f]].sum(), g[live & x[:, f]].sum()))
+                if gain > best[0]:
+                    best = (gain, f)
+            if best[1] is None:
+                add[at] = -b / (a + 1.0) * eta
+                return
+            splits.append((t, path, best[1], best[0], a))
+            node(at & x[:, best[1]], level + 1, path + "1")
+            node(at & ~x[:, best[1]], level + 1, path + "0")
+        node(np.ones(len(rows), dtype=bool), 0, "")
+        margin += add
+    return margin, splits
+
+
+def test_boosting_equals_brute_force(prep, spark, scratch, monkeypatch):
+    monkeypatch.setattr(T, "MARGIN_ROUNDS", 3)
+    rows = click(prep)
+    plain = rows.collect()
+    jobs = [("click", {"max_depth": d, "eta": e}) for d, e in ((2, 0.3), (4, 0.1))]
+    model = T.fit_boosted(rows, jobs, 6, rounds=7)
+    scores = {(r["row_id"], r["job"]): r["prob"] for r in model.score(rows, ["row_id"]).collect()}
+    names = spark.createDataFrame([(i, f"f{i}") for i in range(6)], "idx int, name string")
+    for job, (_, c) in enumerate(jobs):
+        margin, splits = replay_boosting(plain, 6, c["max_depth"], c["eta"], 7)
+        want = {r["row_id"]: 1 / (1 + math.exp(-m)) for r, m in zip(plain, margin)}
+        assert {i: p for (i, j), p in scores.items() if j == job} == pytest.approx(want, abs=1e-9)
+        path = scratch("boosted")
+        model.save(spark, job, path)
+        assert {r["row_id"]: r["prob"] for r in T.read_boosted(spark, path).score(rows, ["row_id"]).collect()} == pytest.approx(want, abs=1e-9)
+        # importance: splits, mean gain and mean hessian per feature; one column sample a tree
+        imp = {r["name"]: (r["weight"], r["gain"], r["cover"]) for r in T.importance(spark, path, names, 6).collect()}
+        by = {f: [s for s in splits if s[2] == f] for f in {s[2] for s in splits}}
+        assert set(imp) == {f"f{f}" for f in by}
+        for f, s in by.items():
+            assert imp[f"f{f}"] == pytest.approx((len(s), np.mean([v[3] for v in s]), np.mean([v[4] for v in s])), rel=1e-9)
+        for t in range(7):
+            assert len({s[2] for s in splits if s[0] == t}) <= int(0.8 * 6)
+
+
+def test_boosted_run_writes_importance(prep, scratch, spark, monkeypatch):
+    monkeypatch.setattr(T.fit_boosted, "__defaults__", (6, 1, 0.8, 0.8))
     out = scratch("xgb-run")
     TR.train_ml(prep, "xgb", ["click"], out, configs=[FAMILIES[4][1]])
     weights = dict(r[0].split("$$") for r in spark.read.text(f"{out}/click/importance_weight").collect())
-    assert set(weights) <= {f"f{i}" for i in range(6)} and "f0" in weights or "f1" in weights
+    assert set(weights) <= {f"f{i}" for i in range(6)} and ("f0" in weights or "f1" in weights)
+
+
+def test_classes_weigh_like_rows(prep):
+    classes = TR.goal_classes(prep, ["click"])
+    assert classes.agg(F.sum("n")).first()[0] == 240 and classes.count() < 60
+    model = T.fit_forests(click(prep), [("click", FAMILIES[3][1])], 6)
+    by_row, by_class = (M.evaluate_sets(model.score(x, ["set"]), ["job"]).collect()[0] for x in (click(prep), classes))
+    assert by_row.asDict() == pytest.approx(by_class.asDict(), abs=1e-12)
 
 
 def test_run_from_sparse_log_equals_run_in_memory(prep, scratch, spark):
