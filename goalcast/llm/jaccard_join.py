@@ -29,8 +29,8 @@ from goalcast.llm.shingles import class_id, full_sets, shingle_sets
 from goalcast.session import cut_lineage, read_table
 
 U64 = np.uint64
-#: Longest l considered, classes in a chunk of a family, salts of a hash bucket.
-LONGEST, CHUNK, SALTS = 4, 256, 4
+#: Longest l considered, classes in a chunk of a family.
+LONGEST, CHUNK = 4, 256
 #: Rows of ids broadcast at most (about 110 bytes each once hashed); more go through a shuffle join.
 ID_LIMIT = 500_000
 
@@ -102,7 +102,7 @@ def _send_counts(buckets: int) -> Callable:
 
 
 def _sum_counts(table: pa.Table) -> pa.Table:
-    """Tokens of one bucket that occur twice or more, with their frequency."""
+    """Tokens of one bucket that occur twice or more, with their frequency; and all entries it gets."""
     low, cnt = packed.joined(table["low"], np.uint32), packed.joined(table["cnt"], np.uint32)
     order = np.argsort(low, kind="stable")
     low, cnt = low[order], cnt[order].astype(np.int64)
@@ -111,10 +111,10 @@ def _sum_counts(table: pa.Table) -> pa.Table:
     keep = df > 1
     return pa.table({"bucket": pa.array([table["bucket"][0].as_py()], pa.int32()),
                      "low": pa.array([low[first][keep].tobytes()], pa.binary()),
-                     "df": pa.array([df[keep].tobytes()], pa.binary())})
+                     "df": pa.array([df[keep].tobytes()], pa.binary()), "total": pa.array([int(df.sum())], pa.int64())})
 
 
-def _send_entries(buckets: int) -> Callable:
+def _send_entries(buckets: int, salts: np.ndarray) -> Callable:
     schema = pa.schema([("bucket", pa.int32()), ("salt", pa.int32()), ("low", pa.binary()), ("rid", pa.binary())])
 
     def run(batches):
@@ -122,7 +122,7 @@ def _send_entries(buckets: int) -> Callable:
         for tokens, rid, zone in _blocks(batches):
             salt += 1
             ref = (rid << 1) | zone                          # the zone flag rides in the lowest bit
-            rows = [(b, salt % SALTS, packed.low32(k), r.tobytes())
+            rows = [(b, salt % int(salts[b]), packed.low32(k), r.tobytes())
                     for b, k, r in packed.split_by_bucket(tokens, buckets, ref)]
             yield packed.rows(schema, rows)
     return run
@@ -189,7 +189,6 @@ def _components(docs: DataFrame, k: int, num: int, den: int, id_limit: int) -> t
     packed.small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("th", F.xxhash64("text"))
-    buckets = packed.bucket_count(spark)
     # the zone holds twice the tokens that a 1-prefix takes on average: with fewer to choose from,
     # tokens of common passages enter the prefixes and families grow
     zone = min(2 ** 64 - 1, 2 ** 64 * 2 * (den - num) // den)
@@ -198,10 +197,13 @@ def _components(docs: DataFrame, k: int, num: int, den: int, id_limit: int) -> t
                           .agg(F.min("rid").alias("rid"), F.expr(_FIRST).alias("least")), "jaccard-classes")
 
     cols = sets.select("rid", "s", "cid", "pool")
+    size = sets.agg(F.sum(F.octet_length("pool") / 8)).collect()[0][0]        # one row
+    buckets = packed.bucket_count(spark, int(size or 0))
     freq = cut_lineage(cols.mapInArrow(packed.lean(_send_counts(buckets)), "bucket int, low binary, cnt binary")
-                       .groupBy("bucket").applyInArrow(_sum_counts, "bucket int, low binary, df binary"), "jaccard-freq")
-    entries = cols.mapInArrow(packed.lean(_send_entries(buckets)), "bucket int, salt int, low binary, rid binary")
-    salted = freq.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+                       .groupBy("bucket").applyInArrow(_sum_counts, "bucket int, low binary, df binary, total long"), "jaccard-freq")
+    salts = packed.bucket_salts(freq, buckets)
+    entries = cols.mapInArrow(packed.lean(_send_entries(buckets, salts)), "bucket int, salt int, low binary, rid binary")
+    salted = freq.withColumn("salt", F.explode(F.expr(f"sequence(0, {packed.salts_of('total')} - 1)"))).drop("total")
     found = (entries.groupBy("bucket", "salt").cogroup(salted.groupBy("bucket", "salt"))
              .applyInArrow(_look_up, "rid long, zone boolean, df long, token long"))
     prefixes = cut_lineage(_prefixes(found, sets, classes, num, den), "jaccard-prefixes")
@@ -213,7 +215,7 @@ def _components(docs: DataFrame, k: int, num: int, den: int, id_limit: int) -> t
     wanted = cut_lineage(sets.where("cid is not null").join(member.select("rid").distinct(), "rid").select("rid", "doc_id", "cid"),
                          "jaccard-wanted")
     full = full_sets(docs, wanted, k, id_limit, "jaccard-full")
-    roots, _ = family_components(member, lambda rows: rows.join(prefixes, "rid").join(full, "rid"), _verify(num, den), CHUNK, "jaccard")
+    roots = family_components(member, lambda rows: rows.join(prefixes, "rid").join(full, "rid"), _verify(num, den), CHUNK, "jaccard")
 
     joined = roots.withColumnRenamed("node", "rid").join(classes, "rid")
     least = joined.groupBy("root").agg(F.min("least").alias("component"))
@@ -226,7 +228,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
                        id_limit: int = ID_LIMIT) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs`` (columns doc_id, text;
     others are ignored): words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, sets of distinct
-    ``k``-word shingles, links at Jaccard >= ``num / den``, exact up to 64-bit hash collisions.
+    ``k``-word shingles, links at Jaccard >= ``num / den``; exact up to collisions of 64-bit shingle
+    hashes and, among the prefix tokens of one text, of bucket bits and 32 more (41 at least, more
+    with more tokens; two of its tokens on one key could hide a link).
 
     Defined cases: a null or wordless text has 0 shingles and links with nothing (its component
     is its own doc_id); a text of fewer than ``k`` words is one shingle; repeated doc_ids are

@@ -1,8 +1,10 @@
 """Packed exchange of 64-bit hashes: tasks send byte blocks per hash bucket instead of one row
 per hash, so a shuffle of hundreds of millions of hashes costs a few bytes each and no JVM row.
 
-``key = bucket bits + low 32 bits`` of the hash: ``buckets`` is a power of two that follows
-``spark.sql.shuffle.partitions``, so blocks stay bounded when the cluster is sized to its input.
+``key = bucket bits + low 32 bits`` of the hash (for 64-bit values the bits of the bucket come
+from the upper half). The number of buckets follows the number of hashes, so a bucket of evenly
+spread hashes holds about ``ENTRIES``; a bucket with more, because of a hash that very many rows
+share, is dealt out over as many salts as its counted hashes ask for.
 """
 
 from __future__ import annotations
@@ -13,7 +15,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 U64 = np.uint64
 LOW = U64(0xFFFFFFFF)
@@ -21,9 +24,26 @@ LOW = U64(0xFFFFFFFF)
 BLOCK = 1 << 19
 
 
-def bucket_count(spark: SparkSession) -> int:
-    """Power of two, at least four per shuffle partition."""
-    return 1 << (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+#: Hashes of a group, about.
+ENTRIES = 1 << 20
+
+
+def bucket_count(spark: SparkSession, hashes: int = 0) -> int:
+    """Power of two, at least four per shuffle partition and one per ``ENTRIES`` hashes."""
+    return 1 << (max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-hashes // ENTRIES)) - 1).bit_length()
+
+
+def salts_of(total: str) -> str:
+    """SQL: salts of a bucket that holds ``total`` hashes."""
+    return f"greatest(1, int(ceil({total} / {ENTRIES})))"
+
+
+def bucket_salts(totals: DataFrame, buckets: int) -> np.ndarray:
+    """Salts of every bucket from ``(bucket, total)``: one number a bucket to the driver."""
+    out = np.ones(buckets, dtype=np.int64)
+    many = totals.select("bucket", F.expr(salts_of("total")).alias("n")).where("n > 1").toArrow()
+    out[many["bucket"].to_numpy()] = many["n"].to_numpy()
+    return out
 
 
 def split_by_bucket(keys: np.ndarray, buckets: int, *more: np.ndarray) -> Iterator[tuple]:

@@ -31,7 +31,6 @@ from goalcast.llm.words import SPACED, gram_hashes, hashed_words, mix64
 from goalcast.session import cut_lineage, read_table
 
 U64 = np.uint64
-SALTS = 4
 ID_LIMIT = 500_000
 _B = 0xB5297A4D3F84D5B5
 _BASE, _INVERSE = U64(_B), U64(pow(_B, -1, 1 << 64))
@@ -143,7 +142,7 @@ def _gathered(batches: Iterator[pa.RecordBatch], columns: dict) -> Iterator[dict
         yield flush()
 
 
-_SEEN = "bucket int, low binary, unit binary, doc binary"
+_SEEN = "bucket int, low binary, unit binary, doc binary, n long"
 
 
 def _extremes(keys: list[np.ndarray], doc: np.ndarray):
@@ -160,14 +159,15 @@ def _extremes(keys: list[np.ndarray], doc: np.ndarray):
 
 
 def _send_units(buckets: int) -> Callable:
-    schema = pa.schema([("bucket", pa.int32()), ("low", pa.binary()), ("unit", pa.binary()), ("doc", pa.binary())])
+    schema = pa.schema([("bucket", pa.int32()), ("low", pa.binary()), ("unit", pa.binary()), ("doc", pa.binary()), ("n", pa.int64())])
 
     def run(batches):
         for x in _gathered(batches, {"anchor": U64, "unit": U64}):
+            sizes = {b: len(k) for b, k in packed.split_by_bucket(x["anchor"], buckets)}
             (unit, anchor), least, most = _extremes([x["unit"], x["anchor"]], x["doc_id"])
             more = most > least                                # a second row tells that several documents hold it
             anchor, unit, doc = (np.concatenate(p) for p in ((anchor, anchor[more]), (unit, unit[more]), (least, most[more])))
-            yield packed.rows(schema, [(b, packed.low32(k), u.tobytes(), d.tobytes())
+            yield packed.rows(schema, [(b, packed.low32(k), u.tobytes(), d.tobytes(), sizes[b])
                                        for b, k, u, d in packed.split_by_bucket(anchor, buckets, unit, doc)])
     return run
 
@@ -182,17 +182,18 @@ def _first_holders(table: pa.Table) -> pa.Table:
     mixed = np.repeat(sizes > 1, sizes)
     return pa.table({"bucket": pa.array([table["bucket"][0].as_py()], pa.int32()),
                      **{c: pa.array([v[shared].tobytes()], pa.binary())
-                        for c, v in (("low", low), ("unit", unit), ("doc", least), ("mixed", mixed))}})
+                        for c, v in (("low", low), ("unit", unit), ("doc", least), ("mixed", mixed))},
+                     "total": pa.array([sum(table["n"].to_pylist())], pa.int64())})
 
 
-def _send_occurrences(buckets: int) -> Callable:
+def _send_occurrences(buckets: int, salts: np.ndarray) -> Callable:
     schema = pa.schema([("bucket", pa.int32()), ("salt", pa.int32()), *[(c, pa.binary()) for c in ("low", "unit", "rid", "doc", "lo", "hi")]])
 
     def run(batches):
         salt = TaskContext.get().partitionId()
         for x in _gathered(batches, {"anchor": U64, "unit": U64, "lo": np.uint32, "hi": np.uint32}):
             salt += 1
-            yield packed.rows(schema, [(b, salt % SALTS, packed.low32(k), *[v.tobytes() for v in more])
+            yield packed.rows(schema, [(b, salt % int(salts[b]), packed.low32(k), *[v.tobytes() for v in more])
                                        for b, k, *more in packed.split_by_bucket(
                                            x["anchor"], buckets, x["unit"], x["rid"], x["doc_id"], x["lo"], x["hi"])])
     return run
@@ -239,14 +240,15 @@ def _windows(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[tuple]:
 
 
 def _send_windows(buckets: int, span: int) -> Callable:
-    schema = pa.schema([("bucket", pa.int32()), ("unit", pa.binary()), ("doc", pa.binary())])
+    schema = pa.schema([("bucket", pa.int32()), ("unit", pa.binary()), ("doc", pa.binary()), ("n", pa.int64())])
 
     def run(batches):
         for key, _, doc, _ in _windows(batches, span):
+            sizes = {b: len(k) for b, k in packed.split_by_bucket(key, buckets)}
             (key,), least, most = _extremes([key], doc)
             more = most > least
             key, doc = np.concatenate((key, key[more])), np.concatenate((least, most[more]))
-            yield packed.rows(schema, [(b, k.tobytes(), d.tobytes()) for b, k, d in packed.split_by_bucket(key, buckets, doc)])
+            yield packed.rows(schema, [(b, k.tobytes(), d.tobytes(), sizes[b]) for b, k, d in packed.split_by_bucket(key, buckets, doc)])
     return run
 
 
@@ -255,17 +257,18 @@ def _first_windows(table: pa.Table) -> pa.Table:
     (key,), least, most = _extremes([key], doc)
     keep = most > least
     return pa.table({"bucket": pa.array([table["bucket"][0].as_py()], pa.int32()),
-                     "unit": pa.array([key[keep].tobytes()], pa.binary()), "doc": pa.array([least[keep].tobytes()], pa.binary())})
+                     "unit": pa.array([key[keep].tobytes()], pa.binary()), "doc": pa.array([least[keep].tobytes()], pa.binary()),
+                     "total": pa.array([sum(table["n"].to_pylist())], pa.int64())})
 
 
-def _send_starts(buckets: int, span: int) -> Callable:
+def _send_starts(buckets: int, span: int, salts: np.ndarray) -> Callable:
     schema = pa.schema([("bucket", pa.int32()), ("salt", pa.int32()), *[(c, pa.binary()) for c in ("unit", "rid", "doc", "lo")]])
 
     def run(batches):
         salt = TaskContext.get().partitionId()
         for key, rid, doc, start in _windows(batches, span):
             salt += 1
-            yield packed.rows(schema, [(b, salt % SALTS, k.tobytes(), *[v.tobytes() for v in more])
+            yield packed.rows(schema, [(b, salt % int(salts[b]), k.tobytes(), *[v.tobytes() for v in more])
                                        for b, k, *more in packed.split_by_bucket(key, buckets, rid, doc, start.astype(np.uint32))])
     return run
 
@@ -309,16 +312,17 @@ def find_repeats(docs: DataFrame, span: int = 50, seed: int = 20, id_limit: int
     packed.small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("th", F.xxhash64("text"))
-    buckets = packed.bucket_count(spark)
     units = cut_lineage(docs.select("doc_id", "th", "text").mapInArrow(packed.lean(_unit_rows(span, seed)), _UNITS), "repeat-units")
+    size = units.agg(F.sum(F.octet_length("unit") / 8)).collect()[0][0]       # one row
+    buckets = packed.bucket_count(spark, int(size or 0))
     known = cut_lineage(units.select("rid", "doc_id", "anchor", "unit").mapInArrow(packed.lean(_send_units(buckets)), _SEEN)
-                        .groupBy("bucket").applyInArrow(_first_holders, "bucket int, low binary, unit binary, doc binary, mixed binary"),
+                        .groupBy("bucket").applyInArrow(_first_holders, "bucket int, low binary, unit binary, doc binary, mixed binary, total long"),
                         "repeat-holders")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salt = F.explode(F.expr(f"sequence(0, {packed.salts_of('total')} - 1)"))
     found = cut_lineage(
         units.select("rid", "doc_id", "anchor", "unit", "lo", "hi")
-        .mapInArrow(packed.lean(_send_occurrences(buckets)), "bucket int, salt int, low binary, unit binary, rid binary, doc binary, lo binary, hi binary")
-        .groupBy("bucket", "salt").cogroup(known.withColumn("salt", salts).groupBy("bucket", "salt"))
+        .mapInArrow(packed.lean(_send_occurrences(buckets, packed.bucket_salts(known, buckets))), "bucket int, salt int, low binary, unit binary, rid binary, doc binary, lo binary, hi binary")
+        .groupBy("bucket", "salt").cogroup(known.withColumn("salt", salt).drop("total").groupBy("bucket", "salt"))
         .applyInArrow(_judge_units, "rid long, lo int, hi int, whole boolean"), "repeat-found")
 
     # texts of the documents with such ranges; equal rows need one of them
@@ -332,10 +336,12 @@ def find_repeats(docs: DataFrame, span: int = 50, seed: int = 20, id_limit: int
 
     part = found.where("not whole").groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     compare = texts.join(part, "rid")
-    first = cut_lineage(compare.mapInArrow(packed.lean(_send_windows(buckets, span)), "bucket int, unit binary, doc binary")
-                        .groupBy("bucket").applyInArrow(_first_windows, "bucket int, unit binary, doc binary"), "repeat-windows")
-    single = (compare.mapInArrow(packed.lean(_send_starts(buckets, span)), "bucket int, salt int, unit binary, rid binary, doc binary, lo binary")
-              .groupBy("bucket", "salt").cogroup(first.withColumn("salt", salts).groupBy("bucket", "salt"))
+    size = found.where("not whole").agg(F.sum(F.col("hi") - F.col("lo") + 1)).collect()[0][0]   # one row
+    buckets = packed.bucket_count(spark, int(size or 0))
+    first = cut_lineage(compare.mapInArrow(packed.lean(_send_windows(buckets, span)), "bucket int, unit binary, doc binary, n long")
+                        .groupBy("bucket").applyInArrow(_first_windows, "bucket int, unit binary, doc binary, total long"), "repeat-windows")
+    single = (compare.mapInArrow(packed.lean(_send_starts(buckets, span, packed.bucket_salts(first, buckets))), "bucket int, salt int, unit binary, rid binary, doc binary, lo binary")
+              .groupBy("bucket", "salt").cogroup(first.withColumn("salt", salt).drop("total").groupBy("bucket", "salt"))
               .applyInArrow(_judge_windows, "rid long, lo int, hi int"))
     gone = (found.where("whole").select("rid", "lo", "hi").unionByName(single)
             .groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")))

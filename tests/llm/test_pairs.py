@@ -129,3 +129,29 @@ def test_without_broadcasts(table, corpus):
     assert a == b
     a, b = (sorted(map(tuple, find_repeats(docs, id_limit=n)[1].collect())) for n in (0, 10 ** 6))
     assert a == b and a
+
+
+def test_groups_of_a_token_or_passage_that_very_many_rows_share_are_bounded(table, corpus, monkeypatch):
+    """A third of the rows share one passage; groups follow the counts, results stay."""
+    from goalcast.llm import packed, substring_dedup
+    passage = " ".join(f"shared{i}" for i in range(60))
+    rows = [(d, t) for d, t in corpus if len(t or "") < 4000][:60]
+    rows += [(10_000 + i, f"own{i} " * 3 + passage) for i in range(60)]
+    monkeypatch.setattr(packed, "ENTRIES", 24)
+    monkeypatch.setattr(packed, "BLOCK", 64)
+
+    def watched(kind, judge, column):
+        def run(here, known):
+            if here.num_rows:
+                size = sum(len(x) for x in here[column].to_pylist()) // 8
+                if size > 24 * 4 + 64:
+                    raise ValueError(f"{kind}: {size} entries in a group")
+            return judge(here, known)
+        return run
+    monkeypatch.setattr(jaccard_join, "_look_up", watched("sets", jaccard_join._look_up, "rid"))
+    monkeypatch.setattr(substring_dedup, "_judge_units", watched("units", substring_dedup._judge_units, "rid"))
+    monkeypatch.setattr(substring_dedup, "_judge_windows", watched("windows", substring_dedup._judge_windows, "rid"))
+    got = [tuple(r) for r in jaccard_components(table(rows), 3, 9, 10).collect()]
+    assert sorted(got, key=key) == sorted(brute_components(rows, 3, 9, 10)[0], key=key)
+    got = [tuple(r) for r in repeat_digest(table(rows), 50, 20).collect()]
+    assert sorted(got, key=key) == sorted([w[:4] for w in brute_repeats(rows, 50)], key=key)
