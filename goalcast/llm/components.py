@@ -29,3 +29,20 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         if not changed:
             return labels
     raise RuntimeError("connected components did not settle")
+
+
+def joined_components(roots: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """``(node, root)`` of the components ``roots`` with more ``edges`` (a, b): only edges between
+    different components count, and they are followed from root to root."""
+    if roots is None:
+        return connected_components(edges)
+    for end in ("a", "b"):
+        edges = (edges.join(roots.select(F.col("node").alias(end), F.col("root").alias("_r")), end, "left")
+                 .withColumn(end, F.coalesce("_r", end)).drop("_r"))
+    edges = cut_lineage(edges.where("a != b").distinct(), "cc-contracted")
+    if not edges.limit(1).count():
+        return roots
+    sub = connected_components(edges)
+    moved = roots.join(sub.select(F.col("node").alias("root"), F.col("root").alias("_r")), "root", "left") \
+                 .select("node", F.coalesce("_r", "root").alias("root"))
+    return cut_lineage(moved.unionByName(sub.join(roots.select("node"), "node", "left_anti").select("node", "root")), "cc-joined")

@@ -12,18 +12,17 @@ meets everything that is left, in pairs of chunks, so the result is exact for an
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goalcast.llm.components import connected_components
+from goalcast.llm.components import joined_components
 from goalcast.session import cut_lineage
 
-#: Rounds of one pivot chunk a family before all that is left is dealt.
-PIVOT_ROUNDS = 4
+#: Rounds of one more pivot chunk a family before all that is left is dealt.
+PIVOT_ROUNDS = 1
 #: Rows of the table of large families that is broadcast at most.
 SIDE_ROWS = 500_000
 EDGES = "a long, b long"
@@ -108,11 +107,12 @@ def _side(df: DataFrame) -> DataFrame:
 
 
 def family_components(member: DataFrame, payload: Callable[[DataFrame], DataFrame], check: Callable, chunk: int,
-                      name: str, edges: list[DataFrame] | None = None) -> tuple[DataFrame, list[DataFrame]]:
+                      name: str, roots: DataFrame | None = None, first_only: bool = False) -> DataFrame:
     """``(node, root)`` of the components of all links inside the families of ``member``
-    (leader, rid; distinct longs) and the links in ``edges``, and all links found so far. ``payload``
-    adds to rows with a ``rid`` what ``check`` reads; rows that it does not know leave. Rows
-    without a link are absent."""
+    (leader, rid; distinct longs), on top of the components ``roots`` known before, whose members
+    are not compared with one another. ``payload`` adds to rows with a ``rid`` what ``check``
+    reads; rows that it does not know leave. Rows without a link are absent. With ``first_only``
+    large families meet their first pivots only (to be completed by a later call)."""
     def run(dealt: DataFrame, step: int) -> DataFrame:
         blocks = payload(dealt.select("leader", "rid", "label", "ci", "cj", "side"))
         return cut_lineage(blocks.groupBy("leader", "ci", "cj").applyInArrow(compare(check), EDGES), f"{name}-edges-{step}")
@@ -121,25 +121,22 @@ def family_components(member: DataFrame, payload: Callable[[DataFrame], DataFram
         return rows.join(roots.select(F.col("node").alias("rid"), "root"), "rid", "left") \
                    .withColumn("label", F.coalesce("root", "rid")).drop("root")
 
-    edges = list(edges or [])
     sizes = cut_lineage(member.groupBy("leader").agg(F.ceil(F.count("rid") / chunk).cast("int").alias("chunks"))
                         .where("chunks > 1"), f"{name}-large")
     chunks = F.coalesce("chunks", F.lit(1))
     member = (member.join(_side(sizes), "leader", "left").withColumn("chunks", chunks)
               .withColumn("c", F.expr("pmod(xxhash64(rid), chunks)").cast("int")))
-    member = cut_lineage(labelled(member, connected_components(reduce(DataFrame.union, edges))) if edges
-                         else member.withColumn("label", F.col("rid")), f"{name}-families")
+    member = cut_lineage(labelled(member, roots) if roots is not None else member.withColumn("label", F.col("rid")), f"{name}-families")
     # chunk 0 meets every chunk; a family of one chunk meets itself
     dealt = (member.withColumn("cj", F.explode(F.expr("if(c = 0, sequence(0, chunks - 1), array(c))")))
              .withColumn("ci", F.lit(0)).withColumn("side", F.when(F.col("c") == 0, 0).otherwise(1)))
-    edges.append(run(dealt, 0))
+    roots = joined_components(roots, run(dealt, 0))
     rest = member.where("c > 0").select("leader", "rid")
-    roots = connected_components(reduce(DataFrame.union, edges))
     step = 0
     while True:
         step += 1
-        if not rest.limit(1).count():
-            return roots, edges
+        if first_only or not rest.limit(1).count():
+            return roots
         known = labelled(rest, roots)
         parts = known.groupBy("leader", "label").agg(F.count("rid").alias("cnt"))
         open_ = (parts.groupBy("leader").agg(F.max(F.struct("cnt", "label")).alias("top"), F.sum("cnt").alias("total"))
@@ -154,7 +151,7 @@ def family_components(member: DataFrame, payload: Callable[[DataFrame], DataFram
                            .withColumn("c", F.expr(f"if(outside, pmod(xxhash64(rid, {step}), oc), pmod(xxhash64(rid), gc))").cast("int")),
                            f"{name}-rest")
         if not rest.limit(1).count():
-            return roots, edges
+            return roots
         if step <= PIVOT_ROUNDS:
             pivot = "outside and c = 0"
             dealt = (rest.withColumn("cj", F.explode(F.expr(f"if({pivot}, sequence(0, mc), array(int(1 + pmod(xxhash64(rid), mc))))")))
@@ -167,5 +164,4 @@ def family_components(member: DataFrame, payload: Callable[[DataFrame], DataFram
                      .withColumn("cj", F.expr("if(outside, if(o < oc, greatest(c, o), o), oc + c)"))
                      .withColumn("side", F.expr("if(outside and (c <= o or o >= oc), 0, 1)")))
             rest = rest.where("false").select("leader", "rid")
-        edges.append(run(dealt, step))
-        roots = connected_components(reduce(DataFrame.union, edges))
+        roots = joined_components(roots, run(dealt, step))

@@ -10,8 +10,8 @@ probability of the Jaccard similarity, with the concentration of ``t`` independe
 Sets that agree in all ``rows`` coordinates of one of the bands are compared on their full sets.
 At similarity ``j`` a pair is missed with probability ``(1 - j ** rows) ** bands``: with 32 bands
 of 5 rows below 1e-8 at 0.85 and 4e-6 at 0.8, for a pair that no chain of other links joins. Texts
-of one class (equal sets) are never compared. The first bands come first: they find nearly all
-links, and of the other bands only those whose sets are not all in one component yet are left.
+of one class (equal sets) are never compared. A few bands come first: they find nearly all links
+at little cost, and of all bands only those whose sets are not in one component yet are left.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from goalcast.session import cut_lineage, read_table
 U64 = np.uint64
 #: Classes compared in one block of a family, rows of ids broadcast at most, shingles sketched at a time.
 CHUNK, ID_LIMIT, SLICE = 256, 500_000, 1 << 18
-#: Bands whose links are found before the others'.
+#: Bands that are looked at before all are.
 FIRST_BANDS = 6
 _EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 
@@ -119,14 +119,14 @@ def _components(docs: DataFrame, k: int, num: int, den: int, bands: int, rows: i
         F.min("rid").alias("rid"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "rid")).alias("least")),
         "sketch-classes")
 
-    full, roots, edges = None, None, []
+    full = roots = None
     reps = sets.join(classes.select("rid"), "rid", "left_semi").select("rid", "doc_id", "cid", "bands")
-    for step, (lo, n) in enumerate(((1, FIRST_BANDS), (1 + FIRST_BANDS, bands - FIRST_BANDS))):
+    for n in (min(FIRST_BANDS, bands), bands):
         # one row per class and band; bands whose classes are one, or one component, leave
         own = reps.withColumn("label", F.col("rid"))
         if roots is not None:
             own = reps.join(roots.select(F.col("node").alias("rid"), "root"), "rid", "left").withColumn("label", F.coalesce("root", "rid"))
-        entry = own.select("rid", "label", F.explode(F.slice("bands", lo, n)).alias("band"))
+        entry = own.select("rid", "label", F.explode(F.slice("bands", 1, n)).alias("band"))
         shared = entry.groupBy("band").agg(F.min("rid").alias("leader"), F.min("label").alias("l"), F.max("label").alias("m")).where("l < m")
         shared = cut_lineage(shared.select("band", "leader"), "sketch-bands")
         side = F.broadcast(shared) if shared.count() <= id_limit else shared         # at most id_limit rows
@@ -136,7 +136,7 @@ def _components(docs: DataFrame, k: int, num: int, den: int, bands: int, rows: i
             wanted = wanted.join(full.select("rid"), "rid", "left_anti")
         more = full_sets(docs, wanted, k, id_limit, "sketch-full")
         full = more if full is None else full.unionByName(more)
-        roots, edges = family_components(member, lambda x: x.join(full, "rid"), _verify(num, den), CHUNK, "sketch", edges)
+        roots = family_components(member, lambda x: x.join(full, "rid"), _verify(num, den), CHUNK, "sketch", roots, first_only=n < bands)
 
     joined = roots.withColumnRenamed("node", "rid").join(classes, "rid")
     least = joined.groupBy("root").agg(F.min("least").alias("component"))

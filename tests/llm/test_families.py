@@ -36,7 +36,7 @@ def components(spark, groups, link, chunk):
     def check(table, a, b, cand):
         rid = table["rid"].to_numpy()
         return cand & np.array([[link(int(rid[i]), int(rid[j])) for j in b] for i in a], dtype=bool).reshape(len(a), len(b))
-    out, _ = FA.family_components(df, payload, check, chunk, "test-families")
+    out = FA.family_components(df, payload, check, chunk, "test-families")
     return {r["node"]: r["root"] for r in out.collect()}, dealt
 
 
@@ -74,12 +74,23 @@ def test_no_families(spark):
 
 def test_links_known_before_are_not_compared_again(spark):
     df = spark.createDataFrame([(0, r) for r in range(40)], "leader long, rid long")
-    known = spark.createDataFrame([(r, r + 1) for r in range(0, 39) if r != 19], "a long, b long")
+    known = spark.createDataFrame([(r, 20 * (r // 20)) for r in range(40)], "node long, root long")
     seen = spark.sparkContext.accumulator(0)
 
     def check(table, a, b, cand):
         seen.add(int(cand.sum()))
-        return cand & False
-    out, edges = FA.family_components(df, lambda x: x, check, 64, "test-known", [known])
-    assert {r["node"]: r["root"] for r in out.collect()} == {r: 20 * (r // 20) for r in range(40)}
-    assert seen.value <= 2 * 20 * 20 and len(edges) == 2
+        rid = table["rid"].to_numpy()
+        return cand & ((rid[a][:, None] == 3) & (rid[b][None, :] == 25))
+    out = FA.family_components(df, lambda x: x, check, 64, "test-known", known)
+    assert {r["node"]: r["root"] for r in out.collect()} == {r: 0 for r in range(40)}
+    assert 0 < seen.value <= 20 * 20
+
+
+def test_components_with_more_edges(spark):
+    from goalcast.llm.components import joined_components
+    roots = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (9, 9), (10, 9)], "node long, root long")
+    more = spark.createDataFrame([(2, 6), (6, 7), (11, 12), (1, 2)], "a long, b long")
+    got = {r["node"]: r["root"] for r in joined_components(roots, more).collect()}
+    assert got == {1: 1, 2: 1, 5: 1, 6: 1, 7: 1, 9: 9, 10: 9, 11: 11, 12: 11}
+    same = joined_components(roots, more.where("a = 1"))
+    assert {r["node"]: r["root"] for r in same.collect()} == {1: 1, 2: 1, 5: 5, 6: 5, 9: 9, 10: 9}
