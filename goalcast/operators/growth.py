@@ -6,6 +6,10 @@ of nodes. The sums of the rows that lack a feature follow from the node's own. A
 and its best splits are found in one task; only the chosen splits, one row a node, reach the
 driver, which holds the trees (model-sized, as they are broadcast to the tasks).
 
+Nodes whose rows fit into one task (``LOCAL_CELLS``) need no more levels: their rows are sent,
+packed, to a task per bin of nodes, which grows the rest of their trees alone. Trees on sparse
+features are deep and one-sided, so this saves hundreds of scans; both ways give the same trees.
+
 A split is on a feature being present (left child) or absent (right child). Whether a feature is a
 candidate of a node comes from a hash of the node's key and the feature, so no candidate lists are
 kept, and a node's candidates do not depend on what else is grown.
@@ -24,6 +28,9 @@ U64 = np.uint64
 #: (row, tree) and (row, split feature) pairs that a task handles at once, sums that it holds before
 #: it merges them, sums that a block takes from one task at most (about).
 PAIRS, CELLS, HELD, BLOCK_SUMS = 1 << 18, 1 << 26, 1 << 22, 1 << 16
+#: (row, feature) pairs of the rows of nodes that one task finishes, and rows of them; candidates up to
+#: which a task looks them up in a dense matrix.
+LOCAL_CELLS, LOCAL_ROWS, DENSE = 1 << 27, 1 << 18, 64
 #: Nodes that one growth may hold (they are broadcast, about 24 bytes each).
 MAX_NODES = 8_000_000
 
@@ -230,30 +237,154 @@ def _best_splits(shared, gain: Callable) -> Callable:
     return run
 
 
-def grow(rows: DataFrame, width: int, keys: np.ndarray, limit: np.ndarray, stats: Callable, gain: Callable,
-         splittable: Callable, by_tree: bool = False, least_gain: float = 1e-9, tasks: int | None = None) -> Trees:
-    """Grow one tree per key over ``rows`` (``features array<int>`` below ``width`` and what
+_PACKED = pa.schema([("bin", pa.int32()), *[(c, pa.binary()) for c in ("lens", "flat", "row", "node", "a", "b")]])
+_KINDS = {"lens": np.int32, "flat": np.int32, "row": np.int32, "node": np.int32, "a": np.float64, "b": np.float64}
+_GROWN = pa.schema([("node", pa.int32()), *[(c, pa.binary()) for c in ("feature", "left", "gain", "a", "b", "depth")]])
+
+
+def _send_rows(shared, stats: Callable) -> Callable:
+    """Rows of the open nodes, packed by bin: feature lists of the rows, and (row, node, statistics)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level = shared.value
+        walker, place, bins = Walker(level["root"], level["feature"], level["left"]), level["place"], level["bin"]
+        state = stats(level)
+        for batch in batches:
+            for lo, hi in slices(batch.num_rows, walker):
+                part = batch.slice(lo, hi - lo)
+                rows = Batch(part.column("features"))
+                a, b = state(part, rows)
+                r, t = np.nonzero(a)
+                q = place[walker.down(rows.has(walker.used), r, walker.root[t])]
+                r, t, q = r[q >= 0], t[q >= 0], q[q >= 0]
+                order = np.argsort(bins[q], kind="stable")
+                r, t, q = r[order], t[order], q[order]
+                found, out = bins[q], []
+                cuts = np.append(np.flatnonzero(np.append(True, found[1:] != found[:-1])), len(q)) if len(q) else []
+                for x, y in zip(cuts[:-1], cuts[1:]):
+                    own, local = np.unique(r[x:y], return_inverse=True)
+                    values = {"lens": rows.lens[own], "flat": rows.expand(own)[1], "row": local, "node": q[x:y],
+                              "a": a[r[x:y], t[x:y]], "b": b[r[x:y], t[x:y]]}
+                    out.append((int(found[x]), *[values[c].astype(k).tobytes() for c, k in _KINDS.items()]))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _PACKED)], schema=_PACKED)
+    return run
+
+
+class _Alone:
+    """Growth of single nodes in one task, over rows held as feature lists."""
+
+    def __init__(self, rows: Batch, width: int, gain: Callable, splittable: Callable, least_gain: float, by_tree: bool):
+        self.rows, self.width, self.gain, self.splittable = rows, width, gain, splittable
+        self.least_gain, self.by_tree, self.hashes, self.dense = least_gain, by_tree, feature_hashes(width), None
+
+    def _has(self, features: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        if self.dense is None:
+            self.dense = np.zeros((self.width, self.rows.n), dtype=np.uint8)
+            self.dense[self.rows.flat, np.repeat(np.arange(self.rows.n), self.rows.lens)] = 1
+        return self.dense[features[:, None], rows[None, :]]
+
+    def _sums(self, cand: np.ndarray, rows: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of the rows that have each candidate."""
+        if len(cand) <= DENSE:
+            has = self._has(cand, rows).astype(np.float64)
+            return has @ a, has @ b
+        at, f = self.rows.expand(rows)
+        return np.bincount(f, a[at], self.width)[cand], np.bincount(f, b[at], self.width)[cand]
+
+    def grow(self, tree: int, depth: int, key: np.ndarray, limit: U64, rows: np.ndarray, a: np.ndarray, b: np.ndarray) -> dict[str, np.ndarray]:
+        """Nodes of the subtree, the node itself first; ``left`` counts from it."""
+        out = {c: [] for c in ("feature", "left", "gain", "a", "b", "depth")}
+
+        def add(depth, rows):
+            for c, v in zip(out, (-1, -1, 0.0, float(a[rows].sum()), float(b[rows].sum()), depth)):
+                out[c].append(v)
+            return len(out["a"]) - 1
+        todo = [(add(depth, np.arange(len(rows))), np.arange(len(rows)), key)]
+        while todo:
+            node, at, key = todo.pop()
+            level, sa, sb = out["depth"][node], out["a"][node], out["b"][node]
+            if not self.splittable(tree, level, sa, sb):
+                continue
+            cand = np.flatnonzero(mix(key ^ self.hashes) <= limit)
+            la, lb = self._sums(cand, rows[at], a[at], b[at])
+            some = la > 0
+            g = self.gain(sa, sb, la[some], lb[some])
+            if not len(g) or not g.max() > self.least_gain:
+                continue
+            best = int(g.argmax())                             # ties: the smallest feature
+            feature = int(cand[some][best])
+            has = self._has(np.array([feature]), rows[at])[0].astype(bool)
+            out["feature"][node], out["gain"][node] = feature, float(g[best])
+            left = add(level + 1, at[has])
+            right = add(level + 1, at[~has])
+            out["left"][node] = left
+            keys = (key, key) if self.by_tree else (mix(key * U64(2) + U64(1)), mix(key * U64(2) + U64(2)))
+            todo += [(left, at[has], keys[0]), (right, at[~has], keys[1])]
+        return {c: np.array(v, dtype=np.float64 if c in ("gain", "a", "b") else np.int32) for c, v in out.items()}
+
+
+def _finish(shared, gain: Callable, splittable: Callable) -> Callable:
+    """The rest of the trees below the open nodes of a bin."""
+    def run(table: pa.Table) -> pa.Table:
+        level = shared.value
+        parts = [{c: np.frombuffer(x, dtype=k) for (c, k), x in zip(_KINDS.items(), row)} for row in zip(*(table[c].to_pylist() for c in _KINDS))]
+        first = np.cumsum([0] + [len(p["lens"]) for p in parts])
+        flat, lens = np.concatenate([p["flat"] for p in parts]), np.concatenate([p["lens"] for p in parts])
+        rows = Batch(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lens)).astype(np.int32)), pa.array(flat)))
+        row, node = np.concatenate([p["row"] + x for p, x in zip(parts, first)]), np.concatenate([p["node"] for p in parts])
+        a, b = (np.concatenate([p[c] for p in parts]) for c in ("a", "b"))
+        alone = _Alone(rows, level["width"], gain, splittable, level["least_gain"], level["by_tree"])
+        order, out = np.argsort(node, kind="stable"), []
+        cuts = np.append(np.flatnonzero(np.append(True, np.diff(node[order]) > 0)), len(node))
+        for x, y in zip(cuts[:-1], cuts[1:]):
+            at = order[x:y]
+            q = int(node[at[0]])
+            tree = int(level["tree"][q])
+            grown = alone.grow(tree, int(level["depth"][q]), level["key"][q:q + 1], level["limit"][tree], row[at], a[at], b[at])
+            out.append((q, *[grown[c].tobytes() for c in ("feature", "left", "gain", "a", "b", "depth")]))
+        return pa.Table.from_batches([pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _GROWN)], schema=_GROWN)])
+    return run
+
+
+def _bins(size: np.ndarray, n_rows: int, width: int, tasks: int) -> np.ndarray:
+    """Bin of each node, by its rows at most: as many bins as keep the tasks busy, and none with more
+    rows than one task may hold (all rows at most, since nodes of several trees share them)."""
+    room = min(LOCAL_ROWS, LOCAL_CELLS // max(1, width))
+    if n_rows <= room:
+        return (np.arange(len(size)) * min(len(size), 4 * tasks) // max(1, len(size))).astype(np.int32)
+    return ((np.cumsum(size) - size) // room).astype(np.int32)
+
+
+def grow(rows: DataFrame, n_rows: int, width: int, keys: np.ndarray, limit: np.ndarray, stats: Callable, gain: Callable,
+         splittable: Callable, by_tree: bool = False, least_gain: float = 1e-9, tasks: int | None = None, counted: bool = False) -> Trees:
+    """Grow one tree per key over the ``n_rows`` rows (``features array<int>`` below ``width`` and what
     ``stats`` reads). ``stats(level)`` returns a function of a batch that gives both statistics as
-    (row, tree) matrices, where 0 in the first leaves a row out of a tree; ``gain(a, b, left a,
-    left b)`` rates splits; ``splittable(trees, nodes)`` marks the nodes that may be split; a feature
-    is a candidate if its hash with the node's key (with ``by_tree`` the tree's) is at most the
-    tree's ``limit``. ``tasks`` is the number of partitions of ``rows``, where known."""
-    spark = rows.sparkSession
+    (row, tree) matrices, where 0 in the first leaves a row out of a tree; ``counted`` says that
+    the first one counts rows (1 or more each). ``gain(a, b, left a, left b)`` rates splits;
+    ``splittable(tree, depth, a, b)`` says which nodes may be split; a feature is a candidate
+    if its hash with the node's key (with ``by_tree`` the tree's) is at most the tree's ``limit``.
+    ``tasks`` is the number of partitions of ``rows``, where known."""
+    context = rows.sparkSession.sparkContext
     tasks = tasks or max(1, rows.rdd.getNumPartitions())
     trees = Trees.planted(keys, by_tree)
-    open_ = np.arange(len(trees))
-    totals = True
+    room = min(LOCAL_ROWS, LOCAL_CELLS // max(1, width))
+    open_, totals = np.arange(len(trees)), True
+
+    def may(nodes):
+        return splittable(trees.tree[nodes], trees.depth[nodes], trees.a[nodes], trees.b[nodes])
     while len(open_):
         if len(trees) > MAX_NODES:
             raise ValueError(f"more than {MAX_NODES} nodes: grow fewer trees at a time or larger nodes")
-        place = np.full(len(trees), -1, dtype=np.int64)
-        place[open_] = np.arange(len(open_))
-        level = {"root": trees.root, "feature": trees.feature, "left": trees.left, "place": place, "key": trees.key[open_],
-                 "limit": limit, "width": width, "open": len(open_), "totals": totals, "a": trees.a[open_], "b": trees.b[open_],
-                 "least_gain": least_gain}
+        size = trees.a[open_] if counted and not totals else np.full(len(open_), n_rows)
+        small = size <= room
+        if small.any() and (small.all() or n_rows > room):
+            _grow_alone(context, rows, trees, open_[small], size[small], n_rows, width, limit, stats, gain, splittable, least_gain, tasks)
+            open_ = open_[~small]
+            continue
+        level = _level(trees, open_, width, limit, least_gain) | {"totals": totals}
         sums = len(open_) * max(1.0, min(width, float((limit / 2.0 ** 64).max()) * width))
         blocks = int(max(1, min(len(open_), max(min(tasks, sums // 2048), sums // BLOCK_SUMS))))
-        shared = spark.sparkContext.broadcast(level)
+        shared = context.broadcast(level)
         found = (rows.mapInArrow(_partial_sums(shared, stats, blocks), "block int, key binary, a binary, b binary")
                  .groupBy("block").applyInArrow(_best_splits(shared, gain), _SPLIT).toArrow())   # one row a node
         shared.unpersist()
@@ -262,9 +393,49 @@ def grow(rows: DataFrame, width: int, keys: np.ndarray, limit: np.ndarray, stats
             own = feature < 0
             trees.a[open_[node[own]]], trees.b[open_[node[own]]] = a[own], b[own]
             totals = False
-            use = ~own & splittable(trees, open_)[node]
+            use = ~own & may(open_)[node]
             node, feature, g, a, b = (x[use] for x in (node, feature, g, a, b))
         order = np.argsort(node)
         new = trees.split(open_[node[order]], feature[order], g[order], a[order], b[order])
-        open_ = new[splittable(trees, new)]
+        open_ = new[may(new)]
     return trees
+
+
+def _level(trees: Trees, open_: np.ndarray, width: int, limit: np.ndarray, least_gain: float) -> dict:
+    """What tasks need of the trees and their open nodes."""
+    place = np.full(len(trees), -1, dtype=np.int64)
+    place[open_] = np.arange(len(open_))
+    return {"root": trees.root, "feature": trees.feature, "left": trees.left, "place": place, "key": trees.key[open_], "tree": trees.tree[open_],
+            "depth": trees.depth[open_], "limit": limit, "width": width, "open": len(open_), "a": trees.a[open_], "b": trees.b[open_],
+            "least_gain": least_gain, "by_tree": trees.by_tree}
+
+
+def _grow_alone(context, rows: DataFrame, trees: Trees, open_: np.ndarray, size: np.ndarray, n_rows: int, width: int, limit: np.ndarray,
+                stats: Callable, gain: Callable, splittable: Callable, least_gain: float, tasks: int) -> None:
+    """Finish the open nodes, each in the task of its bin, and add what they grew to the trees."""
+    bins = _bins(size, n_rows, width, tasks)
+    shared = context.broadcast(_level(trees, open_, width, limit, least_gain) | {"bin": bins})
+    kinds = ", ".join(f"{c} binary" for c in _KINDS)
+    found = (rows.mapInArrow(_send_rows(shared, stats), f"bin int, {kinds}")
+             .groupBy("bin").applyInArrow(_finish(shared, gain, splittable),
+                                          "node int, feature binary, left binary, gain binary, a binary, b binary, depth binary").toArrow())
+    shared.unpersist()                                         # (the nodes of the trees reached the driver)
+    q = open_[found["node"].to_numpy()] if found.num_rows else np.zeros(0, np.int64)
+    grown = {c: [np.frombuffer(x, dtype=np.float64 if c in ("gain", "a", "b") else np.int32) for x in found[c].to_pylist()]
+             for c in ("feature", "left", "gain", "a", "b", "depth")}
+    more = np.array([len(x) - 1 for x in grown["a"]], dtype=np.int64)
+    first = len(trees) + np.cumsum(more) - more                # where the nodes below each open node start
+    for i, node in enumerate(q):
+        for c in ("feature", "gain", "a", "b"):
+            getattr(trees, c)[node] = grown[c][i][0]
+        if more[i]:
+            trees.left[node] = first[i] + grown["left"][i][0] - 1
+    if not len(q) or not more.sum():
+        return
+    tail = {c: np.concatenate([x[1:] for x in v]) for c, v in grown.items()}
+    at = np.repeat(first, more)
+    trees.left = np.append(trees.left, np.where(tail["left"] >= 0, tail["left"] - 1 + at, -1))
+    trees.tree = np.append(trees.tree, np.repeat(trees.tree[q], more))
+    trees.key = np.append(trees.key, np.zeros(int(more.sum()), U64))   # finished: no key is needed
+    for c in ("feature", "gain", "a", "b", "depth"):
+        setattr(trees, c, np.append(getattr(trees, c), tail[c]))

@@ -182,7 +182,13 @@ def paths(t):
     return trees
 
 
-def test_forest_equals_trees_grown_alone(prep, spark, scratch):
+#: None of the nodes, the small ones and all are finished in one task.
+LOCAL = [0, 6 * 80, 1 << 27]
+
+
+@pytest.mark.parametrize("cells", LOCAL)
+def test_forest_equals_trees_grown_alone(prep, spark, scratch, monkeypatch, cells):
+    monkeypatch.setattr(G, "LOCAL_CELLS", cells)
     rows = click(prep)
     forests = T.fit_forests(rows, [("click", c) for c in FOREST], 6, seed=3)
     plain, rates = rows.collect(), T.draw_rates(rows, ["click"])
@@ -286,7 +292,10 @@ def replay_boosting(rows, width, depth, eta, rounds, seed=1):
     return margin, splits
 
 
-def test_boosting_equals_brute_force(prep, spark, scratch, monkeypatch):
+@pytest.mark.parametrize("cells,dense", [(0, 64), (1 << 27, 64), (1 << 27, 0)])
+def test_boosting_equals_brute_force(prep, spark, scratch, monkeypatch, cells, dense):
+    monkeypatch.setattr(G, "LOCAL_CELLS", cells)
+    monkeypatch.setattr(G, "DENSE", dense)
     monkeypatch.setattr(T, "MARGIN_ROUNDS", 3)
     rows = click(prep)
     plain = rows.collect()
