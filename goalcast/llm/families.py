@@ -23,7 +23,7 @@ from goalcast.session import cut_lineage
 
 #: Rounds of one more pivot chunk a family before all that is left is dealt.
 PIVOT_ROUNDS = 1
-#: Rows of the table of large families that is broadcast at most.
+#: Rows of a side table (large families, places in blocks) that is broadcast at most.
 SIDE_ROWS = 500_000
 EDGES = "a long, b long"
 
@@ -102,7 +102,7 @@ def compare(check: Callable) -> Callable:
 
 
 def _side(df: DataFrame) -> DataFrame:
-    """One row a (large) family: broadcast up to ``SIDE_ROWS`` rows of about 50 bytes."""
+    """Broadcast up to ``SIDE_ROWS`` rows of numbers (about 60 bytes each)."""
     return F.broadcast(df) if df.count() <= SIDE_ROWS else df
 
 
@@ -114,7 +114,8 @@ def family_components(member: DataFrame, payload: Callable[[DataFrame], DataFram
     reads; rows that it does not know leave. Rows without a link are absent. With ``first_only``
     large families meet their first pivots only (to be completed by a later call)."""
     def run(dealt: DataFrame, step: int) -> DataFrame:
-        blocks = payload(dealt.select("leader", "rid", "label", "ci", "cj", "side"))
+        # up to SIDE_ROWS rows of six numbers are sent to where their sets are, more are shuffled to them
+        blocks = payload(_side(dealt.select("leader", "rid", "label", "ci", "cj", "side")))
         return cut_lineage(blocks.groupBy("leader", "ci", "cj").applyInArrow(compare(check), EDGES), f"{name}-edges-{step}")
 
     def labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
