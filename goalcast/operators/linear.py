@@ -25,8 +25,9 @@ from goalcast.operators.growth import Batch
 ELASTIC_MIX = 0.15  # library default l1 ratio of the elastic-net penalty
 PENALTY_MIX = {"l1": 1.0, "l2": 0.0, "elasticnet": ELASTIC_MIX}
 PROBABILISTIC_LOSSES = {"log", "modified_huber"}
-#: Weights and gradients held at once, in the driver and in a task.
-MATRIX_BYTES = 128 << 20
+#: Weights and gradients held at once, in the driver and in a task; partial gradients of all tasks
+#: together that the driver sums itself (more are summed by blocks of features in a shuffle).
+MATRIX_BYTES, DIRECT_BYTES = 128 << 20, 64 << 20
 
 
 def _dloss(loss: str, y: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -198,18 +199,22 @@ def _fit_columns(classes: DataFrame, jobs: list[tuple[str, dict]], width: int, i
     smooth = np.isin(loss, list(CURVATURE))
     ridge, lasso = alpha * (1 - rho), alpha * rho
     curvature = np.array([CURVATURE.get(x, 1.0) for x in loss])
+    tasks = max(1, rows.rdd.getNumPartitions())
     blocks = max(1, min(width, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
     def gradient(w: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Mean gradient of the loss at weights (features, columns ``at``)."""
         kinds = [(g, x, np.flatnonzero((goal[at] == g) & (loss[at] == x))) for g in goals for x in sorted(set(loss[at]))]
         shared = spark.sparkContext.broadcast(w)
-        found = (rows.mapInArrow(_gradient(shared, goals, [k for k in kinds if len(k[2])], width, blocks), "block int, idx binary, g binary")
-                 .groupBy("block").applyInArrow(_sum_blocks(len(at)), "idx binary, g binary").toArrow())   # below MATRIX_BYTES
+        direct = tasks * width * len(at) * 8 <= DIRECT_BYTES
+        parts = rows.mapInArrow(_gradient(shared, goals, [k for k in kinds if len(k[2])], width, 1 if direct else blocks),
+                                "block int, idx binary, g binary")
+        found = parts.toArrow() if direct else (                # below DIRECT_BYTES, or MATRIX_BYTES
+            parts.groupBy("block").applyInArrow(_sum_blocks(len(at)), "idx binary, g binary").toArrow())
         shared.unpersist()
         out = np.zeros_like(w)
         for i, g in zip(found["idx"].to_pylist(), found["g"].to_pylist()):
-            out[np.frombuffer(i, dtype=np.int64)] = np.frombuffer(g).reshape(-1, len(at))
+            out[np.frombuffer(i, dtype=np.int64)] += np.frombuffer(g).reshape(-1, len(at))
         return out / total
 
     def moves(at: np.ndarray, t: int) -> np.ndarray:

@@ -92,7 +92,9 @@ def single_fit(x, y, loss, penalty, alpha, iterations=300, step=0.5, tolerance=5
     return w, iterations, False
 
 
-def test_one_solver_equals_single_fits(prep, monkeypatch):
+@pytest.mark.parametrize("direct", [0, 1 << 20])
+def test_one_solver_equals_single_fits(prep, monkeypatch, direct):
+    monkeypatch.setattr(LN, "DIRECT_BYTES", direct)
     x, y, _ = dense(prep)
     grid = [{"loss": a, "penalty": b, "alpha": c} for a in HYPER_PARAMETERS["SGD"]["loss"] for b in ("l2", "l1", "elasticnet") for c in (1e-4, 0.05)]
     classes = TR.goal_classes(prep, ["click"])
