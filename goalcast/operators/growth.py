@@ -295,11 +295,11 @@ class _Alone:
         """Nodes of the subtree, the node itself first; ``left`` counts from it."""
         out = {c: [] for c in ("feature", "left", "gain", "a", "b", "depth")}
 
-        def add(depth, rows):
-            for c, v in zip(out, (-1, -1, 0.0, float(a[rows].sum()), float(b[rows].sum()), depth)):
+        def add(depth, sa, sb):
+            for c, v in zip(out, (-1, -1, 0.0, sa, sb, depth)):
                 out[c].append(v)
             return len(out["a"]) - 1
-        todo = [(add(depth, np.arange(len(rows))), np.arange(len(rows)), key)]
+        todo = [(add(depth, float(a.sum()), float(b.sum())), np.arange(len(rows)), key)]
         while todo:
             node, at, key = todo.pop()
             level, sa, sb = out["depth"][node], out["a"][node], out["b"][node]
@@ -315,8 +315,8 @@ class _Alone:
             feature = int(cand[some][best])
             has = self._has(np.array([feature]), rows[at])[0].astype(bool)
             out["feature"][node], out["gain"][node] = feature, float(g[best])
-            left = add(level + 1, at[has])
-            right = add(level + 1, at[~has])
+            xa, xb = float(la[some][best]), float(lb[some][best])
+            left, right = add(level + 1, xa, xb), add(level + 1, sa - xa, sb - xb)
             out["left"][node] = left
             keys = (key, key) if self.by_tree else (mix(key * U64(2) + U64(1)), mix(key * U64(2) + U64(2)))
             todo += [(left, at[has], keys[0]), (right, at[~has], keys[1])]
@@ -386,7 +386,7 @@ def grow(rows: DataFrame, n_rows: int, width: int, keys: np.ndarray, limit: np.n
         blocks = int(max(1, min(len(open_), max(min(tasks, sums // 2048), sums // BLOCK_SUMS))))
         shared = context.broadcast(level)
         found = (rows.mapInArrow(_partial_sums(shared, stats, blocks), "block int, key binary, a binary, b binary")
-                 .groupBy("block").applyInArrow(_best_splits(shared, gain), _SPLIT).toArrow())   # one row a node
+                 .repartition(blocks, "block").groupBy("block").applyInArrow(_best_splits(shared, gain), _SPLIT).toArrow())   # one row a node
         shared.unpersist()
         node, feature, g, a, b = (found[c].to_numpy() for c in ("node", "feature", "gain", "a", "b"))
         if totals:
@@ -416,7 +416,8 @@ def _grow_alone(context, rows: DataFrame, trees: Trees, open_: np.ndarray, size:
     bins = _bins(size, n_rows, width, tasks)
     shared = context.broadcast(_level(trees, open_, width, limit, least_gain) | {"bin": bins})
     kinds = ", ".join(f"{c} binary" for c in _KINDS)
-    found = (rows.mapInArrow(_send_rows(shared, stats), f"bin int, {kinds}")
+    # the bins are small to send and long to grow: a stated number of partitions keeps them apart
+    found = (rows.mapInArrow(_send_rows(shared, stats), f"bin int, {kinds}").repartition(2 * (int(bins.max()) + 1), "bin")
              .groupBy("bin").applyInArrow(_finish(shared, gain, splittable),
                                           "node int, feature binary, left binary, gain binary, a binary, b binary, depth binary").toArrow())
     shared.unpersist()                                         # (the nodes of the trees reached the driver)
