@@ -5,6 +5,7 @@ import math
 import warnings
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -255,6 +256,40 @@ def test_registered_forest_run_takes_the_whole_grid(prep, spark, monkeypatch):
     assert len(rows) == 12 and {r["goal"] for r in rows} == {"click"} and sum(r["best"] for r in rows) <= 1
 
 
+def test_wide_dictionary_and_few_rows_take_one_scan(prep, monkeypatch):
+    """Rows, not the width of the dictionary, say whether one task may finish a node."""
+    def levels(*_):
+        raise AssertionError("a level was scanned")
+    monkeypatch.setattr(G, "_partial_sums", levels)
+    forests = T.fit_forests(click(prep), [("click", {"ntree": 2, "fraction": 1.0, "min_target_node_size": 60})], 1 << 21)
+    assert len(forests.trees.root) == 2
+
+
+@pytest.mark.parametrize("dense", [0, 3, 1 << 20])
+def test_walk_along_chains_equals_steps(dense, monkeypatch):
+    monkeypatch.setattr(G, "DENSE", dense)
+    rng = np.random.default_rng(5)
+    lists = [sorted(rng.choice(60, rng.integers(0, 5), replace=False).tolist()) for _ in range(400)]
+    batch = G.Batch(pa.array(lists, pa.list_(pa.int32())))
+    y = rng.integers(0, 2, 400).astype(float)
+    alone = G._Alone(batch, 60, T._gini_gain, lambda t, d, a, b: (a >= 5) & (b > 0) & (b < a), 1e-9, False)
+    t = alone.grow(0, 0, np.array([9], dtype=np.uint64), np.uint64(1 << 62), np.arange(400), np.ones(400), y)
+    walker = G.Walker(np.array([0]), t["feature"], t["left"])
+    assert t["depth"].max() > 10
+    has, rows, at = walker.features(batch), np.arange(400), np.zeros(400, np.int64)
+    for least in (150, 40, 0):                                 # each goes on where the one before ended
+        stop, want = t["a"] < least, []
+        for own in map(set, lists):
+            node = 0
+            while t["feature"][node] >= 0 and not stop[node]:
+                node = t["left"][node] + (t["feature"][node] not in own)
+            want.append(node)
+        at = walker.down(has, rows, at, walker.stops(stop))
+        assert at.tolist() == want
+    leaf, n = np.unique(at, return_counts=True)
+    assert t["a"][leaf].tolist() == n.tolist()
+
+
 # ---------------------------------------------------------------- boosted trees
 
 
