@@ -110,6 +110,17 @@ def test_one_solver_equals_single_fits(prep, monkeypatch, direct):
     assert got.converged.any() and not got.converged.all()
 
 
+def test_classes_lie_with_their_rarest_feature(spark):
+    rows = [(i, [i % 3, 3 + i % 200], 1, int(i % 7 == 0)) for i in range(4000)] + [(4000, [], 1, 0)]
+    df = spark.createDataFrame(rows, "class_id long, features array<int>, n long, click long").repartition(8)
+    count = np.array([sum(f in r[1] for r in rows) for f in range(203)])
+    placed = LN._by_home(df, count, len(rows))
+    assert sorted(map(tuple, placed.collect())) == sorted(map(tuple, df.collect()))
+    # few features have parts of their gradient in more than one task
+    seen = sum(r[0] for r in placed.mapInArrow(LN._seen, "seen long").collect())
+    assert seen <= 203 + 3 * 4 and sum(r[0] for r in df.mapInArrow(LN._seen, "seen long").collect()) > 4 * 203
+
+
 def test_solver_reaches_the_optimum_and_says_so(prep):
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.linalg import Vectors
