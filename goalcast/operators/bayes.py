@@ -9,19 +9,24 @@ as conditional sums, so the rows are read once per run, not once per
 
 Scoring many models at once: a model is (scope, goal, rarity threshold). The
 adjustment of a key depends on (scope, goal) only and its membership on
-(scope, threshold), so all models are scored by one ``groupBy(row)`` with a
-conditional sum per model. The key table is joined by broadcast behind a row-count
-check; without the broadcast it is a shuffle join.
+(scope, threshold), so all models are scored in one pass with a sum per model. Single
+keys within the broadcast bound are summed row by row in the tasks, without exploding or
+shuffling a row; pairs, and keys beyond the bound, by one explode, one key join and one
+``groupBy(row)`` with a conditional sum per model.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goalcast.plans.indexing import lookup_join, maybe_broadcast
+from goalcast.plans.indexing import broadcast_rows, lookup_join, maybe_broadcast
 from goalcast.session import cut_lineage, cut_lineage_observed
 
 
@@ -231,8 +236,8 @@ class ScoredModels:
 
 def _row_sums(rows: DataFrame, counts: BayesCounts, specs: list[ModelSpec], keep: list[str],
               combinations: bool | None, params: DataFrame) -> tuple[DataFrame, list[str]]:
-    """(keep..., goals..., sp__<model>, sn__<model>...): one explode, one key join, one
-    ``groupBy(row)`` for all models."""
+    """(keep..., goals..., sp__<model>, sn__<model>...): sums in place for single keys within the
+    broadcast bound, else one explode, one key join, one ``groupBy(row)`` for all models."""
     combos = counts.combinations if combinations is None else combinations
     needed = {"i", "j"}
     for m in specs:
@@ -242,6 +247,8 @@ def _row_sums(rows: DataFrame, counts: BayesCounts, specs: list[ModelSpec], keep
     freq = F.greatest(*[F.col(f"n_{s}") for s in scopes]) if len(scopes) > 1 else F.col(f"n_{scopes[0]}")
     keys = keys.withColumn("_freq", freq)
     labels = [g for g in sorted({m.goal for m in specs}) if g in rows.columns and g not in keep]
+    if not combos and counts.n_keys <= broadcast_rows(keys):
+        return _sums_in_place(rows.select(*keep, *labels, "features"), keys, specs), labels
     ex = rows.select(*keep, *labels, F.explode_outer(key_array(F.col("features"), combos)).alias("k"))
     ex = ex.select("*", F.col("k.i").alias("i"), F.col("k.j").alias("j")).drop("k")
     total = max(int(counts.totals.get(f"n_{s}", 0) or 0) for s in counts.scopes)
@@ -254,9 +261,51 @@ def _row_sums(rows: DataFrame, counts: BayesCounts, specs: list[ModelSpec], keep
     return joined.groupBy(*keep, *labels).agg(*aggs), labels
 
 
+def _sums_in_place(rows: DataFrame, keys: DataFrame, specs: list[ModelSpec]) -> DataFrame:
+    """``rows`` (row columns..., features) with the sums of every model instead of the features.
+    ``keys`` must be within the broadcast bound: it is sent to the tasks."""
+    t = keys.where((F.col("i") == F.col("j"))).drop("j", "_freq").toArrow()
+    order = np.argsort(t["i"].to_numpy(), kind="stable")
+    ids = t["i"].to_numpy()[order]
+    column = {c: t[c].fill_null(0).to_numpy()[order] for c in t.column_names if c != "i"}
+    names = [f"{kind}__{m.model_id}" for m in specs for kind in ("sp", "sn")]
+    members = {(m.scope, m.threshold): column[f"n_{m.scope}"] >= m.threshold for m in specs}
+    # models that add up the same column over the same members share a sum
+    made, parts = {}, []
+    for m in specs:
+        member = members[m.scope, m.threshold]
+        for kind in ("adjp", "adjn"):
+            made.setdefault((f"{kind}_{m.scope}_{m.goal}", member.tobytes()), len(made))
+            parts.append(made[f"{kind}_{m.scope}_{m.goal}", member.tobytes()])
+    terms = np.zeros((len(made), len(ids) + 1))                # the last one: unknown keys
+    for (name, member), at in made.items():
+        terms[at, :-1] = np.where(np.frombuffer(member, bool), column[name], 0.0)
+    sent = rows.sparkSession.sparkContext.broadcast((ids, terms))
+    kept = [f for f in rows.schema.fields if f.name != "features"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, terms = sent.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            features = batch.column("features")
+            size = np.nan_to_num(pc.list_value_length(features).to_numpy(zero_copy_only=False)).astype(np.int64)
+            flat = features.flatten()                          # leaves null lists out
+            key = flat.fill_null(0).to_numpy()
+            at = np.searchsorted(ids, key)
+            known = (at < len(ids)) & flat.is_valid().to_numpy(zero_copy_only=False)
+            known[known] = ids[at[known]] == key[known]
+            at = np.where(known, at, len(ids))
+            row = np.repeat(np.arange(len(size)), size)
+            sums = [pa.array(np.bincount(row, x[at], len(size))) for x in terms]
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], *[sums[k] for k in parts]],
+                                             names=[*[f.name for f in kept], *names])
+    return rows.mapInArrow(run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`{x}` double" for x in names]))
+
+
 def score_models(rows: DataFrame, counts: BayesCounts, specs: list[ModelSpec], keep: list[str],
                  combinations: bool | None = None, params: DataFrame | None = None) -> ScoredModels:
-    """H1 for many models: one explode, one (broadcast) key join, one ``groupBy(row)``.
+    """H1 for many models in one pass.
 
     ``keep`` are row columns carried to the output (must identify the row). A row
     without a known key scores the baseline (``zero_total + prior``). ``y`` is the row's

@@ -10,11 +10,11 @@ Data flow (two passes over the rows, whatever the number of columns):
    aggregation; the result has one row per distinct level (small).
 3. ``build_dictionary``: rarity merge, constant-column and ``OTHER`` drop, name
    building, location patch and a dense index, all on the small level table.
-4. ``encode_rows``: cells joined to the dictionary (broadcast behind a checked
-   size, shuffle join otherwise) and folded back per row into a sorted
-   ``array<int>``. The fold is partially aggregated inside the task that exploded
-   the row, so the shuffle carries one compact record per row, and the output is
-   hash-partitioned by ``row_id`` for every later per-row aggregation.
+4. ``encode_columns``: one broadcast join per column gives each row its indices in place;
+   a list value is encoded once per distinct value. No row is exploded. Rows whose key
+   occurs more than once are folded into one.
+5. ``encode_rows``, for a dictionary beyond the broadcast bound: cells joined to the
+   dictionary by a shuffle join (frequent levels split off) and folded back per row.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goalcast.constants import DUMMY_FEATURE, LOCATION_FAMILIES_OBSERVED, OTHER
-from goalcast.plans.indexing import dense_index, lookup_join, maybe_broadcast
-from goalcast.session import cut_lineage_observed
+from goalcast.plans.indexing import broadcast_rows, dense_index, lookup_join, maybe_broadcast
+from goalcast.session import cut_lineage, cut_lineage_observed
 
 
 def list_tokens(c) -> Column:
@@ -154,11 +154,67 @@ def encode_rows(cells: DataFrame, dictionary: FeatureDictionary, carry: list[str
     return out
 
 
+#: Index of a value outside the dictionary while a row is encoded.
+NO_INDEX = -1
+
+
+def list_indices(df: DataFrame, list_col: str, grp: int, entries: DataFrame) -> tuple[DataFrame, int]:
+    """(_list, _n, _ids) of every distinct non-null value of a list column: its rows and the
+    indices of its tokens; and the number of values."""
+    lists = df.select(F.col(list_col).cast("string").alias("_list")).where(F.col("_list").isNotNull()) \
+        .groupBy("_list").agg(F.count(F.lit(1)).alias("_n"))
+    own = entries.where(F.col("grp") == grp).select(F.col("value").alias("_token"), "idx")
+    tokens = lists.select("_list", "_n", F.explode(list_tokens("_list")).alias("_token"))
+    ids = tokens.join(F.broadcast(own), "_token").groupBy("_list", "_n").agg(F.collect_set("idx").alias("_ids"))
+    table, stats = cut_lineage_observed(ids, "list-indices", {"n": F.count(F.lit(1))})
+    return table, int(stats["n"])
+
+
+def encode_columns(df: DataFrame, attribute_cols: list[str], list_cols: list[str], dictionary: FeatureDictionary,
+                   carry: list[str], constant_feature: bool = False, row_key: str = "row_id") -> DataFrame:
+    """``encode_rows`` without cells, for a dictionary within the broadcast bound: each attribute
+    column is joined to its own levels, each list column to its distinct values."""
+    def ints(c):
+        return F.coalesce(c, F.lit(NO_INDEX))
+    entries = cut_lineage(dictionary.entries, "lookup")         # read once a column
+    out, parts = df, []
+    for k, c in enumerate(attribute_cols):
+        own = entries.where((F.col("grp") == 0) & (F.col("col") == c))
+        own = own.select(F.col("value").alias(f"_v{k}"), F.col("idx").alias(f"_i{k}"))
+        out = out.withColumn(f"_v{k}", F.coalesce(F.col(c).cast("string"), F.lit(OTHER))).join(F.broadcast(own), f"_v{k}", "left").drop(f"_v{k}")
+    if attribute_cols:
+        parts.append(F.array(*[ints(F.col(f"_i{k}")) for k in range(len(attribute_cols))]))
+    for k, c in enumerate(list_cols):
+        table, n = list_indices(df, c, k + 1, entries)
+        out = lookup_join(out.withColumn("_list", F.col(c).cast("string")), table, ["_list"], n, "_n", dictionary.n_rows, "left")
+        out = out.withColumnRenamed("_ids", f"_ids{k}").drop("_list", "_n")
+        # a null list is the token OTHER, which no dictionary holds
+        parts.append(F.coalesce(F.col(f"_ids{k}"), F.array().cast("array<int>")))
+    every = parts[0] if len(parts) == 1 else F.concat(*parts)
+    out = out.select(*carry, F.sort_array(F.array_remove(F.array_distinct(every), NO_INDEX)).alias("features"))
+    if repeats(df, [row_key]):
+        others = [F.first(c).alias(c) for c in carry if c != row_key]
+        folded = F.sort_array(F.array_distinct(F.flatten(F.collect_list("features")))).alias("features")
+        out = out.groupBy(row_key).agg(*others, folded).select(*carry, "features")
+    if constant_feature:
+        out = out.withColumn("features", F.array_append("features", F.lit(dictionary.size)))
+    return out
+
+
+def repeats(df: DataFrame, keys: list[str]) -> bool:
+    """Whether some key stands in more than one row: counts of the keys alone."""
+    return not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > 1).isEmpty()
+
+
 def one_hot(df: DataFrame, attribute_cols: list[str], list_cols: list[str], carry: list[str],
             threshold: int, families: list[str] | None = None,
             constant_feature: bool = False) -> tuple[DataFrame, FeatureDictionary]:
-    """Full feature build: dictionary from the level counts, then the encoded rows."""
+    """Full feature build: dictionary from the level counts, then the encoded rows. The derived
+    columns are written once, as both steps read them."""
+    df = cut_lineage(df.select(*dict.fromkeys([*carry, *attribute_cols, *list_cols])), "derived")
     dictionary = feature_dictionary(df, attribute_cols, list_cols, threshold, families, constant_feature)
+    if dictionary.n_entries <= broadcast_rows(dictionary.entries):
+        return encode_columns(df, attribute_cols, list_cols, dictionary, carry, constant_feature), dictionary
     cells = feature_cells(df, attribute_cols, list_cols, carry)
     return encode_rows(cells, dictionary, carry, constant_feature), dictionary
 
