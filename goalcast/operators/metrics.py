@@ -8,11 +8,15 @@ nothing is collected. AUC is exact with ties counted half:
 
 ``neg(< s)`` is a prefix sum over the distinct scores of a group. To keep one group
 from landing in a single task, the distinct scores are range-partitioned by (group, score):
-prefix sums run per (group, partition) and an offset per (group, partition) is added.
+prefix sums run inside the sorted partition and an offset per (group, partition) is added.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,34 +31,70 @@ def _div0(a: Column, b: Column) -> Column:
 
 def _class_counts(scored: DataFrame, y: str = "y") -> list[Column]:
     """Class counts of scored rows, or of scored vector classes (columns ``pos`` and ``neg``)."""
-    pos, neg = ("pos", "neg") if {"pos", "neg"} <= set(scored.columns) else (F.col(y), 1 - F.col(y))
+    pos, neg = _classes(scored, y)
     return [F.sum(pos).cast("long").alias("_pos"), F.sum(neg).cast("long").alias("_neg")]
 
 
+def _classes(scored: DataFrame, y: str) -> tuple[Column, Column]:
+    return (F.col("pos"), F.col("neg")) if {"pos", "neg"} <= set(scored.columns) else (F.col(y), 1 - F.col(y))
+
+
 def score_table(scored: DataFrame, group: list[str], y: str = "y", score: str = "prob",
-                pred: str = "pred") -> DataFrame:
-    """(group..., _s, _p, _pos, _neg): rows folded to distinct (score, predicted class)
-    with class counts. One map-side-combined aggregation over the scored rows; every
-    metric below is computed from this (much smaller) table."""
+                pred: str | None = None) -> DataFrame:
+    """(group..., _s, _pos, _neg): rows folded to distinct scores with class counts and, with
+    ``pred``, the counts of both classes by predicted class (tn, fp, fn, tp). One
+    map-side-combined aggregation over the scored rows; every metric below is computed from this
+    table."""
     s = F.nanvl(F.col(score), F.lit(None).cast("double")) if score in scored.columns else F.lit(None).cast("double")
-    return scored.groupBy(*group, s.alias("_s"), F.col(pred).alias("_p")).agg(*_class_counts(scored, y))
+    aggs = _class_counts(scored, y)
+    if pred:
+        pos, neg = _classes(scored, y)
+        aggs += [F.sum(F.when(F.col(pred) == cls, v).otherwise(0)).cast("long").alias(name)
+                 for name, v, cls in (("tn", neg, 0), ("fp", neg, 1), ("fn", pos, 0), ("tp", pos, 1))]
+    return scored.groupBy(*group, s.alias("_s")).agg(*aggs)
+
+
+def _prefix_parts(group: list[str]) -> Callable:
+    """Rows sorted by group and score -> (group..., _bk, _in, _bp, _bn): a row per group of the
+    partition with its positives weighed by the negatives below them inside it, and both counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done, key, sums, schema = [], None, (0.0, 0, 0), None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            schema = schema or pa.schema([*[batch.schema.field(g) for g in group], ("_bk", pa.int32()), ("_in", pa.float64()),
+                                          ("_bp", pa.int64()), ("_bn", pa.int64())])
+            change = np.arange(batch.num_rows) == 0
+            for g in group:
+                code = batch.column(g).dictionary_encode(null_encoding="encode").indices.to_numpy()
+                change[1:] |= code[1:] != code[:-1]
+            start = np.flatnonzero(change)
+            pos, neg = (batch.column(c).fill_null(0).to_numpy() for c in ("_pos", "_neg"))
+            below = np.cumsum(neg) - neg
+            below = below - np.repeat(below[start], np.diff([*start, batch.num_rows]))
+            inner, p, n = (np.add.reduceat(x, start) for x in (pos * (below + neg * 0.5), pos, neg))
+            for k, first in enumerate(start):
+                here = [batch.column(g)[first].as_py() for g in (*group, "_bk")]
+                if here != key:
+                    done += [] if key is None else [[*key, *sums]]
+                    key, sums = here, (0.0, 0, 0)
+                sums = (sums[0] + float(inner[k]) + int(p[k]) * sums[2], sums[1] + int(p[k]), sums[2] + int(n[k]))
+        if key is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*done, [*key, *sums]), schema)], schema=schema)
+    return run
 
 
 def roc_auc_from_table(t: DataFrame, group: list[str]) -> DataFrame:
     """Exact AUC from the folded table: distinct scores are range-partitioned by (group,
     score) - boundaries come from the scores themselves, so partitions are even whatever
-    their distribution -, prefix sums run inside a partition, and the cross-partition part
+    their distribution -, prefix sums run inside a sorted partition, and the cross-partition part
     sum_p P_p * N(partitions before p) is computed on one row per (group, partition)."""
-    dist = t.where(F.col("_s").isNotNull()).groupBy(*group, "_s").agg(
-        F.sum("_pos").cast("long").alias("_pos"), F.sum("_neg").cast("long").alias("_neg"))
+    dist = t.where(F.col("_s").isNotNull()).select(*group, "_s", "_pos", "_neg")
     parts = int(t.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # written with its partition number, so a retried task cannot see other boundaries
-    placed = cut_lineage(dist.repartitionByRange(parts, *group, "_s").withColumn("_bk", F.spark_partition_id()), "auc-ranges")
-    wb = Window.partitionBy(*group, "_bk").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    d = placed.withColumn("_below", F.coalesce(F.sum("_neg").over(wb), F.lit(0)))
-    inner = F.col("_pos") * (F.col("_below") + F.col("_neg") * 0.5)
-    per_part = d.groupBy(*group, "_bk").agg(F.sum(inner).alias("_in"), F.sum("_pos").alias("_bp"),
-                                            F.sum("_neg").alias("_bn"))
+    placed = dist.repartitionByRange(parts, *group, "_s").sortWithinPartitions(*group, "_s").withColumn("_bk", F.spark_partition_id())
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.select(*group, "_bk").schema.fields)
+    # written, so a retried task cannot see other boundaries
+    per_part = cut_lineage(placed.mapInArrow(_prefix_parts(group), f"{kept}, _in double, _bp long, _bn long"), "auc-ranges")
     wo = Window.partitionBy(*group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     per_part = per_part.withColumn("_off", F.coalesce(F.sum("_bn").over(wo), F.lit(0)))
     agg = per_part.groupBy(*group).agg(F.sum(F.col("_in") + F.col("_bp") * F.col("_off")).alias("_c"),
@@ -72,27 +112,23 @@ def log_loss_from_table(t: DataFrame, group: list[str]) -> DataFrame:
     return agg.select(*group, F.when(F.col("_nulls") == 0, F.col("_l") / F.col("_n")).alias("log_loss"))
 
 
-def confusion_from_table(t: DataFrame, group: list[str]) -> DataFrame:
-    def c(v, cls):
-        return F.sum(F.when(F.col("_p") == cls, F.col(v)).otherwise(0)).cast("long")
-    return t.groupBy(*group).agg(c("_neg", 0).alias("tn"), c("_neg", 1).alias("fp"),
-                                 c("_pos", 0).alias("fn"), c("_pos", 1).alias("tp"))
-
-
 def roc_auc(scored: DataFrame, group: list[str], y: str = "y", score: str = "prob") -> DataFrame:
     """(group..., roc_auc); null when a group lacks one of the classes or has no score."""
-    return roc_auc_from_table(score_table(scored, group, y, score, score), group)
+    return roc_auc_from_table(score_table(scored, group, y, score), group)
 
 
 def log_loss(scored: DataFrame, group: list[str], y: str = "y", score: str = "prob") -> DataFrame:
     """(group..., log_loss): mean of -ln p(true class), p clipped to [1e-15, 1-1e-15]."""
-    return log_loss_from_table(score_table(scored, group, y, score, score), group)
+    return log_loss_from_table(score_table(scored, group, y, score), group)
 
 
 def confusion_counts(scored: DataFrame, group: list[str], y: str = "y", pred: str = "pred") -> DataFrame:
     """M4: (group..., tn, fp, fn, tp)."""
-    t = scored.groupBy(*group, F.col(pred).alias("_p")).agg(*_class_counts(scored, y))
-    return confusion_from_table(t, group)
+    pos, neg = _classes(scored, y)
+
+    def c(v, cls):
+        return F.sum(F.when(F.col(pred) == cls, v).otherwise(0)).cast("long")
+    return scored.groupBy(*group).agg(c(neg, 0).alias("tn"), c(neg, 1).alias("fp"), c(pos, 0).alias("fn"), c(pos, 1).alias("tp"))
 
 
 def prf_columns() -> list[Column]:
@@ -118,11 +154,9 @@ METRICS = ["roc_auc", "log_loss", "f1", "recall", "precision", "true_positive",
 def evaluate(scored: DataFrame, group: list[str], has_prob: bool = True) -> DataFrame:
     """All metrics per group: (group..., roc_auc, log_loss, f1, recall, precision,
     true_positive, false_negative). Without probabilities AUC and log loss are null."""
-    t = score_table(scored, group) if has_prob else scored.groupBy(
-        *group, F.lit(None).cast("double").alias("_s"), F.col("pred").alias("_p")).agg(*_class_counts(scored))
     # the folded table feeds three metric branches: materialise it once (shared storage)
-    t = cut_lineage(t, "score-table")
-    cm = confusion_from_table(t, group)
+    t = cut_lineage(score_table(scored, group, pred="pred") if has_prob else confusion_counts(scored, group), "score-table")
+    cm = t.groupBy(*group).agg(*[F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp")])
     base = cm.select(*group, *prf_columns(), *rate_columns())
     if has_prob:
         base = base.join(roc_auc_from_table(t, group), group, "left").join(log_loss_from_table(t, group), group, "left")

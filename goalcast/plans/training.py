@@ -61,14 +61,25 @@ def _scored_classes(prep: Prepared, counts: B.BayesCounts, specs: list[B.ModelSp
     return scored.withColumn("pos", F.col("y")).withColumn("neg", F.col("n") - F.col("y"))
 
 
+def equal_thresholds(counts: B.BayesCounts, scope: str, thresholds: list[int]) -> dict[int, int]:
+    """Threshold -> smallest threshold that keeps the same keys. Key sets of thresholds are nested,
+    so sets of one size are one set and their models are one model, evaluated once."""
+    n = F.col(f"n_{scope}")
+    kept = counts.keys.agg(*[F.count_if(n >= t).alias(str(t)) for t in thresholds]).collect()[0].asDict()  # one row
+    return {t: min(u for u in thresholds if kept[str(u)] == kept[str(t)]) for t in thresholds}
+
+
 def bayes_grid(prep: Prepared, goals: list[str], thresholds: list[int], counts: B.BayesCounts | None = None):
     counts = counts or B.fit_counts(prep.encoded, goals, ("train", "unified"))
-    specs = [B.ModelSpec(f"{g}__{t}", "train", g, t) for g in goals for t in thresholds]
+    same = equal_thresholds(counts, "train", thresholds)
+    specs = [B.ModelSpec(f"{g}__{t}", "train", g, t) for g in goals for t in sorted(set(same.values()))]
     scored = _scored_classes(prep, counts, specs, goals) if worth_classes(prep.encoded) else \
         B.score_models(prep.encoded, counts, specs, ["row_id", "set"]).scores
     scored = scored.withColumn("goal", F.split("model_id", "__")[0]) \
                    .withColumn("rarity_threshold", F.split("model_id", "__")[1].cast("int"))
-    ev = M.evaluate_sets(scored, ["goal", "rarity_threshold"])
+    ev = cut_lineage(M.evaluate_sets(scored, ["goal", "rarity_threshold"]), "grid-metrics")
+    every = prep.encoded.sparkSession.createDataFrame(list(same.items()), "threshold int, rarity_threshold int")
+    ev = ev.join(F.broadcast(every), "rarity_threshold").drop("rarity_threshold").withColumnRenamed("threshold", "rarity_threshold")
     cid = F.array_position(F.array(*[F.lit(t) for t in thresholds]), F.col("rarity_threshold")).cast("int") - 1
     return ev.withColumn("config_id", cid), counts
 

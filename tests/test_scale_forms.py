@@ -5,7 +5,9 @@ import random
 import pytest
 
 from goalcast.operators import bayes as B
+from goalcast.operators import metrics as M
 from goalcast.operators.features import encode_rows, feature_cells, one_hot
+from goalcast.plans import training as TR
 
 ENC = "row_id long, set string, features array<int>, click int"
 
@@ -44,3 +46,27 @@ def test_scores_need_no_shuffle_and_equal_the_joined_ones(spark, monkeypatch):
     assert got.keys() == joined.keys() and len(got) == 302 * 6
     for k, v in joined.items():
         assert got[k][::2] == v[::2] and got[k][1] == pytest.approx(v[1], abs=1e-9)
+
+
+def test_auc_of_sorted_partitions(spark):
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["g", "h", None]), rnd.randrange(3), rnd.randrange(2), rnd.randrange(40) / 8.0) for _ in range(2000)]
+    df = spark.createDataFrame([*rows, ("one", 0, 1, 0.5), ("g", 0, 1, None), ("g", 1, 0, float("nan"))], "a string, b int, y int, prob double")
+    table = M.score_table(df, ["a", "b"])
+    auc = {(r.a, r.b): r.roc_auc for r in M.roc_auc_from_table(table, ["a", "b"]).collect()}
+    for key in {r[:2] for r in rows}:
+        pos = [r[3] for r in rows if r[:2] == key and r[2]]
+        neg = [r[3] for r in rows if r[:2] == key and not r[2]]
+        want = sum((p > q) + (p == q) / 2 for p in pos for q in neg) / (len(pos) * len(neg))
+        assert auc[key] == pytest.approx(want, abs=1e-12)
+    assert auc["one", 0] is None and len(auc) == 10
+    assert df.count() == 2003 and "Window" not in _plan(table)
+
+
+def test_equal_thresholds_are_one_model(spark):
+    enc = _encoded(spark)
+    c = B.fit_counts(enc, ["click"], ("train", "unified"))
+    least = min(r.n_train for r in c.keys.collect() if r.n_train)
+    ts = [1, least, least + 1, 10_000, 20_000]
+    same = TR.equal_thresholds(c, "train", ts)
+    assert same[1] == same[least] == 1 and same[least + 1] == least + 1 and same[10_000] == same[20_000] == 10_000
