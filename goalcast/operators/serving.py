@@ -3,11 +3,17 @@ agent fan-out (H5), best agent per request (H6), scoring by feature name (H2).""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goalcast.operators import bayes as B
-from goalcast.plans.indexing import lookup_join
+from goalcast.operators.features import repeats
+from goalcast.plans.indexing import broadcast_rows, lookup_join
 
 
 def cr_step(prob: Column, thresholds: list[float] | None, crs: list[float] | None) -> Column:
@@ -63,9 +69,15 @@ def names_to_indices(rows: DataFrame, key: str | list[str], names_col: str, dict
                      freq_col: str | None = None, total_rows: int | None = None) -> DataFrame:
     """P7 + H2: feature names -> sorted distinct known indices ``features`` and their names
     ``known`` in the same order (unknown names dropped, rows without a known name kept with
-    empty arrays). With ``freq_col`` (how often a name occurs) a dictionary beyond the broadcast
-    bound is joined with its frequent names split off."""
+    empty arrays). A dictionary within the broadcast bound is looked up row by row in the tasks.
+    With ``freq_col`` (how often a name occurs) a dictionary beyond it is joined with its frequent
+    names split off. Rows of one key are folded into one."""
     keys = [key] if isinstance(key, str) else key
+    table = dictionary.select("name", F.col("idx").cast("int").alias("idx"))
+    if n_dict <= broadcast_rows(table) and not repeats(rows, keys):
+        table = table.where(F.col("name").isNotNull() & F.col("idx").isNotNull()).toArrow().combine_chunks()
+        if len(table["name"].unique()) == len(table):          # a name with several indices takes the join
+            return _lookup_in_place(rows.select(*keys, F.col(names_col).alias("_names")), keys, table)
     ex = rows.select(*keys, F.explode_outer(names_col).alias("name"))
     d = dictionary.select("name", "idx", *([freq_col] if freq_col else []))
     j = lookup_join(ex, d, ["name"], n_dict, freq_col, total_rows, "left")
@@ -75,6 +87,50 @@ def names_to_indices(rows: DataFrame, key: str | list[str], names_col: str, dict
                     F.transform("_p", lambda p: p["name"]).alias("known")))
 
 
+def _lookup_in_place(rows: DataFrame, keys: list[str], table: pa.Table) -> DataFrame:
+    sent = rows.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, idx = sent.value["name"].combine_chunks(), sent.value["idx"].to_numpy()
+        for batch in batches:
+            names = batch.column("_names")
+            size = np.nan_to_num(pc.list_value_length(names).to_numpy(zero_copy_only=False)).astype(np.int64)
+            at = pc.index_in(names.flatten(), value_set=name)  # null lists are left out
+            row = np.repeat(np.arange(len(size)), size)[at.is_valid().to_numpy(zero_copy_only=False)]
+            at = at.drop_null().to_numpy()
+            order = np.lexsort((idx[at], row))
+            row, at = row[order], at[order]
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1])
+            row, at = row[new], at[new]
+            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(size)))]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, x) for x in (pa.array(idx[at], pa.int32()), name.take(pa.array(at)))]
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keys], *lists], names=[*keys, "features", "known"])
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in keys)
+    return rows.mapInArrow(run, f"{kept}, features array<int>, known array<string>")
+
+
+def indices_to_names(rows: DataFrame, key: str, dictionary: DataFrame, n_dict: int) -> DataFrame:
+    """(key, names): the names of each row's ``features`` (indices outside the dictionary left out)."""
+    table = dictionary.select("idx", "name")
+    if n_dict > broadcast_rows(table):
+        ex = rows.select(key, F.explode_outer("features").alias("idx")).join(table, "idx", "left")
+        return ex.groupBy(key).agg(F.collect_list("name").alias("names"))
+    sent = rows.sparkSession.sparkContext.broadcast(table.toArrow().combine_chunks())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idx, name = sent.value["idx"].combine_chunks(), sent.value["name"].combine_chunks()
+        for batch in batches:
+            features = batch.column("features")
+            size = np.nan_to_num(pc.list_value_length(features).to_numpy(zero_copy_only=False)).astype(np.int64)
+            at = pc.index_in(features.flatten(), value_set=idx)
+            row = np.repeat(np.arange(len(size)), size)[at.is_valid().to_numpy(zero_copy_only=False)]
+            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(size)))]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.ListArray.from_arrays(ends, name.take(at.drop_null()))], names=[key, "names"])
+    rows = rows.select(key, "features")
+    return rows.mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, names array<string>")
+
+
 def used_combinations(features: Column, names_by_idx: Column) -> Column:
     """Names ``a&b`` of every key (i <= j) of the row; ``names_by_idx`` is an
     array<string> column aligned with ``features``."""

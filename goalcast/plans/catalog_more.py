@@ -369,10 +369,10 @@ def q_best_agent(spark, sf_dir):
 def q_bayes_score_named(spark, sf_dir):
     p = prepared(spark, sf_dir)
     names = p.dictionary.names
-    ex = p.encoded.select("row_id", F.explode_outer("features").alias("idx")).join(maybe_broadcast(names, p.dictionary.size), "idx", "left")
-    named = ex.groupBy("row_id").agg(F.concat(F.collect_list("name"), F.array(F.lit("zz_unknown_feature"))).alias("names"))
+    named = SV.indices_to_names(p.encoded, "row_id", names, p.dictionary.size)
+    named = cut_lineage(named.select("row_id", F.concat("names", F.array(F.lit("zz_unknown_feature"))).alias("names")), "names")
     idx = cut_lineage(SV.names_to_indices(named, "row_id", "names", names, p.dictionary.size), "named-rows")
-    used = F.array_join(F.array_sort(SV.used_combinations(F.col("features"), F.col("known"))), " ").alias("used")
+    used = F.array_join(F.sort_array(SV.used_combinations(F.col("features"), F.col("known"))), " ").alias("used")
     spec = B.ModelSpec("m", "train", "click", SCORE_THRESHOLD)
     sc = B.score_models(idx.withColumn("used", used), counts(spark, sf_dir), [spec], ["row_id", "used"]).scores
     return sc.select("row_id", r("prob").alias("prob"), "pred", "used")

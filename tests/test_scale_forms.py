@@ -3,9 +3,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from goalcast.operators import bayes as B
 from goalcast.operators import metrics as M
+from goalcast.operators import serving as SV
 from goalcast.operators.features import encode_rows, feature_cells, one_hot
 from goalcast.plans import training as TR
 
@@ -48,6 +50,21 @@ def test_scores_need_no_shuffle_and_equal_the_joined_ones(spark, monkeypatch):
         assert got[k][::2] == v[::2] and got[k][1] == pytest.approx(v[1], abs=1e-9)
 
 
+def test_names_and_indices_need_no_shuffle(spark, monkeypatch):
+    names = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "idx int, name string")
+    rows = spark.createDataFrame([(1, ["c", "a", "c", "zz", None]), (2, None), (3, []), (4, ["zz"])], "row_id long, names array<string>")
+    found = SV.names_to_indices(rows, "row_id", "names", names, 3)
+    assert "Aggregate" not in _plan(found) and "Generate" not in _plan(found)
+    want = {1: ([0, 2], ["a", "c"]), 2: ([], []), 3: ([], []), 4: ([], [])}
+    assert {r.row_id: (r.features, r.known) for r in found.collect()} == want
+    twice = SV.names_to_indices(rows.unionByName(rows.withColumn("names", F.array(F.lit("b")))), "row_id", "names", names, 3)
+    assert {r.row_id: r.features for r in twice.collect()} == {1: [0, 1, 2], 2: [1], 3: [1], 4: [1]}
+    enc = spark.createDataFrame([(1, [0, 2, 9]), (2, []), (3, None)], "row_id long, features array<int>")
+    back = SV.indices_to_names(enc, "row_id", names, 3)
+    assert "Aggregate" not in _plan(back)
+    assert {r.row_id: r.names for r in back.collect()} == {1: ["a", "c"], 2: [], 3: []}
+
+
 def test_auc_of_sorted_partitions(spark):
     rnd = random.Random(5)
     rows = [(rnd.choice(["g", "h", None]), rnd.randrange(3), rnd.randrange(2), rnd.randrange(40) / 8.0) for _ in range(2000)]
