@@ -297,7 +297,7 @@ def _sums_in_place(rows: DataFrame, keys: DataFrame, specs: list[ModelSpec]) ->
             known[known] = ids[at[known]] == key[known]
             at = np.where(known, at, len(ids))
             row = np.repeat(np.arange(len(size)), size)
-            sums = [pa.array(np.bincount(row, x[at], len(size))) for x in terms]
+            sums = [pa.array(np.bincount(row, x[at], len(size)).astype(np.float64)) for x in terms]  # counts nothing as integers
             yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], *[sums[k] for k in parts]],
                                              names=[*[f.name for f in kept], *names])
     return rows.mapInArrow(run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`{x}` double" for x in names]))

@@ -87,3 +87,9 @@ def test_equal_thresholds_are_one_model(spark):
     ts = [1, least, least + 1, 10_000, 20_000]
     same = TR.equal_thresholds(c, "train", ts)
     assert same[1] == same[least] == 1 and same[least + 1] == least + 1 and same[10_000] == same[20_000] == 10_000
+
+
+def test_batches_without_any_feature_score_the_baseline(spark):
+    enc = spark.createDataFrame([(1, "train", [], 1), (2, "train", None, 0)], ENC)
+    c = B.fit_counts(enc, ["click"], ("train",))
+    assert [r.prob for r in B.score_models(enc, c, [B.ModelSpec("m", "train", "click", 1)], ["row_id"]).scores.collect()] == [0.5, 0.5]
