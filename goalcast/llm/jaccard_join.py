@@ -214,8 +214,8 @@ def _components(docs: DataFrame, k: int, num: int, den: int, id_limit: int) -> t
                          "jaccard-members")
     wanted = cut_lineage(sets.where("cid is not null").join(member.select("rid").distinct(), "rid").select("rid", "doc_id", "cid"),
                          "jaccard-wanted")
-    full = full_sets(docs, wanted, k, id_limit, "jaccard-full")
-    roots = family_components(member, lambda rows: rows.join(prefixes, "rid").join(full, "rid"), _verify(num, den), CHUNK, "jaccard")
+    full = full_sets(docs, wanted, k, id_limit, "jaccard-full", prefixes)
+    roots = family_components(member, lambda rows: rows.join(full, "rid"), _verify(num, den), CHUNK, "jaccard")
 
     joined = roots.withColumnRenamed("node", "rid").join(classes, "rid")
     least = joined.groupBy("root").agg(F.min("least").alias("component"))

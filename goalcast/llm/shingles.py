@@ -50,12 +50,20 @@ def _full_sets(k: int) -> Callable:
     return run
 
 
-def full_sets(docs: DataFrame, classes: DataFrame, k: int, id_limit: int, name: str) -> DataFrame:
+def full_sets(docs: DataFrame, classes: DataFrame, k: int, id_limit: int, name: str, more: DataFrame | None = None) -> DataFrame:
     """``(rid, tokens_all)`` of ``classes`` (rid, doc_id, cid), read again from the texts of
-    ``docs`` (doc_id, text); classes are broadcast up to ``id_limit`` rows, about 110 bytes each."""
+    ``docs`` (doc_id, text); classes are broadcast up to ``id_limit`` rows, about 110 bytes each. Rows
+    of one id and set give a class more than once; only then are the sets shuffled, once, to keep one.
+    The columns of ``more`` (one row a rid) are joined to the sets before they are written: later
+    joins with some rows then move those rows' sets alone."""
     picked = classes.select("rid", F.col("doc_id").alias("_id"), "cid")
     if picked.count() <= id_limit:
         picked = F.broadcast(picked)                           # at most id_limit rows
     text = docs.join(picked, docs["doc_id"].eqNullSafe(F.col("_id"))).select("text", "rid", "cid")
-    return (cut_lineage(text.mapInArrow(packed.lean(_full_sets(k)), "rid long, tokens_all binary"), name)
-            .dropDuplicates(["rid"]))
+    full = text.mapInArrow(packed.lean(_full_sets(k)), "rid long, tokens_all binary")
+    if more is not None:
+        return cut_lineage(full.dropDuplicates(["rid"]).join(more, "rid"), name)
+    full = cut_lineage(full, name)
+    if full.groupBy("rid").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return full
+    return cut_lineage(full.dropDuplicates(["rid"]), f"{name}-once")

@@ -2,11 +2,13 @@
 
 import hashlib
 
+import pyarrow as pa
 import pytest
 from conftest_llm import SPACED, lower_ascii
 
 from goalcast.llm import families, jaccard_join
 from goalcast.llm.jaccard_join import jaccard_components, keep_one
+from goalcast.llm.shingles import class_id, full_sets, shingle_sets
 from goalcast.llm.substring_dedup import remove_repeats, repeat_digest
 
 
@@ -155,3 +157,29 @@ def test_groups_of_a_token_or_passage_that_very_many_rows_share_are_bounded(tabl
     assert sorted(got, key=key) == sorted(brute_components(rows, 3, 9, 10)[0], key=key)
     got = [tuple(r) for r in repeat_digest(table(rows), 50, 20).collect()]
     assert sorted(got, key=key) == sorted([w[:4] for w in brute_repeats(rows, 50)], key=key)
+
+
+def test_full_sets_are_not_shuffled_unless_a_class_comes_more_than_once(table):
+    rows = [(1, "a b c d"), (2, "e f g h")]
+
+    def full(rows):
+        docs = table(rows).select("doc_id", "text")
+        ids = [(10 * i, i, class_id(next(shingle_sets(pa.array([t]), 3)))) for i, t in dict(rows).items()]
+        return full_sets(docs, docs.sparkSession.createDataFrame(ids, "rid long, doc_id long, cid binary"), 3, 100, "test-full")
+    once, twice = full(rows), full(rows + rows[:1])
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in twice._jdf.queryExecution().executedPlan().toString()
+    assert [sorted(r["rid"] for r in x.collect()) for x in (once, twice)] == [[10, 20], [10, 20]]
+
+
+def test_a_round_of_comparisons_joins_the_sets_once(table, monkeypatch):
+    plans, cut = {}, families.cut_lineage
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return cut(df, name)
+    monkeypatch.setattr(families, "cut_lineage", seen)
+    rows = [(i, f"a b c d e f g h i {i % 3}") for i in range(6)] + [(0, "a b c d e f g h i 0")]
+    got = [tuple(r) for r in jaccard_components(table(rows), 3, 4, 5).collect()]
+    assert sorted(got, key=key) == sorted(brute_components(rows, 3, 4, 5)[0], key=key)
+    assert plans["jaccard-edges-0"].count("Join Inner") == 1
