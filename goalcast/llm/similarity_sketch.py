@@ -120,7 +120,8 @@ def _components(docs: DataFrame, k: int, num: int, den: int, bands: int, rows: i
         "sketch-classes")
 
     full = roots = None
-    reps = sets.join(classes.select("rid"), "rid", "left_semi").select("rid", "doc_id", "cid", "bands")
+    # the bands of one row a class, written once: every read below would shuffle the bands of all rows again
+    reps = cut_lineage(sets.join(classes.select("rid"), "rid", "left_semi").select("rid", "bands"), "sketch-reps")
     for n in (min(FIRST_BANDS, bands), bands):
         # one row per class and band; bands whose classes are one, or one component, leave
         own = reps.withColumn("label", F.col("rid"))
@@ -131,7 +132,7 @@ def _components(docs: DataFrame, k: int, num: int, den: int, bands: int, rows: i
         shared = cut_lineage(shared.select("band", "leader"), "sketch-bands")
         side = F.broadcast(shared) if shared.count() <= id_limit else shared         # at most id_limit rows
         member = cut_lineage(entry.join(side, "band").select("leader", "rid").distinct(), "sketch-members")
-        wanted = cut_lineage(reps.join(member.select("rid").distinct(), "rid", "left_semi").select("rid", "doc_id", "cid"), "sketch-wanted")
+        wanted = cut_lineage(sets.select("rid", "doc_id", "cid").join(member.select("rid").distinct(), "rid", "left_semi"), "sketch-wanted")
         if full is not None:
             wanted = wanted.join(full.select("rid"), "rid", "left_anti")
         more = full_sets(docs, wanted, k, id_limit, "sketch-full")

@@ -1,6 +1,7 @@
 """Fast similarity sketches and their near-duplicates against brute force."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -79,3 +80,17 @@ def test_agreement_estimates_similarity(n, j):
         found.append((a == b).mean() - both / len(x))
     # mean error of 60 sketches, and no sketch far off
     assert abs(np.mean(found)) < 4 * 0.05 / 60 ** 0.5 and max(map(abs, found)) < 0.25
+
+
+def test_bands_of_all_rows_are_joined_once(table, monkeypatch):
+    plans, cut = {}, S.cut_lineage
+
+    def seen(df, name):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().optimizedPlan().toString())
+        return cut(df, name)
+    monkeypatch.setattr(S, "cut_lineage", seen)
+    rows = [(i, f"a b c d e f g h i {i % 3}") for i in range(6)]
+    got = [tuple(r) for r in S.near_duplicates(table(rows), 3, 4, 5, id_limit=0).drop("first").collect()]
+    assert sorted(got, key=key) == sorted(brute_components(rows, 3, 4, 5)[0], key=key)
+    wide = [name for name, found in plans.items() for x in found if "LeftSemi" in x and re.search(r"Project \[.*bands#", x)]
+    assert wide == ["sketch-reps"]
