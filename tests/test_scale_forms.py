@@ -1,6 +1,8 @@
 """The forms that touch a row once (no explode, no shuffle of cells) against the joined ones."""
 
+import gzip
 import random
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from goalcast.operators import metrics as M
 from goalcast.operators import serving as SV
 from goalcast.operators.features import encode_rows, feature_cells, one_hot
 from goalcast.plans import training as TR
+from goalcast.sinks import writers as W
 
 ENC = "row_id long, set string, features array<int>, click int"
 
@@ -93,3 +96,17 @@ def test_batches_without_any_feature_score_the_baseline(spark):
     enc = spark.createDataFrame([(1, "train", [], 1), (2, "train", None, 0)], ENC)
     c = B.fit_counts(enc, ["click"], ("train",))
     assert [r.prob for r in B.score_models(enc, c, [B.ModelSpec("m", "train", "click", 1)], ["row_id"]).scores.collect()] == [0.5, 0.5]
+
+
+def test_matrix_rows_are_compressed_at_the_fastest_level(spark, tmp_path):
+    width = 5000
+    held = [(i, "train", [i % width, (37 * i) % 900 + 3000] if i % 9 else [], i % 2, 1.0) for i in range(60)]
+    held = [(i, s, sorted(set(f)), y, w) for i, s, f, y, w in held]
+    rows = spark.createDataFrame(held, "row_id long, set string, features array<int>, y int, weight double").coalesce(1)
+    names = spark.createDataFrame([(i, f"f{i}") for i in range(width)], "idx int, name string")
+    W.write_matrix(rows, names, str(tmp_path), width)
+    parts = list((tmp_path / "rows" / "set=train").glob("*.gz"))
+    text = b"".join(gzip.decompress(p.read_bytes()) for p in parts)
+    want = ["\t".join([*("1" if j in f else "0" for j in range(width)), str(y)]) for _, _, f, y, _ in held]
+    assert text.decode().splitlines() == want
+    assert sum(p.stat().st_size for p in parts) > 2 * len(zlib.compress(text))   # shorter, and twice as long to write
