@@ -368,6 +368,67 @@ def test_boosting_equals_brute_force(prep, spark, scratch, monkeypatch, cells, d
             assert len({s[2] for s in splits if s[0] == t}) <= int(0.8 * 6)
 
 
+def test_rows_by_feature_walk_and_sum_like_lists():
+    """Null and empty lists, features that stand twice, trees with chains on both sides, absent features."""
+    rng = np.random.default_rng(3)
+    lists = [None if i % 50 == 0 else sorted(rng.integers(0, 9, rng.integers(0, 6)).tolist()) for i in range(300)]
+    batch = G.Batch(pa.array(lists, pa.list_(pa.int32())))
+    rows = G.Postings.of(batch)
+    back = rows.lists()
+    assert back.lens.tolist() == batch.lens.tolist() and back.flat.tolist() == batch.flat.tolist()
+    feature = np.array([3, 1, 5, -1, 3, 7, 99, -1, -1, -1, -1, -1, -1, 2, -1, -1])   # two trees, one of them 13..15
+    left = np.array([1, 3, 5, -1, 7, 9, 11, -1, -1, -1, -1, -1, -1, 14, -1, -1])
+    found = {t: ends[mark].tolist() for t, mark, ends in rows.walk(np.array([0, 13]), feature, left)}
+    for t, root in enumerate((0, 13)):
+        want = []
+        for own in lists:
+            node = root
+            while feature[node] >= 0:
+                node = left[node] + (feature[node] not in (own or []))
+            want.append(node)
+        assert found[t] == want
+    none = G.Postings.of(G.Batch(pa.array([[], None], pa.list_(pa.int32()))))
+    assert [ends[mark].tolist() for _, mark, ends in none.walk(np.array([0]), feature, left)] == [[12, 12]]
+
+
+def test_blocks_hold_every_row_with_its_rarest_feature(prep, spark, monkeypatch):
+    monkeypatch.setattr(T, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(T, "PIECE", 5)
+    rows = [(i, "train", sorted({0, 1 + i % 2, 3 + i // 4}), i % 2) for i in range(400)] + [(400, "train", [], 1), (401, "train", None, 0)]
+    df = spark.createDataFrame(rows, "row_id long, set string, features array<int>, click int").repartition(7, "row_id")
+    table = T._packed(df, ["click"], 103, *T._size(df)).toArrow()
+    want = {int(G.mix(np.array([i]).astype(np.uint64))[0]): (f or [], y) for i, _, f, y in rows}
+    found, homes = {}, []
+    for block, row, label, margin in (b for batch in table.to_batches() for b in T._blocks(batch)):
+        own = block.lists()
+        assert block.n <= 16 and margin is None
+        homes += block.feature[block.feature >= 3].tolist()
+        for i in range(block.n):
+            assert int(row[i]) not in found
+            found[int(row[i])] = own.flat[own.start[i]:own.start[i] + own.lens[i]].tolist(), int(label[0, i])
+    assert found == want
+    assert len(homes) <= 100 + table.num_rows                  # a rare feature is cut by the end of a block at most
+
+
+@pytest.mark.parametrize("few,dense", [(4, 1 << 23), (0, 0)])
+def test_boosting_scans_rows_by_feature(prep, monkeypatch, few, dense):
+    """Levels are summed from the row lists of blocks; no scan walks the rows one by one."""
+    def levels(*_):
+        raise AssertionError("rows were walked one by one")
+    monkeypatch.setattr(G, "_partial_sums", levels)
+    for name, value in (("LOCAL_CELLS", 1), ("LOCAL_ROWS", 1), ("FEW", few), ("DENSE_SUMS", dense)):
+        monkeypatch.setattr(G, name, value)
+    for name, value in (("MARGIN_ROUNDS", 2), ("BLOCK_ROWS", 32), ("PIECE", 8)):
+        monkeypatch.setattr(T, name, value)
+    rows = click(prep)
+    model = T.fit_boosted(rows, [("click", {"max_depth": 3, "eta": 0.3})], 6, rounds=3)
+    plain = rows.collect()
+    margin, splits = replay_boosting(plain, 6, 3, 0.3, 3)
+    want = {r["row_id"]: 1 / (1 + math.exp(-m)) for r, m in zip(plain, margin)}
+    assert {r["row_id"]: r["prob"] for r in model.score(rows, ["row_id"]).collect()} == pytest.approx(want, abs=1e-9)
+    assert int((model.trees.feature >= 0).sum()) == len(splits)
+
+
 def test_boosted_run_writes_importance(prep, scratch, spark, monkeypatch):
     monkeypatch.setattr(T.fit_boosted, "__defaults__", (6, 1, 0.8, 0.8))
     out = scratch("xgb-run")
