@@ -19,6 +19,7 @@ from goalcast.operators import requests as RQ
 from goalcast.operators import splits as U
 from goalcast.operators import trees as T
 from goalcast.operators.features import FeatureDictionary
+from goalcast.plans import catalog_ml as CM
 from goalcast.plans import training as TR
 from goalcast.plans.prepare import Prepared
 from goalcast.sinks import writers as W
@@ -110,6 +111,51 @@ def test_one_solver_equals_single_fits(prep, monkeypatch, direct):
     assert got.converged.any() and not got.converged.all()
 
 
+@pytest.mark.parametrize("cells", [0, 1 << 23])
+@pytest.mark.parametrize("slice_", [4, 1 << 16])
+def test_columns_solved_alone_take_the_same_steps(prep, monkeypatch, cells, slice_):
+    monkeypatch.setattr(LN, "LOCAL_CELLS", cells)
+    monkeypatch.setattr(LN, "SLICE", slice_)
+    x, y, _ = dense(prep)
+    scans = []
+    monkeypatch.setattr(LN, "_gradient", lambda *a, f=LN._gradient: scans.append(1) or f(*a))
+    grid = [{"loss": a, "penalty": b, "alpha": c} for a in HYPER_PARAMETERS["SGD"]["loss"] for b in ("l2", "l1", "elasticnet") for c in (1e-15, 0.05)]
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        got = LN.fit_linear(TR.goal_classes(prep, ["click"]), [("click", c) for c in grid], 6, iterations=25)
+    for j, c in enumerate(grid):
+        w, steps, converged = single_fit(x, y, c["loss"], c["penalty"], c["alpha"], 25)
+        assert np.allclose(got.weights[:, j], w, atol=1e-9), c
+        assert (got.steps[j], got.converged[j]) == (steps, converged), c
+    assert len(scans) == (0 if cells else 26)                  # no scan a step where the classes fit into a task
+
+
+@pytest.mark.parametrize("width", [40, 10_000])
+def test_slots_sum_like_a_matrix(width):
+    rng = np.random.default_rng(3)
+    rows = [sorted(rng.choice(40, k, replace=False).tolist()) for k in [0, 3, 5, 5, 2, 30, 4, 0, 6] * 30 + [40]]
+    n, pos = np.arange(1, len(rows) + 1), np.arange(len(rows)) // 2
+    x = np.zeros((len(rows), width))
+    for i, r in enumerate(rows):
+        x[i, r] = 1
+    held = LN._Rows(LN.Batch(pa.array(rows, pa.list_(pa.int32()))), width).counted(n, {"click": pos})
+    assert len(held.rest) and len(held.slots)
+    w, got = rng.normal(size=(width, 3)), np.zeros((width, 3))
+    held.gradient(w, [("click", k) for k in ("log", "hinge", "modified_huber")], got)
+    assert np.allclose(held.margins(w).T, (x @ w)[held.order])
+    for c, loss in enumerate(("log", "hinge", "modified_huber")):
+        m = x @ w[:, c]
+        assert np.allclose(got[:, c], x.T @ (pos * LN._dloss(loss, 1.0, m) + (n - pos) * LN._dloss(loss, -1.0, m)))
+
+
+def test_optimality_takes_every_alpha_of_the_grid(prep, spark, monkeypatch):
+    monkeypatch.setattr(CM, "prepared", lambda *a: prep)
+    got = CM.q_linear_optimality(spark, None).collect()
+    grid = HYPER_PARAMETERS["SGD"]
+    assert {(r["penalty"], r["alpha"]) for r in got} == {(b, float(c)) for b in grid["penalty"] for c in grid["alpha"]}
+    assert all(r["optimal"] == 1 for r in got)
+
+
 def test_classes_lie_with_their_rarest_feature(spark):
     rows = [(i, [i % 3, 3 + i % 200], 1, int(i % 7 == 0)) for i in range(4000)] + [(4000, [], 1, 0)]
     df = spark.createDataFrame(rows, "class_id long, features array<int>, n long, click long").repartition(8)
