@@ -298,7 +298,7 @@ SELECT row_id, "set", rnd(prob) AS prob, pred, y FROM scored2"""),
 size AS ({_goal_sizes("WHERE \"set\" = 'train'")})
 SELECT vg.goal, penalty, alpha, 1 AS optimal, n_rows, n_pos
 FROM vg JOIN size USING (goal), (VALUES ('l1'), ('l2'), ('elasticnet')) p(penalty),
-  (VALUES (1e-5::DOUBLE), (1e-4), (1e-3), (1e-2), (1), (5), (10)) a(alpha)""",
+  (VALUES (1e-15::DOUBLE), (1e-10), (1e-8), (1e-5), (1e-4), (1e-3), (1e-2), (1), (5), (10)) a(alpha)""",
     "forest_rules": base_ctes() + VALID_GOALS_CTE + """
 SELECT goal, 100::BIGINT AS trees, 0::BIGINT AS too_small, 0::BIGINT AS pure, 0::BIGINT AS unequal FROM vg""",
     "refit_scores": base_ctes() + VALID_GOALS_CTE + f""",
