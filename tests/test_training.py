@@ -276,6 +276,51 @@ def test_forest_equals_trees_grown_alone(prep, spark, scratch, monkeypatch, cell
     assert back == pytest.approx({i: p for (i, j), p in scores.items() if j == job}, abs=1e-12)
 
 
+def test_forest_groups_grow_one_by_one(prep, monkeypatch):
+    """The bound on nodes holds for the trees of one goal and fraction, not for the grid."""
+    def scans(*_):
+        raise AssertionError("rows were sent by node")
+    monkeypatch.setattr(G, "_send_rows", scans)
+    rows, jobs = click(prep), [("click", {"ntree": 6, "fraction": f, "min_target_node_size": 8}) for f in (1.0, 0.3)]
+    size = [sum(len(t[0]) for t in T.fit_forests(rows, [j], 6).groups[0][1]) for j in jobs]
+    monkeypatch.setattr(G, "MAX_NODES", max(size))
+    assert sum(len(t[0]) for _, trees in T.fit_forests(rows, jobs, 6).groups for t in trees) == sum(size) > max(size)
+    monkeypatch.setattr(G, "MAX_NODES", max(size) - 1)
+    with pytest.raises(ValueError):
+        T.fit_forests(rows, jobs, 6)
+
+
+@pytest.mark.parametrize("held,waiting", [(0, 64), (1, 64), (1 << 20, 64), (1 << 20, 0)])
+def test_held_sums_give_the_same_trees(held, waiting, monkeypatch):
+    rng = np.random.default_rng(5)
+    lists = [sorted(rng.choice(60, rng.integers(0, 9), replace=False).tolist()) for _ in range(400)]
+    batch, y, n = G.Batch(pa.array(lists, pa.list_(pa.int32()))), rng.integers(0, 2, 400).astype(float), rng.integers(1, 4, 400).astype(float)
+
+    def grown():
+        alone = G._Alone(batch, 60, T._gini_gain, lambda t, d, a, b: (a >= 5) & (b > 0) & (b < a), 1e-9, False)
+        t = alone.grow(0, 0, np.array([9], dtype=np.uint64), np.uint64(1 << 62), np.arange(400), n, n * y)
+        out, todo = [], [0]
+        while todo:
+            k = todo.pop()
+            out.append((t["feature"][k], t["a"][k], t["b"][k], t["gain"][k], t["depth"][k]))
+            todo += [t["left"][k] + 1, t["left"][k]] if t["feature"][k] >= 0 else []
+        return out
+    monkeypatch.setattr(G, "HELD_WIDTH", 0)
+    plain = grown()
+    monkeypatch.setattr(G, "HELD_WIDTH", held)
+    monkeypatch.setattr(G, "HELD_NODES", waiting)
+    assert grown() == plain and len(plain) > 100
+
+
+def test_scores_do_not_depend_on_the_rows_at_once(prep, monkeypatch):
+    forests = T.fit_forests(click(prep), [("click", c) for c in FOREST], 6, seed=3)
+    scores = []
+    for size in (1, 50, 1 << 16):
+        monkeypatch.setattr(T, "SCORE_ROWS", size)
+        scores.append({(r["row_id"], r["job"]): r["prob"] for r in forests.score(click(prep).coalesce(2), ["row_id"]).collect()})
+    assert scores[0] == scores[1] == scores[2] and len(scores[0]) == 240 * len(FOREST)
+
+
 def test_rows_are_drawn_by_their_weights(prep):
     rows = click(prep)
     rates = T.draw_rates(rows, ["click"])
