@@ -459,6 +459,42 @@ def test_boosting_equals_brute_force(prep, spark, scratch, monkeypatch, cells, d
             assert len({s[2] for s in splits if s[0] == t}) <= int(0.8 * 6)
 
 
+@pytest.mark.parametrize("goal_rows", [0, 32])
+def test_chains_take_their_rounds_alone(prep, monkeypatch, goal_rows):
+    """Where all rows fit into a task no round scans them; both ways give the same trees."""
+    scans = []
+    monkeypatch.setattr(G, "grow", lambda *a, f=G.grow, **k: scans.append(1) or f(*a, **k))
+    monkeypatch.setattr(T, "WHOLE_ROWS", goal_rows)
+    monkeypatch.setattr(T, "MARGIN_ROUNDS", 2)
+    monkeypatch.setattr(G, "PIECE_ROWS", 7)
+    rows, plain = click(prep), click(prep).collect()
+    jobs = [("click", {"max_depth": d, "eta": e}) for d, e in ((2, 0.3), (4, 0.1), (6, 0.3), (2, 0.1), (6, 0.1))]
+    model = T.fit_boosted(rows, jobs, 6, rounds=5)
+    assert len(scans) == (0 if goal_rows else 5)
+    scores = {(r["row_id"], r["job"]): r["prob"] for r in model.score(rows, ["row_id"]).collect()}
+    for job, (_, c) in enumerate(jobs):
+        margin, splits = replay_boosting(plain, 6, c["max_depth"], c["eta"], 5)
+        assert {i: p for (i, j), p in scores.items() if j == job} == pytest.approx({r["row_id"]: 1 / (1 + math.exp(-m)) for r, m in zip(plain, margin)}, abs=1e-9)
+        assert int((model.table(job)["feature"] >= 0).sum()) == len(splits)
+
+
+def test_lists_in_files_hold_rows_and_features(monkeypatch):
+    monkeypatch.setattr(G, "PIECE_ROWS", 16)
+    rng = np.random.default_rng(2)
+    rows = [sorted(rng.choice(50, rng.integers(0, 7), replace=False).tolist()) for _ in range(300)] + [None, []]
+    batches = [pa.array(rows[lo:lo + 90], pa.list_(pa.int32())) for lo in range(0, len(rows), 90)]
+    lists = G.Lists(iter(batches), 60)
+    for f in range(60):
+        assert lists.owner[lists.first[f]:lists.first[f] + lists.count[f]].tolist() == [i for i, r in enumerate(rows) if f in (r or [])]
+    assert [lists.flat[x:x + k].tolist() for x, k in zip(lists.start, lists.lens)] == [r or [] for r in rows] and not lists.twice
+    alone = G._Alone.over(lists, 60, T._gini_gain, None, 0.0, True)
+    alone.a, alone.b = rng.random(302), rng.random(302)
+    for some in (np.arange(302), np.arange(0, 302, 3)):
+        for got, x in zip(alone._all(some), (alone.a, alone.b)):
+            assert np.allclose(got, [sum(x[i] for i in some if f in (rows[i] or [])) for f in range(60)])
+    assert G.Lists(iter([pa.array([[3, 3]], pa.list_(pa.int32()))]), 4).twice and G.Lists(iter([]), 4).n == 0
+
+
 def test_rows_by_feature_walk_and_sum_like_lists():
     """Null and empty lists, features that stand twice, trees with chains on both sides, absent features."""
     rng = np.random.default_rng(3)
