@@ -290,6 +290,22 @@ def test_forest_groups_grow_one_by_one(prep, monkeypatch):
         T.fit_forests(rows, jobs, 6)
 
 
+@pytest.mark.parametrize("rows_,cells", [(1 << 18, 1 << 23), (60, 1 << 10)])
+def test_whole_trees_from_files_equal_those_in_memory(prep, monkeypatch, rows_, cells):
+    """Rows beyond one task's memory but not its files are not scanned level by level."""
+    def levels(*_):
+        raise AssertionError("a level was scanned")
+    for name in ("_partial_sums", "_send_rows"):
+        monkeypatch.setattr(G, name, levels)
+    monkeypatch.setattr(G, "LOCAL_ROWS", rows_)
+    monkeypatch.setattr(G, "LOCAL_CELLS", cells)
+    rows = click(prep)
+    forests, plain, rates = T.fit_forests(rows, [("click", c) for c in FOREST], 6, seed=3), rows.collect(), T.draw_rates(rows, ["click"])
+    for j, c in enumerate(FOREST):
+        got = paths(forests.table(j))
+        assert len(got) == c["ntree"] and got[1] == replay_tree(plain, rates, 6, 3, 1, c["fraction"], c["min_target_node_size"])
+
+
 @pytest.mark.parametrize("held,waiting", [(0, 64), (1, 64), (1 << 20, 64), (1 << 20, 0)])
 def test_held_sums_give_the_same_trees(held, waiting, monkeypatch):
     rng = np.random.default_rng(5)
@@ -464,7 +480,7 @@ def test_chains_take_their_rounds_alone(prep, monkeypatch, goal_rows):
     """Where all rows fit into a task no round scans them; both ways give the same trees."""
     scans = []
     monkeypatch.setattr(G, "grow", lambda *a, f=G.grow, **k: scans.append(1) or f(*a, **k))
-    monkeypatch.setattr(T, "WHOLE_ROWS", goal_rows)
+    monkeypatch.setattr(G, "WHOLE_ROWS", goal_rows)
     monkeypatch.setattr(T, "MARGIN_ROUNDS", 2)
     monkeypatch.setattr(G, "PIECE_ROWS", 7)
     rows, plain = click(prep), click(prep).collect()
